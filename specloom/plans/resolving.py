@@ -1,0 +1,46 @@
+"""Best records and comparison tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from specloom.dictionaries import CORE_ITEMS, FULL_ITEMS
+from specloom.operators import resolve
+from specloom.plans import observations as obs
+from specloom.plans.registry import query
+
+RECORD = ["product_id", "canonical_item", "normalized_value_numeric", "normalized_value_text", "confidence",
+          "source_rank", "unit_system", "source_id", "source_row_id"]
+
+
+def best(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resolve.best_record(
+        obs.comparison_records(spark, sf_dir), ids=obs.COMPARISON_IDS, accepted=obs.ACCEPTED_FLAGS
+    )
+
+
+@query("best_record", f"WITH {obs.BEST_CTE} SELECT {', '.join(RECORD)} FROM best")
+def best_record(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best(spark, sf_dir).select(*RECORD)
+
+
+def _pivot_sql(items: list[tuple[str, str, str]]) -> str:
+    cells = ", ".join(
+        f"max(normalized_value_{kind}) FILTER (WHERE canonical_item = '{item}') AS {column}"
+        for item, column, kind in items
+    )
+    return f"""
+        WITH {obs.BEST_CTE}
+        SELECT p_partkey AS product_id, p_brand AS company, p_name AS product_name, p_type AS market_segment, {cells}
+        FROM part LEFT JOIN best ON p_partkey = product_id GROUP BY ALL
+    """
+
+
+@query("comparison_core", _pivot_sql([(item, column, "numeric") for item, column in CORE_ITEMS]))
+def comparison_core(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resolve.comparison(obs.products(spark, sf_dir), best(spark, sf_dir))
+
+
+@query("comparison_full", _pivot_sql(FULL_ITEMS))
+def comparison_full(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resolve.comparison_full(obs.products(spark, sf_dir), best(spark, sf_dir))
