@@ -6,15 +6,18 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from specloom.dictionaries import US_FAMILIES, WHOLE_NUMBER_UNITS
-from specloom.functions.text import clean_text, strip, whole_text
+from specloom.functions.text import clean_text, whole_text, without_spaces
 
 NUMBER = r"\d+(?:\.\d+)?"
 GROUPED_NUMBER = r"\d+(?:,\d{3})*(?:\.\d+)?"
 LONE_M = r"(^|[^a-z])m($|[^a-z])"
 
-# A signed number with optional thousands commas, then possibly a unit.
-_STRICT = r"\A([+-]?(?:(?:\d{1,3}(?:,\d{3})+|\d+)(?:\.\d+)?|\.\d+))(?:[ ]*([^\d\s][^\r\n]*))?\z"
 _PLAIN = r"[+-]?(?:(?:\d{1,3}(?:,\d{3})+|\d+)(?:\.\d+)?|\.\d+)"
+_BARE = r"\A[+-]?(?:\d+(?:\.\d+)?|\.\d+)\z"
+_GAP = r"[\s\x85\xa0 -  　]*"
+# Text and expected unit, joined by a NUL: a number, then nothing or that unit
+# in any letter case, with or without a closing period.
+_WITH_UNIT = rf"(?i)\A{_GAP}((?>{_PLAIN})){_GAP}(?:\x00.*|(\S.*?)\.?{_GAP}\x00\2\.?)\z"
 
 
 def _ascii_digits(col: Column) -> Column:
@@ -28,21 +31,21 @@ def _as_number(digits: Column) -> Column:
 
 def unit_key(col: Column) -> Column:
     """A unit as it is looked up: lower case, no blanks, no closing period."""
-    return F.regexp_replace(F.lower(col), r"(?U)\s+|\.+\s*\z", "")
+    return F.rtrim(without_spaces(F.lower(col)), F.lit("."))
 
 
 def strict_number(text: Column, unit: Column | None = None) -> Column:
     """The number a clean text states, else NULL.
 
     Accepts thousands commas and a trailing unit when it is the unit expected.
-    Ranges, several numbers, remarks and markers give NULL.
+    Ranges, several numbers, remarks and markers give NULL.  Bare numbers,
+    which are most cells, are settled without the long pattern.
     """
-    body = strip(text)
-    tail = F.regexp_extract(body, _STRICT, 2)
-    fits = tail == ""
-    if unit is not None:
-        fits = fits | (unit_key(tail) == unit_key(F.coalesce(unit, F.lit(""))))
-    return F.when(fits, _as_number(F.regexp_extract(body, _STRICT, 1)))
+    expected = F.lit("") if unit is None else F.coalesce(unit, F.lit(""))
+    joined = F.concat(text, F.lit("\x00"), expected)
+    return F.when(text.rlike(_BARE), text.try_cast("double")).otherwise(
+        _as_number(F.regexp_extract(joined, _WITH_UNIT, 1))
+    )
 
 
 def dual_notation(text: Column, unit: Column) -> Column:
@@ -55,15 +58,22 @@ def dual_notation(text: Column, unit: Column) -> Column:
     pair = rf"\A\s*({_PLAIN})\s*\(\s*({_PLAIN})\s*\)\s*\z"
     units = r"\A\s*([^()]+?)\s*\(\s*([^()]+?)\s*\)\s*\z"
     inline = rf"\A\s*({_PLAIN})\s*([^\d\s()][^()\r\n]*?)\s*\(\s*{_PLAIN}\s*[^()\r\n]+\)\s*\z"
-    bracket_unit = F.regexp_extract(F.coalesce(unit, F.lit("")), units, 2)
-    bracket_value = F.when(bracket_unit != "", _as_number(F.regexp_extract(text, pair, 2)))
-    outer_value = _as_number(F.regexp_extract(text, inline, 1))
-    return F.struct(
-        F.coalesce(bracket_value, outer_value).alias("value"),
-        F.when(bracket_value.isNotNull(), bracket_unit)
-        .when(outer_value.isNotNull(), F.regexp_extract(text, inline, 2))
-        .alias("unit"),
-    )
+
+    def read(cell: Column) -> Column:
+        text, unit = cell["text"], cell["unit"]
+        bracket_unit = F.regexp_extract(F.coalesce(unit, F.lit("")), units, 2)
+        bracketed = text.rlike(pair) & (bracket_unit != "")
+        inlined = text.rlike(inline)
+        return F.struct(
+            F.when(bracketed, _as_number(F.regexp_extract(text, pair, 2)))
+            .when(inlined, _as_number(F.regexp_extract(text, inline, 1)))
+            .alias("value"),
+            F.when(bracketed, bracket_unit).when(inlined, F.regexp_extract(text, inline, 2)).alias("unit"),
+        )
+
+    # In a lambda, as few cells need it: see ``double_text``.
+    cells = F.array(F.struct(text.alias("text"), unit.cast("string").alias("unit")))
+    return F.get(F.transform(cells, read), F.lit(0))
 
 
 def parse_measure(text: Column, unit: str, mode: str = "range_max") -> Column:

@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 # Whitespace as a Unicode-aware text tool sees it: the White_Space property plus
 # the four ASCII separator controls.
 SPACE = r"(?U)[\s\x1c-\x1f]"
+SPACES = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def clean_text(col: Column) -> Column:
@@ -19,7 +23,12 @@ def clean_text(col: Column) -> Column:
 
 def strip(col: Column) -> Column:
     """Trim any whitespace, not just blanks."""
-    return F.regexp_replace(col, rf"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+\z", "")
+    return F.btrim(col, F.lit(SPACES))
+
+
+def without_spaces(col: Column) -> Column:
+    """Drop all whitespace."""
+    return F.translate(col, SPACES, "")
 
 
 def is_blank(col: Column) -> Column:
@@ -82,21 +91,31 @@ def double_text(col: Column) -> Column:
     """Shortest decimal text of a double; whole numbers print without a point.
 
     The JVM switches to an exponent outside 1e-3..1e7, the data model only
-    outside 1e-4..1e16, so the stretch between is printed from the digits.
+    outside 1e-4..1e16.  The steps for those rare values sit in a lambda:
+    inlined they would swell the generated code of every caller past what the
+    JVM compiles.
     """
-    shortest = col.cast("string")
-    size = F.abs(col)
-    plain = F.regexp_replace(shortest.try_cast("decimal(38,20)").cast("string"), r"\.?0+\z", "")
-    exponent = F.regexp_replace(shortest, r"(\.0)?E(-?)(\d)\z", "$1E$20$3")
-    exponent = F.regexp_replace(exponent, r"(\.0)?E(-?)(\d+)\z", "e$2$3")
-    exponent = F.regexp_replace(exponent, r"e(\d)", "e+$1")
+
+    def reshaped(shortest: Column) -> Column:
+        size = F.abs(shortest.try_cast("double"))
+        plain = F.regexp_replace(shortest.try_cast("decimal(38,20)").cast("string"), r"\.?0+\z", "")
+        exponent = F.regexp_replace(shortest, r"(\.0)?E(-?)(\d)\z", "$1E$20$3")
+        exponent = F.regexp_replace(exponent, r"(\.0)?E(-?)(\d+)\z", "e$2$3")
+        exponent = F.regexp_replace(exponent, r"e(\d)", "e+$1")
+        return (
+            F.when(shortest == "NaN", F.lit("nan"))
+            .when(shortest == "Infinity", F.lit("inf"))
+            .when(shortest == "-Infinity", F.lit("-inf"))
+            .when((size >= 1e15) & (F.rint(size) == size) & (size < 1e38), whole_text(shortest.try_cast("double")))
+            .when((size >= 1e-4) & (size < 1e16), plain)
+            .otherwise(exponent)
+        )
+
+    rare = F.get(F.transform(F.array(col.cast("string")), reshaped), F.lit(0))
     return (
-        F.when(F.isnan(col), F.lit("nan"))
-        .when(size == F.lit(float("inf")), F.when(col > 0, F.lit("inf")).otherwise(F.lit("-inf")))
-        .when((col == F.rint(col)) & (size < 1e38), whole_text(col))
-        .when((size >= 1e-3) & (size < 1e7), shortest)
-        .when((size >= 1e-4) & (size < 1e16), plain)
-        .otherwise(exponent)
+        F.when((F.rint(col) == col) & (F.abs(col) < 1e15), col.try_cast("bigint").cast("string"))
+        .when(F.abs(col).between(1e-3, 9999999.0), col.cast("string"))
+        .when(col.isNotNull(), rare)
     )
 
 

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from specloom.dictionaries import ACCEPTED_STATUSES, MIN_CONFIDENCE, dictionary
 from specloom.functions.numbers import dual_notation, strict_number, unit_key
-from specloom.functions.text import strip
 
 PARSE_FAILED = "numeric_parse_failed"
 NO_RULE = "unit_no_rule"
@@ -24,12 +23,15 @@ NORMALIZED = [
 ]
 
 
+_NO_VALUE = r"(?i)\A[\s\xa0　]*(?:|n/?a|[-–—])[\s\xa0　]*\z"
+_OPTION = r"(?i)\A[\s\xa0　]*opt(?:ion(?:al)?|\.)?[\s\xa0　]*\z"
+
+
 def value_status(text: Column) -> Column:
     """``present`` unless the cell says there is no value, or that it is an option."""
-    mark = F.upper(strip(F.coalesce(text, F.lit(""))))
     return (
-        F.when(mark.isin("", "N/A", "NA", "-", "–", "—"), F.lit("not_available"))
-        .when(mark.isin("OPTION", "OPTIONAL", "OPT", "OPT."), F.lit("optional"))
+        F.when(text.isNull() | text.rlike(_NO_VALUE), F.lit("not_available"))
+        .when(text.rlike(_OPTION), F.lit("optional"))
         .otherwise(F.lit("present"))
     )
 
@@ -61,7 +63,7 @@ def annotate(mapped: DataFrame, conversions: Sequence[tuple[str, str, float]]) -
     plain = F.coalesce("raw_value_numeric", strict_number(text, unit))
     read = (
         mapped.withColumn("_plain", plain)
-        .withColumn("_dual", F.when(F.col("_plain").isNull(), dual_notation(text, unit)))
+        .withColumn("_dual", F.when(F.col("_plain").isNull() & text.contains("("), dual_notation(text, unit)))
         .withColumn("_number", F.coalesce("_plain", "_dual.value"))
         .withColumn("_number_unit", F.coalesce("_dual.unit", "raw_unit"))
         .withColumn("value_status", value_status(text))

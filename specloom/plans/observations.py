@@ -15,6 +15,7 @@ from specloom.functions.text import double_text
 from specloom.operators import mapping, melt, normalize
 from specloom.operators.mapping import Pattern
 from specloom.plans.registry import table
+from specloom.session import spread
 
 SYNONYMS = [
     ("l_quantity", "operating_weight", "exact"),
@@ -53,7 +54,11 @@ def raw_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five observations per line, through the paired-columns layout."""
     flag, status, quantity = F.col("l_returnflag"), F.col("l_linestatus"), F.col("l_quantity")
     amount = double_text(quantity)
-    lines = table(spark, sf_dir, "lineitem").join(
+    measured = table(spark, sf_dir, "lineitem").select(
+        "l_partkey", "l_suppkey", "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount",
+        "l_tax", "l_returnflag", "l_linestatus",
+    )
+    lines = spread(measured).join(
         table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type"),
         F.col("l_partkey") == F.col("p_partkey"),
     )

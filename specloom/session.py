@@ -52,3 +52,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to reliable storage and read it back from there."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Share out a small scan before costly per-row work.
+
+    A table in one small file is read by one task, which then does all the
+    work on it.  Only scans with fewer splits than half the cores are moved;
+    large tables have plenty and stay where they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() * 2 <= cores else df
