@@ -76,30 +76,45 @@ def dual_notation(text: Column, unit: Column) -> Column:
     return F.get(F.transform(cells, read), F.lit(0))
 
 
-def parse_measure(text: Column, unit: str, mode: str = "range_max") -> Column:
-    """The measure a free text states, read leniently; unsigned, NULL if none.
+def measure_text(text: Column) -> Column:
+    """A free text as its measures are read: clean, ASCII digits, no commas."""
+    return F.replace(_ascii_digits(clean_text(text)), F.lit(","), F.lit(""))
 
-    ``first`` and ``second`` take that number, ``range_max`` the last number
-    when the text looks like a range and has several, else the first.  A lone
-    ``m`` makes millimetres of metres.
-    """
-    body = F.replace(_ascii_digits(clean_text(text)), F.lit(","), F.lit(""))
-    found = F.regexp_extract_all(body, F.lit(NUMBER), F.lit(0))
-    first = F.get(found, F.lit(0))
-    second = F.get(found, F.lit(1))
+
+def numbers_in(body: Column) -> Column:
+    """All unsigned numbers in a text, in order, as written."""
+    return F.regexp_extract_all(body, F.lit(NUMBER), F.lit(0))
+
+
+def pick_measure(body: Column, found: Column, mode: str) -> Column:
+    """The number that ``mode`` asks for, of those ``found`` in ``body``."""
     if mode == "first":
-        picked = first
+        picked = F.get(found, F.lit(0))
     elif mode == "second":
-        picked = second
+        picked = F.get(found, F.lit(1))
     elif mode == "range_max":
         ranged = body.contains("-") | body.contains("–") | body.contains("to")
-        picked = F.when(ranged & (F.size(found) > 1), F.element_at(found, -1)).otherwise(first)
+        picked = F.get(found, F.when(ranged, F.size(found) - 1).otherwise(0))
     else:
         raise ValueError(f"unknown extraction mode: {mode}")
-    value = picked.try_cast("double")
-    if unit == "mm":
-        value = F.when(F.lower(body).rlike(LONE_M), value * 1000).otherwise(value)
-    return value
+    return picked.try_cast("double")
+
+
+def in_millimetres(body: Column, value: Column) -> Column:
+    """Millimetres, of metres when the text has a lone ``m``."""
+    return F.when(F.lower(body).rlike(LONE_M), value * 1000).otherwise(value)
+
+
+def parse_measure(text: Column, unit: str, mode: str = "range_max") -> Column:
+    """The measure a free text states, read leniently; unsigned, NULL if none.
+
+    ``first`` and ``second`` take that number, ``range_max`` the last number
+    when the text looks like a range and has several, else the first.  A lone
+    ``m`` makes millimetres of metres.
+    """
+    body = measure_text(text)
+    value = pick_measure(body, numbers_in(body), mode)
+    return in_millimetres(body, value) if unit == "mm" else value
 
 
 def to_us(value: Column, family: str | None) -> Column:
