@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from specloom.dictionaries import US_FAMILIES, WHOLE_NUMBER_UNITS
-from specloom.functions.text import clean_text, whole_text, without_spaces
+from specloom.functions.text import clean_text, double_text, whole_text, without_spaces
 
 NUMBER = r"\d+(?:\.\d+)?"
 GROUPED_NUMBER = r"\d+(?:,\d{3})*(?:\.\d+)?"
@@ -125,11 +125,11 @@ def to_us(value: Column, family: str | None) -> Column:
     return value / F.lit(factor) if how == "divide" else value * F.lit(factor)
 
 
-def _tenths(value: Column) -> Column:
-    """``value * 10`` to the nearest whole number, ties to even, decided exactly.
+def _one_decimal(value: Column) -> Column:
+    """``value`` to one decimal, ties to even, decided exactly.
 
-    The product may round up to a tie that the value itself does not reach;
-    its rounding error, found by splitting the value in two halves that
+    The product with ten may round up to a tie that the value itself does not
+    reach; its rounding error, found by splitting the value in two halves that
     multiply without loss, settles those cases.
     """
     product = value * 10
@@ -138,28 +138,20 @@ def _tenths(value: Column) -> Column:
     error = (high * 10 - product) + (value - high) * 10
     below = F.floor(product).cast("double")
     tie = (product - below) == 0.5
-    return (
-        F.when(tie & (error > 0), below + 1)
-        .when(tie & (error < 0), below)
-        .otherwise(F.rint(product))
-        .try_cast("bigint")
+    tenths = (
+        F.when(tie & (error > 0), below + 1).when(tie & (error < 0), below).otherwise(F.rint(product))
     )
+    # From 2**53 on a double has no fraction to round.
+    return F.when(F.abs(value) < 9007199254740992.0, tenths / 10).otherwise(value)
 
 
 def display_number(value: Column, unit: str) -> Column:
     """Whole number for whole-number units, else one decimal without ``.0``."""
     if unit in WHOLE_NUMBER_UNITS:
         return whole_text(F.rint(value))
-    tenths = _tenths(value)
-    digits = F.abs(tenths)
-    digit = (digits % 10).cast("string")
-    shown = F.concat(
-        F.when(tenths < 0, F.lit("-")).otherwise(F.lit("")),
-        ((digits - digits % 10) / 10).cast("bigint").cast("string"),
-        F.when(digit == "0", F.lit("")).otherwise(F.concat(F.lit("."), digit)),
-    )
-    # From 2**53 on a double has no fraction to show.
-    return F.when(F.abs(value) < 9007199254740992.0, shown).otherwise(whole_text(value))
+    # As lambdas, to keep generated code small: see ``double_text``.
+    rounded = F.transform(F.array(value), _one_decimal)
+    return F.get(F.transform(rounded, double_text), F.lit(0))
 
 
 def display_value(value: Column, family: str | None, system: str, unit: str) -> Column:

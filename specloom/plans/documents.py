@@ -1,0 +1,265 @@
+"""Document queries over pages, documents and conversations."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from specloom.operators import documents
+from specloom.plans.registry import query, table
+
+HREF = 'href="([^"]*)"'
+
+# A page is named after the first part of its path; its links lead to names.
+LINKS_SQL = f"""SELECT CAST(page_id AS VARCHAR) AS page, '/' || split_part(url, '/', 4) AS source,
+    trim(unnest(regexp_extract_all(html, '{HREF}', 1))) AS target FROM pages"""
+PAGES_SQL = "SELECT '/' || split_part(url, '/', 4) AS name, url AS location FROM pages"
+
+
+def page_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "pages").select("page_id", F.col("html").alias("text"), "url")
+
+
+def _name():
+    return F.concat(F.lit("/"), F.split_part(F.col("url"), F.lit("/"), F.lit(4)))
+
+
+def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = page_texts(spark, sf_dir).select(F.col("page_id").alias("page"), "text")
+    return documents.extract_links(docs, HREF, skip_code=False)
+
+
+def page_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "pages").select(_name().alias("name"), F.col("url").alias("location"))
+
+
+@query("links_html", f"SELECT page_id AS page, trim(unnest(regexp_extract_all(html, '{HREF}', 1))) AS target FROM pages")
+def links_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_links(spark, sf_dir)
+
+
+LINK_FINDINGS_SQL = f"""
+    SELECT CASE WHEN n IS NULL THEN 'ERROR' ELSE 'WARN' END AS severity, page,
+           CASE WHEN n IS NULL THEN 'missing page' ELSE 'ambiguous page' END AS rule, target AS detail,
+           coalesce(n, 0) AS n_locations
+    FROM ({LINKS_SQL}) LEFT JOIN (SELECT name, count(*) AS n FROM ({PAGES_SQL}) GROUP BY name) ON name = target
+    WHERE n IS NULL OR n > 1
+"""
+
+
+@query("link_findings", LINK_FINDINGS_SQL)
+def link_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return documents.resolve_links(page_links(spark, sf_dir), page_names(spark, sf_dir))
+
+
+@query("ambiguous_locations", f"""
+    SELECT name AS target, location FROM ({PAGES_SQL}) WHERE name IN (SELECT target FROM ({LINKS_SQL}))
+    AND name IN (SELECT name FROM ({PAGES_SQL}) GROUP BY name HAVING count(*) > 1)
+""")
+def ambiguous_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return documents.ambiguous_locations(page_links(spark, sf_dir), page_names(spark, sf_dir))
+
+
+# Each document with index entries for its source folder, a word, and a web address.
+INDEX_DOCS_SQL = r"""
+    SELECT CAST(doc_id AS VARCHAR) AS page, source, lang, n_chars, text,
+           '- `' || source || '/' || lang || '.md`: text' || chr(10) || '- `plain`: word' || chr(10)
+           || '- `https://example.com/' || source || '`: web' || chr(10) || text || chr(10)
+           || '- `' || lang || '\' || source || '`: folder' AS index_text
+    FROM documents
+"""
+
+
+def index_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    entry = F.concat(
+        F.lit("- `"), "source", F.lit("/"), "lang", F.lit(".md`: text\n- `plain`: word\n- `https://example.com/"),
+        "source", F.lit("`: web\n"), "text", F.lit("\n- `"), "lang", F.lit("\\"), "source", F.lit("`: folder"),
+    )
+    return docs.select(F.col("doc_id").cast("string").alias("page"), entry.alias("text"))
+
+
+MISSING_REFS_SQL = rf"""
+    SELECT 'ERROR' AS severity, page, 'missing path' AS rule, candidate AS detail
+    FROM (SELECT page, regexp_extract(line, '^-\s+`([^`]+)`:', 1) AS candidate
+          FROM (SELECT page, unnest(string_split(index_text, chr(10))) AS line FROM ({INDEX_DOCS_SQL})))
+    WHERE (contains(candidate, '/') OR contains(candidate, '\')) AND NOT starts_with(candidate, 'https://')
+      AND replace(candidate, '\', '/') NOT IN (
+          SELECT source || '/' || lang || '.md' FROM documents WHERE n_chars > 5000)
+"""
+
+
+@query("missing_refs", MISSING_REFS_SQL)
+def missing_refs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    long = table(spark, sf_dir, "documents").filter(F.col("n_chars") > 5000)
+    manifest = long.select(F.concat("source", F.lit("/"), "lang", F.lit(".md")).alias("path"))
+    return documents.missing_refs(index_docs(spark, sf_dir), manifest)
+
+
+# Documents whose frame depends on their language; 'es' ones are templates.
+STRUCTURE_DOCS_SQL = """
+    SELECT CASE WHEN lang = 'es' THEN source || '/_' || doc_id ELSE source || '/' || doc_id END AS page,
+           CASE WHEN lang = 'en' THEN '---' || chr(10) ELSE '' END || text
+           || CASE WHEN lang <> 'de' THEN chr(10) || '## Related Links' ELSE '' END
+           || CASE WHEN n_chars > 500 THEN chr(10) || '## Provenance' || chr(10) || '## Last Updated' ELSE '' END AS text
+    FROM documents
+"""
+
+
+def structured_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lang = F.col("lang")
+    return table(spark, sf_dir, "documents").select(
+        F.concat("source", F.when(lang == "es", "/_").otherwise("/"), "doc_id").alias("page"),
+        F.concat(
+            F.when(lang == "en", "---\n").otherwise(""), "text",
+            F.when(lang != "de", "\n## Related Links").otherwise(""),
+            F.when(F.col("n_chars") > 500, "\n## Provenance\n## Last Updated").otherwise(""),
+        ).alias("text"),
+    )
+
+
+STRUCTURE_SQL = f"""
+    SELECT severity, page, 'structure' AS rule, detail FROM (
+        SELECT page, unnest(['ERROR', 'WARN', 'WARN', 'WARN']) AS severity,
+               unnest(['front matter', 'Related Links', 'Provenance', 'Last Updated']) AS detail,
+               unnest([starts_with(text, '---' || chr(10)), contains(text, '## Related Links'),
+                       contains(text, '## Provenance'), contains(text, '## Last Updated')]) AS fine
+        FROM ({STRUCTURE_DOCS_SQL}) WHERE NOT contains(page, '/_'))
+    WHERE NOT fine
+"""
+
+
+@query("doc_structure", STRUCTURE_SQL)
+def doc_structure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return documents.structure_findings(structured_docs(spark, sf_dir))
+
+
+# Documents as logs: a heading, then their lines as bullets or as headings.
+LOG_DOCS_SQL = r"""
+    SELECT CAST(doc_id AS VARCHAR) AS page, lang,
+           '2024-0' || (n_chars % 9 + 1) || '-1' || (doc_id % 9) AS day,
+           CASE lang WHEN 'en' THEN 'ingest' WHEN 'fr' THEN 'query' WHEN 'de' THEN 'lint' ELSE 'other' END AS kind,
+           CASE lang WHEN 'de' THEN '## ' ELSE '- ' END AS lead, text
+    FROM documents
+"""
+
+
+def log_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lang = F.col("lang")
+    day = F.concat(F.lit("2024-0"), F.col("n_chars") % 9 + 1, F.lit("-1"), F.col("doc_id") % 9)
+    kind = F.when(lang == "en", "ingest").when(lang == "fr", "query").when(lang == "de", "lint").otherwise("other")
+    lead = F.when(lang == "de", "\n## ").otherwise("\n- ")
+    body = F.concat(F.lit("## ["), day, F.lit("] "), kind, F.lit(" | "), F.replace(F.col("text"), F.lit("\n"), lead))
+    return table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("page"), body.alias("text"))
+
+
+HEADINGS_SQL = rf"""
+    SELECT 'WARN' AS severity, page, 'heading' AS rule, line_no || ': ' || line AS detail
+    FROM (SELECT page, unnest(string_split(body, chr(10))) AS line,
+                 unnest(range(1, len(string_split(body, chr(10))) + 1)) AS line_no
+          FROM (SELECT page, '## [' || day || '] ' || kind || ' | ' || replace(text, chr(10), chr(10) || lead) AS body
+                FROM ({LOG_DOCS_SQL})))
+    WHERE starts_with(line, '## ')
+      AND NOT regexp_matches(line, '^## \[\d{{4}}-\d{{2}}-\d{{2}}\] (ingest|query|lint) \| .+')
+"""
+
+
+@query("heading_check", HEADINGS_SQL)
+def heading_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return documents.heading_findings(log_docs(spark, sf_dir))
+
+
+@query("log_timeline", f"""
+    SELECT CAST(day AS DATE) AS day, kind, count(*) AS n, CAST(sum(CASE WHEN lang = 'de' THEN 0
+               ELSE len(text) - len(replace(text, chr(10), '')) END) AS BIGINT) AS n_bullets
+    FROM ({LOG_DOCS_SQL}) WHERE kind <> 'other' AND regexp_matches(text, '^[^\\n]') GROUP BY day, kind
+""")
+def log_timeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return documents.log_timeline(documents.parse_log(log_docs(spark, sf_dir)))
+
+
+@query("lint_summary", f"""
+    SELECT severity, count(*) AS n, severity = 'ERROR' AS failed FROM (
+        SELECT severity FROM ({LINK_FINDINGS_SQL}) UNION ALL SELECT severity FROM ({MISSING_REFS_SQL})
+        UNION ALL SELECT severity FROM ({STRUCTURE_SQL}) UNION ALL SELECT severity FROM ({HEADINGS_SQL}))
+    GROUP BY severity
+""")
+def lint_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    checks = [link_findings, missing_refs, doc_structure, heading_check]
+    return documents.lint_summary(documents.lint_report([check(spark, sf_dir) for check in checks]))
+
+
+@query("missing_members", """
+    SELECT 'customer/' || c_custkey AS path FROM customer
+    WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')
+""")
+def missing_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    required = table(spark, sf_dir, "customer").select(F.concat(F.lit("customer/"), "c_custkey").alias("path"))
+    urgent = table(spark, sf_dir, "orders").filter(F.col("o_orderpriority") == "1-URGENT")
+    return documents.missing_members(required, urgent.select(F.concat(F.lit("customer/"), "o_custkey").alias("path")))
+
+
+@query("merge_conversation", """
+    SELECT conv_id AS doc, 1::BIGINT AS volume_no, count(*) AS n_pages,
+           string_agg('<!-- source: page-' || turn || '_' || role || '.md -->' || chr(10) || '## Page '
+                      || lpad(CAST(turn AS VARCHAR), 3, '0') || chr(10) || chr(10) || trim(text, chr(10) || ' '),
+                      chr(10) || chr(10) || '---' || chr(10) || chr(10) ORDER BY turn) || chr(10) AS text
+    FROM conversations WHERE trim(text, chr(10) || ' ') <> '' GROUP BY conv_id
+""")
+def merge_conversation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "conversations").select(
+        F.col("conv_id").alias("doc"), F.concat(F.lit("page-"), "turn", F.lit("_"), "role", F.lit(".md")).alias("name"), "text"
+    )
+    return documents.merge_pages(pages)
+
+
+def page_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select(F.col("page_id").alias("page"), "html")
+    return documents.extract_sections(pages, section=None)
+
+
+def _plain_sql(markup: str) -> str:
+    """Markup to text: tags out, the entities that occur decoded, blanks collapsed."""
+    text = f"regexp_replace({markup}, '<[^>]*>', ' ', 'g')"
+    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&amp;", "&")):
+        text = f"replace({text}, '{entity}', '{char}')"
+    return f"trim(regexp_replace({text}, '\\s+', ' ', 'g'))"
+
+
+@query("page_titles", f"""
+    SELECT page_id AS page, {_plain_sql("regexp_extract(html, '<h1[^>]*>(.*?)</h1>', 1)")} AS title FROM pages
+""")
+def page_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_sections(spark, sf_dir).select("page", "title")
+
+
+@query("page_bullets", f"""
+    SELECT page, CAST(bullet_no AS INTEGER) AS bullet_no, {_plain_sql('item')} AS bullet
+    FROM (SELECT page_id AS page, unnest(regexp_extract_all(html, '<li[^>]*>(.*?)</li>', 1)) AS item,
+                 unnest(range(1, len(regexp_extract_all(html, '<li[^>]*>(.*?)</li>', 1)) + 1)) AS bullet_no FROM pages)
+""")
+def page_bullets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_sections(spark, sf_dir).select("page", F.posexplode("bullets").alias("_at", "bullet")).select(
+        "page", (F.col("_at") + 1).alias("bullet_no"), "bullet"
+    )
+
+
+@query("page_paragraphs")
+def page_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Paragraphs nest where the markup leaves them open, which no SQL pattern can follow."""
+    return page_sections(spark, sf_dir).select("page", F.posexplode("paragraphs").alias("paragraph_no", "paragraph"))
+
+
+@query("link_orphans", f"SELECT name, location FROM ({PAGES_SQL}) WHERE name NOT IN (SELECT target FROM ({LINKS_SQL}))")
+def link_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return documents.orphan_pages(page_links(spark, sf_dir), page_names(spark, sf_dir))
+
+
+@query("link_one_way", f"""
+    WITH links AS (SELECT DISTINCT source, target FROM ({LINKS_SQL}))
+    SELECT source, target FROM links a
+    WHERE NOT EXISTS (SELECT 1 FROM links b WHERE b.source = a.target AND b.target = a.source)
+""")
+def link_one_way(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = table(spark, sf_dir, "pages").select(F.col("page_id").alias("page"), _name().alias("source"))
+    return documents.one_way_links(page_links(spark, sf_dir).join(names, "page"))
