@@ -57,7 +57,7 @@ def dual_notation(text: Column, unit: Column) -> Column:
     """
     pair = rf"\A\s*({_PLAIN})\s*\(\s*({_PLAIN})\s*\)\s*\z"
     units = r"\A\s*([^()]+?)\s*\(\s*([^()]+?)\s*\)\s*\z"
-    inline = rf"\A\s*({_PLAIN})\s*([^\d\s()][^()\r\n]*?)\s*\(\s*{_PLAIN}\s*[^()\r\n]+\)\s*\z"
+    inline = rf"\A\s*((?>{_PLAIN}))\s*([^\d\s().,][^()\r\n]*?)\s*\(\s*{_PLAIN}\s*[^()\r\n]+\)\s*\z"
 
     def read(cell: Column) -> Column:
         text, unit = cell["text"], cell["unit"]

@@ -12,13 +12,14 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from specloom.functions.text import clean_identifier, is_blank, strip
 
 SHEET = ("raw_path", "sheet_name")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _fold_width(names: pd.Series) -> pd.Series:
     return names.map(lambda name: unicodedata.normalize("NFKC", name), na_action="ignore")
 
