@@ -12,6 +12,7 @@ from specloom.dictionaries import METRICS, NO_BRAND_RANK, NO_SERIES_NUMBER, dict
 from specloom.functions.numbers import in_millimetres, measure_text, numbers_in, pick_measure
 from specloom.functions.text import clean_text, rank_of, series_number
 from specloom.operators.ordering import first_per_group, with_position
+from specloom.session import cut_lineage
 
 # A value this close to a bin edge, relative to its bin number, is binned by itself.
 EDGE_TOLERANCE = 1e-9
@@ -173,14 +174,15 @@ def histogram(metrics: DataFrame, steps: Sequence[tuple[str, float]]) -> DataFra
     """Rows per metric, bin and brand; NULL and zero take no part.
 
     One scan: values are counted by the multiple of the step they lie above,
-    and only these counts are needed to find the range and the final bins.
+    and these counts, kept as a small table, are all that is needed to find
+    the range and the final bins.
     Values at a multiple, where rounding could matter, are kept as they are
     and binned from the value itself.
     """
     rules = dictionary(metrics.sparkSession, steps, "metric string, step double")
     ratio = F.col("value") / F.col("step")
     near = F.abs(ratio - F.rint(ratio)) <= EDGE_TOLERANCE * F.greatest(F.lit(1.0), F.abs(ratio))
-    counted = (
+    counted = cut_lineage(
         metrics.filter(F.col("value").isNotNull() & (F.col("value") != 0))
         .join(rules, "metric")
         .withColumn("_multiple", F.floor(ratio))
@@ -188,11 +190,11 @@ def histogram(metrics: DataFrame, steps: Sequence[tuple[str, float]]) -> DataFra
         .groupBy("metric", "step", "brand", "_multiple", "_edge")
         .agg(F.count("*").alias("_n"), F.min("value").alias("_low"), F.max("value").alias("_high"))
     )
-    whole = Window.partitionBy("metric")
+    # One row per metric of ``steps``.
+    ranges = counted.groupBy("metric").agg(F.min("_low").alias("_least"), F.max("_high").alias("_most"))
     start, n_bins = _bounds(F.col("_least"), F.col("_most"), F.col("step"))
     return (
-        counted.withColumn("_least", F.min("_low").over(whole))
-        .withColumn("_most", F.max("_high").over(whole))
+        counted.join(F.broadcast(ranges), "metric")
         .withColumn("_start", start)
         .withColumn("n_bins", n_bins)
         .withColumn("bin_no", _bin(F.coalesce("_edge", "_low"), F.col("_start"), F.col("step"), F.col("n_bins")))

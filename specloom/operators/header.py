@@ -37,6 +37,9 @@ def build_header(grid: DataFrame, header_rows: int = 1) -> DataFrame:
         return head.filter(F.col("value").isNotNull()).select(
             *SHEET, "col_no", strip(F.col("value")).alias("header")
         )
+    # A header is as long as its sheet is wide, so a sheet's header may meet in
+    # one place; the window, the grouping and the numbering of names share it.
+    head = head.repartition(*SHEET)
     to_left = Window.partitionBy(*SHEET, "row_no").orderBy("col_no")
     carried = F.last("value", ignorenulls=True).over(to_left)
     filled = head.withColumn(

@@ -16,53 +16,80 @@ from pyspark.sql import functions as F
 from specloom.session import cut_lineage
 
 
-def _rows(df: DataFrame, group: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """Range slices written once, so that both passes see the same slices."""
-    ranged = df.repartitionByRange(*[F.col(g).asc() for g in group], *order)
-    return cut_lineage(ranged.withColumn("_slice", F.spark_partition_id()))
+# Slices of groups, one small row each, up to which they are broadcast.
+MAX_BROADCAST_SLICES = 1_000_000
 
 
-def with_running_total(
-    df: DataFrame,
-    group: Sequence[str],
-    order: Sequence[Column],
-    weight: Column,
-    name: str,
-) -> DataFrame:
-    """Add the total of ``weight`` up to and including each row of its group.
+def _sliced(df: DataFrame, group: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """Sorted range slices, written once so that all passes see the same ones.
 
-    ``order`` must be total within the group.  ``group`` may be empty: the
-    total then runs over the whole table.
+    ``_at`` rises by one from row to row inside a slice.
+    """
+    key = [*[F.col(g).asc() for g in group], *order]
+    ranged = df.repartitionByRange(*key).sortWithinPartitions(*key)
+    return cut_lineage(
+        ranged.withColumn("_slice", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id())
+    )
+
+
+def _with_offsets(sliced: DataFrame, group: Sequence[str], total: Column) -> DataFrame:
+    """Add ``_offset``, the ``total`` of the group's earlier slices, and ``_first``, where its rows start.
+
+    There is one row per slice of a group, even of the largest; they are
+    counted, and broadcast only when they are few.
     """
-    weighted = _rows(df.withColumn("_weight", weight), group, order)
-    totals = weighted.groupBy(*group, "_slice").agg(F.sum("_weight").alias("_total"))
-    # One row per slice of a group: small even for the largest group.
+    parts = sliced.groupBy(*group, "_slice").agg(total.alias("_total"), F.min("_at").alias("_first"))
     before = Window.partitionBy(*group or [F.lit(0)]).orderBy("_slice").rowsBetween(
         Window.unboundedPreceding, -1
     )
-    offsets = totals.select(
+    offsets = parts.select(
         *[F.col(g).alias(f"_o_{g}") for g in group],
         F.col("_slice").alias("_o_slice"),
+        "_first",
         F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_offset"),
     )
     same = F.col("_slice") == F.col("_o_slice")
     for g in group:
         same = same & F.col(g).eqNullSafe(F.col(f"_o_{g}"))
-    inside = Window.partitionBy(*group, "_slice").orderBy(*order).rowsBetween(
+    if parts.count() <= MAX_BROADCAST_SLICES:
+        offsets = F.broadcast(offsets)
+    return sliced.join(offsets, same, "left").drop("_o_slice", *[f"_o_{g}" for g in group])
+
+
+def with_running_total(
+    df: DataFrame,
+    group: Sequence[str],
+    order: Sequence[Column],
+    weight: Column,
+    name: str,
+) -> DataFrame:
+    """Add the total of ``weight`` up to and including each row of its group.
+
+    ``order`` must be total within the group.  ``group`` may be empty: the
+    total then runs over the whole table.
+    """
+    sliced = _sliced(df.withColumn("_weight", weight), group, order)
+    placed = _with_offsets(sliced, group, F.sum("_weight"))
+    inside = Window.partitionBy(*group, "_slice").orderBy("_at").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
-    return (
-        weighted.join(offsets, same, "left")
-        .withColumn(name, F.sum("_weight").over(inside) + F.col("_offset"))
-        .drop("_weight", "_slice", "_o_slice", "_offset", *[f"_o_{g}" for g in group])
+    return placed.withColumn(name, F.sum("_weight").over(inside) + F.col("_offset")).drop(
+        "_weight", "_slice", "_at", "_first", "_offset"
     )
 
 
 def with_position(
     df: DataFrame, group: Sequence[str], order: Sequence[Column], name: str
 ) -> DataFrame:
-    """Add the exact 1-based position of each row in its group, as a long."""
-    return with_running_total(df, group, order, F.lit(1).cast("bigint"), name)
+    """Add the exact 1-based position of each row in its group, as a long.
+
+    Inside a slice the rows are already in order, so one range shuffle is all
+    the rows go through.
+    """
+    placed = _with_offsets(_sliced(df, group, order), group, F.count("*"))
+    return placed.withColumn(name, F.col("_offset") + F.col("_at") - F.col("_first") + 1).drop(
+        "_slice", "_at", "_first", "_offset"
+    )
 
 
 def first_per_group(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from specloom.operators import catalogue
 from specloom.plans.registry import TABLES, query, table
+from specloom.sources.tables import register_views
 
 
 @query("table_counts", " UNION ALL ".join(
@@ -166,6 +167,5 @@ VIEW_SQL = """
 @query("view_sql", VIEW_SQL.replace("sum(n_orders) AS n_orders", "CAST(sum(n_orders) AS BIGINT) AS n_orders"))
 def view_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A free SELECT over the tables registered as views."""
-    for name in ("customer", "nation", "orders"):
-        table(spark, sf_dir, name).createOrReplaceTempView(name)
+    register_views({name: table(spark, sf_dir, name) for name in ("customer", "nation", "orders")})
     return spark.sql(VIEW_SQL)

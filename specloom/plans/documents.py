@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from specloom.operators import documents
 from specloom.plans.registry import query, table
+from specloom.session import spread
 
 HREF = 'href="([^"]*)"'
 
@@ -215,7 +216,7 @@ def merge_conversation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def page_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select(F.col("page_id").alias("page"), "html")
-    return documents.extract_sections(pages, section=None)
+    return documents.extract_sections(spread(pages), section=None)
 
 
 def _plain_sql(markup: str) -> str:

@@ -256,7 +256,11 @@ def comparison_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("double").alias("normalized_value_numeric"),
         F.concat("l_returnflag", F.lit("/"), "l_linestatus").alias("normalized_value_text"),
     ))
-    return table(spark, sf_dir, "lineitem").select(
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_partkey", "l_suppkey", "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount",
+        "l_tax", "l_returnflag", "l_linestatus",
+    )
+    return spread(lines).select(
         F.col("l_partkey").alias("product_id"),
         F.col("l_suppkey").alias("source_id"),
         (F.col("l_orderkey") * 10 + line).alias("source_row_id"),

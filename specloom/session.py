@@ -1,8 +1,9 @@
-"""Session settings and the one place where lineage is cut."""
+"""Session settings and the one place where intermediate tables are kept."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,9 +50,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to reliable storage and read it back from there."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` as a table in the shared checkpoint folder and read it from there.
+
+    What is read back no longer depends on how or where it was computed, and
+    later passes read only the columns they need.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def spread(df: DataFrame) -> DataFrame:

@@ -244,3 +244,58 @@ def test_html_sections(spark):
 def test_report_passes_without_errors(spark):
     warn = spark.createDataFrame([("WARN", "p", "r", "d")], "severity string, page string, rule string, detail string")
     assert rows(documents.lint_summary(documents.lint_report([warn, warn]))) == [("WARN", 2, False)]
+
+
+def test_sort_by_locale_with_null_last(spark):
+    df = spark.createDataFrame([("b",), ("A",), ("a",), (None,), ("い",), ("あ",)], "s string")
+    up = [r.s for r in df.orderBy(catalogue.null_last("s", locale="ja")).collect()]
+    down = [r.s for r in df.orderBy(catalogue.null_last("s", descending=True, locale="ja")).collect()]
+    assert up[:3] == ["a", "A", "b"] and up[-1] is None and down[-1] is None
+    assert down[:-1] == up[:-1][::-1]
+
+
+def test_search_ignores_case_and_null(spark):
+    df = spark.createDataFrame([("Alpha", None, 1), (None, "beta", 2), ("x", "y", 33)], "a string, b string, i int")
+    assert rows(catalogue.search(df, "ALP"), "i") == [(1,)]
+    assert rows(catalogue.search(df, "3"), "i") == [(33,)]
+
+
+def test_uncovered_sources(spark):
+    imports = spark.createDataFrame([("a",), ("b",), ("c",)], "table_name string")
+    obs = spark.createDataFrame([("a",), ("a",)], "source_table string")
+    issues = spark.createDataFrame([("scope_excluded", "b"), ("unmapped_item", "c")], "issue_type string, source_table string")
+    assert rows(quality.uncovered_sources(imports, obs, issues)) == [("b", quality.RECORDED), ("c", quality.UNDECIDED)]
+
+
+def test_conflicts_count_distinct_statements(spark):
+    df = spark.createDataFrame(
+        [("p", "i", 1.0, None, "b"), ("p", "i", 1.0, None, "a"), ("p", "i", None, "see table", "a"),
+         ("p", "j", 2.0, None, "a"), ("p", "j", 2.0, None, "c"), ("p", "k", None, None, "a")],
+        "product_id string, canonical_item string, normalized_value_numeric double, normalized_value_text string,"
+        " source_table string")
+    assert rows(quality.conflicts(df)) == [("p", "i", 3, 2, 1.0, 1.0, "a | b")]
+    flags = quality.flag_conflicts(df)
+    assert {(r.canonical_item, r.conflict_status) for r in flags.collect()} == {
+        ("i", quality.CONFLICT), ("j", None), ("k", quality.UNDECIDED_VALUE)}
+    assert flags.count() == df.count()
+
+
+def test_generated_code_is_small_enough_to_be_compiled(spark):
+    """The JVM leaves methods above 8000 bytes uncompiled, which slows a stage many times over."""
+    import contextlib
+    import io
+    import re
+
+    from __spark_entry__ import queries
+
+    sf_dir = "/root/testdata/sf0.001"
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for name in ("normalize_all", "issue_rows", "metric_values", "display_value", "comparison_full", "conflicts"):
+            out = io.StringIO()
+            with contextlib.redirect_stdout(out):
+                queries()[name](spark, sf_dir).explain("codegen")
+            sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", out.getvalue())]
+            assert sizes and max(sizes) < 8000, (name, sizes)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from specloom.operators import header
-from specloom.sources import sheets
+from specloom.sources import sheets, tables
 
 
 @pytest.fixture
@@ -100,3 +100,17 @@ def test_report_csv_with_byte_order_mark(spark, tmp_path):
     df = sheets.read_report_csv(spark, str(tmp_path / "r.csv"))
     assert df.columns == ["item", "note"]
     assert rows(df, "item", "note") == [("x", "two\nlines")]
+
+
+def test_raw_table_formats(spark, tmp_path):
+    df = spark.createDataFrame([(1, "x"), (2, "y")], "a long, b string")
+    df.write.parquet(str(tmp_path / "t.parquet"))
+    df.write.json(str(tmp_path / "t.json"))
+    df.write.csv(str(tmp_path / "t.csv"), header=True)
+    for kind in ("parquet", "json"):
+        assert rows(tables.read_table(spark, str(tmp_path / f"t.{kind}")), "a", "b") == [(1, "x"), (2, "y")]
+    assert rows(tables.read_table(spark, str(tmp_path / "t.csv")), "a", "b") == [("1", "x"), ("2", "y")]
+    with pytest.raises(ValueError):
+        tables.read_table(spark, "t.xlsx")
+    tables.register_views({"raw_t": df})
+    assert rows(spark.sql("WITH t AS (SELECT * FROM raw_t) SELECT max(a) AS m FROM t"), "m") == [(2,)]
