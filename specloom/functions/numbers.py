@@ -43,9 +43,9 @@ def strict_number(text: Column, unit: Column | None = None) -> Column:
     """
     expected = F.lit("") if unit is None else F.coalesce(unit, F.lit(""))
     joined = F.concat(text, F.lit("\x00"), expected)
-    return F.when(text.rlike(_BARE), text.try_cast("double")).otherwise(
-        _as_number(F.regexp_extract(joined, _WITH_UNIT, 1))
-    )
+    # No match is NULL here; an empty text would make the cast throw and catch.
+    matched = F.get(F.regexp_extract_all(joined, F.lit(_WITH_UNIT), F.lit(1)), F.lit(0))
+    return F.when(text.rlike(_BARE), text.try_cast("double")).otherwise(_as_number(matched))
 
 
 def dual_notation(text: Column, unit: Column) -> Column:

@@ -141,7 +141,7 @@ def to_text(col: Column, kind: str) -> Column:
 
 def series_number(col: Column, default: int) -> Column:
     """First whole number in a name, for natural ordering."""
-    digits = F.regexp_extract(F.coalesce(col, F.lit("")), r"(\d+)", 1)
+    digits = F.get(F.regexp_extract_all(col, F.lit(r"\d+"), F.lit(0)), F.lit(0))
     return F.coalesce(digits.try_cast("bigint"), F.lit(default).cast("bigint"))
 
 

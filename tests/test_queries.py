@@ -34,3 +34,11 @@ def test_entry_is_the_core_comparison(spark):
 
 def test_every_sql_has_a_query():
     assert set(oracle_sql()) <= set(queries())
+
+
+@pytest.mark.parametrize("name", sorted(queries()))
+def test_plan_has_no_product_and_no_python_rows(spark, name):
+    """No cross or nested-loop join, and no row-at-a-time Python, in any plan."""
+    plan = queries()[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython"):
+        assert operator not in plan
