@@ -148,7 +148,12 @@ def melt_dual_unit(
 
 
 def union_observations(parts: Sequence[DataFrame]) -> DataFrame:
-    """All layouts together, each observation with an id made of its provenance."""
+    """All layouts together, each observation with an id made of its provenance.
+
+    The id is a hash: stable between runs and without an order to agree on, but
+    not proof against collision among very many rows.  Join on the provenance
+    columns themselves.
+    """
     union = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
     key = ["source_table", "source_row_id", "source_column", "raw_item_name", "unit_system"]
     return union.withColumn("raw_spec_id", F.xxhash64(*key))

@@ -42,17 +42,19 @@ def conflicts(normalized: DataFrame) -> DataFrame:
     Equal statements of a source are counted first, so a product with very
     many records is spread over its distinct statements.
     """
-    statements = normalized.groupBy(
-        *KEY, "normalized_value_numeric", "normalized_value_text", "source_table"
-    ).agg(F.count("*").alias("_n"))
+    number = F.col("normalized_value_numeric")
+    statements = (
+        normalized.withColumn("_value", stated_value())
+        .groupBy(*KEY, "_value", "source_table")
+        .agg(F.count("*").alias("_n"), F.min(number).alias("_low"), F.max(number).alias("_high"))
+    )
     return (
-        statements.withColumn("_value", stated_value())
-        .groupBy(*KEY)
+        statements.groupBy(*KEY)
         .agg(
             F.sum("_n").alias("n_rows"),
             F.count_distinct("_value").alias("n_distinct_values"),
-            F.min("normalized_value_numeric").alias("min_value"),
-            F.max("normalized_value_numeric").alias("max_value"),
+            F.min("_low").alias("min_value"),
+            F.max("_high").alias("max_value"),
             _listed("source_table").alias("sources"),
         )
         .filter(F.col("n_distinct_values") > 1)

@@ -222,8 +222,9 @@ def page_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _plain_sql(markup: str) -> str:
     """Markup to text: tags out, the entities that occur decoded, blanks collapsed."""
     text = f"regexp_replace({markup}, '<[^>]*>', ' ', 'g')"
-    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&amp;", "&")):
+    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''")):
         text = f"replace({text}, '{entity}', '{char}')"
+    text = f"regexp_replace({text}, '&amp;?', '&', 'g')"  # the closing mark may be missing
     return f"trim(regexp_replace({text}, '\\s+', ' ', 'g'))"
 
 

@@ -8,23 +8,38 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-def get_session(app: str = "specloom", master: str | None = None, **conf: str) -> SparkSession:
+SHUFFLE_PARTITION_BYTES = 256 * 1024 * 1024
+MAX_SHUFFLE_PARTITIONS = 50_000
+
+
+def shuffle_partitions(shuffled_bytes: int, cores: int = 1) -> int:
+    """Partitions that keep a shuffle of this size within the memory of a task."""
+    return max(cores, min(MAX_SHUFFLE_PARTITIONS, -(-shuffled_bytes // SHUFFLE_PARTITION_BYTES)))
+
+
+def get_session(
+    app: str = "specloom", master: str | None = None, shuffled_bytes: int | None = None, **conf: str
+) -> SparkSession:
     """A session with the settings the operators are written for.
 
-    Adaptive execution sizes the shuffle partitions, turns a join into a
+    Adaptive execution merges small shuffle partitions, turns a join into a
     broadcast only after it has measured the side, and splits skewed join
-    partitions, so no partition count is fixed here.
+    partitions.  It cannot add partitions, so for large inputs name the bytes
+    that the largest shuffle moves.
     """
     builder = (
         SparkSession.builder.appName(app)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(SHUFFLE_PARTITION_BYTES))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
     if master:
         builder = builder.master(master)
+    if shuffled_bytes is not None:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions(shuffled_bytes)))
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
     return builder.getOrCreate()

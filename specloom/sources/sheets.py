@@ -93,15 +93,15 @@ def read_line_grid(
         F.regexp_replace("line", "^﻿", "").alias("line"),
     )
 
+    def fields(line: str) -> list[str]:
+        # Each line by itself: a stray quote must not take in the next one.
+        return next(csv.reader([line], delimiter=delimiter), [])
+
     def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            parsed = csv.reader(batch["line"], delimiter=delimiter)
-            yield from chain.from_iterable(
-                _cells(path, sheet, iter([(row_no, fields)]))
-                for path, sheet, row_no, fields in zip(
-                    batch["raw_path"], batch["sheet_name"], batch["row_no"], parsed
-                )
-            )
+            for (path, sheet), part in batch.groupby(["raw_path", "sheet_name"], sort=False):
+                numbered = ((no, fields(line)) for no, line in zip(part["row_no"], part["line"]))
+                yield from _cells(path, sheet, numbered)
 
     return lines.mapInPandas(split, GRID)
 
@@ -152,13 +152,17 @@ def write_sheets_csv(
     """One folder of CSV parts per sheet; NULL is an empty field.
 
     Refuses an existing target unless ``overwrite``; naming a sheet that does
-    not exist is an error.
+    not exist is an error, and so are two sheets whose folders would be one.
     """
     chosen = df
     if only is not None:
         chosen = df.filter(F.col(sheet) == only)
         if chosen.isEmpty():
             raise ValueError(f"no such sheet: {only}")
+    names = chosen.select(F.col(sheet).alias("sheet")).distinct()
+    clash = names.groupBy(sheet_file_name(F.col("sheet")).alias("folder")).count().filter("count > 1").first()
+    if clash is not None:
+        raise ValueError(f"several sheets would be written to {clash.folder}")
     (
         chosen.withColumn(sheet, sheet_file_name(F.col(sheet)))
         .write.partitionBy(sheet)

@@ -56,7 +56,7 @@ def test_type_inference_of_mixed_columns(spark):
 def test_lines_are_numbered_across_splits(spark, tmp_path):
     text = ["" if i % 7 == 0 else f"{i},{'x' * (i % 50)}" for i in range(1, 20001)]
     (tmp_path / "long.csv").write_text("\n".join(text) + "\n")
-    (tmp_path / "short.csv").write_text("1,a\n\n3,b\n")
+    (tmp_path / "short.csv").write_text('1,a\n\n3,"b\n4,c\n')
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "50000")
     try:
@@ -65,7 +65,7 @@ def test_lines_are_numbered_across_splits(spark, tmp_path):
         assert rows(long, "line_no", "line") == sorted(enumerate(text, start=1))
         grid = sheets.read_line_grid(spark, str(tmp_path), root=str(tmp_path))
         assert rows(grid.filter("sheet_name = 'short'"), "row_no", "col_no", "value") == [
-            (1, 1, "1"), (1, 2, "a"), (3, 1, "3"), (3, 2, "b"),
+            (1, 1, "1"), (1, 2, "a"), (3, 1, "3"), (3, 2, "b"), (4, 1, "4"), (4, 2, "c"),
         ]
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
@@ -81,6 +81,9 @@ def test_sheets_csv_round_trip(spark, tmp_path):
         sheets.write_sheets_csv(df, target, "sheet")
     sheets.write_sheets_csv(df, target, "sheet", only="c", overwrite=True)
     assert rows(spark.read.csv(target, header=True), "sheet") == [("c",)]
+    twins = spark.createDataFrame([("a b", "1"), ("a/b", "2")], "sheet string, v string")
+    with pytest.raises(ValueError, match="several sheets"):
+        sheets.write_sheets_csv(twins, target, "sheet", overwrite=True)
     with pytest.raises(ValueError, match="no such sheet"):
         sheets.write_sheets_csv(df, target, "sheet", only="zzz", overwrite=True)
 
