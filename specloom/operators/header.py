@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from specloom.functions.text import clean_identifier, is_blank, strip
+from specloom.session import cut_lineage
 
 SHEET = ("raw_path", "sheet_name")
 
@@ -62,8 +63,10 @@ def clean_names(headers: DataFrame, name: str = "header") -> DataFrame:
     """Add ``column_name``: the header as an identifier.
 
     Compatibility folding has no built-in function; it runs on the distinct
-    names with a non-ASCII character only.
+    names with a non-ASCII character only.  The headers, a small part of the
+    grid, are kept as a table, so that this does not read the grid twice.
     """
+    headers = cut_lineage(headers)
     foreign = headers.filter(F.col(name).rlike(r"[^\x00-\x7F]")).select(name).distinct()
     folded = foreign.withColumn("_folded", _fold_width(F.col(name)))
     return headers.join(folded, name, "left").withColumn(

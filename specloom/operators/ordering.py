@@ -23,9 +23,12 @@ MAX_BROADCAST_SLICES = 1_000_000
 def _sliced(df: DataFrame, group: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """Sorted range slices, written once so that all passes see the same ones.
 
-    ``_at`` rises by one from row to row inside a slice.
+    ``_at`` rises by one from row to row inside a slice.  Rows that are equal in
+    ``order`` are told apart by a hash of the row, so very many of them still
+    spread over slices, and come in the same order each time.
     """
-    key = [*[F.col(g).asc() for g in group], *order]
+    content = [name for name, kind in df.dtypes if "map<" not in kind]
+    key = [*[F.col(g).asc() for g in group], *order, F.xxhash64(*content).asc()]
     ranged = df.repartitionByRange(*key).sortWithinPartitions(*key)
     return cut_lineage(
         ranged.withColumn("_slice", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id())

@@ -31,6 +31,21 @@ def test_positions_with_one_group_of_a_third(spark):
     assert rows(got, "g", "v", "i", "at") == sorted(expected)
 
 
+def test_many_equal_order_keys_spread_over_slices(spark):
+    df = spark.range(20000).select((F.col("id") % 2).alias("v"), "id").repartition(8)
+    merging = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(merging, "false")  # this little data would be merged into one slice
+    try:
+        sliced = ordering._sliced(df, [], [F.col("v").asc()])
+    finally:
+        spark.conf.set(merging, "true")
+    assert sliced.filter("v = 0").select("_slice").distinct().count() > 1
+    first = ordering.with_position(df, [], [F.col("v").asc()], "at")
+    again = ordering.with_position(df.repartition(5), [], [F.col("v").asc()], "at")
+    assert rows(first) == rows(again)
+    assert [r[0] for r in first.orderBy("at").select("at").collect()] == list(range(1, 20001))
+
+
 def test_running_total_with_null_group(spark):
     df = spark.createDataFrame([(None, 1, 5), (None, 2, 7), ("a", 1, 1)], "g string, i int, w int")
     got = ordering.with_running_total(df, ["g"], [F.col("i").asc()], F.col("w").cast("bigint"), "t")
