@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,7 +44,30 @@ def get_session(
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions(shuffled_bytes)))
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship_package(spark)
+    return spark
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the workers, once per application.
+
+    Python steps are sent by name, so every worker must be able to import the
+    code, wherever its working directory is.
+    """
+    context = spark.sparkContext
+    root = os.path.dirname(os.path.abspath(__file__))
+    name = f"{os.path.basename(root)}.zip"
+    if any(str(path).endswith(name) for path in getattr(context, "_python_includes", [])):
+        return
+    target = os.path.join(tempfile.mkdtemp(prefix="spark-"), name)
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as archive:
+        for folder, _, files in os.walk(root):
+            for file in sorted(files):
+                if file.endswith(".py"):
+                    path = os.path.join(folder, file)
+                    archive.write(path, os.path.relpath(path, os.path.dirname(root)))
+    context.addPyFile(target)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
