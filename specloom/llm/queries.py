@@ -9,7 +9,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from specloom.llm import decontaminate, language_id, licenses, quality_rules, simhash, token_files
+from specloom.llm import (
+    decontaminate, language_id, licenses, main_text, mixing, quality_rules, simhash, token_files, toxicity, url_filter,
+)
 from specloom.session import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,11 +50,26 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_digests(index)
 
 
+@_query("op2_toxicity")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    remainder = language_id.fold_of(F.col("doc_id"), 5)
+    model = toxicity.train(docs.filter(remainder != 0), labels.filter(remainder != 0))
+    return toxicity.score(docs, model).select(
+        "doc_id", F.coalesce(remainder == 0, F.lit(False)).alias("held_out"), "score", "predicted"
+    )
+
+
 @_query("op3_simhash")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_copies(_table(spark, sf_dir, "documents"))
 
 
+@_query("op4_mixing")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.schedule(_table(spark, sf_dir, "documents"))
+
+
 @_query("op5_quality_rules", quality_rules.oracle())
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(_table(spark, sf_dir, "documents"))
@@ -66,6 +83,11 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("items")
 
 
+@_query("op7_url_filter")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.filter_urls(_table(spark, sf_dir, "pages"))
+
+
 @_query("op8_language_id")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
@@ -80,3 +102,8 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op9_licenses", licenses.oracle())
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(_table(spark, sf_dir, "documents"))
+
+
+@_query("op10_main_text")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.main_text(_table(spark, sf_dir, "pages"))
