@@ -15,7 +15,8 @@ documents are read once per block, so no size of benchmark is out of reach.
 Defined results: words are runs of letters, digits and characters beyond ASCII,
 A-Z in lower case; a null or wordless document has 0 words and is clean; an item
 that is null or has no words has no windows; items that share a window are all
-reported; an item given twice is reported once; an empty benchmark leaves all
+reported; an item given twice is reported once, one without an id makes hits but
+is not named; an empty benchmark leaves all
 documents clean; repeated documents each get their row; other columns are
 not looked at.
 """
@@ -92,7 +93,7 @@ def item_windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
         ("item_id", pa.string()), ("n", pa.int32()), ("words", pa.string()), ("tokens", pa.list_(pa.int64())),
     ])
     rows = items.filter(F.col("text").isNotNull()).select(F.col("item_id").cast("string").alias("item_id"), "text")
-    return rows.mapInArrow(cut, "item_id string, n int, words string, tokens array<long>")
+    return ragged.map_in_arrow(rows, cut, "item_id string, n int, words string, tokens array<long>")
 
 
 def _sizes(window: int) -> range:
@@ -116,7 +117,8 @@ def token_counts(docs: DataFrame, tokens: np.ndarray, sizes: list[int]) -> DataF
         found = np.flatnonzero(sums)
         yield pa.RecordBatch.from_arrays([_signed(wanted.value[found]), pa.array(sums[found])], ["token", "n"])
 
-    return docs.select("text").mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
+    counted = ragged.map_in_arrow(docs.select("text"), count, "token long, n long")
+    return counted.groupBy("token").agg(F.sum("n").alias("n"))
 
 
 class _Lookup:
@@ -256,22 +258,25 @@ def find_contamination(
         return run
 
     if len(indexes) <= 1:
-        found = texts.mapInArrow(
-            search("doc_id", indexes[0] if indexes else None, True), f"doc_id {kind}, {found_type}"
+        found = ragged.map_in_arrow(
+            texts, search("doc_id", indexes[0] if indexes else None, True), f"doc_id {kind}, {found_type}"
         )
     else:
         # what is found depends on the text alone, so blocks meet again by its digest
         keyed = texts.withColumn("_key", F.sha2(F.col("text"), 256))
         part = None
         for shared in indexes:
-            hits = keyed.select("_key", "text").mapInArrow(search("_key", shared, False), f"_key string, {found_type}")
+            hits = ragged.map_in_arrow(
+                keyed.select("_key", "text"), search("_key", shared, False), f"_key string, {found_type}"
+            )
             part = hits if part is None else part.unionByName(hits)
         once = part.groupBy("_key").agg(
             F.array_distinct(F.flatten(F.collect_set("spans"))).alias("spans"),
             F.array_distinct(F.flatten(F.collect_set("items"))).alias("items"),
         )
-        counted = keyed.select(F.struct("doc_id", "_key").alias("both"), "text").mapInArrow(
-            search("both", None, True), f"both struct<doc_id:{kind},_key:string>, {found_type}"
+        counted = ragged.map_in_arrow(
+            keyed.select(F.struct("doc_id", "_key").alias("both"), "text"), search("both", None, True),
+            f"both struct<doc_id:{kind},_key:string>, {found_type}",
         )
         found = counted.select("both.*", "n_words").join(once, "_key", "left")
     return _summary(found)

@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from specloom.llm import ragged
+
 # Fixed values of HTML: elements without content, those whose text is never shown, and those that make blocks.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 UNSEEN = frozenset(
@@ -162,6 +164,8 @@ class _Page(HTMLParser):
 def parse(html: str) -> _Page:
     page = _Page()
     page.feed(html)
+    if re.match("<[a-zA-Z/!?]", page.rawdata):  # a tag that the end of the page cuts off
+        page.rawdata = ""
     page.close()
     page.flush()
     return page
@@ -217,7 +221,7 @@ def host_paths(pages: DataFrame) -> DataFrame:
     """host and its winning path."""
     rows = pages.select(host_of(F.col("url")).alias("host"), "html").filter(F.col("html").isNotNull())
     # rounded, so that the order of summing decides nothing
-    summed = rows.mapInArrow(_vote, "host string, path string, score double").groupBy("host", "path").agg(
+    summed = ragged.map_in_arrow(rows, _vote, "host string, path string, score double").groupBy("host", "path").agg(
         F.round(F.sum("score"), 3).alias("score")
     )
     order = Window.partitionBy("host").orderBy(F.desc("score"), "path")
@@ -244,4 +248,4 @@ def main_text(pages: DataFrame) -> DataFrame:
 
     named = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"))
     placed = named.join(host_paths(pages), "host", "left").select("page_id", "url", "html", "path")
-    return placed.mapInArrow(run, f"page_id {id_type}, url string, text string, n_chars long")
+    return ragged.map_in_arrow(placed, run, f"page_id {id_type}, url string, text string, n_chars long")
