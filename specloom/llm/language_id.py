@@ -38,7 +38,7 @@ def fold_of(doc_id: Column, folds: int) -> Column:
 
 
 def _features(data: np.ndarray, offsets: np.ndarray) -> Iterator[np.ndarray]:
-    """For each n-gram length, the bucket at each byte; n-grams stop at the text's end.
+    """For each n-gram length, the bucket at each byte; beyond the text's end stand zeros.
 
     Letters in lower case; all that is not a letter or part of one becomes one space.
     """
@@ -59,15 +59,15 @@ def _features(data: np.ndarray, offsets: np.ndarray) -> Iterator[np.ndarray]:
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts: dict[str, np.ndarray] = {}
     for batch in batches:
-        langs = batch.column("lang").to_pylist()
+        langs = batch.column("lang").dictionary_encode()
+        names, codes = langs.dictionary.to_pylist(), langs.indices.to_numpy()
         for row, data, offsets in ragged.text_slices(batch.column("text")):
-            labels = np.array(langs[row : row + len(offsets) - 1], object)
-            at = np.repeat(labels, np.diff(offsets)) if len(set(labels)) > 1 else None
+            shift = np.repeat(codes[row : row + len(offsets) - 1].astype(np.int64) * BUCKETS, np.diff(offsets))
+            sums = np.zeros(len(names) * BUCKETS, np.int64)
             for buckets in _features(data, offsets):
-                for lang in set(labels):
-                    chosen = buckets if at is None else buckets[at == lang]
-                    counts.setdefault(lang, np.zeros(BUCKETS, np.int64))
-                    counts[lang] += np.bincount(chosen, minlength=BUCKETS)
+                sums += np.bincount(shift + buckets, minlength=len(sums))
+            for lang, own in zip(names, sums.reshape(-1, BUCKETS)):
+                counts[lang] = counts.get(lang, 0) + own
     for lang, sums in counts.items():
         used = np.flatnonzero(sums)
         yield pa.RecordBatch.from_arrays(
@@ -86,7 +86,7 @@ def train(labelled: DataFrame) -> tuple[list[str], np.ndarray]:
     share = min(1.0, LEARN_ROWS / max(1, total))
     if share < 1:
         rows = rows.filter(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < int(share * 1_000_000))
-    counts = rows.mapInArrow(_count, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(
+    counts = ragged.map_in_arrow(rows, _count, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(
         F.sum("n").alias("n")
     )
     # at most MAX_LANGUAGES x BUCKETS rows, whatever the input
@@ -142,4 +142,4 @@ def identify(docs: DataFrame, langs: list[str], matrix: np.ndarray) -> DataFrame
 
     rows = docs.select("doc_id", "text", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("letter"))
     kind = dict(docs.dtypes)["doc_id"]
-    return rows.mapInArrow(score, f"doc_id {kind}, lang_pred string, score double")
+    return ragged.map_in_arrow(rows, score, f"doc_id {kind}, lang_pred string, score double")

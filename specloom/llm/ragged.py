@@ -6,13 +6,17 @@ texts, so memory is bounded by ``SLICE_BYTES`` or the one longest text.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
 
 #: Bytes of text worked on at a time.
 SLICE_BYTES = 2 << 20
+#: What Spark sends to a Python worker at a time: so many bytes, or one row.
+BATCH_BYTES = "4m"
+_BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
@@ -22,6 +26,20 @@ _inverses = np.ones(1, np.uint64)
 WORD_BREAKS = bytes([0x20, *range(0x09, 0x0E)])
 
 
+def map_in_arrow(
+    df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str
+) -> DataFrame:
+    """``mapInArrow`` with batches bounded in bytes, so that long texts do not make large ones.
+
+    Spark's bound (64 MB, and as much again for copies on either side) is lowered
+    in the session unless the user has set one.
+    """
+    conf = df.sparkSession.conf
+    if conf.get(_BATCH_CONF, None) in (None, "64MB", str(64 << 20), f"{64 << 20}b"):
+        conf.set(_BATCH_CONF, BATCH_BYTES)
+    return df.mapInArrow(run, schema)
+
+
 def text_slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """First row, bytes and offsets of runs of whole texts; a null is an empty text."""
     if pa.types.is_large_string(texts.type) or pa.types.is_large_binary(texts.type):

@@ -105,7 +105,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
                     ["doc_id", "fingerprint"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, fingerprint long")
+    return ragged.map_in_arrow(docs.select("doc_id", "text"), run, f"doc_id {kind}, fingerprint long")
 
 
 # ---- links
@@ -243,7 +243,7 @@ def fingerprint_links(prints: DataFrame, groups: int | None = None, cell_rows: i
     )
     keys = ["grid", "cell", "pair"]
     ordered = placed.select(*keys, "counts", "fingerprint").repartition(*keys).sortWithinPartitions(*keys)
-    return ordered.mapInArrow(_cell_links, "a long, b long")
+    return ragged.map_in_arrow(ordered, _cell_links, "a long, b long")
 
 
 def near_copies(docs: DataFrame) -> DataFrame:

@@ -175,9 +175,8 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
                     ["f", "level", "toxic", "other"],
                 )
 
-    sums = sample.mapInArrow(count, "f long, level int, toxic long, other long").groupBy("f", "level").agg(
-        F.sum("toxic").alias("toxic"), F.sum("other").alias("other")
-    )
+    counted = ragged.map_in_arrow(sample, count, "f long, level int, toxic long, other long")
+    sums = counted.groupBy("f", "level").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
     sizes = {r.toxic: r.n for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     if not sizes.get(True):
         return none
@@ -207,7 +206,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
                 )
 
     # at most the sample's rows; sorted, so that training sees the same order each time
-    rows = sample.mapInArrow(pick, "toxic boolean, fs array<int>").orderBy("toxic", "fs").toArrow()
+    rows = ragged.map_in_arrow(sample, pick, "toxic boolean, fs array<int>").orderBy("toxic", "fs").toArrow()
     toxic = rows.column("toxic").to_numpy().astype(bool)
     lists = rows.column("fs").combine_chunks()
     lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
@@ -237,4 +236,4 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                     ["doc_id", "score", "predicted"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, score double, predicted int")
+    return ragged.map_in_arrow(docs.select("doc_id", "text"), run, f"doc_id {kind}, score double, predicted int")
