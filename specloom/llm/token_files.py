@@ -20,6 +20,7 @@ columns are not looked at.
 
 from __future__ import annotations
 
+import itertools
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -38,16 +39,40 @@ SEQ_LEN = 2048
 END_ID = 0
 #: Sequences in one batch of a file.
 BATCH_ROWS = 64
-#: Pieces of text whose ids a worker remembers.
+#: Pieces of text whose ids a worker process remembers (the first ones it meets, so all frequent ones).
 CACHE_PIECES = 400_000
-
-# A piece may begin at a space before one of these bytes: before printable ASCII
-# and before characters that cannot be white space.  The vocabulary's own pattern
-# always splits there, so pieces are encoded alike in any text.
-_OPENS = np.zeros(256, bool)
-_OPENS[0x21:0x7F] = True
-_OPENS[0xC3:0xF5] = True
-_OPENS[[0xE1, 0xE2, 0xE3]] = False
+#: Bytes of text encoded at a time.
+SLICE_BYTES = 4 << 20
+
+# The vocabulary's own pattern always splits a text (1) before a space, if a character follows that is not white
+# space, (2) before a point or comma that ends an ASCII word, (3) before and (4) after a line break between two
+# characters that are not white space.  Pieces between such places are encoded alike in any text.
+_SOLID = np.zeros(256, bool)  # bytes that begin a character other than white space
+_SOLID[0x21:0x7F] = True
+_SOLID[0xC3:0xF5] = True
+_SOLID[[0xE1, 0xE2, 0xE3]] = False
+_ASCII = np.zeros(256, bool)
+_ASCII[0x21:0x7F] = True
+_WORD = np.zeros(256, bool)
+_WORD[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
+
+
+def piece_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Where pieces begin; the last entry is the end."""
+    opens = np.zeros(len(data) + 1, bool)
+    if len(data) > 1:
+        solid = _SOLID[data[1:]]
+        opens[:-2] = (data[:-1] == 0x20) & solid
+        point = ((data == 0x2E) | (data == 0x2C))[1:] & _WORD[data[:-1]]
+        after = np.append((data[2:] == 0x20) | (data[2:] == 0x0A), True)
+        opens[1:-1] |= point & after
+        broken = np.append((data[1:-1] == 0x0A) & _ASCII[data[:-2]] & solid[1:], False)
+        opens[1:-1] |= broken
+        opens[2:] |= broken
+    # a text's first and last bytes have no neighbour in another text
+    opens[np.minimum(offsets[:-1] + 1, len(data))] &= np.diff(offsets) > 1
+    opens[offsets] = True
+    return np.flatnonzero(opens)
 
 
 class Encoder:
@@ -61,37 +86,33 @@ class Encoder:
         self.limit = cache_pieces
         self.cache: dict[bytes, bytes] = {}
 
-    def _learn(self, pieces: list[bytes]) -> None:
-        if len(self.cache) + len(pieces) > self.limit:
-            self.cache.clear()
+    def _ids(self, pieces: list[bytes]) -> list[bytes]:
+        found = []
         for i in range(0, len(pieces), 1000):
             part = pieces[i : i + 1000]
             encoded = self.tokenizer.encode(
                 [x.decode("utf-8", "replace") for x in part], is_pretokenized=True, add_special_tokens=False
             )
-            ids = np.array(encoded.ids, "<u4")
-            at = np.searchsorted(np.array(encoded.word_ids, np.int64), np.arange(len(part) + 1))
-            for piece, a, b in zip(part, at[:-1].tolist(), at[1:].tolist()):
-                self.cache[piece] = ids[a:b].tobytes()
+            ids = np.array(encoded.ids, "<u4").tobytes()
+            at = 4 * np.searchsorted(np.array(encoded.word_ids, np.int64), np.arange(len(part) + 1))
+            found.extend(ids[a:b] for a, b in itertools.pairwise(at.tolist()))
+        return found
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts of a slice, one after the other, and the number for each text."""
-        opens = np.zeros(len(data) + 1, bool)
-        opens[: max(0, len(data) - 1)] = (data[:-1] == 0x20) & _OPENS[data[1:]]
-        opens[offsets] = True
-        cuts = np.flatnonzero(opens)
         if len(data) == 0:
             return np.zeros(0, np.uint32), np.zeros(len(offsets) - 1, np.int64)
+        cuts = piece_starts(data, offsets)
         pieces = pa.LargeBinaryArray.from_buffers(
             pa.large_binary(), len(cuts) - 1, [None, pa.py_buffer(cuts.astype(np.int64)), pa.py_buffer(data)]
         ).dictionary_encode()
         distinct, codes = pieces.dictionary.to_pylist(), pieces.indices.to_numpy()
-        new = [x for x in distinct if x not in self.cache]
-        if new:
-            if len(self.cache) + len(new) > self.limit:
-                new = distinct
-            self._learn(new)
-        known = [self.cache[x] for x in distinct]
+        known = list(map(self.cache.get, distinct))
+        missing = [i for i, x in enumerate(known) if x is None]
+        for i, ids in zip(missing, self._ids([distinct[i] for i in missing])):
+            known[i] = ids
+            if len(self.cache) < self.limit:
+                self.cache[distinct[i]] = ids
         ids = np.frombuffer(b"".join(known), "<u4")
         sizes = np.array([len(x) for x in known], np.int64) // 4
         begin = np.cumsum(sizes) - sizes
@@ -101,6 +122,18 @@ class Encoder:
         return out, np.diff(total[np.searchsorted(cuts, offsets)])
 
 
+_encoders: dict[int, Encoder] = {}
+
+
+def _encoder(vocabulary: str) -> Encoder:
+    """One encoder for all tasks of a worker process, which thus keeps what it knows."""
+    key = zlib.crc32(vocabulary.encode())
+    if key not in _encoders:
+        _encoders.clear()
+        _encoders[key] = Encoder(vocabulary)
+    return _encoders[key]
+
+
 class _Writer:
     """One file of sequences, written to wherever ``folder`` is."""
 
@@ -166,9 +199,9 @@ def write_token_files(
         encoder, writer, at = None, None, 0
         part = TaskContext.get().partitionId()
         for batch in batches:
-            for row, data, offsets in ragged.text_slices(batch.column("text")):
+            for row, data, offsets in ragged.text_slices(batch.column("text"), SLICE_BYTES):
                 if writer is None:
-                    encoder = Encoder(shared.value)
+                    encoder = _encoder(shared.value)
                     small = encoder.tokenizer.get_vocab_size() <= 1 << 16 and end_id < 1 << 16
                     writer = _Writer(folder, pa.uint16() if small else pa.uint32(), seq_len)
                 ids, counts = encoder.encode(data, offsets)
@@ -190,7 +223,7 @@ def write_token_files(
 
     ordered = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     return cut_lineage(
-        ordered.mapInArrow(write, f"doc_id {kind}, part long, at long, n_tokens long, file string")
+        ragged.map_in_arrow(ordered, write, f"doc_id {kind}, part long, at long, n_tokens long, file string")
     )
 
 
@@ -244,7 +277,7 @@ def read_digests(index: DataFrame) -> DataFrame:
                 [*columns, pa.array(sums, pa.int64())], ["doc_id", "part", "at", "n_tokens", "ids_crc32"]
             )
 
-    read_back = index.mapInArrow(read, f"doc_id {kind}, part long, at long, n_tokens long, ids_crc32 long")
+    read_back = ragged.map_in_arrow(index, read, f"doc_id {kind}, part long, at long, n_tokens long, ids_crc32 long")
     # one row per file
     totals = index.groupBy("part").agg(F.sum("n_tokens").alias("total"))
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
