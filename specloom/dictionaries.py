@@ -1,18 +1,20 @@
-"""Small rule tables: fixed values, and their safe use in joins.
+"""Rule tables: fixed values, and their safe use in joins.
 
-A dictionary is built from literals, so its size is known when the plan is
-made.  ``dictionary`` refuses to build one larger than ``MAX_DICTIONARY_ROWS``;
-that bound is what makes the broadcast hint on it safe at any data size.
+Rules are given as a list of literals or as a frame.  A list's size is known
+when the plan is made, so up to ``BROADCAST_ROWS`` it carries a broadcast hint;
+a longer list, or a frame, is joined like any table.  Keys are brought to the
+form the data side has, equal rules count once, and a list that gives one key
+two meanings is refused: a rule never multiplies the rows it is joined to.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-MAX_DICTIONARY_ROWS = 10_000
+BROADCAST_ROWS = 10_000
 
 
 def sql_literal(value: object) -> str:
@@ -31,13 +33,49 @@ def sql_values(rows: Sequence[Sequence[object]]) -> str:
     return ", ".join("(" + ", ".join(sql_literal(v) for v in row) + ")" for row in rows)
 
 
-def dictionary(spark: SparkSession, rows: Sequence[Sequence[object]], schema: str) -> DataFrame:
-    """A literal frame marked for broadcast; ``schema`` is a DDL string."""
-    if len(rows) > MAX_DICTIONARY_ROWS:
-        raise ValueError(
-            f"{len(rows)} rows: read this as a table and join it without a broadcast hint"
-        )
+def _one_meaning(rows: Sequence[Sequence[object]], keys: Sequence[int], forms: Mapping[int, Callable[[str], str]]):
+    """The rows with their keys in normal form, each once."""
+    found: dict[tuple, tuple] = {}
+    for row in rows:
+        row = tuple(forms[i](v) if i in forms and isinstance(v, str) else v for i, v in enumerate(row))
+        key = tuple(row[i] for i in keys)
+        if found.setdefault(key, row) != row:
+            raise ValueError(f"two rules for {key}: {found[key]} and {row}")
+    return list(found.values())
+
+
+def dictionary(
+    spark: SparkSession,
+    rows: Sequence[Sequence[object]] | DataFrame,
+    schema: str,
+    keys: Sequence[str] = (),
+    forms: Mapping[str, tuple[Callable[[str], str], Callable[[Column], Column]]] | None = None,
+) -> DataFrame:
+    """Rules as a frame; ``schema`` is a DDL string, ``keys`` the columns that identify a rule.
+
+    ``forms`` gives the normal form of key columns, for text and for a column.
+    A frame's rules that share a key are reduced to the least of them.
+    """
     fields = [part.strip().split(None, 1) for part in schema.split(",")]
+    names = [name for name, _ in fields]
+    forms = forms or {}
+    if isinstance(rows, DataFrame):
+        table = rows.toDF(*names).select(*[
+            (forms[name][1](F.col(name)) if name in forms else F.col(name)).cast(kind).alias(name) for name, kind in fields
+        ])
+        if not keys:
+            return table
+        rest = [n for n in names if n not in keys]
+        least = table.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_rule")) if rest else table.distinct()
+        return least.select(*keys, "_rule.*").select(*names) if rest else least
+    if keys:
+        rows = _one_meaning(
+            rows, [names.index(k) for k in keys], {names.index(n): f[0] for n, f in forms.items()}
+        )
+    if not rows:
+        return spark.range(0).select(*[F.lit(None).cast(kind).alias(name) for name, kind in fields])
+    if len(rows) > BROADCAST_ROWS:
+        return spark.createDataFrame([tuple(r) for r in rows], schema)
     records = [
         F.struct(*[F.lit(cell).cast(kind).alias(name) for cell, (name, kind) in zip(row, fields)])
         for row in rows

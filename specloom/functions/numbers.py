@@ -8,6 +8,13 @@ from pyspark.sql import functions as F
 from specloom.dictionaries import US_FAMILIES, WHOLE_NUMBER_UNITS
 from specloom.functions.text import clean_text, double_text, whole_text, without_spaces
 
+# Metric units as they are looked up.
+METRIC_UNITS = (
+    "mm", "cm", "m", "km", "km/h", "m/s", "m2", "m3", "m³", "cm3", "cc", "l", "liter", "litre", "l/min", "lpm", "g", "kg",
+    "t", "kn", "n", "nm", "n·m", "w", "kw", "kwh", "pa", "kpa", "mpa", "bar", "°c", "c",
+)
+
+# What counts as a number, and as a metre.
 NUMBER = r"\d+(?:\.\d+)?"
 GROUPED_NUMBER = r"\d+(?:,\d{3})*(?:\.\d+)?"
 LONE_M = r"(^|[^a-z])m($|[^a-z])"
@@ -34,6 +41,10 @@ def unit_key(col: Column) -> Column:
     return F.rtrim(without_spaces(F.lower(col)), F.lit("."))
 
 
+def is_metric(unit: Column) -> Column:
+    return unit_key(unit).isin(*METRIC_UNITS)
+
+
 def strict_number(text: Column, unit: Column | None = None) -> Column:
     """The number a clean text states, else NULL.
 
@@ -49,26 +60,35 @@ def strict_number(text: Column, unit: Column | None = None) -> Column:
 
 
 def dual_notation(text: Column, unit: Column) -> Column:
-    """``struct(value, unit)`` of the preferred side of a twofold notation.
+    """``struct(value, unit)`` of the metric side of a twofold notation.
 
-    ``54.8 (0.898)`` under unit ``in3 (L)`` states the metric side in brackets;
-    ``14.9 kW (20 hp)`` without a unit states the preferred side first.  Any
-    other text gives a NULL value.
+    ``54.8 (0.898)`` under unit ``in3 (L)`` and ``20 hp (14.9 kW)`` state it in
+    brackets, ``885 (33.5)`` under ``mm (in)`` and ``14.9 kW (20 hp)`` before
+    them.  If neither unit is known as metric, the brackets win under a twofold
+    unit, and the first side in a text with its own units.  Any other text
+    gives a NULL value.
     """
     pair = rf"\A\s*({_PLAIN})\s*\(\s*({_PLAIN})\s*\)\s*\z"
     units = r"\A\s*([^()]+?)\s*\(\s*([^()]+?)\s*\)\s*\z"
-    inline = rf"\A\s*((?>{_PLAIN}))\s*([^\d\s().,][^()\r\n]*?)\s*\(\s*{_PLAIN}\s*[^()\r\n]+\)\s*\z"
+    inline = rf"\A\s*((?>{_PLAIN}))\s*([^\d\s().,][^()\r\n]*?)\s*\(\s*((?>{_PLAIN}))\s*([^()\r\n]+?)\s*\)\s*\z"
 
     def read(cell: Column) -> Column:
         text, unit = cell["text"], cell["unit"]
-        bracket_unit = F.regexp_extract(F.coalesce(unit, F.lit("")), units, 2)
+        first_unit, bracket_unit = (F.regexp_extract(F.coalesce(unit, F.lit("")), units, i) for i in (1, 2))
         bracketed = text.rlike(pair) & (bracket_unit != "")
         inlined = text.rlike(inline)
+        outer = bracketed & is_metric(first_unit) & ~is_metric(bracket_unit)
+        own, inner = F.regexp_extract(text, inline, 2), F.regexp_extract(text, inline, 4)
+        inside = inlined & is_metric(inner) & ~is_metric(own)
+
+        def number(pattern: str, group: int) -> Column:
+            return _as_number(F.regexp_extract(text, pattern, group))
+
         return F.struct(
-            F.when(bracketed, _as_number(F.regexp_extract(text, pair, 2)))
-            .when(inlined, _as_number(F.regexp_extract(text, inline, 1)))
-            .alias("value"),
-            F.when(bracketed, bracket_unit).when(inlined, F.regexp_extract(text, inline, 2)).alias("unit"),
+            F.when(outer, number(pair, 1)).when(bracketed, number(pair, 2))
+            .when(inside, number(inline, 3)).when(inlined, number(inline, 1)).alias("value"),
+            F.when(outer, first_unit).when(bracketed, bracket_unit)
+            .when(inside, inner).when(inlined, own).alias("unit"),
         )
 
     # In a lambda, as few cells need it: see ``double_text``.

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -13,8 +13,6 @@ from specloom.functions.text import to_text
 from specloom.operators.ordering import first_per_group, with_position
 
 MAX_PAGE = 500
-# Beyond this depth a page is cut from numbered rows, not from one sorted heap.
-DEEP_OFFSET = 100_000
 
 
 def table_counts(tables: Mapping[str, DataFrame], origins: Mapping[str, str]) -> DataFrame:
@@ -96,7 +94,8 @@ def summarize(df: DataFrame) -> DataFrame:
     Values are counted first, which merges repeats before the shuffle and
     makes the distinct count exact without one copy of the table per column.
     """
-    numeric = {"tinyint", "smallint", "int", "bigint", "float", "double"}
+    whole = {"tinyint", "smallint", "int", "bigint"}
+    numeric = {*whole, "float", "double"}
 
     def cell(name: str, kind: str) -> Column:
         number = F.col(name).cast("double") if kind in numeric else F.lit(None).cast("double")
@@ -105,15 +104,23 @@ def summarize(df: DataFrame) -> DataFrame:
             F.lit(kind).alias("column_type"),
             to_text(F.col(name), kind).alias("value"),
             number.alias("number"),
+            (F.col(name).cast("bigint") if kind in whole else F.lit(None).cast("bigint")).alias("whole"),
         )
 
     cells = df.select(F.inline(F.array(*[cell(n, k) for n, k in df.dtypes])))
     values = cells.groupBy("column_name", "column_type", "value").agg(
-        F.count("*").alias("n"), F.max("number").alias("number")
+        F.count("*").alias("n"), F.max("number").alias("number"), F.max("whole").alias("whole")
     )
-    is_number = F.col("column_type").isin(*numeric)
-    least = F.when(is_number, F.min("number").cast("string")).otherwise(F.min("value"))
-    most = F.when(is_number, F.max("number").cast("string")).otherwise(F.max("value"))
+
+    def extreme(pick: Callable[[str], Column]) -> Column:
+        # whole numbers stay whole: a double would lose digits beyond 2^53
+        return (
+            F.when(F.col("column_type").isin(*whole), pick("whole").cast("string"))
+            .when(F.col("column_type").isin(*numeric), pick("number").cast("string"))
+            .otherwise(pick("value"))
+        )
+
+    least, most = extreme(F.min), extreme(F.max)
     return values.groupBy("column_name", "column_type").agg(
         F.sum("n").alias("n_rows"),
         F.sum(F.when(F.col("value").isNull(), F.col("n")).otherwise(0)).alias("n_null"),
@@ -130,12 +137,9 @@ def page(df: DataFrame, order: Sequence[Column], limit: int = 100, offset: int =
     limit = max(0, min(limit, MAX_PAGE))
     offset = max(0, offset)
     total = df.agg(F.count("*")).scalar()
-    if offset <= DEEP_OFFSET:
-        rows = df.orderBy(*order).offset(offset).limit(limit)
-    else:
-        rows = with_position(df, [], order, "_at").filter(
-            (F.col("_at") > offset) & (F.col("_at") <= offset + limit)
-        ).drop("_at")
+    rows = with_position(df, [], order, "_at").filter(
+        (F.col("_at") > offset) & (F.col("_at") <= offset + limit)
+    ).drop("_at")
     return rows.withColumn("total_rows", total)
 
 

@@ -157,17 +157,22 @@ def range_positions(
     return with_position(placed, ["metric"], order, "order_index")
 
 
+def _counted() -> Column:
+    """Values that a histogram takes: neither NULL nor NaN nor zero."""
+    return F.col("value").isNotNull() & ~F.isnan("value") & (F.col("value") != 0)
+
+
 def _bounds(low: Column, high: Column, step: Column) -> tuple[Column, Column]:
     """Start of the first bin and number of bins."""
     start = F.floor(low / step).cast("double") * step
     end = F.ceil(high / step).cast("double") * step
     end = F.when(end <= start, start + step).otherwise(end)
-    return start, F.greatest(F.lit(1), F.round((end - start) / step).cast("int"))
+    return start, F.greatest(F.lit(1), F.round((end - start) / step).cast("bigint"))
 
 
 def _bin(value: Column, start: Column, step: Column, n_bins: Column) -> Column:
     """Bin of a value; the last bin includes its end."""
-    return F.greatest(F.lit(0), F.least(F.floor((value - start) / step).cast("int"), n_bins - 1))
+    return F.greatest(F.lit(0), F.least(F.floor((value - start) / step).cast("bigint"), n_bins - 1))
 
 
 def histogram(metrics: DataFrame, steps: Sequence[tuple[str, float]]) -> DataFrame:
@@ -183,7 +188,7 @@ def histogram(metrics: DataFrame, steps: Sequence[tuple[str, float]]) -> DataFra
     ratio = F.col("value") / F.col("step")
     near = F.abs(ratio - F.rint(ratio)) <= EDGE_TOLERANCE * F.greatest(F.lit(1.0), F.abs(ratio))
     counted = cut_lineage(
-        metrics.filter(F.col("value").isNotNull() & (F.col("value") != 0))
+        metrics.filter(_counted())
         .join(rules, "metric")
         .withColumn("_multiple", F.floor(ratio))
         .withColumn("_edge", F.when(near, F.col("value")))
@@ -247,7 +252,7 @@ def bin_members(
     """
     rules = dictionary(metrics.sparkSession, steps, "metric string, step double")
     used = metrics.filter(
-        F.col("value").isNotNull() & (F.col("value") != 0) & F.col("metric").isin(*[m for m, _ in steps])
+        _counted() & F.col("metric").isin(*[m for m, _ in steps])
     )
     # One row per metric of ``steps``.
     ranges = used.groupBy("metric").agg(F.min("value").alias("_least"), F.max("value").alias("_most"))
@@ -271,8 +276,8 @@ def visible(df: DataFrame, brand: str, brands: Sequence[str], measure: str, low:
 def filter_bounds(df: DataFrame, measure: str) -> DataFrame:
     """Whole-number range of a measure, zero when there is none."""
     return df.agg(
-        F.coalesce(F.min(measure).cast("int"), F.lit(0)).alias("low"),
-        F.coalesce(F.max(measure).cast("int"), F.lit(0)).alias("high"),
+        F.coalesce(F.min(measure).cast("bigint"), F.lit(0)).alias("low"),
+        F.coalesce(F.max(measure).cast("bigint"), F.lit(0)).alias("high"),
     )
 
 

@@ -19,7 +19,7 @@ from specloom.dictionaries import (
 )
 from specloom.functions.text import strip
 from specloom.operators.html_sections import sections_of
-from specloom.operators.ordering import with_running_total
+from specloom.operators.ordering import with_position
 
 FINDING = ["severity", "page", "rule", "detail"]
 LINE_BREAK = r"\r\n|[\n\x0b\x0c\r\x1c-\x1e\x85  ]"
@@ -170,42 +170,41 @@ def missing_members(required: DataFrame, manifest: DataFrame, key: str = "path")
 def page_findings(pages: DataFrame) -> DataFrame:
     """Pages of ``(doc, name, text)`` that cannot be merged: no number, or no content."""
     number = F.regexp_extract("name", PAGE_NAME_PATTERN, 1)
-    reason = F.when(number == "", "page number").when(strip(F.col("text")) == "", "empty page")
+    reason = F.when(F.coalesce(number, F.lit("")) == "", "page number").when(
+        F.coalesce(strip(F.col("text")), F.lit("")) == "", "empty page"
+    )
     return pages.select(
         *_finding("ERROR", F.concat_ws("/", F.col("doc").cast("string"), "name"), "merge", reason)
     ).filter(F.col("detail").isNotNull())
 
 
-def merge_pages(pages: DataFrame, max_chars: int = 50_000_000) -> DataFrame:
-    """The pages of each document in order, as one text with page headings.
+def merge_parts(pages: DataFrame) -> DataFrame:
+    """The pages of each document as its parts in order, each with its page heading.
 
-    A document longer than ``max_chars`` continues in further volumes, each
-    starting where the one before ended, so no row gathers an unbounded text;
-    volumes joined by a rule line are the whole document.
+    One row per page that can be merged, at every size, by page number, then
+    text; pages of a NULL document belong together, and pages of equal names
+    each keep their part.
     """
-    separator = "\n\n---\n\n"
     content = strip(F.col("text"))
     page_no = F.regexp_extract("name", PAGE_NAME_PATTERN, 1)
     usable = pages.filter((page_no != "") & (content != "")).withColumn("_no", page_no.cast("bigint"))
     digits = F.col("_no").cast("string")
     shown = F.when(F.length(digits) < 3, F.lpad(digits, 3, "0")).otherwise(digits)
     part = F.concat(F.lit("<!-- source: "), "name", F.lit(" -->\n## Page "), shown, F.lit("\n\n"), content)
-    # Only lengths are ordered; the texts follow by one join.
-    sizes = usable.select("doc", "_no", "name", F.length(part).cast("bigint").alias("_chars"))
-    placed = with_running_total(
-        sizes, ["doc"], [F.col("_no").asc(), F.col("name").asc()], F.col("_chars"), "_until"
-    )
-    start = F.col("_until") - F.col("_chars")
-    volumes = placed.select("doc", "name", (F.floor(start / max_chars) + 1).alias("volume_no"))
-    parts = F.array_sort(F.collect_list(F.struct("_no", "name", part.alias("part"))))
-    return (
-        usable.join(volumes, ["doc", "name"])
-        .groupBy("doc", "volume_no")
-        .agg(
-            F.count("*").alias("n_pages"),
-            F.array_join(F.transform(parts, lambda p: p["part"]), separator).alias("_text"),
-        )
-        .select("doc", "volume_no", "n_pages", F.concat("_text", F.lit("\n")).alias("text"))
+    rows = usable.select("doc", "_no", part.alias("text"))
+    placed = with_position(rows, ["doc"], [F.col("_no").asc(), F.col("text").asc()], "part_no")
+    return placed.select("doc", "part_no", "text")
+
+
+def merge_pages(pages: DataFrame) -> DataFrame:
+    """Each document as one text, for those who want it whole: a row holds all its pages.
+
+    ``merge_parts`` gives the same without gathering a document.
+    """
+    parts = F.array_sort(F.collect_list(F.struct("part_no", "text")))
+    text = F.array_join(F.transform(parts, lambda p: p["text"]), "\n\n---\n\n")
+    return merge_parts(pages).groupBy("doc").agg(
+        F.count("*").alias("n_pages"), F.concat(text, F.lit("\n")).alias("text")
     )
 
 

@@ -96,10 +96,16 @@ def drop_blank_rows(cells: DataFrame) -> DataFrame:
 
 
 def cell_class(value: Column) -> Column:
-    """What one text cell can be read as: bool, int, double or text."""
+    """What one text cell can be read as: bool, int, double or text.
+
+    A whole number is an int only if it reads back as it was written; codes
+    with leading zeros and numbers beyond 64 bits are text, never a double.
+    """
+    same = F.coalesce(value.try_cast("bigint").cast("string") == value, F.lit(False))
     return (
         F.when(value.rlike(r"(?i)\A(?:true|false)\z"), F.lit("bool"))
-        .when(value.rlike(r"\A[+-]?\d{1,18}\z"), F.lit("int"))
+        .when(same, F.lit("int"))
+        .when(value.rlike(r"\A[+-]?\d+\z"), F.lit("text"))
         .when(value.rlike(r"\A[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?\z"), F.lit("double"))
         .otherwise(F.lit("text"))
     )

@@ -56,6 +56,9 @@ def _matches(rule: Pattern) -> Column:
 
 def first_match(rules: Sequence[Pattern]) -> Column:
     """The mapping of the lowest-numbered rule that matches, else NULL."""
+    numbers = [r.pattern_id for r in rules]
+    if len(set(numbers)) < len(numbers):
+        raise ValueError("pattern ids must be unique")
     nothing = F.lit(None).cast(
         "struct<canonical_item:string,mapping_method:string,confidence:double,mapping_notes:string>"
     )
@@ -63,14 +66,15 @@ def first_match(rules: Sequence[Pattern]) -> Column:
         F.when(_matches(r), _mapping(
             F.lit(r.canonical_item), F.lit(r.mapping_method), F.lit(r.confidence), F.lit(r.notes)
         ))
-        for r in sorted(rules)
+        for r in sorted(rules, key=lambda r: r.pattern_id)
     ]
     return F.coalesce(*hits, nothing)
 
 
 def _with_synonym(obs: DataFrame, synonyms: Sequence[tuple[str, str, str]]) -> DataFrame:
     rules = dictionary(
-        obs.sparkSession, synonyms, "_key string, _item string, _match string"
+        obs.sparkSession, synonyms, "_key string, _item string, _match string", keys=["_key"],
+        forms={"_key": (lambda v: v.strip(" ").lower(), lambda c: F.lower(F.trim(c)))},
     )
     confidence = F.when(F.col("_match") == "exact", EXACT_CONFIDENCE).otherwise(SYNONYM_CONFIDENCE)
     hit = F.when(
@@ -128,6 +132,7 @@ def with_canonical(
         obs.sparkSession,
         canonical,
         "canonical_item string, category string, canonical_unit string, value_type string, priority int",
+        keys=["canonical_item"],
     )
     return obs.join(items, "canonical_item", "left")
 

@@ -161,7 +161,7 @@ def union_observations(parts: Sequence[DataFrame]) -> DataFrame:
 
 def with_source_rank(obs: DataFrame, ranks: Sequence[tuple[str, int]]) -> DataFrame:
     """Rank of an observation's table, 1 for tables without one."""
-    rules = dictionary(obs.sparkSession, ranks, "source_table string, _rank int")
+    rules = dictionary(obs.sparkSession, ranks, "source_table string, _rank int", keys=["source_table"])
     return (
         obs.drop("source_rank")
         .join(rules, "source_table", "left")
@@ -178,7 +178,8 @@ def build_products(
     An aggregation, so that sources of one product are reduced before they
     are brought together.
     """
-    best = F.struct(*order)
+    # NULL comes last, in every column of the order
+    best = F.struct(*[x for i, c in enumerate(order) for x in (F.isnull(c).alias(f"n{i}"), F.col(c).alias(f"c{i}"))])
     return rows.groupBy(*key).agg(
         *[F.min_by(c, F.when(F.col(c).isNotNull(), best)).alias(c) for c in columns]
     ).withColumn("confidence", F.lit(1.0))
@@ -186,7 +187,7 @@ def build_products(
 
 def in_scope(obs: DataFrame, excluded: Sequence[str]) -> DataFrame:
     """Observations of the tables that are in scope."""
-    tables = dictionary(obs.sparkSession, [(t,) for t in excluded], "source_table string")
+    tables = dictionary(obs.sparkSession, [(t,) for t in excluded], "source_table string", keys=["source_table"])
     return obs.join(tables, "source_table", "left_anti")
 
 

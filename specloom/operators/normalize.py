@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from specloom.dictionaries import ACCEPTED_STATUSES, MIN_CONFIDENCE, dictionary
+from specloom.functions.text import SPACES
 from specloom.functions.numbers import dual_notation, strict_number, unit_key
 
 PARSE_FAILED = "numeric_parse_failed"
@@ -36,11 +37,19 @@ def value_status(text: Column) -> Column:
     )
 
 
+def unit_text(unit: str) -> str:
+    """A rule's unit in the form of ``unit_key``."""
+    return unit.lower().translate(dict.fromkeys(map(ord, SPACES))).rstrip(".")
+
+
 def with_factor(
     obs: DataFrame, conversions: Sequence[tuple[str, str, float]], unit: str = "raw_unit"
 ) -> DataFrame:
     """Add ``factor`` from the unit to the canonical unit; NULL without a rule."""
-    rules = dictionary(obs.sparkSession, conversions, "_from string, _to string, factor double")
+    rules = dictionary(
+        obs.sparkSession, conversions, "_from string, _to string, factor double", keys=["_from", "_to"],
+        forms={"_from": (unit_text, unit_key)},
+    )
     keyed = obs.withColumn("_unit", unit_key(F.col(unit)))
     return keyed.join(
         rules, (F.col("_unit") == F.col("_from")) & (F.col("canonical_unit") == F.col("_to")), "left"

@@ -16,10 +16,6 @@ from pyspark.sql import functions as F
 from specloom.session import cut_lineage
 
 
-# Slices of groups, one small row each, up to which they are broadcast.
-MAX_BROADCAST_SLICES = 1_000_000
-
-
 def _sliced(df: DataFrame, group: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """Sorted range slices, written once so that all passes see the same ones.
 
@@ -38,8 +34,8 @@ def _sliced(df: DataFrame, group: Sequence[str], order: Sequence[Column]) -> Dat
 def _with_offsets(sliced: DataFrame, group: Sequence[str], total: Column) -> DataFrame:
     """Add ``_offset``, the ``total`` of the group's earlier slices, and ``_first``, where its rows start.
 
-    There is one row per slice of a group, even of the largest; they are
-    counted, and broadcast only when they are few.
+    There is one row per slice of a group, even of the largest; adaptive
+    execution measures them and broadcasts them when they are few.
     """
     parts = sliced.groupBy(*group, "_slice").agg(total.alias("_total"), F.min("_at").alias("_first"))
     before = Window.partitionBy(*group or [F.lit(0)]).orderBy("_slice").rowsBetween(
@@ -54,8 +50,6 @@ def _with_offsets(sliced: DataFrame, group: Sequence[str], total: Column) -> Dat
     same = F.col("_slice") == F.col("_o_slice")
     for g in group:
         same = same & F.col(g).eqNullSafe(F.col(f"_o_{g}"))
-    if parts.count() <= MAX_BROADCAST_SLICES:
-        offsets = F.broadcast(offsets)
     return sliced.join(offsets, same, "left").drop("_o_slice", *[f"_o_{g}" for g in group])
 
 

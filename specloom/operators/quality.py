@@ -40,7 +40,8 @@ def conflicts(normalized: DataFrame) -> DataFrame:
     """Products and items with more than one distinct value.
 
     Equal statements of a source are counted first, so a product with very
-    many records is spread over its distinct statements.
+    many records is spread over its distinct statements.  Sources are listed
+    only for the keys that turn out to conflict.
     """
     number = F.col("normalized_value_numeric")
     statements = (
@@ -48,17 +49,27 @@ def conflicts(normalized: DataFrame) -> DataFrame:
         .groupBy(*KEY, "_value", "source_table")
         .agg(F.count("*").alias("_n"), F.min(number).alias("_low"), F.max(number).alias("_high"))
     )
-    return (
-        statements.groupBy(*KEY)
+    values = statements.groupBy(*KEY, "_value").agg(
+        F.sum("_n").alias("_n"), F.min("_low").alias("_low"), F.max("_high").alias("_high")
+    )
+    found = (
+        values.groupBy(*KEY)
         .agg(
             F.sum("_n").alias("n_rows"),
-            F.count_distinct("_value").alias("n_distinct_values"),
+            F.count("_value").alias("n_distinct_values"),
             F.min("_low").alias("min_value"),
             F.max("_high").alias("max_value"),
-            _listed("source_table").alias("sources"),
         )
         .filter(F.col("n_distinct_values") > 1)
+        .select(*[F.col(k).alias(f"_{k}") for k in KEY], "n_rows", "n_distinct_values", "min_value", "max_value")
+    )
+    same = F.lit(True)
+    for k in KEY:
+        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    sources = statements.select(*KEY, "source_table").join(found, same).groupBy(
+        *KEY, "n_rows", "n_distinct_values", "min_value", "max_value"
     )
+    return sources.agg(_listed("source_table").alias("sources"))
 
 
 def flag_conflicts(normalized: DataFrame) -> DataFrame:
@@ -71,7 +82,11 @@ def flag_conflicts(normalized: DataFrame) -> DataFrame:
     valued = normalized.withColumn("_value", stated_value())
     status = valued.groupBy(*KEY).agg(F.min("_value").alias("_least"), F.max("_value").alias("_most"))
     flag = F.when(F.col("_least").isNull(), UNDECIDED_VALUE).when(F.col("_least") < F.col("_most"), CONFLICT)
-    return normalized.join(status.select(*KEY, flag.alias("conflict_status")), KEY, "left")
+    status = status.select(*[F.col(k).alias(f"_{k}") for k in KEY], flag.alias("conflict_status"))
+    same = F.lit(True)
+    for k in KEY:  # a NULL product is a key like any other
+        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    return normalized.join(status, same, "left").drop(*[f"_{k}" for k in KEY])
 
 
 def missing_rate(
@@ -100,7 +115,7 @@ def missing_rate(
         items.join(counted, "canonical_item", "left")
         .withColumn("n_products_with_value", F.coalesce("n", F.lit(0)))
         .withColumn("n_products_total", total)
-        .withColumn("missing_rate", F.round(1 - F.col("n_products_with_value") / F.col("n_products_total"), 2))
+        .withColumn("missing_rate", F.round(1 - F.try_divide("n_products_with_value", "n_products_total"), 2))
         .drop("n")
     )
 
@@ -108,15 +123,15 @@ def missing_rate(
 def skewed_items(normalized: DataFrame, max_companies: int = 2) -> DataFrame:
     """Items that only a few companies state."""
     pairs = normalized.select("canonical_item", "company", "product_id").distinct()
-    return (
+    few = (
         pairs.groupBy("canonical_item")
-        .agg(
-            F.size(F.collect_set("company")).cast("bigint").alias("n_companies"),
-            F.count_distinct("product_id").alias("n_products"),
-            _listed("company").alias("companies"),
-        )
+        .agg(F.count_distinct("company").alias("n_companies"), F.count_distinct("product_id").alias("n_products"))
         .filter(F.col("n_companies") <= max_companies)
+        .withColumnRenamed("canonical_item", "_item")
     )
+    # at most ``max_companies`` names are listed for an item
+    named = pairs.select("canonical_item", "company").join(few, F.col("canonical_item").eqNullSafe(F.col("_item")))
+    return named.groupBy("canonical_item", "n_companies", "n_products").agg(_listed("company").alias("companies"))
 
 
 def low_confidence(mapped: DataFrame, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:

@@ -100,6 +100,9 @@ PART_TYPES = {"p_partkey": "bigint", "p_name": "string", "p_brand": "string", "p
 def _summary_sql(name: str, kind: str) -> str:
     if kind == "string":
         stats = f"min({name}) AS min_value, max({name}) AS max_value, NULL::DOUBLE AS mean_value"
+    elif kind in ("int", "bigint"):
+        stats = (f"CAST(min({name}) AS VARCHAR) AS min_value, CAST(max({name}) AS VARCHAR) AS max_value, "
+                 f"round(avg({name}), 4) AS mean_value")
     else:
         stats = (f"CAST(min({name})::DOUBLE AS VARCHAR) AS min_value, CAST(max({name})::DOUBLE AS VARCHAR) AS max_value, "
                  f"round(avg({name}), 4) AS mean_value")

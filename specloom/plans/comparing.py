@@ -10,7 +10,6 @@ from specloom.functions import numbers, text
 from specloom.operators import compare
 from specloom.plans.ingest import double_sql
 from specloom.plans.registry import query, table
-from specloom.session import spread
 
 BRANDS = ["Brand#7", "Brand#12", "Brand#3", "Brand#25", "Brand#1"]
 
@@ -42,7 +41,7 @@ def parse_measure(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("part").alias("source"), F.col("p_partkey").alias("id"),
         F.concat("p_name", F.lit(" "), "p_size", F.lit("-"), F.col("p_size") + 9, F.lit(" m")).alias("text"),
     )
-    texts = spread(docs).unionByName(parts)
+    texts = docs.unionByName(parts)
     return texts.select(
         "source", "id",
         numbers.parse_measure(F.col("text"), "mm", "first").alias("first_value"),
@@ -372,9 +371,9 @@ def range_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 HISTOGRAM_SQL = f"""
     SELECT metric, brand, step, start, n_bins, value, l_orderkey, l_linenumber, l_partkey, l_suppkey,
-           greatest(0, least(CAST(floor((value - start) / step) AS INTEGER), n_bins - 1)) AS bin_no
+           greatest(0, least(CAST(floor((value - start) / step) AS BIGINT), n_bins - 1)) AS bin_no
     FROM (SELECT *, CAST(greatest(1, round((CASE WHEN stop <= start THEN start + step ELSE stop END - start) / step))
-                         AS INTEGER) AS n_bins
+                         AS BIGINT) AS n_bins
           FROM (SELECT *, floor(min(value) OVER m / step) * step AS start, ceil(max(value) OVER m / step) * step AS stop
                 FROM ({LINE_METRICS_SQL}) JOIN (VALUES ('quantity', 1.0::DOUBLE), ('price', 100.0::DOUBLE),
                     ('discount', 0.02::DOUBLE), ('tax', 1.0::DOUBLE)) AS s(metric, step) USING (metric)
@@ -392,7 +391,7 @@ def histogram_qty(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("hist_stacked", f"""
     WITH counted AS (SELECT metric, bin_no, brand, count(*) AS n FROM ({HISTOGRAM_SQL}) GROUP BY ALL),
-    every AS (SELECT metric, start, step, unnest(range(n_bins))::INTEGER AS bin_no
+    every AS (SELECT metric, start, step, unnest(range(n_bins))::BIGINT AS bin_no
               FROM (SELECT DISTINCT metric, start, step, n_bins FROM ({HISTOGRAM_SQL})))
     SELECT metric, bin_no, start + bin_no * step AS bin_start, brand, coalesce(n, 0) AS n,
            CAST(coalesce(sum(n) OVER (PARTITION BY metric, bin_no), 0) AS BIGINT) AS bin_total,
@@ -440,7 +439,7 @@ def visible_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("filter_bounds", """
-    SELECT CAST(trunc(min(value)) AS INTEGER) AS low, CAST(trunc(max(value)) AS INTEGER) AS high
+    SELECT CAST(trunc(min(value)) AS BIGINT) AS low, CAST(trunc(max(value)) AS BIGINT) AS high
     FROM (SELECT l_extendedprice / 7 AS value FROM lineitem)
 """)
 def filter_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from specloom.operators import documents
 from specloom.plans.registry import query, table
-from specloom.session import spread
 
 HREF = 'href="([^"]*)"'
 
@@ -201,7 +200,7 @@ def missing_members(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("merge_conversation", """
-    SELECT conv_id AS doc, 1::BIGINT AS volume_no, count(*) AS n_pages,
+    SELECT conv_id AS doc, count(*) AS n_pages,
            string_agg('<!-- source: page-' || turn || '_' || role || '.md -->' || chr(10) || '## Page '
                       || lpad(CAST(turn AS VARCHAR), 3, '0') || chr(10) || chr(10) || trim(text, chr(10) || ' '),
                       chr(10) || chr(10) || '---' || chr(10) || chr(10) ORDER BY turn) || chr(10) AS text
@@ -214,9 +213,36 @@ def merge_conversation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents.merge_pages(pages)
 
 
+# Pages as they may come: a NULL document, a missing text, a page that is there twice.
+_ODD_PAGES_SQL = """
+    SELECT CASE WHEN conv_id % 7 = 0 THEN NULL ELSE conv_id END AS doc, turn, role, name, text FROM (
+        SELECT conv_id, turn, role, 'page-' || turn || '_' || role || '.md' AS name,
+               CASE WHEN conv_id % 11 = 0 AND turn = 1 THEN NULL ELSE text END AS text FROM conversations
+        UNION ALL
+        SELECT conv_id, turn, role, 'page-' || turn || '_' || role || '.md', text FROM conversations WHERE conv_id % 5 = 0)"""
+
+
+@query("merge_parts", f"""
+    SELECT doc, row_number() OVER (PARTITION BY doc ORDER BY turn, body) AS part_no, body AS text FROM (
+        SELECT *, '<!-- source: ' || name || ' -->' || chr(10) || '## Page ' || lpad(CAST(turn AS VARCHAR), 3, '0')
+                  || chr(10) || chr(10) || trim(text, chr(10) || ' ') AS body
+        FROM ({_ODD_PAGES_SQL}) WHERE trim(text, chr(10) || ' ') <> '')
+""")
+def merge_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = table(spark, sf_dir, "conversations").withColumn(
+        "name", F.concat(F.lit("page-"), "turn", F.lit("_"), "role", F.lit(".md"))
+    )
+    missing = (F.col("conv_id") % 11 == 0) & (F.col("turn") == 1)
+    pages = own.withColumn("text", F.when(~missing, F.col("text"))).unionByName(own.filter("conv_id % 5 = 0"))
+    parts = documents.merge_parts(pages.select(
+        F.when(F.col("conv_id") % 7 != 0, F.col("conv_id")).alias("doc"), "name", "text"
+    ))
+    return parts.select("doc", "part_no", "text")
+
+
 def page_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select(F.col("page_id").alias("page"), "html")
-    return documents.extract_sections(spread(pages), section=None)
+    return documents.extract_sections(pages, section=None)
 
 
 def _plain_sql(markup: str) -> str:

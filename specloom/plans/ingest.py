@@ -136,8 +136,9 @@ def _named_part_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT raw_path, sheet_name, column_name,
            CASE WHEN count(value) = 0 THEN 'VARCHAR'
                 WHEN count(value) = count(*) FILTER (WHERE regexp_full_match(value, '(?i)true|false')) THEN 'BOOLEAN'
-                WHEN count(value) = count(*) FILTER (WHERE regexp_full_match(value, '[+-]?\d+')) THEN 'BIGINT'
-                WHEN count(value) = count(*) FILTER (WHERE regexp_full_match(value, '[+-]?(\d+\.?\d*|\.\d+)')) THEN 'DOUBLE'
+                WHEN count(value) = count(*) FILTER (WHERE CAST(TRY_CAST(value AS BIGINT) AS VARCHAR) = value) THEN 'BIGINT'
+                WHEN count(value) = count(*) FILTER (WHERE CAST(TRY_CAST(value AS BIGINT) AS VARCHAR) = value
+                     OR regexp_full_match(value, '[+-]?(\d+\.\d*|\.\d+)')) THEN 'DOUBLE'
                 ELSE 'VARCHAR' END AS data_type
     FROM ({PART_GRID_SQL}) GROUP BY raw_path, sheet_name, column_name
 """)

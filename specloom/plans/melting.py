@@ -10,7 +10,6 @@ from specloom.functions.text import product_key as product_key_of
 from specloom.operators import melt
 from specloom.plans.ingest import double_sql
 from specloom.plans.registry import query, table
-from specloom.session import spread
 
 EVENTS_SQL = f"""
     SELECT event_type AS company, 'user:' || user_id AS product_id, 'events' AS source_table,
@@ -55,7 +54,7 @@ WIDE_UNITS = {"quantity_kg": "kg", "price_mm": "mm", "discount_kgf": "kgf", "tax
 ))
 def melt_wide_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     measured = table(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey", "l_orderkey", "l_linenumber", *WIDE)
-    lines = spread(measured).withColumnsRenamed(WIDE)
+    lines = measured.withColumnsRenamed(WIDE)
     keys = {
         "product_id": F.concat(F.lit("part:"), F.col("l_partkey")),
         "source_table": F.concat(F.lit("supplier_"), F.col("l_suppkey")),

@@ -15,7 +15,6 @@ from specloom.functions.text import double_text
 from specloom.operators import mapping, melt, normalize
 from specloom.operators.mapping import Pattern
 from specloom.plans.registry import table
-from specloom.session import spread
 
 SYNONYMS = [
     ("l_quantity", "operating_weight", "exact"),
@@ -58,7 +57,7 @@ def raw_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_partkey", "l_suppkey", "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount",
         "l_tax", "l_returnflag", "l_linestatus",
     )
-    lines = spread(measured).join(
+    lines = measured.join(
         table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type"),
         F.col("l_partkey") == F.col("p_partkey"),
     )
@@ -244,7 +243,7 @@ def comparison_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     values = [
         F.struct(
             F.lit(name).alias("source_column"),
-            F.get(numbers, (line - 1) * len(MEASURES) + i).alias("canonical_item"),
+            F.get(numbers, ((line - 1) * len(MEASURES) + i) % len(NUMBER_ITEMS)).alias("canonical_item"),
             F.round(F.expr(formula), 4).alias("normalized_value_numeric"),
             F.lit(None).cast("string").alias("normalized_value_text"),
         )
@@ -252,7 +251,7 @@ def comparison_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     ]
     values.append(F.struct(
         F.lit("status").alias("source_column"),
-        F.get(texts, line - 1).alias("canonical_item"),
+        F.get(texts, (line - 1) % len(TEXT_ITEMS)).alias("canonical_item"),
         F.lit(None).cast("double").alias("normalized_value_numeric"),
         F.concat("l_returnflag", F.lit("/"), "l_linestatus").alias("normalized_value_text"),
     ))
@@ -260,7 +259,7 @@ def comparison_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_partkey", "l_suppkey", "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount",
         "l_tax", "l_returnflag", "l_linestatus",
     )
-    return spread(lines).select(
+    return lines.select(
         F.col("l_partkey").alias("product_id"),
         F.col("l_suppkey").alias("source_id"),
         (F.col("l_orderkey") * 10 + line).alias("source_row_id"),
@@ -275,19 +274,32 @@ def comparison_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("product_id"), F.col("p_brand").alias("company"),
-        F.col("p_name").alias("product_name"), F.col("p_type").alias("market_segment"),
+        F.col("p_name").alias("product_name"), F.concat(F.lit("M"), "p_size").alias("model_code"),
+        F.concat(F.lit("S"), F.col("p_size") % 10).alias("series"), F.col("p_type").alias("market_segment"),
+        F.when(F.col("p_size") > 25, "electric").otherwise("diesel").alias("power_type"),
+        F.when(F.col("p_size") > 5, F.col("p_size") % 2 == 0).alias("telescopic"),
+        F.when(F.col("p_retailprice") > 1000, "on sale").alias("sales_status"),
     )
 
 
+PRODUCT_SQL = {
+    "product_id": "p_partkey", "company": "p_brand", "product_name": "p_name", "model_code": "'M' || p_size",
+    "series": "'S' || p_size % 10", "market_segment": "p_type",
+    "power_type": "CASE WHEN p_size > 25 THEN 'electric' ELSE 'diesel' END",
+    "telescopic": "CASE WHEN p_size > 5 THEN p_size % 2 = 0 END",
+    "sales_status": "CASE WHEN p_retailprice > 1000 THEN 'on sale' END",
+}
+
+
 _RECORD_SELECTS = " UNION ALL ".join(
     [
         f"SELECT *, '{name}' AS source_column, (list_value({', '.join(repr(i) for i in NUMBER_ITEMS)}))"
-        f"[(l_linenumber - 1) * {len(MEASURES)} + {i + 1}] AS canonical_item, "
+        f"[((l_linenumber - 1) * {len(MEASURES)} + {i}) % {len(NUMBER_ITEMS)} + 1] AS canonical_item, "
         f"round({formula}, 4) AS normalized_value_numeric, NULL AS normalized_value_text FROM lineitem"
         for i, (name, formula) in enumerate(MEASURES)
     ]
     + [
-        f"SELECT *, 'status', (list_value({', '.join(repr(i) for i in TEXT_ITEMS)}))[l_linenumber], NULL, "
+        f"SELECT *, 'status', (list_value({', '.join(repr(i) for i in TEXT_ITEMS)}))[(l_linenumber - 1) % {len(TEXT_ITEMS)} + 1], NULL, "
         "l_returnflag || '/' || l_linestatus FROM lineitem"
     ]
 )

@@ -24,23 +24,24 @@ def best_record(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best(spark, sf_dir).select(*RECORD)
 
 
-def _pivot_sql(items: list[tuple[str, str, str]]) -> str:
+def _pivot_sql(columns: list[str], items: list[tuple[str, str, str]]) -> str:
+    attributes = ", ".join(f"{obs.PRODUCT_SQL[c]} AS {c}" for c in columns)
     cells = ", ".join(
         f"max(normalized_value_{kind}) FILTER (WHERE canonical_item = '{item}') AS {column}"
         for item, column, kind in items
     )
     return f"""
         WITH {obs.BEST_CTE}
-        SELECT p_partkey AS product_id, p_brand AS company, p_name AS product_name, p_type AS market_segment, {cells}
-        FROM part LEFT JOIN best ON p_partkey = product_id GROUP BY ALL
+        SELECT {attributes}, cells.* EXCLUDE (_id) FROM part
+        LEFT JOIN (SELECT product_id AS _id, {cells} FROM best GROUP BY product_id) AS cells ON p_partkey = _id
     """
 
 
-@query("comparison_core", _pivot_sql([(item, column, "numeric") for item, column in CORE_ITEMS]))
+@query("comparison_core", _pivot_sql(resolve.CORE_PRODUCT_COLUMNS, [(item, column, "numeric") for item, column in CORE_ITEMS]))
 def comparison_core(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return resolve.comparison(obs.products(spark, sf_dir), best(spark, sf_dir))
+    return resolve.comparison(obs.products(spark, sf_dir).select(*resolve.CORE_PRODUCT_COLUMNS), best(spark, sf_dir))
 
 
-@query("comparison_full", _pivot_sql(FULL_ITEMS))
+@query("comparison_full", _pivot_sql(resolve.FULL_PRODUCT_COLUMNS, FULL_ITEMS))
 def comparison_full(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return resolve.comparison_full(obs.products(spark, sf_dir), best(spark, sf_dir))
+    return resolve.comparison_full(obs.products(spark, sf_dir).select(*resolve.FULL_PRODUCT_COLUMNS), best(spark, sf_dir))

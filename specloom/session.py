@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
@@ -11,12 +12,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 SHUFFLE_PARTITION_BYTES = 256 * 1024 * 1024
-MAX_SHUFFLE_PARTITIONS = 50_000
 
 
 def shuffle_partitions(shuffled_bytes: int, cores: int = 1) -> int:
     """Partitions that keep a shuffle of this size within the memory of a task."""
-    return max(cores, min(MAX_SHUFFLE_PARTITIONS, -(-shuffled_bytes // SHUFFLE_PARTITION_BYTES)))
+    return max(cores, -(-shuffled_bytes // SHUFFLE_PARTITION_BYTES))
 
 
 def get_session(
@@ -89,25 +89,42 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
 
 
+_written: dict[str, list[str]] = {}
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` as a table in the shared checkpoint folder and read it from there.
 
     What is read back no longer depends on how or where it was computed, and
-    later passes read only the columns they need.
+    later passes read only the columns they need.  The table stays until
+    ``release`` or the end of the ``released`` block it was written in.
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     path = f"{spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Share out a small scan before costly per-row work.
+def release(spark: SparkSession, keep: int = 0) -> int:
+    """Delete the tables ``cut_lineage`` has written, but for the first ``keep``; returns how many went.
 
-    A table in one small file is read by one task, which then does all the
-    work on it.  Only scans with fewer splits than half the cores are moved;
-    large tables have plenty and stay where they are.
+    Frames that still read one of them can no longer be run.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() * 2 <= cores else df
+    paths = _written.get(spark.sparkContext.applicationId, [])
+    gone, paths[keep:] = paths[keep:], []
+    for path in gone:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    return len(gone)
+
+
+@contextlib.contextmanager
+def released(spark: SparkSession):
+    """Delete, at the end of the block, the tables written in it."""
+    before = len(_written.get(spark.sparkContext.applicationId, []))
+    try:
+        yield
+    finally:
+        release(spark, before)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import csv
 import io
+import sys
 from collections.abc import Iterator, Sequence
 from itertools import chain
 
@@ -16,12 +17,12 @@ from specloom.operators.ordering import with_position
 from specloom.session import cut_lineage
 
 GRID = "raw_path string, sheet_name string, row_no bigint, col_no int, value string"
-MAX_BROADCAST_BLOCKS = 1_000_000
 _BATCH_CELLS = 50_000
 
 
 def _cells(path: str, sheet: str, rows: Iterator[tuple[int, list[str]]]) -> Iterator[pd.DataFrame]:
-    """The rows' cells in batches; an empty field is NULL."""
+    """The rows' cells in batches; an empty field is NULL and a field may have any length."""
+    csv.field_size_limit(sys.maxsize)
     batch: list[tuple] = []
     for row_no, fields in rows:
         batch.extend((path, sheet, row_no, i, f or None) for i, f in enumerate(fields, start=1))
@@ -76,8 +77,6 @@ def numbered_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame
     offsets = blocks.select(
         "path", "_block", "_first", F.coalesce(F.sum("_lines").over(before), F.lit(0)).alias("_offset")
     )
-    if blocks.count() <= MAX_BROADCAST_BLOCKS:
-        offsets = F.broadcast(offsets)
     number = F.col("_offset") + F.col("_id") - F.col("_first") + 1
     return lines.join(offsets, ["path", "_block"]).select("path", number.alias("line_no"), "line")
 

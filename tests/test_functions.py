@@ -114,3 +114,12 @@ def test_relative_path(spark):
 def test_series_number(spark):
     fn = lambda c: text.series_number(c, 9999)
     assert apply(spark, ["e500 series", "Small", None], fn) == [500, 9999, 9999]
+
+
+@pytest.mark.parametrize("value, unit, expected", [
+    ("885 (33.5)", "mm (in)", (885.0, "mm")), ("33.5 (885)", "in (mm)", (885.0, "mm")),
+    ("20 hp (14.9 kW)", None, (14.9, "kW")), ("14.9 kW (20 hp)", None, (14.9, "kW")),
+])
+def test_dual_notation_takes_the_metric_side(spark, value, unit, expected):
+    unit_col = F.lit(unit).cast("string")
+    assert tuple(apply(spark, [value], lambda c: numbers.dual_notation(c, unit_col))[0]) == expected

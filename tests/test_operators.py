@@ -8,7 +8,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from specloom.operators import catalogue, compare, documents, melt, normalize, ordering, quality, resolve
+from specloom.operators import catalogue, compare, documents, header, mapping, melt, normalize, ordering, quality, resolve
 from specloom.operators.mapping import Pattern, resolve_mapping
 
 
@@ -191,12 +191,13 @@ def test_arg_extreme_treats_zero_as_missing(spark):
     assert rows(compare.arg_extreme(df, ["b"], "v", ["i"], ["i"], False), "b", "i") == [("b", 0), ("c", 1)]
 
 
-def test_deep_pages_match_shallow_ones(spark, monkeypatch):
+def test_pages_are_slices_of_the_sorted_table(spark):
     df = spark.range(1000).withColumn("v", F.col("id") % 17)
     order = [F.col("v").desc(), F.col("id").asc()]
-    shallow = rows(catalogue.page(df, order, 50, 300))
-    monkeypatch.setattr(catalogue, "DEEP_OFFSET", 10)
-    assert rows(catalogue.page(df, order, 50, 300)) == shallow
+    everything = [tuple(r) for r in df.orderBy(*order).collect()]
+    for offset in (0, 300, 990, 2000):
+        assert sorted(tuple(r)[:2] for r in catalogue.page(df, order, 50, offset).collect()) == sorted(
+            everything[offset : offset + 50])
     assert len(rows(catalogue.page(df, order, 9999, -5))) == catalogue.MAX_PAGE
 
 
@@ -225,16 +226,21 @@ def test_structure_and_headings(spark):
         (dt.date(2026, 7, 5), "ingest", "t", 2), (dt.date(2026, 7, 6), "lint", "u", 0)]
 
 
-def test_merged_pages_and_volumes(spark):
+def test_merged_pages_and_parts(spark):
     data = [("d", f"page-{n:03d}.md", f" text {n} \n") for n in (2, 10, 1, 1000)] + [("d", "page-x.md", "t"), ("d", "page-004_a.md", " ")]
     pages = spark.createDataFrame(data, "doc string, name string, text string")
     whole = documents.merge_pages(pages).collect()
     assert len(whole) == 1 and whole[0].n_pages == 4
     assert whole[0].text == "\n\n---\n\n".join(
         f"<!-- source: page-{n:03d}.md -->\n## Page {n:03d}\n\ntext {n}" for n in (1, 2, 10, 1000)) + "\n"
-    volumes = documents.merge_pages(pages, max_chars=80).orderBy("volume_no").collect()
-    assert len(volumes) > 1
-    assert "\n---\n\n".join(v.text for v in volumes) == whole[0].text
+    parts = documents.merge_parts(pages).orderBy("part_no").collect()
+    assert [p.part_no for p in parts] == [1, 2, 3, 4]
+    assert "\n\n---\n\n".join(p.text for p in parts) + "\n" == whole[0].text
+    odd = spark.createDataFrame(
+        [(None, "page-001.md", "a"), (None, "page-001.md", "a"), ("d", "page-002.md", None), ("d", None, "x")],
+        "doc string, name string, text string")
+    assert [(p.doc, p.part_no) for p in documents.merge_parts(odd).orderBy("part_no").collect()] == [(None, 1), (None, 2)]
+    assert rows(documents.page_findings(odd), "page", "detail") == [("d", "page number"), ("d/page-002.md", "empty page")]
     assert rows(documents.page_findings(pages), "page", "detail") == [
         ("d/page-004_a.md", "empty page"), ("d/page-x.md", "page number")]
 
@@ -314,3 +320,71 @@ def test_generated_code_is_small_enough_to_be_compiled(spark):
             assert sizes and max(sizes) < 8000, (name, sizes)
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+OBS = "raw_item_name string, company string, raw_category string, raw_unit string"
+
+
+def test_rules_never_multiply_rows(spark):
+    obs = spark.createDataFrame([("weight", "c", "k", "kg"), (" WEIGHT ", "c", "k", "KG."), ("x", "c", "k", None)], OBS)
+    again = [("Weight", "w", "exact"), ("weight ", "w", "exact")]
+    assert mapping.map_synonyms(obs, again).filter("canonical_item = 'w'").count() == 2
+    assert mapping.map_synonyms(obs, again).count() == 3
+    with pytest.raises(ValueError):
+        mapping.map_synonyms(obs, [*again, ("WEIGHT", "other", "exact")])
+    table = spark.createDataFrame([("Weight", "w", "exact"), ("weight", "v", "exact")], "a string, b string, c string")
+    assert mapping.map_synonyms(obs, table).count() == 3
+    assert mapping.map_synonyms(obs, []).filter("canonical_item is not null").count() == 0
+    factors = normalize.with_factor(obs.withColumn("canonical_unit", F.lit("kg")), [("KG", "kg", 1.0), ("kg.", "kg", 1.0)])
+    assert factors.count() == 3 and factors.filter("factor = 1.0").count() == 2
+    assert normalize.with_factor(obs.withColumn("canonical_unit", F.lit("kg")), []).count() == 3
+
+
+def test_patterns_of_one_id_are_refused_and_order_is_by_id(spark):
+    def rule(number, item, company=None):
+        return mapping.Pattern(number, "weight", company, None, None, item, "regex", 0.8)
+
+    obs = spark.createDataFrame([("weight", "c", "k", "kg")], OBS)
+    assert mapping.map_patterns(obs, [rule(2, "b", "c"), rule(1, "a")]).first().canonical_item == "a"
+    with pytest.raises(ValueError):
+        mapping.map_patterns(obs, [rule(1, "a"), rule(1, "b", "c")])
+
+
+def test_whole_numbers_codes_and_nulls_keep_what_they_are(spark):
+    cells = spark.createDataFrame(
+        [("p", "s", c, v) for c, values in {
+            "long": ["9223372036854775807", "-1"], "beyond": ["9223372036854775808"], "code": ["007", "12"],
+            "mixed": ["1", "2.5"], "plus": ["+5"]}.items() for v in values],
+        "raw_path string, sheet_name string, column_name string, value string")
+    assert rows(header.infer_types(cells), "column_name", "data_type") == [
+        ("beyond", "VARCHAR"), ("code", "VARCHAR"), ("long", "BIGINT"), ("mixed", "DOUBLE"), ("plus", "VARCHAR")]
+    df = spark.createDataFrame([(9007199254740993,), (1,), (None,)], "n bigint")
+    found = catalogue.summarize(df).first()
+    assert (found.min_value, found.max_value) == ("1", "9007199254740993")
+
+
+def test_null_ranks_and_null_products(spark):
+    rows_ = spark.createDataFrame([("k", None, "x"), ("k", 1, "y")], "k string, r int, v string")
+    assert melt.build_products(rows_, ["k"], ["v"], ["r"]).first().v == "y"
+    specs = spark.createDataFrame(
+        [(None, "i", 1.0, None, "t"), (None, "i", 2.0, None, "u"), ("p", "i", 1.0, None, "t")],
+        "product_id string, canonical_item string, normalized_value_numeric double, normalized_value_text string, source_table string")
+    assert quality.flag_conflicts(specs).filter("conflict_status is not null").count() == 2
+    assert rows(quality.conflicts(specs), "product_id", "sources") == [(None, "t | u")]
+
+
+def test_bins_and_bounds_of_an_outlier(spark):
+    df = spark.createDataFrame([("m", "b", 1e12), ("m", "b", 1.0), ("m", "b", float("nan"))], "metric string, brand string, value double")
+    assert [(r.bin_no, r.n) for r in compare.histogram(df, [("m", 1.0)]).orderBy("bin_no").collect()] == [(0, 1), (999999999998, 1)]
+    assert tuple(compare.filter_bounds(df.filter("value = 1e12"), "value").first()) == (10**12, 10**12)
+
+
+def test_tables_written_in_a_block_are_gone_after_it(spark):
+    import os
+
+    from specloom.session import cut_lineage, released
+
+    with released(spark):
+        path = cut_lineage(spark.range(3)).inputFiles()[0].removeprefix("file:").replace("//", "/")
+        assert os.path.exists(path)
+    assert not os.path.exists(path)

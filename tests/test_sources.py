@@ -117,3 +117,28 @@ def test_raw_table_formats(spark, tmp_path):
         tables.read_table(spark, "t.xlsx")
     tables.register_views({"raw_t": df})
     assert rows(spark.sql("WITH t AS (SELECT * FROM raw_t) SELECT max(a) AS m FROM t"), "m") == [(2,)]
+
+
+def test_long_fields_are_read_whole(spark, tmp_path):
+    (tmp_path / "long.csv").write_text("a,b\n" + "x" * 200_000 + ",1\n")
+    for read in (sheets.read_grid, sheets.read_line_grid):
+        assert read(spark, str(tmp_path / "long.csv")).filter("length(value) = 200000").count() == 1
+
+
+def test_python_steps_run_from_another_folder(tmp_path):
+    """A process that starts elsewhere, without the package on its workers' path."""
+    import os
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    (tmp_path / "s.csv").write_text("a,b\n1,2\n")
+    code = (
+        f"import sys; sys.path.insert(0, {root!r})\n"
+        "from specloom.session import get_session\nfrom specloom.sources import sheets\n"
+        "spark = get_session(master='local[1]', spark__ui__enabled='false')\n"
+        f"print('cells', sheets.read_grid(spark, {str(tmp_path / 's.csv')!r}).count())\n"
+    )
+    env = {k: v for k, v in os.environ.items() if k not in ("PYTHONPATH", "PYSPARK_GATEWAY_PORT", "PYSPARK_GATEWAY_SECRET")}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert "cells 4" in done.stdout, done.stderr[-2000:]
