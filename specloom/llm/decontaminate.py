@@ -304,3 +304,34 @@ def _summary(found: DataFrame) -> DataFrame:
 def sha256_of(items: list[str]) -> str:
     """The digest of a list of ids, for tests."""
     return hashlib.sha256(",".join(sorted(items)).encode()).hexdigest()
+
+
+def oracle(window: int = WINDOW) -> str:
+    """The digest columns in DuckDB's SQL."""
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    words = (
+        f"regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{lower}'), "
+        r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+    )
+    return f"""
+WITH d AS (SELECT doc_id, {words} AS words FROM documents),
+i AS (SELECT CAST(item_id AS VARCHAR) AS item_id, {words} AS words FROM benchmark),
+cut AS (
+  SELECT item_id, words, least({window}, len(words)) AS n FROM i WHERE len(words) > 0),
+win AS (
+  SELECT DISTINCT item_id, n, array_to_string(words[p:p + n - 1], ' ') AS k
+  FROM (SELECT *, unnest(range(1, len(words) - n + 2)) AS p FROM cut)),
+places AS (
+  SELECT doc_id, n, p, array_to_string(words[p:p + n - 1], ' ') AS k
+  FROM (SELECT doc_id, words, n, unnest(range(1, len(words) - n + 2)) AS p
+        FROM d, (SELECT DISTINCT n FROM win) WHERE len(words) >= n)),
+hits AS (SELECT doc_id, p, places.n, item_id FROM places JOIN win USING (k)),
+covered AS (
+  SELECT doc_id, count(DISTINCT spot) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + n)) AS spot FROM hits) GROUP BY doc_id),
+named AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+  FROM (SELECT DISTINCT doc_id, item_id FROM hits) GROUP BY doc_id)
+SELECT d.doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
+"""

@@ -75,7 +75,7 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(_table(spark, sf_dir, "documents"))
 
 
-@_query("op6_decontaminate")
+@_query("op6_decontaminate", decontaminate.oracle())
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_contamination(
         _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
