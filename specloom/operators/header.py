@@ -143,6 +143,27 @@ def named_cells(grid: DataFrame, header_rows: int = 1) -> DataFrame:
     return drop_blank_rows(named)
 
 
+def typed_cells(cells: DataFrame, column: str = "column_name") -> DataFrame:
+    """The cells with their column's type and their value in it: text, whole number, number or truth value.
+
+    ``text_value`` always has the original; of the other three the one of the
+    type is filled.  No cast can fail: a column has a type only if all its
+    values have it.
+    """
+    names = [*SHEET, column]
+    types = infer_types(cells, column).select(*[F.col(c).alias(f"_{c}") for c in names], "data_type")
+    same = F.lit(True)
+    for c in names:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    kind, value = F.col("data_type"), F.col("value")
+    return cells.join(types, same).drop(*[f"_{c}" for c in names]).withColumns({
+        "text_value": value,
+        "integer_value": F.when(kind == "BIGINT", value.try_cast("bigint")),
+        "number_value": F.when(kind.isin("BIGINT", "DOUBLE"), value.try_cast("double")),
+        "truth_value": F.when(kind == "BOOLEAN", F.lower(value) == "true"),
+    }).drop("value")
+
+
 def import_manifest(cells: DataFrame, loaded_at: Column | None = None) -> DataFrame:
     """Per sheet: its columns in order, joined with ``', '``, its rows, the load time."""
     names = F.array_sort(F.collect_set(F.struct("col_no", "column_name")))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from specloom.operators import documents
@@ -278,6 +278,71 @@ def page_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_sections(spark, sf_dir).select("page", F.posexplode("paragraphs").alias("paragraph_no", "paragraph"))
 
 
+_SECTION_SQL = """
+    SELECT p_partkey AS page, CAST(section_no AS INTEGER) AS section_no, p_name, p_brand, p_type, p_size
+    FROM part, (SELECT unnest([1, 2]) AS section_no)"""
+
+
+def _part_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sections of pages made of parts, two alike on each page but for the number in their texts."""
+    def section(number: int) -> Column:
+        return F.concat(
+            F.lit(f'<section class="slide s{number}"><p class="eyebrow">'), "p_brand", F.lit(f" {number}</p><h2>"), "p_name",
+            F.lit(' &amp; <em>more</em></h2><p class="lead">Lead of\n '), "p_type", F.lit('</p><p class="meta">'), "p_size",
+            F.lit("</p><ul><li>one</li><li>two</li></ul>"),
+            F.lit('<div class="card"><span class="badge">'), "p_brand", F.lit("</span><h3>"), "p_name",
+            F.lit("</h3><p>Size<br>"), "p_size", F.lit('</p></div><div class="card"><h3>'), "p_type", F.lit("</h3></div>"),
+            F.lit("<table><tr><th>type</th><th>size</th></tr><tr><td>"), "p_type", F.lit("</td><td>"), "p_size",
+            F.lit(f"</td></tr></table><p>Text {number} of "), "p_name", F.lit(".</p></section>"),
+        )
+
+    pages = table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("page"),
+        F.concat(F.lit("<html><body><nav>x</nav>"), section(1), section(2), F.lit("</body></html>")).alias("html"),
+    )
+    return documents.extract_sections(pages)
+
+
+@query("section_fields", f"""
+    SELECT page, section_no, p_name || ' & more' AS title, p_brand || ' ' || section_no AS eyebrow,
+           'Lead of ' || p_type AS lead, CAST(p_size AS VARCHAR) AS meta FROM ({_SECTION_SQL})
+""")
+def section_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _part_sections(spark, sf_dir).select("page", "section_no", "title", "eyebrow", "lead", "meta")
+
+
+@query("section_cards", f"""
+    SELECT page, section_no, CAST(unnest([1, 2]) AS INTEGER) AS card_no, unnest([p_brand, '']) AS badge,
+           unnest([p_name, p_type]) AS title, unnest(['Size ' || p_size, '']) AS body FROM ({_SECTION_SQL})
+""")
+def section_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _part_sections(spark, sf_dir).select("page", "section_no", F.posexplode("cards").alias("_at", "card")).select(
+        "page", "section_no", (F.col("_at") + 1).alias("card_no"), "card.badge", "card.title", "card.body"
+    )
+
+
+@query("section_tables", f"""
+    SELECT page, section_no, CAST(unnest([1, 2]) AS INTEGER) AS row_no, unnest(['type', p_type]) AS first_cell,
+           unnest(['size', CAST(p_size AS VARCHAR)]) AS second_cell FROM ({_SECTION_SQL})
+""")
+def section_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _part_sections(spark, sf_dir).select("page", "section_no", F.explode("tables").alias("rows"))
+    return rows.select("page", "section_no", F.posexplode("rows").alias("_at", "cells")).select(
+        "page", "section_no", (F.col("_at") + 1).alias("row_no"), F.get("cells", F.lit(0)).alias("first_cell"),
+        F.get("cells", F.lit(1)).alias("second_cell"),
+    )
+
+
+@query("section_paragraphs", f"""
+    SELECT page, section_no, CAST(unnest([1, 2]) AS INTEGER) AS paragraph_no,
+           unnest(['Size ' || p_size, 'Text ' || section_no || ' of ' || p_name || '.']) AS paragraph FROM ({_SECTION_SQL})
+""")
+def section_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _part_sections(spark, sf_dir).select(
+        "page", "section_no", F.posexplode("paragraphs").alias("_at", "paragraph")
+    ).select("page", "section_no", (F.col("_at") + 1).alias("paragraph_no"), "paragraph")
+
+
 @query("link_orphans", f"SELECT name, location FROM ({PAGES_SQL}) WHERE name NOT IN (SELECT target FROM ({LINKS_SQL}))")
 def link_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents.orphan_pages(page_links(spark, sf_dir), page_names(spark, sf_dir))

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from specloom.functions import text
 from specloom.operators import header
 from specloom.plans.registry import query, table
+from specloom.session import ensure_checkpoint_dir
 from specloom.sources import sheets
+from specloom.sources.tables import read_table
 
 PART_COLUMNS = ["p_name", "p_brand", "p_size", "p_retailprice"]
 
@@ -146,6 +150,109 @@ def infer_types_part(spark: SparkSession, sf_dir: str) -> DataFrame:
     return header.infer_types(_named_part_cells(spark, sf_dir))
 
 
+IMPORT_HEADER = ["Part Name", "Brand", "Size", "Retail Price"]
+_BLANK = "p_size % 10 = 0"
+
+
+@query("infer_types_long", """
+    SELECT 'tables/orders' AS raw_path, o_orderpriority AS sheet_name, column_name,
+           CASE column_name WHEN 'long' THEN 'BIGINT' WHEN 'share' THEN 'DOUBLE' ELSE 'VARCHAR' END AS data_type
+    FROM (SELECT DISTINCT o_orderpriority FROM orders), (SELECT unnest(['long', 'beyond', 'code', 'share']) AS column_name)
+""")
+def infer_types_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole numbers of 19 digits, longer ones, codes with leading zeros, and numbers with a part."""
+    key = F.col("o_orderkey")
+    cells = table(spark, sf_dir, "orders").select(
+        F.lit("tables/orders").alias("raw_path"), F.col("o_orderpriority").alias("sheet_name"),
+        F.inline(F.array(*[
+            F.struct(F.lit(name).alias("column_name"), value.alias("value")) for name, value in (
+                ("long", (F.lit(9223372036854775807) - key).cast("string")),
+                ("beyond", F.concat(F.lit("9223372036854775808"), key)),
+                ("code", F.concat(F.lit("0"), key)),
+                ("share", F.concat(key, F.lit(".5"))),
+            )
+        ])),
+    )
+    return header.infer_types(cells)
+
+
+@query("import_table", f"""
+    WITH numbered AS (
+        SELECT *, row_number() OVER (PARTITION BY p_type ORDER BY p_partkey) + 1 AS row_no FROM part)
+    SELECT 'tables/part' AS raw_path, p_type AS sheet_name, row_no,
+           CAST(unnest([1, 2, 3, 4]) AS INTEGER) AS col_no,
+           unnest(['Part_Name', 'Brand', 'Size', 'Retail_Price']) AS column_name,
+           unnest(['VARCHAR', 'VARCHAR', 'BIGINT', 'DOUBLE']) AS data_type,
+           unnest([p_name, p_brand, CAST(p_size AS VARCHAR), {double_sql('p_retailprice')}]) AS text_value,
+           unnest([NULL, NULL, CAST(p_size AS BIGINT), NULL]) AS integer_value,
+           unnest([NULL, NULL, CAST(p_size AS DOUBLE), p_retailprice]) AS number_value,
+           NULL::BOOLEAN AS truth_value
+    FROM numbered WHERE NOT ({_BLANK})
+""")
+def import_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole import: header row, names, blank rows out, types, typed values, row numbers."""
+    parts = table(spark, sf_dir, "part")
+    blank = F.expr(_BLANK)
+    rows = parts.select("p_partkey", "p_type", *[F.when(~blank, F.col(c)).alias(c) for c in PART_COLUMNS])
+    data = sheets.to_grid(
+        rows, F.col("p_type"), [F.col("p_partkey").asc()], PART_COLUMNS, F.lit("tables/part"), skip_blank=True
+    )
+    top = parts.select("p_type").distinct().select(
+        F.lit("tables/part").alias("raw_path"), F.col("p_type").alias("sheet_name"), F.lit(1).cast("bigint").alias("row_no"),
+        F.posexplode(F.array(*[F.lit(h) for h in IMPORT_HEADER])).alias("_pos", "value"),
+    ).select("raw_path", "sheet_name", "row_no", (F.col("_pos") + 1).alias("col_no"), "value")
+    names = header.unique_names(header.clean_names(header.build_header(top, 1))).drop("header")
+    return header.typed_cells(data.join(names, ["raw_path", "sheet_name", "col_no"]))
+
+
+def _fresh_folder(spark: SparkSession) -> str:
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/files-{uuid.uuid4().hex}"
+
+
+@query("sheets_round_trip", f"""
+    SELECT p_type AS sheet, CAST(p_partkey AS VARCHAR) AS p_partkey, p_name, p_brand, CAST(p_size AS VARCHAR) AS p_size,
+           {double_sql('p_retailprice')} AS p_retailprice FROM part
+""")
+def sheets_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table written as sheets and read back."""
+    folder = _fresh_folder(spark)
+    columns = ["p_partkey", "p_name", "p_brand", "p_size", "p_retailprice"]
+    parts = table(spark, sf_dir, "part")
+    kinds = dict(parts.dtypes)
+    sheets.write_sheets_csv(
+        parts.select(F.col("p_type").alias("sheet"), *[text.to_text(F.col(c), kinds[c]).alias(c) for c in columns]),
+        folder, "sheet",
+    )
+    return read_table(spark, folder, "csv", ", ".join(f"{c} string" for c in [*columns, "sheet"])).select("sheet", *columns)
+
+
+@query("report_csv_bom", "SELECT CAST(n_nationkey AS VARCHAR) AS n_nationkey, n_name FROM nation")
+def report_csv_bom(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A report file that begins with a byte-order mark."""
+    folder = _fresh_folder(spark)
+    body = table(spark, sf_dir, "nation").select(
+        F.concat_ws(",", F.col("n_nationkey").cast("string"), F.concat(F.lit('"'), "n_name", F.lit('"'))).alias("value")
+    )
+    # each part is a report of its own, with its own mark and header
+    body.select(F.concat(F.lit("\ufeffn_nationkey,n_name\n"), "value").alias("value")).write.text(folder)
+    return sheets.read_report_csv(spark, folder).filter("n_nationkey <> 'n_nationkey' and n_name is not null").select(
+        F.regexp_replace("n_nationkey", "\ufeff", "").alias("n_nationkey"), "n_name"
+    ).filter("n_nationkey <> 'n_nationkey'")
+
+
+@query("csv_table", f"""
+    SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderstatus, {double_sql('o_totalprice')} AS o_totalprice FROM orders
+""")
+def csv_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table written as CSV and read in splits; all columns stay text."""
+    folder = _fresh_folder(spark)
+    table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_orderstatus", text.double_text(F.col("o_totalprice")).alias("o_totalprice")
+    ).write.csv(folder, header=True)
+    return read_table(spark, folder, "csv")
+
+
 @query("manifest", f"""
     SELECT raw_path, sheet_name, 'p_name, p_brand, p_size, p_retailprice' AS columns,
            count(DISTINCT row_no) AS row_count

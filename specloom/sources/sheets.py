@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from specloom.functions.text import relative_path, sheet_file_name, to_text
+from specloom.functions.text import is_blank, relative_path, sheet_file_name, to_text
 from specloom.operators.ordering import with_position
 from specloom.session import cut_lineage
 
@@ -82,9 +82,12 @@ def numbered_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame
 
 
 def read_line_grid(
-    spark: SparkSession, paths: str | Sequence[str], root: str = "", delimiter: str = ","
+    spark: SparkSession, paths: str | Sequence[str], root: str = "", delimiter: str = ",", skip_blank: bool = False
 ) -> DataFrame:
-    """The cells of long delimited files without line breaks inside fields."""
+    """The cells of long delimited files without line breaks inside fields.
+
+    ``skip_blank`` leaves out lines whose fields are all blank before they become cells.
+    """
     lines = numbered_lines(spark, paths).select(
         relative_path(F.col("path"), root).alias("raw_path"),
         F.regexp_extract("path", r"([^/]+?)(?:\.[^./]*)?$", 1).alias("sheet_name"),
@@ -100,6 +103,8 @@ def read_line_grid(
         for batch in batches:
             for (path, sheet), part in batch.groupby(["raw_path", "sheet_name"], sort=False):
                 numbered = ((no, fields(line)) for no, line in zip(part["row_no"], part["line"]))
+                if skip_blank:
+                    numbered = ((no, row) for no, row in numbered if any(f.strip() for f in row))
                 yield from _cells(path, sheet, numbered)
 
     return lines.mapInPandas(split, GRID)
@@ -121,16 +126,21 @@ def to_grid(
     cols: Sequence[str],
     raw_path: Column,
     header_rows: int = 1,
+    skip_blank: bool = False,
 ) -> DataFrame:
     """A table as data cells; row numbers count from after the header.
 
     Rows are numbered over range slices, so a sheet may hold any share of them.
+    ``skip_blank`` leaves out rows whose cells are all blank while they are still
+    whole rows, which needs no shuffle; the others keep their numbers.
     """
     kinds = dict(df.dtypes)
     numbered = with_row_numbers(
         df.withColumn("sheet_name", sheet), ["sheet_name"], order, header_rows
     )
     cells = F.array(*[to_text(F.col(c), kinds[c]) for c in cols])
+    if skip_blank:
+        numbered = numbered.filter(F.exists(cells, lambda c: ~is_blank(c)))
     return numbered.select(
         raw_path.alias("raw_path"),
         "sheet_name",
