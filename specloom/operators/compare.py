@@ -79,24 +79,40 @@ def arg_extreme(
 
 
 def brand_summary(df: DataFrame, brand: str, series: str, powertrain: str, order: Sequence[str]) -> DataFrame:
-    """Models, electric models, series and powertrains per brand; brands without rows are absent."""
+    """Models, electric models, series and powertrains per brand; brands without rows are absent.
+
+    The lists are for catalogues of brands; ``brand_series`` has the series of
+    any number as rows.
+    """
     model = ~F.col("is_series_summary")
 
     def listed(names: Column) -> Column:
         return F.array_join(F.array_sort(F.collect_set(F.when(model & (names != ""), names))), ", ")
 
+    named = F.when(model & (F.col(series) != ""), F.struct(
+        series_number(F.col(series), NO_SERIES_NUMBER).alias("number"), F.col(series).alias("name")
+    ))
+    series_list = F.array_join(F.transform(F.array_sort(F.collect_set(named)), lambda s: s["name"]), ", ")
     return (
         df.groupBy(brand)
         .agg(
             F.count_if(model).alias("n_models"),
             F.count_if(model & F.col("is_electric")).alias("n_electric"),
-            listed(F.col(series)).alias("series_names"),
+            series_list.alias("series_names"),
             listed(F.col(powertrain)).alias("powertrains"),
         )
         .withColumn("brand_rank", rank_of(F.col(brand), order, NO_BRAND_RANK))
     )
 
 
+def brand_series(df: DataFrame, brand: str, series: str) -> DataFrame:
+    """Each brand's series with their number of models; one row a series."""
+    models = df.filter(~F.col("is_series_summary") & (F.col(series) != ""))
+    return models.groupBy(brand, series).agg(
+        F.count("*").alias("n_models"), F.min(series_number(F.col(series), NO_SERIES_NUMBER)).alias("series_number")
+    )
+
+
 def metric_values(df: DataFrame, keep: Sequence[str], metrics: Sequence[tuple] = METRICS) -> DataFrame:
     """One row per row and metric with the parsed measure, NULL where there is none.
 
@@ -209,6 +225,10 @@ def histogram(metrics: DataFrame, steps: Sequence[tuple[str, float]]) -> DataFra
     )
 
 
+#: Bins made from one row.
+BIN_BLOCK = 10_000
+
+
 def stacked_bins(bins: DataFrame, order: Sequence[str]) -> DataFrame:
     """Brands on top of each other in each bin, with totals; empty bins have no brand.
 
@@ -222,8 +242,14 @@ def stacked_bins(bins: DataFrame, order: Sequence[str]) -> DataFrame:
         F.sum("n").over(one_bin).alias("bin_total"), F.sum("n").over(upward).alias("running_total"),
     )
     first = F.min(F.col("bin_start") - F.col("bin_no") * F.col("step"))
-    every = bins.groupBy("metric", "n_bins", "step").agg(first.alias("_first")).select(
-        "metric", "step", "_first", F.explode(F.sequence(F.lit(0), F.col("n_bins") - 1)).alias("bin_no")
+    # bins come in blocks, so that a fine step makes many rows and never one long array
+    last = F.col("n_bins") - 1
+    blocks = bins.groupBy("metric", "n_bins", "step").agg(first.alias("_first")).withColumn(
+        "_block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor(last / BIN_BLOCK).cast("bigint")))
+    )
+    begin = F.col("_block") * BIN_BLOCK
+    every = blocks.select(
+        "metric", "step", "_first", F.explode(F.sequence(begin, F.least(last, begin + BIN_BLOCK - 1))).alias("bin_no")
     )
     return every.join(stacked, ["metric", "bin_no"], "left").select(
         "metric", "bin_no", (F.col("_first") + F.col("bin_no") * F.col("step")).alias("bin_start"), "brand",

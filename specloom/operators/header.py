@@ -166,9 +166,16 @@ def typed_cells(cells: DataFrame, column: str = "column_name") -> DataFrame:
 
 def import_manifest(cells: DataFrame, loaded_at: Column | None = None) -> DataFrame:
     """Per sheet: its columns in order, joined with ``', '``, its rows, the load time."""
-    names = F.array_sort(F.collect_set(F.struct("col_no", "column_name")))
-    manifest = cells.groupBy(*SHEET).agg(
-        F.array_join(F.transform(names, lambda n: n["column_name"]), ", ").alias("columns"),
-        F.count_distinct("row_no").alias("row_count"),
+    names = F.array_sort(F.collect_list(F.struct("col_no", "column_name")))
+    columns = cells.select(*SHEET, "col_no", "column_name").distinct().groupBy(*SHEET).agg(
+        F.array_join(F.transform(names, lambda n: n["column_name"]), ", ").alias("columns")
     )
+    # rows are counted apart, so that no row carries the names along
+    counts = cells.select(*[F.col(c).alias(f"_{c}") for c in SHEET], "row_no").distinct().groupBy(
+        *[f"_{c}" for c in SHEET]
+    ).agg(F.count("row_no").alias("row_count"))
+    same = F.lit(True)
+    for c in SHEET:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    manifest = columns.join(counts, same).select(*SHEET, "columns", "row_count")
     return manifest.withColumn("loaded_at", F.current_timestamp() if loaded_at is None else loaded_at)

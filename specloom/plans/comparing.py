@@ -320,6 +320,15 @@ def brand_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare.brand_summary(flagged_parts(spark, sf_dir), "brand", "series", "powertrain", BRANDS)
 
 
+@query("brand_series", f"""
+    SELECT brand, series, count(*) AS n_models,
+           min(coalesce(TRY_CAST(regexp_extract(series, '[0-9]+') AS BIGINT), 9999)) AS series_number
+    FROM ({FLAGS_SQL}) WHERE NOT is_series_summary AND series <> '' GROUP BY brand, series
+""")
+def brand_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compare.brand_series(flagged_parts(spark, sf_dir), "brand", "series")
+
+
 # Lines as measured values of brands: four metrics, some zero, some missing.
 STEPS = [("quantity", 1.0), ("price", 100.0), ("discount", 0.02), ("tax", 1.0)]
 LINE_METRICS_SQL = """
