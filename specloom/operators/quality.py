@@ -16,6 +16,7 @@ from specloom.dictionaries import MAX_REPORT_PRIORITY, MIN_CONFIDENCE, dictionar
 from specloom.functions.numbers import unit_key
 from specloom.functions.text import double_text
 from specloom.operators.normalize import NO_RULE, PARSE_FAILED
+from specloom.session import cut_lineage
 
 LIST_SEPARATOR = " | "
 KEY = ["product_id", "canonical_item"]
@@ -44,7 +45,8 @@ def conflicts(normalized: DataFrame) -> DataFrame:
     only for the keys that turn out to conflict.
     """
     number = F.col("normalized_value_numeric")
-    statements = (
+    # kept as a table, since it is read twice and costly to make
+    statements = cut_lineage(
         normalized.withColumn("_value", stated_value())
         .groupBy(*KEY, "_value", "source_table")
         .agg(F.count("*").alias("_n"), F.min(number).alias("_low"), F.max(number).alias("_high"))
@@ -75,10 +77,12 @@ def conflicts(normalized: DataFrame) -> DataFrame:
 def flag_conflicts(normalized: DataFrame) -> DataFrame:
     """Every record with its conflict status; no value is changed.
 
-    The status comes from one small row per product and item.  The join back
+    The records are kept as a table, so that they are made once.  The status
+    comes from one small row per product and item.  The join back
     is one that adaptive execution may broadcast or split, as the status side
     has unique keys.
     """
+    normalized = cut_lineage(normalized)
     valued = normalized.withColumn("_value", stated_value())
     status = valued.groupBy(*KEY).agg(F.min("_value").alias("_least"), F.max("_value").alias("_most"))
     flag = F.when(F.col("_least").isNull(), UNDECIDED_VALUE).when(F.col("_least") < F.col("_most"), CONFLICT)
@@ -122,7 +126,7 @@ def missing_rate(
 
 def skewed_items(normalized: DataFrame, max_companies: int = 2) -> DataFrame:
     """Items that only a few companies state."""
-    pairs = normalized.select("canonical_item", "company", "product_id").distinct()
+    pairs = cut_lineage(normalized.select("canonical_item", "company", "product_id").distinct())
     few = (
         pairs.groupBy("canonical_item")
         .agg(F.count_distinct("company").alias("n_companies"), F.count_distinct("product_id").alias("n_products"))
