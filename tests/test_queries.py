@@ -5,6 +5,7 @@ import os
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from specloom.operators.resolve import CORE_PRODUCT_COLUMNS
 from specloom.oracle import connect, differences
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -28,7 +29,7 @@ def test_query(spark, con, name):
 
 def test_entry_is_the_core_comparison(spark):
     df = entry(spark)
-    assert df.columns[:4] == ["product_id", "company", "product_name", "market_segment"]
+    assert df.columns[:8] == CORE_PRODUCT_COLUMNS
     assert df.count() == spark.read.parquet("/root/testdata/sf0.001/part.parquet").count()
 
 
