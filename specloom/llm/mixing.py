@@ -38,6 +38,8 @@ BLOCK = 20_000
 PERIOD = 1000
 #: Default weights: the size of a source to this power, which lifts small sources.
 TEMPER = 0.8
+#: Sources, one small row each, up to which the ends of their selections are broadcast.
+BROADCAST_SOURCES = 100_000
 
 
 def source_key(source: Column) -> Column:
@@ -97,13 +99,16 @@ def tempered(sizes: Mapping[str, int], power: float = TEMPER) -> dict[str, float
     return {s: float(max(1, n)) ** power for s, n in sizes.items()}
 
 
-def schedule(docs: DataFrame, weights: Mapping[str, float] | None = None, block: int = BLOCK) -> DataFrame:
+def schedule(
+    docs: DataFrame, weights: Mapping[str, float] | None = None, block: int = BLOCK, sizes: Mapping[str, int] | None = None
+) -> DataFrame:
     """doc_id, source, block, release, deadline, slot and selected of every document.
 
-    ``weights`` has a weight for each ``source_key``; by default sizes are tempered.
+    ``weights`` has a weight for each ``source_key``; by default sizes are
+    tempered.  ``sizes`` are those of ``source_sizes``, if known already.
     """
     spark = docs.sparkSession
-    sizes = source_sizes(docs)
+    sizes = source_sizes(docs) if sizes is None else sizes
     slots = shares(tempered(sizes) if weights is None else weights)
     period = sum(slots.values())
     plan = period_schedule(slots)
@@ -141,9 +146,12 @@ def mixed(docs: DataFrame, weights: Mapping[str, float] | None = None, block: in
     A source's selection is a start of its order, so each source's last selected
     place says it all: texts are read and filtered, never shuffled.
     """
+    sizes = source_sizes(docs)
     key = F.struct(F.xxhash64("doc_id").alias("h"), F.col("doc_id").isNotNull().alias("n"), F.col("doc_id").alias("d"))
-    last = schedule(docs, weights, block).filter("selected").groupBy(F.col("source").alias("_mix_source")).agg(
+    last = schedule(docs, weights, block, sizes).filter("selected").groupBy(F.col("source").alias("_mix_source")).agg(
         F.max(key).alias("_mix_last")
     )
+    if len(sizes) <= BROADCAST_SOURCES:
+        last = F.broadcast(last)
     own = docs.withColumn("_mix_key", key).withColumn("_mix_source", source_key(F.col("source")))
     return own.join(last, "_mix_source").filter("_mix_key <= _mix_last").select(*[f"`{c}`" for c in docs.columns])
