@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 
 from specloom.llm import ragged
 from specloom.llm.decontaminate import WORDS, _Lookup
+from specloom.session import cut_lineage
 
 LEARN_TOXIC = 6_000
 LEARN_UNLABELLED = 18_000
@@ -148,13 +149,15 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     share = min(1.0, LEARN_UNLABELLED / max(1, texts.select("doc_id").count()))
     # salted apart from the choice of toxic texts
     drawn = F.pmod(F.xxhash64("doc_id", F.lit("unlabelled")), F.lit(1 << 30)) < int(share * (1 << 30))
-    marked = texts.join(toxic_ids.withColumn("_toxic", F.lit(True)), "doc_id", "left").select(
+    # about LEARN_TOXIC ids at most, so they go to the texts and not the other way round
+    flagged = F.broadcast(toxic_ids.withColumn("_toxic", F.lit(True)))
+    marked = texts.join(flagged, "doc_id", "left").select(
         "text", F.col("_toxic").isNotNull().alias("toxic"), drawn.alias("drawn")
     ).filter("toxic or drawn")
     # a text that is both is an example twice, as the estimator asks for
-    sample = marked.select("text", F.explode(
+    sample = cut_lineage(marked.select("text", F.explode(
         F.filter(F.array(F.when(F.col("toxic"), True), F.when(F.col("drawn"), False)), lambda x: x.isNotNull())
-    ).alias("toxic"))
+    ).alias("toxic")))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
