@@ -7,8 +7,8 @@ host's best path wins, and every page is extracted again from the containers
 under its host's winning path, or, where a page has none, from its own best one.
 
 Votes are summed before they are shuffled, so a host with a third of all pages
-is a few rows per task; pages meet their host's path in a plain join, whose
-large keys adaptive execution splits.
+is a few rows per task; pages meet their host's path in a join salted
+``SALTS`` ways, so that its pages are spread, too.
 
 Defined results: null or empty html gives an empty text with 0 characters; a
 null url, or one without a host, counts as the host "" of its own; ties go to
@@ -53,6 +53,8 @@ ASIDE_WORDS = frozenset(
     "related share sharing sidebar social sponsor sponsored subscribe subscription toolbar widget complementary "
     "contentinfo search alert gdpr consent reply replies respond".split()
 )
+#: Parts into which each host's pages are dealt.
+SALTS = 32
 _WORD = re.compile(r"[a-z]+")
 _SPACE = re.compile(r"\s+")
 _DIGITS = re.compile(r"\d+")
@@ -246,6 +248,9 @@ def main_text(pages: DataFrame) -> DataFrame:
                     ["page_id", "url", "text", "n_chars"],
                 )
 
-    named = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"))
-    placed = named.join(host_paths(pages), "host", "left").select("page_id", "url", "html", "path")
+    salt = F.pmod(F.xxhash64("page_id", "url", "html"), F.lit(SALTS)).cast("int")
+    named = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"), salt.alias("_salt"))
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt")
+    paths = host_paths(pages).select("host", "path", salts)
+    placed = named.join(paths, ["host", "_salt"], "left").select("page_id", "url", "html", "path")
     return ragged.map_in_arrow(placed, run, f"page_id {id_type}, url string, text string, n_chars long")
