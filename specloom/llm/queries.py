@@ -67,7 +67,7 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("op4_mixing")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.schedule(_table(spark, sf_dir, "documents"))
+    return mixing.schedule(_table(spark, sf_dir, "documents"), whole=True)
 
 
 @_query("op5_quality_rules", quality_rules.oracle())

@@ -1,3 +1,4 @@
+import numpy as np
 import pytest
 from helpers import SCHEMA, empty, odd, prose
 
@@ -72,3 +73,27 @@ def test_odd_rows_and_empty_table(spark):
     assert not unknown.filter("source = 'null' and (selected or slot is not null)").count()
     with pytest.raises(ValueError):
         mixing.shares({"a": 0.0})
+
+
+def test_a_tiny_or_empty_source_costs_only_its_own_slots(spark):
+    docs = docs_of(spark, {"a": 200, "b": 60, "c": 50, "tiny": 1})
+    docs = docs.unionByName(spark.createDataFrame([(900, "", "en", "none", 0, "x", 1, 1), (901, None, "en", "none", 0, "x", 1, 1)], SCHEMA))
+    found = mixing.schedule(docs, block=300, whole=True).collect()
+    assert len(found) == 313 and all(r.selected for r in found)
+    assert {r.doc_id for r in found if r.slot is None} == {900, 901}
+    placed = [r for r in found if r.slot is not None]
+    assert all(r.release <= r.slot < r.deadline for r in placed)
+    assert len({(r.source, r.block) for r in placed}) == len({r.slot for r in placed})
+    assert mixing.mixed(docs, block=300, whole=True).count() == 313
+    assert mixing.mixed(docs, {"=a": 1.0, "=tiny": 1.0}, 300, whole=True).count() == 201
+    # one without characters does not end the selection of equal shares, either
+    assert mixing.mixed(docs.filter("source <> 'tiny'"), block=300).count() > 250
+
+
+def test_tasks_go_on_where_the_one_before_ended(spark, monkeypatch):
+    units, ends = np.array([500, 300, 199, 1]), np.array([900, 40, 300, 3])
+    whole = mixing.run_slots(units, ends, np.zeros(4, np.int64), 0, 1243)
+    monkeypatch.setattr(mixing, "STEP", 100)
+    parts = mixing.slot_table(spark, list("abcd"), units, ends).orderBy("slot").collect()
+    assert [tuple(r) for r in parts] == [("abcd"[s], *x) for s, *x in whole.tolist()]
+    assert all(r.release <= r.slot < r.deadline for r in parts)
