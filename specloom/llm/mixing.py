@@ -9,7 +9,8 @@ mixture each source is less than one block away from its share.
 
 A source that runs out leaves the schedule, and the others go on with their
 weights renormalised: releases and deadlines are those of a flow in which every
-source has its share of each slot until its blocks are used up.  Every block
+source has its share of each slot until its blocks are used up.  Weights are not
+rounded to a period, so nothing adds up as the mixture grows.  Every block
 has a slot, and a small source costs only its own slots.
 
 The driver holds one small row per source; slots are worked out by tasks of
@@ -40,9 +41,11 @@ from pyspark.sql import functions as F
 
 from specloom.operators.ordering import with_running_total
 
-#: Characters of a block; slots of a period (more if there are many sources).
+#: Characters of a block; slots over which ``shares`` rounds (more if there are many sources).
 BLOCK = 20_000
 PERIOD = 1000
+#: Parts in which weights are counted, so fine that 100 million slots are off by less than a tenth of a block.
+PARTS = 2**32
 #: Slots worked out by one task.
 STEP = 65_536
 #: Default weights: the size of a source to this power, which lifts small sources.
@@ -143,7 +146,11 @@ def period_schedule(slots: Mapping[str, int]) -> list[tuple[str, int, int, int,
 
 
 def whole_weights(weights: Mapping[str, float]) -> dict[str, int]:
-    return shares(weights)
+    """Weights as whole parts of ``PARTS``: products with numbers of blocks stay exact in 64 bits."""
+    if weights and min(weights.values()) <= 0:
+        raise ValueError("weights must be above zero")
+    total = sum(weights.values())
+    return {s: max(1, round(w / total * PARTS)) for s, w in weights.items()}
 
 
 def slot_table(spark: SparkSession, names: list[str], units: np.ndarray, ends: np.ndarray) -> DataFrame:

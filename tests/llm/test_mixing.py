@@ -97,3 +97,18 @@ def test_tasks_go_on_where_the_one_before_ended(spark, monkeypatch):
     parts = mixing.slot_table(spark, list("abcd"), units, ends).orderBy("slot").collect()
     assert [tuple(r) for r in parts] == [("abcd"[s], *x) for s, *x in whole.tolist()]
     assert all(r.release <= r.slot < r.deadline for r in parts)
+
+
+def test_deviation_from_the_true_weights_stays_under_a_block_over_many_periods():
+    weights = {"hot": 0.24217} | {f"s{i:02}": (1 - 0.24218) / 19 for i in range(19)} | {"tiny": 1e-5}
+    parts = mixing.whole_weights(weights)
+    names, slots = sorted(parts), 200 * mixing.PERIOD
+    units = np.array([parts[s] for s in names])
+    ends = np.array([int(weights[s] * slots * 2) for s in names])
+    plan = mixing.run_slots(units, ends, np.zeros(len(names), np.int64), 0, slots)
+    for i, s in enumerate(names):
+        done = np.cumsum(plan[:, 0] == i)
+        assert abs(done - weights[s] * np.arange(1, slots + 1)).max() < 1.001
+        own = plan[plan[:, 0] == i]
+        assert list(own[:, 1]) == list(range(len(own))) and all(own[:, 2] <= own[:, 4]) and all(own[:, 4] < own[:, 3])
+    assert (plan[:, 0] == names.index("tiny")).sum() == 2
