@@ -1,9 +1,10 @@
 """Main text of web pages by consensus paths of their hosts.
 
 Every page's containers are scored by the text of their paragraphs less the text
-of their links.  A container's path is the list of tags and classes that lead to
+of their links, at any depth.  A container's path is the list of tags and classes that lead to
 it, with digits generalised.  Spark adds up the scores per host and path, each
-host's best path wins, and every page is extracted again from the containers
+deepest path that holds nearly all of a host's text wins, or the article or main
+around it, and every page is extracted again from the containers
 under its host's winning path, or, where a page has none, from its own best one.
 
 Votes are summed before they are shuffled, so a host with a third of all pages
@@ -28,6 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from specloom.llm import ragged
+from specloom.session import cut_lineage
 
 # Fixed values of HTML: elements without content, those whose text is never shown, and those that make blocks.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -39,7 +41,7 @@ BLOCKS = frozenset(
     "address article blockquote body caption center dd details div dl dt figcaption figure h1 h2 h3 h4 h5 h6 html li "
     "main ol p pre section summary table tbody td tfoot th thead tr ul".split()
 )
-CONTAINERS = frozenset("article body div main section td html".split())
+CONTAINERS = frozenset("article body div main section html".split())
 #: Elements that an opening tag of the key ends, up to the nearest of the second list.
 ENDS = {
     "li": ({"li"}, {"ul", "ol"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
@@ -55,6 +57,8 @@ ASIDE_WORDS = frozenset(
 )
 #: Parts into which each host's pages are dealt.
 SALTS = 32
+#: Share of a host's text that the winning path must hold, if no path has all.
+NEARLY_ALL = 7 / 8
 _WORD = re.compile(r"[a-z]+")
 _SPACE = re.compile(r"\s+")
 _DIGITS = re.compile(r"\d+")
@@ -114,7 +118,7 @@ class _Page(HTMLParser):
         attributes = {k: v or "" for k, v in attrs}
         hidden, link, at = self._state()
         if tag in CONTAINERS and tag != "html":
-            classes = ".".join(sorted(set(attributes.get("class", "").lower().split())))
+            classes = ".".join(sorted(set(attributes.get("class", "").lower().replace("/", "|").split())))
             self.paths.append(f"{self.paths[at]}/{tag}" + (f".{_DIGITS.sub('#', classes)}" if classes else ""))
             self.parents.append(at)
             at = len(self.paths) - 1
@@ -174,22 +178,42 @@ def parse(html: str) -> _Page:
 
 
 def votes(page: _Page) -> dict[str, float]:
-    """Score of each path: its containers' own blocks, and half of what stands one level below."""
-    found: dict[str, float] = {}
+    """Score of each path: what stands in its containers, at any depth; containers full of links add nothing."""
+    total = [0.0] * len(page.paths)
     for at, score in page.scores.items():
-        found[page.paths[at]] = found.get(page.paths[at], 0.0) + score
+        total[at] = max(0.0, score)
+    found: dict[str, float] = {}
+    for at in range(len(page.paths) - 1, -1, -1):  # children come after their parents
         if (up := page.parents[at]) >= 0:
-            found[page.paths[up]] = found.get(page.paths[up], 0.0) + score / 2
+            total[up] += total[at]
+        if total[at] or at == 0:
+            found[page.paths[at]] = found.get(page.paths[at], 0.0) + total[at]
     return found
 
 
 def best(found: dict[str, float]) -> str | None:
-    return min(found, key=lambda p: (-found[p], p)) if found else None
+    """The deepest path that holds nearly all of the text; the whole page if all of it is links."""
+    if not found:
+        return None
+    most = max(found.values())
+    if most <= 0:
+        return min(found, key=lambda p: (p.count("/"), p))
+    return min((p for p in found if found[p] >= NEARLY_ALL * most), key=lambda p: (-p.count("/"), -found[p], p))
+
+
+def widened(path: str | None) -> str | None:
+    """The path up to its innermost article, or else main: what stands beside the body belongs to it."""
+    steps = (path or "").split("/")
+    for tag in ("article", "main"):
+        for i in range(len(steps) - 1, -1, -1):
+            if steps[i].split(".")[0] == tag:
+                return "/".join(steps[: i + 1])
+    return path
 
 
 def extract(page: _Page, path: str | None) -> str:
     """The blocks under the given path, or under the page's own best one if it has none there."""
-    for wanted in (path, best(votes(page))):
+    for wanted in (widened(path), widened(best(votes(page)))):
         if wanted is None:
             continue
         inside = [False] * len(page.paths)
@@ -226,8 +250,15 @@ def host_paths(pages: DataFrame) -> DataFrame:
     summed = ragged.map_in_arrow(rows, _vote, "host string, path string, score double").groupBy("host", "path").agg(
         F.round(F.sum("score"), 3).alias("score")
     )
-    order = Window.partitionBy("host").orderBy(F.desc("score"), "path")
-    return summed.withColumn("_rank", F.row_number().over(order)).filter("_rank = 1").select("host", "path")
+    summed = cut_lineage(summed)
+    # the deepest path that holds nearly all of the text, as in ``best``
+    most = summed.groupBy("host").agg(F.max("score").alias("_most"))
+    depth = F.length("path") - F.length(F.replace(F.col("path"), F.lit("/"), F.lit("")))
+    enough = summed.join(most, "host").filter(F.col("score") >= NEARLY_ALL * F.col("_most"))
+    deep = F.when(F.col("_most") > 0, -depth).otherwise(depth)
+    order = Window.partitionBy("host").orderBy("_deep", F.desc("score"), "path")
+    ranked = enough.withColumn("_deep", deep).withColumn("_rank", F.row_number().over(order))
+    return ranked.filter("_rank = 1").select("host", "path")
 
 
 def main_text(pages: DataFrame) -> DataFrame:

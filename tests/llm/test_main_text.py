@@ -74,3 +74,20 @@ def test_test_pages_against_the_markup_they_are_made_of(spark):
         article = re.search(r"<article>(.*?)(</article>|$)", r.html, re.S)[1]
         parts = [re.sub(r"\s+", " ", html.unescape(re.sub("<[^>]*>", " ", x))).strip() for x in re.split("</?(?:p|h1)>", article)]
         assert found[r.page_id] == "\n".join(x for x in parts if x)
+
+
+def test_the_article_is_whole_in_other_layouts(spark):
+    long = "a sentence of the article, with some words in it. " * 6
+    want = long.strip()
+    rows = [
+        ("http://section.com", f"<body><nav>n</nav><article><h1>Title</h1><p>Lead</p><section><p>{long}</section></article>"),
+        ("http://body.com", f"<body><main><h1>Title</h1><p>Lead</p><div class=body><p>{long}<p>{long}</div></main>"),
+        ("http://siblings.com", f"<body><div class=page><div class=intro><p>{long}</div><div class=body><p>{long}<p>{long}</div></div>"),
+        ("http://table.com", f"<body><article><p>Lead</p><table><tr><td>{long}<td>{long}</table><p>End</article>"),
+        ("http://w.com", f"<body><article><h1>Title</h1><div class='w-1/2'><div><p>{long}</div></div></article>"),
+        ("http://links.com", "<body><div><a href=x>one</a></div><div><a href=y>two</a></div>"),
+    ]
+    assert texts(spark, rows) == [
+        f"Title\nLead\n{want}", f"Title\nLead\n{want}\n{want}", f"{want}\n{want}\n{want}", f"Lead\n{want}\n{want}\nEnd",
+        f"Title\n{want}", "one\ntwo",
+    ]
