@@ -65,17 +65,28 @@ _DIGITS = re.compile(r"\d+")
 
 
 def _is_aside(tag: str, attributes: dict[str, str]) -> bool:
+    """Never shown, or an aside by its tag."""
     if tag in ASIDE or "hidden" in attributes or attributes.get("aria-hidden") == "true":
         return True
     if tag in ("body", "html", "article", "main"):
         return False
     style = attributes.get("style", "").replace(" ", "").lower()
-    if "display:none" in style or "visibility:hidden" in style:
-        return True
-    names = " ".join(attributes.get(x, "") for x in ("class", "id", "role")).lower()
-    # "with-sidebar" and the like mark what holds the article, not what stands beside it
-    own = (n for n in names.split() if not n.startswith(("has-", "no-", "with-", "without-")))
-    return any(w in ASIDE_WORDS for n in own for w in _WORD.findall(n))
+    return "display:none" in style or "visibility:hidden" in style
+
+
+def _marker(tag: str, attributes: dict[str, str]) -> str | None:
+    """Whether class, id or role mark an aside: as a "whole" name, or as the last "part" of one."""
+    if tag in ("body", "html", "article", "main"):
+        return None
+    found = None
+    for name in " ".join(attributes.get(x, "") for x in ("class", "id", "role")).lower().split():
+        # "with-sidebar" and the like mark what holds the article, not what stands beside it
+        words = [] if name.startswith(("has-", "no-", "with-", "without-")) else _WORD.findall(name)
+        if words and words[-1] in ASIDE_WORDS:
+            if len(words) == 1:
+                return "whole"
+            found = "part"
+    return found
 
 
 class _Page(HTMLParser):
@@ -88,20 +99,23 @@ class _Page(HTMLParser):
         self.parents: list[int] = [-1]
         self.blocks: list[tuple[int, str]] = []
         self.scores: dict[int, float] = {}
-        self.open: list[tuple[str, bool, bool, int]] = []  # tag, hidden, in a link, container
+        #: all blocks so far, with their link-corrected length and the innermost marked element around them
+        self.found: list[tuple[int, str, float, int]] = []
+        #: kind and parent of each marked element; the elements around the first main and article
+        self.marks: list[tuple[str, int]] = []
+        self.around: dict[str, int] = {}
+        self.open: list[tuple[str, bool, bool, int, int]] = []  # tag, hidden, in a link, container, marked element
         self.held: list[str] = []
         self.linked = 0
 
-    def _state(self) -> tuple[bool, bool, int]:
-        return self.open[-1][1:] if self.open else (False, False, 0)
+    def _state(self) -> tuple[bool, bool, int, int]:
+        return self.open[-1][1:] if self.open else (False, False, 0, -1)
 
     def flush(self) -> None:
         text = _SPACE.sub(" ", "".join(self.held)).strip()
         if text:
-            at = self._state()[2]
-            self.blocks.append((at, text))
-            gain = len(text) - 2.0 * min(self.linked, len(text)) + 0.1
-            self.scores[at] = self.scores.get(at, 0.0) + gain
+            _, _, at, mark = self._state()
+            self.found.append((at, text, len(text) - 2.0 * min(self.linked, len(text)) + 0.1, mark))
         self.held.clear()
         self.linked = 0
 
@@ -116,14 +130,20 @@ class _Page(HTMLParser):
             own, until = ENDS[tag]
             self._pop(own, until)
         attributes = {k: v or "" for k, v in attrs}
-        hidden, link, at = self._state()
+        hidden, link, at, mark = self._state()
         if tag in CONTAINERS and tag != "html":
             classes = ".".join(sorted(set(attributes.get("class", "").lower().replace("/", "|").split())))
             self.paths.append(f"{self.paths[at]}/{tag}" + (f".{_DIGITS.sub('#', classes)}" if classes else ""))
             self.parents.append(at)
             at = len(self.paths) - 1
         hidden = hidden or tag in UNSEEN or _is_aside(tag, attributes)
-        self.open.append((tag, hidden, link or tag == "a", at))
+        if not hidden:
+            if tag in ("main", "article"):
+                self.around.setdefault(tag, mark)
+            elif kind := _marker(tag, attributes):
+                self.marks.append((kind, mark))
+                mark = len(self.marks) - 1
+        self.open.append((tag, hidden, link or tag == "a", at, mark))
 
     def _end_paragraph(self) -> None:
         """An open paragraph ends where a block begins, and with it what is open inside it."""
@@ -160,13 +180,48 @@ class _Page(HTMLParser):
             self.handle_endtag(tag)
 
     def handle_data(self, data: str) -> None:
-        hidden, link, _ = self._state()
+        hidden, link, _, _ = self._state()
         if not hidden:
             self.held.append(data)
             if link:
                 self.linked += len(data)
 
 
+    def _lines(self, mark: int) -> Iterator[int]:
+        while mark >= 0:
+            yield mark
+            mark = self.marks[mark][1]
+
+    def settle(self) -> None:
+        """Keep the blocks outside marked elements.
+
+        A marked element is none if it holds the first main, or else the first
+        article; if there is neither, and its mark is part of a name, if it holds
+        most of the text; and in any case if nothing is left without it.
+        """
+        shown = set()
+        if self.around:
+            shown.update(self._lines(self.around.get("main", self.around.get("article", -1))))
+        elif self.marks:
+            held = [0] * len(self.marks)
+            for _, text, _, mark in self.found:
+                if mark >= 0:
+                    held[mark] += len(text)
+            for mark in range(len(held) - 1, -1, -1):  # inner ones come after the outer
+                if (up := self.marks[mark][1]) >= 0:
+                    held[up] += held[mark]
+            most = sum(len(text) for _, text, _, _ in self.found) / 2
+            shown.update(m for m, (kind, _) in enumerate(self.marks) if kind == "part" and held[m] > most)
+        # the elements that hide what is in them
+        hides: list[bool] = []
+        for mark, (_, up) in enumerate(self.marks):
+            hides.append(mark not in shown or up >= 0 and hides[up])
+        kept = [x for x in self.found if x[3] < 0 or not hides[x[3]]] or self.found
+        for at, text, gain, _ in kept:
+            self.blocks.append((at, text))
+            self.scores[at] = self.scores.get(at, 0.0) + gain
+
+
 def parse(html: str) -> _Page:
     page = _Page()
     page.feed(html)
@@ -174,6 +229,7 @@ def parse(html: str) -> _Page:
         page.rawdata = ""
     page.close()
     page.flush()
+    page.settle()
     return page
 
 

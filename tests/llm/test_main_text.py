@@ -91,3 +91,19 @@ def test_the_article_is_whole_in_other_layouts(spark):
         f"Title\nLead\n{want}", f"Title\nLead\n{want}\n{want}", f"{want}\n{want}\n{want}", f"Lead\n{want}\n{want}\nEnd",
         f"Title\n{want}", "one\ntwo",
     ]
+
+
+def test_names_that_only_contain_a_marker_hide_nothing(spark):
+    long = ("a sentence of the article, with some words in it. " * 6).strip()
+    names = ["layout-sidebar-right", "post-with-comments", "single-ad-free", "page has-x post-sidebar", "related-work"]
+    rows = [(f"http://a{i}.com", f"<body><div class='{n}'><article><p>{long}</article></div>") for i, n in enumerate(names)]
+    rows += [(f"http://b{i}.com", f"<body><div class='{n}'><div><p>{long}</div></div><p>End") for i, n in enumerate(names)]
+    rows += [
+        ("http://c.com", f"<body><article><p>One<section id=search-algorithms><p>{long}</section><div class=related-work><p>Two</div></article>"),
+        ("http://d.com", f"<body><div class=post-with-comments><article><p>{long}</article><div class=comments><article><p>Talk</article></div></div>"),
+        ("http://e.com", f"<body><div class=banner><p>{long}</div>"),
+        ("http://f.com", f"<body><div class=post><p>{long}</div><div class=site-sidebar><p>Side</div><div class=comments><p>{long}{long}</div>"),
+    ]
+    found = texts(spark, rows)
+    assert found[:5] == [long] * 5 and all(long in x for x in found[5:10])
+    assert found[10:] == [f"One\n{long}\nTwo", long, long, long]
