@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from specloom.llm import (
-    decontaminate, language_id, licenses, main_text, mixing, quality_rules, simhash, token_files, toxicity, url_filter,
+    decontaminate, language_id, licenses, main_text, manifest, mixing, periodic_runs, personal_data, quality_rules, simhash,
+    token_files, toxicity, url_filter,
 )
 from specloom.session import ship_package
 
@@ -107,3 +108,18 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query("op10_main_text")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text.main_text(_table(spark, sf_dir, "pages"))
+
+
+@_query("op11_personal_data", personal_data.oracle())
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data.digests(personal_data.find_spans(_table(spark, sf_dir, "documents")))
+
+
+@_query("op12_manifest", manifest.oracle())
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.manifest(_table(spark, sf_dir, "documents"))
+
+
+@_query("op13_periodic_runs")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.digests(_table(spark, sf_dir, "documents"))
