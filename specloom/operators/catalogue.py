@@ -132,15 +132,48 @@ def summarize(df: DataFrame) -> DataFrame:
     )
 
 
+#: Registers of a sketch as a power of two; up to an eighth as many values it counts exactly.
+SKETCH_LG_K = 16
+
+
+def summarize_sketch(df: DataFrame, lg_k: int = SKETCH_LG_K) -> DataFrame:
+    """``summarize`` in one pass with mergeable sketches: the distinct count is an estimate.
+
+    Each column is one set of partial aggregates, so a task sends one row,
+    whatever the table holds; the row is turned into one per column at the end.
+    The standard error is about ``1.04 / sqrt(2 ** lg_k)``, 0.4 % by default.
+    """
+    kinds = df.dtypes
+    whole, numeric = {"tinyint", "smallint", "int", "bigint"}, {"tinyint", "smallint", "int", "bigint", "float", "double"}
+    parts = [F.count("*").alias("_rows")]
+    for i, (name, kind) in enumerate(kinds):
+        value = F.col(name)
+        text = value.cast("bigint") if kind in whole else to_text(value, kind)
+        compared = value.cast("double") if kind in ("float", "double") else text
+        parts += [
+            F.count(value).alias(f"_n{i}"), F.hll_sketch_agg(text, lg_k).alias(f"_s{i}"),
+            F.min(compared).cast("string").alias(f"_a{i}"), F.max(compared).cast("string").alias(f"_z{i}"),
+            (F.avg(value.cast("double")) if kind in numeric else F.max(F.lit(None).cast("double"))).alias(f"_m{i}"),
+        ]
+    columns = [
+        F.struct(
+            F.lit(name).alias("column_name"), F.lit(kind).alias("column_type"), F.col("_rows").alias("n_rows"),
+            (F.col("_rows") - F.col(f"_n{i}")).alias("n_null"),
+            F.coalesce(F.hll_sketch_estimate(f"_s{i}"), F.lit(0)).alias("n_distinct"),
+            F.col(f"_a{i}").alias("min_value"), F.col(f"_z{i}").alias("max_value"), F.round(f"_m{i}", 4).alias("mean_value"),
+        )
+        for i, (name, kind) in enumerate(kinds)
+    ]
+    return df.agg(*parts).select(F.inline(F.array(*columns)))
+
+
 def page(df: DataFrame, order: Sequence[Column], limit: int = 100, offset: int = 0) -> DataFrame:
     """One page of a table in a given order, each row with the table's row count."""
     limit = max(0, min(limit, MAX_PAGE))
     offset = max(0, offset)
     total = df.agg(F.count("*")).scalar()
-    rows = with_position(df, [], order, "_at").filter(
-        (F.col("_at") > offset) & (F.col("_at") <= offset + limit)
-    ).drop("_at")
-    return rows.withColumn("total_rows", total)
+    # each task keeps its first offset + limit rows; far pages, which Spark sorts, are as rare as they are deep
+    return df.orderBy(*order).offset(offset).limit(limit).withColumn("total_rows", total)
 
 
 def head_with_flag(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:

@@ -142,10 +142,15 @@ def metric_values(df: DataFrame, keep: Sequence[str], metrics: Sequence[tuple] =
     )
 
 
+def _known() -> Column:
+    """Values that are neither NULL nor NaN."""
+    return F.col("value").isNotNull() & ~F.isnan("value")
+
+
 def _stats(metrics: DataFrame) -> DataFrame:
-    """Least and greatest per metric; a flat metric gets a range of one."""
+    """Least and greatest per metric, of values that are numbers; a flat metric gets a range of one."""
     top = F.max("value")
-    return metrics.groupBy("metric").agg(
+    return metrics.filter(_known()).groupBy("metric").agg(
         F.min("value").alias("low"),
         F.when(F.min("value") == top, F.min("value") + 1).otherwise(top).alias("high"),
     ).filter(F.col("low").isNotNull())
@@ -167,7 +172,7 @@ def range_positions(
     ``names`` are the metrics there are; they bound the side that is broadcast.
     """
     stats = _stats(metrics.filter(F.col("metric").isin(*names)))
-    placed = metrics.filter(F.col("value").isNotNull()).join(F.broadcast(stats), "metric").withColumn(
+    placed = metrics.filter(_known()).join(F.broadcast(stats), "metric").withColumn(
         "relative", (F.col("value") - F.col("low")) / (F.col("high") - F.col("low"))
     ).drop("low", "high")
     return with_position(placed, ["metric"], order, "order_index")
@@ -175,7 +180,7 @@ def range_positions(
 
 def _counted() -> Column:
     """Values that a histogram takes: neither NULL nor NaN nor zero."""
-    return F.col("value").isNotNull() & ~F.isnan("value") & (F.col("value") != 0)
+    return _known() & (F.col("value") != 0)
 
 
 def _bounds(low: Column, high: Column, step: Column) -> tuple[Column, Column]:
@@ -200,7 +205,7 @@ def histogram(metrics: DataFrame, steps: Sequence[tuple[str, float]]) -> DataFra
     Values at a multiple, where rounding could matter, are kept as they are
     and binned from the value itself.
     """
-    rules = dictionary(metrics.sparkSession, steps, "metric string, step double")
+    rules = dictionary(metrics.sparkSession, steps, "metric string, step double", keys=["metric"])
     ratio = F.col("value") / F.col("step")
     near = F.abs(ratio - F.rint(ratio)) <= EDGE_TOLERANCE * F.greatest(F.lit(1.0), F.abs(ratio))
     counted = cut_lineage(
@@ -258,13 +263,13 @@ def stacked_bins(bins: DataFrame, order: Sequence[str]) -> DataFrame:
 
 
 def excluded_counts(metrics: DataFrame) -> DataFrame:
-    """Rows that a histogram leaves out, per metric, and why."""
-    missing, zero = F.col("value").isNull(), F.coalesce(F.col("value") == 0, F.lit(False))
+    """Rows that a histogram takes and leaves out, per metric, and why; the two add up to the rows."""
+    counted, zero = F.coalesce(_counted(), F.lit(False)), F.coalesce(F.col("value") == 0, F.lit(False))
     return metrics.groupBy("metric").agg(
-        F.count_if(~(missing | zero)).alias("n_included"),
-        F.count_if(missing | zero).alias("n_excluded"),
+        F.count_if(counted).alias("n_included"),
+        F.count_if(~counted).alias("n_excluded"),
         F.count_if(zero).alias("n_zero"),
-        F.count_if((missing | zero) & F.col("is_electric")).alias("n_electric"),
+        F.count_if(~counted & F.col("is_electric")).alias("n_electric"),
     )
 
 
@@ -276,7 +281,7 @@ def bin_members(
     A bin has no bound on its rows, so they are numbered over range slices and
     never gathered into a list.
     """
-    rules = dictionary(metrics.sparkSession, steps, "metric string, step double")
+    rules = dictionary(metrics.sparkSession, steps, "metric string, step double", keys=["metric"])
     used = metrics.filter(
         _counted() & F.col("metric").isin(*[m for m, _ in steps])
     )
@@ -300,10 +305,12 @@ def visible(df: DataFrame, brand: str, brands: Sequence[str], measure: str, low:
 
 
 def filter_bounds(df: DataFrame, measure: str) -> DataFrame:
-    """Whole-number range of a measure, zero when there is none."""
+    """Whole-number range of a measure, zero when there is none; NaN and what exceeds 64 bits give no bound."""
+    value = F.col(measure).cast("double")
+    known = F.when(~F.isnan(value), F.col(measure))
     return df.agg(
-        F.coalesce(F.min(measure).cast("bigint"), F.lit(0)).alias("low"),
-        F.coalesce(F.max(measure).cast("bigint"), F.lit(0)).alias("high"),
+        F.coalesce(F.min(known).try_cast("bigint"), F.lit(0)).alias("low"),
+        F.coalesce(F.max(known).try_cast("bigint"), F.lit(0)).alias("high"),
     )
 
 

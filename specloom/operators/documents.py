@@ -114,7 +114,7 @@ def structure_findings(
         broken(text.startswith("---\n") & ~front.rlike(rf"(?m)^{k}\s*:"), "ERROR", f"front matter key {k}") for k in keys
     ]
     pages = docs.filter(~F.regexp_extract("page", r"([^/]*)$", 1).startswith("_"))
-    return pages.withColumn("_text", _without_mark(F.col("text"))).select(
+    return pages.withColumn("_text", _without_mark(F.coalesce("text", F.lit("")))).select(
         "page", F.inline(F.array_compact(F.array(*rules)))
     ).select(*_finding(F.col("severity"), F.col("page"), "structure", F.col("detail")))
 

@@ -16,6 +16,7 @@ from pyspark.sql.types import StringType
 
 from specloom.functions.text import clean_identifier, is_blank, strip
 from specloom.session import cut_lineage
+from specloom.sources.sheets import cells_of, filled_rows
 
 SHEET = ("raw_path", "sheet_name")
 
@@ -117,6 +118,10 @@ def infer_types(cells: DataFrame, column: str = "column_name") -> DataFrame:
     One aggregation for all columns.  A column without values is text, and so
     is one of mixed kinds, to keep the original.
     """
+    return _column_types(cells, column)
+
+
+def _column_types(cells: DataFrame, column: str) -> DataFrame:
     kind = cell_class(F.col("value"))
     filled = F.col("value").isNotNull()
     counted = cells.groupBy(*SHEET, column).agg(
@@ -136,13 +141,54 @@ def infer_types(cells: DataFrame, column: str = "column_name") -> DataFrame:
 
 
 def named_cells(grid: DataFrame, header_rows: int = 1) -> DataFrame:
-    """All steps: header, names, data cells of named columns without blank rows."""
+    """All steps on a grid of cells: header, names, data cells of named columns without blank rows.
+
+    Readers that have whole rows use ``import_rows``, which tests rows before it spreads them.
+    """
     headers = unique_names(clean_names(build_header(grid, header_rows)))
     data = grid.filter(F.col("row_no") > header_rows)
     named = data.join(headers.drop("header"), [*SHEET, "col_no"])
     return drop_blank_rows(named)
 
 
+def import_rows(rows: DataFrame, header_rows: int = 1) -> DataFrame:
+    """The whole import of packed rows: header, names, blank rows out, types, typed values.
+
+    Only header rows are spread into cells before their names are known.  Names
+    and types of a sheet, as long as it is wide, are joined with whole rows;
+    once a row is spread, its cells do not move any more.
+    """
+    rows = cut_lineage(rows)
+    top = cells_of(rows.filter(F.col("row_no") <= header_rows))
+    names = cut_lineage(unique_names(clean_names(build_header(top, header_rows))).drop("header"))
+    data = filled_rows(rows.filter(F.col("row_no") > header_rows))
+    kinds = _column_types(cells_of(data), "col_no")
+    columns = names.join(kinds, [*SHEET, "col_no"], "left").groupBy(*[F.col(c).alias(f"_{c}") for c in SHEET]).agg(
+        F.sort_array(F.collect_list(F.struct(
+            "col_no", "column_name", F.coalesce("data_type", F.lit("VARCHAR")).alias("data_type")
+        ))).alias("_columns")
+    )
+    same = F.lit(True)
+    for c in SHEET:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    spread = data.join(columns, same).select(*SHEET, "row_no", "cells", F.inline("_columns"))
+    cells = spread.filter(F.col("col_no") <= F.size("cells")).withColumn("value", F.element_at("cells", F.col("col_no")))
+    return _typed(cells).select(
+        *SHEET, "row_no", "col_no", "column_name", "data_type", "text_value", "integer_value", "number_value", "truth_value"
+    )
+
+
+def _typed(cells: DataFrame) -> DataFrame:
+    """``value`` as text and in its column's type; no cast can fail, as a type is one that all values have."""
+    kind, value = F.col("data_type"), F.col("value")
+    return cells.withColumns({
+        "text_value": value,
+        "integer_value": F.when(kind == "BIGINT", value.try_cast("bigint")),
+        "number_value": F.when(kind.isin("BIGINT", "DOUBLE"), value.try_cast("double")),
+        "truth_value": F.when(kind == "BOOLEAN", F.lower(value) == "true"),
+    }).drop("value")
+
+
 def typed_cells(cells: DataFrame, column: str = "column_name") -> DataFrame:
     """The cells with their column's type and their value in it: text, whole number, number or truth value.
 
@@ -155,13 +201,19 @@ def typed_cells(cells: DataFrame, column: str = "column_name") -> DataFrame:
     same = F.lit(True)
     for c in names:
         same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
-    kind, value = F.col("data_type"), F.col("value")
-    return cells.join(types, same).drop(*[f"_{c}" for c in names]).withColumns({
-        "text_value": value,
-        "integer_value": F.when(kind == "BIGINT", value.try_cast("bigint")),
-        "number_value": F.when(kind.isin("BIGINT", "DOUBLE"), value.try_cast("double")),
-        "truth_value": F.when(kind == "BOOLEAN", F.lower(value) == "true"),
-    }).drop("value")
+    return _typed(cells.join(types, same).drop(*[f"_{c}" for c in names]))
+
+
+def rows_manifest(rows: DataFrame, names: DataFrame, loaded_at: Column | None = None) -> DataFrame:
+    """``import_manifest`` of packed data rows and the sheets' names: rows are counted where they lie, in one pass."""
+    ordered = F.array_sort(F.collect_list(F.struct("col_no", "column_name")))
+    columns = names.groupBy(*SHEET).agg(F.array_join(F.transform(ordered, lambda n: n["column_name"]), ", ").alias("columns"))
+    counts = rows.groupBy(*[F.col(c).alias(f"_{c}") for c in SHEET]).agg(F.count("*").alias("_n"))
+    same = F.lit(True)
+    for c in SHEET:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    manifest = columns.join(counts, same, "left").select(*SHEET, "columns", F.coalesce("_n", F.lit(0)).alias("row_count"))
+    return manifest.withColumn("loaded_at", F.current_timestamp() if loaded_at is None else loaded_at)
 
 
 def import_manifest(cells: DataFrame, loaded_at: Column | None = None) -> DataFrame:

@@ -1,7 +1,8 @@
 """Raw item names to canonical items.
 
-Rules are few and fixed; they are evaluated inside the scan of the
-observations.  Nothing is joined on a regular expression and nothing moves.
+Names repeat from sheet to sheet, so pattern rules are tried on the distinct keys
+(item, company, category, unit), and what they say is joined back by equality.
+Rules may be a list or a frame of any length.
 """
 
 from __future__ import annotations
@@ -9,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from specloom.dictionaries import dictionary
@@ -18,6 +19,11 @@ EXACT_CONFIDENCE = 1.0
 SYNONYM_CONFIDENCE = 0.9
 UNMAPPED = "unmapped"
 
+#: What a pattern rule looks at.
+KEYS = ["raw_item_name", "company", "raw_category", "raw_unit"]
+#: Rules that a key meets at a time.
+RULE_BLOCK = 500
+
 
 class Pattern(NamedTuple):
     """A mapping rule; an absent expression matches anything."""
@@ -42,33 +48,62 @@ def _mapping(item: Column, method: Column, confidence: Column, notes: Column) ->
     )
 
 
-def _matches(rule: Pattern) -> Column:
-    hit = F.col("raw_item_name").rlike("(?i)" + rule.item_regex)
-    for column, regex in (
-        ("company", rule.company_regex),
-        ("raw_category", rule.category_regex),
-        ("raw_unit", rule.unit_regex),
-    ):
-        if regex is not None:
-            hit = hit & F.col(column).rlike("(?i)" + regex)
-    return hit
-
-
-def first_match(rules: Sequence[Pattern]) -> Column:
-    """The mapping of the lowest-numbered rule that matches, else NULL."""
-    numbers = [r.pattern_id for r in rules]
-    if len(set(numbers)) < len(numbers):
-        raise ValueError("pattern ids must be unique")
-    nothing = F.lit(None).cast(
-        "struct<canonical_item:string,mapping_method:string,confidence:double,mapping_notes:string>"
+def rule_table(spark: SparkSession, rules: Sequence[Pattern] | DataFrame) -> DataFrame:
+    """Pattern rules, a list or a frame with the columns of ``Pattern``, as a frame with one rule a number.
+
+    Two rules of one number are refused in a list; of a frame's the least counts.
+    """
+    fields = [f"{f} {'int' if f == 'pattern_id' else 'double' if f == 'confidence' else 'string'}" for f in Pattern._fields]
+    return dictionary(spark, rules, ", ".join(fields), keys=["pattern_id"])
+
+
+def _rule_hits(obs: DataFrame, rules: Sequence[Pattern] | DataFrame) -> DataFrame:
+    """Distinct keys with the lowest-numbered rule that looks at the unit, and the lowest-numbered other one.
+
+    Expressions are tried once for each distinct key and rule, however many
+    rows have the key.  Rules come in blocks of about ``RULE_BLOCK``, so that a key
+    meets any number of them without a product of the two tables.
+    """
+    spark = obs.sparkSession
+    table = rule_table(spark, rules)
+    n_rules = len(rules) if not isinstance(rules, DataFrame) else table.count()
+    n_blocks = max(1, -(-n_rules // RULE_BLOCK))
+    blocks = table.groupBy(F.pmod(F.xxhash64("pattern_id"), F.lit(n_blocks)).alias("_block")).agg(
+        F.collect_list(F.struct(*Pattern._fields)).alias("_rules")
+    )
+    keys = obs.select(*KEYS).distinct().withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
+
+    def fits(column: str, regex: Column) -> Column:
+        # a rule without an expression takes anything, one with an expression no NULL
+        return F.when(regex.isNull(), True).otherwise(
+            F.coalesce(F.regexp_like(F.col(column), F.concat(F.lit("(?i)"), regex)), F.lit(False))
+        )
+
+    def least(hits: str, by_unit: bool) -> Column:
+        chosen = F.filter(hits, lambda r: r["unit_regex"].isNotNull() == by_unit)
+        return F.array_min(F.transform(chosen, lambda r: F.struct(
+            r["pattern_id"], *[f.alias(n) for f, n in zip(
+                (r["canonical_item"], r["mapping_method"], r["confidence"], r["notes"]),
+                ("canonical_item", "mapping_method", "confidence", "mapping_notes"),
+            )],
+        )))
+
+    met = keys.join(blocks, "_block").select(*KEYS, F.filter("_rules", lambda r: (
+        fits("raw_item_name", r["item_regex"]) & fits("company", r["company_regex"])
+        & fits("raw_category", r["category_regex"]) & fits("raw_unit", r["unit_regex"])
+    )).alias("_hits"))
+    return met.filter(F.size("_hits") > 0).groupBy(*KEYS).agg(
+        F.min(least("_hits", True)).alias("_by_unit"), F.min(least("_hits", False)).alias("_by_name")
     )
-    hits = [
-        F.when(_matches(r), _mapping(
-            F.lit(r.canonical_item), F.lit(r.mapping_method), F.lit(r.confidence), F.lit(r.notes)
-        ))
-        for r in sorted(rules, key=lambda r: r.pattern_id)
-    ]
-    return F.coalesce(*hits, nothing)
+
+
+def _with_rules(obs: DataFrame, rules: Sequence[Pattern] | DataFrame) -> DataFrame:
+    """``_by_unit`` and ``_by_name`` of every observation; NULL where no rule fits."""
+    hits = _rule_hits(obs, rules).select(*[F.col(k).alias(f"_{k}") for k in KEYS], "_by_unit", "_by_name")
+    same = F.lit(True)
+    for k in KEYS:
+        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
+    return obs.join(hits, same, "left").drop(*[f"_{k}" for k in KEYS])
 
 
 def _with_synonym(obs: DataFrame, synonyms: Sequence[tuple[str, str, str]]) -> DataFrame:
@@ -97,7 +132,7 @@ def _unpack(df: DataFrame, mapping: Column) -> DataFrame:
             "confidence": F.coalesce("_mapping.confidence", F.lit(0.0)),
             "mapping_notes": F.col("_mapping.mapping_notes"),
         })
-        .drop("_mapping", "_synonym")
+        .drop("_mapping", "_synonym", "_by_unit", "_by_name")
     )
 
 
@@ -106,22 +141,28 @@ def map_synonyms(obs: DataFrame, synonyms: Sequence[tuple[str, str, str]]) -> Da
     return _unpack(_with_synonym(obs, synonyms), F.col("_synonym"))
 
 
-def map_patterns(obs: DataFrame, rules: Sequence[Pattern]) -> DataFrame:
+def map_patterns(obs: DataFrame, rules: Sequence[Pattern] | DataFrame) -> DataFrame:
     """Mapping by the pattern rules alone."""
-    return _unpack(obs, first_match(rules))
+    # NULL counts as greater than any rule here
+    return _unpack(_with_rules(obs, rules), F.least("_by_unit", "_by_name"))
 
 
 def resolve_mapping(
-    obs: DataFrame, synonyms: Sequence[tuple[str, str, str]], rules: Sequence[Pattern]
+    obs: DataFrame, synonyms: Sequence[tuple[str, str, str]], rules: Sequence[Pattern] | DataFrame
 ) -> DataFrame:
     """One mapping per observation.
 
     A rule that looks at the unit knows more than a name, so it comes first,
     then the synonyms, then the other rules.
     """
-    by_unit = first_match([r for r in rules if r.unit_regex is not None])
-    by_name = first_match([r for r in rules if r.unit_regex is None])
-    return _unpack(_with_synonym(obs, synonyms), F.coalesce(by_unit, F.col("_synonym"), by_name))
+    ruled = _with_synonym(_with_rules(obs, rules), synonyms)
+    return _unpack(ruled, F.coalesce(_bare("_by_unit"), F.col("_synonym"), _bare("_by_name")))
+
+
+def _bare(hit: str) -> Column:
+    """A rule's mapping without the rule's number, as synonyms give it."""
+    h = F.col(hit)
+    return F.when(h.isNotNull(), _mapping(h["canonical_item"], h["mapping_method"], h["confidence"], h["mapping_notes"]))
 
 
 def with_canonical(

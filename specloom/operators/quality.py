@@ -13,9 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from specloom.dictionaries import MAX_REPORT_PRIORITY, MIN_CONFIDENCE, dictionary
-from specloom.functions.numbers import unit_key
 from specloom.functions.text import double_text
-from specloom.operators.normalize import NO_RULE, PARSE_FAILED
+from specloom.operators.normalize import NO_RULE, PARSE_FAILED, with_factor
 from specloom.session import cut_lineage
 
 LIST_SEPARATOR = " | "
@@ -41,48 +40,42 @@ def conflicts(normalized: DataFrame) -> DataFrame:
     """Products and items with more than one distinct value.
 
     Equal statements of a source are counted first, so a product with very
-    many records is spread over its distinct statements.  Sources are listed
-    only for the keys that turn out to conflict.
+    many records is spread over its distinct statements; only those are written
+    as text, and Spark counts the distinct texts of a key in two steps.  On a
+    table bucketed by product nothing is shuffled.
     """
     number = F.col("normalized_value_numeric")
-    # kept as a table, since it is read twice and costly to make
-    statements = cut_lineage(
-        normalized.withColumn("_value", stated_value())
-        .groupBy(*KEY, "_value", "source_table")
-        .agg(F.count("*").alias("_n"), F.min(number).alias("_low"), F.max(number).alias("_high"))
-    )
-    values = statements.groupBy(*KEY, "_value").agg(
-        F.sum("_n").alias("_n"), F.min("_low").alias("_low"), F.max("_high").alias("_high")
-    )
-    found = (
-        values.groupBy(*KEY)
+    text = F.when(number.isNull(), F.col("normalized_value_text"))
+    statements = (
+        normalized.select(*KEY, "source_table", number.alias("_number"), text.alias("_text"))
+        .groupBy(*KEY, "_number", "_text", "source_table")
+        .agg(F.count("*").alias("_n"))
+    )
+    # a number and a text may read alike
+    stated = statements.withColumn("_value", F.coalesce(double_text(F.col("_number")), F.col("_text")))
+    return (
+        stated.groupBy(*KEY)
         .agg(
             F.sum("_n").alias("n_rows"),
-            F.count("_value").alias("n_distinct_values"),
-            F.min("_low").alias("min_value"),
-            F.max("_high").alias("max_value"),
+            F.count_distinct("_value").alias("n_distinct_values"),
+            F.min("_number").alias("min_value"),
+            F.max("_number").alias("max_value"),
+            _listed("source_table").alias("sources"),
         )
         .filter(F.col("n_distinct_values") > 1)
-        .select(*[F.col(k).alias(f"_{k}") for k in KEY], "n_rows", "n_distinct_values", "min_value", "max_value")
     )
-    same = F.lit(True)
-    for k in KEY:
-        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
-    sources = statements.select(*KEY, "source_table").join(found, same).groupBy(
-        *KEY, "n_rows", "n_distinct_values", "min_value", "max_value"
-    )
-    return sources.agg(_listed("source_table").alias("sources"))
 
 
-def flag_conflicts(normalized: DataFrame) -> DataFrame:
+def flag_conflicts(normalized: DataFrame, stored: bool = False) -> DataFrame:
     """Every record with its conflict status; no value is changed.
 
-    The records are kept as a table, so that they are made once.  The status
-    comes from one small row per product and item.  The join back
+    The records are kept as a table, unless they are ``stored`` already, so that they
+    are made once.  The status comes from one small row per product and item.  The join back
     is one that adaptive execution may broadcast or split, as the status side
     has unique keys.
     """
-    normalized = cut_lineage(normalized)
+    if not stored:
+        normalized = cut_lineage(normalized)
     valued = normalized.withColumn("_value", stated_value())
     status = valued.groupBy(*KEY).agg(F.min("_value").alias("_least"), F.max("_value").alias("_most"))
     flag = F.when(F.col("_least").isNull(), UNDECIDED_VALUE).when(F.col("_least") < F.col("_most"), CONFLICT)
@@ -108,6 +101,7 @@ def missing_rate(
         best.sparkSession,
         [(item, category, priority) for item, category, _, _, priority in canonical if priority <= max_priority],
         "canonical_item string, category string, priority int",
+        keys=["canonical_item"],
     )
     counted = (
         best.join(products_in_scope.select("product_id"), "product_id", "left_semi")
@@ -162,16 +156,12 @@ def issue_summary(issues: DataFrame) -> DataFrame:
     )
 
 
-def unit_mismatches(mapped: DataFrame, conversions: Sequence[tuple[str, str, float]]) -> DataFrame:
-    """Mapped numeric rows whose unit has no rule to the canonical unit."""
-    rules = dictionary(
-        mapped.sparkSession, [(f, t) for f, t, _ in conversions], "_from string, _to string"
-    )
+def unit_mismatches(mapped: DataFrame, conversions: Sequence[tuple[str, str, float]] | DataFrame) -> DataFrame:
+    """Mapped numeric rows whose unit has no rule to the canonical unit, by the rules that convert it."""
     units = mapped.filter(
         (F.col("value_type") == "numeric") & F.col("raw_unit").isNotNull() & F.col("canonical_unit").isNotNull()
     )
-    known = (unit_key(F.col("raw_unit")) == F.col("_from")) & (F.col("canonical_unit") == F.col("_to"))
-    return units.join(rules, known, "left_anti").select(
+    return with_factor(units, conversions).filter(F.col("factor").isNull()).select(
         "company", "product_id", "canonical_item", F.col("raw_unit").alias("original_unit"), "canonical_unit",
         F.col("raw_value_text").alias("original_value"), "source_table",
     )

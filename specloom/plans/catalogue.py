@@ -115,6 +115,12 @@ def summarize_part(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalogue.summarize(table(spark, sf_dir, "part"))
 
 
+@query("summarize_sketch", " UNION ALL ".join(_summary_sql(n, k) for n, k in PART_TYPES.items()))
+def summarize_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same in one pass; its distinct counts are exact up to an eighth of the sketch's registers, 8192 here."""
+    return catalogue.summarize_sketch(table(spark, sf_dir, "part"))
+
+
 @query("page_orders", """
     SELECT o_orderkey, o_custkey, o_totalprice, (SELECT count(*) FROM orders) AS total_rows
     FROM orders ORDER BY o_totalprice DESC NULLS LAST, o_orderkey LIMIT 100 OFFSET 200

@@ -495,3 +495,63 @@ def top_per_brand(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = table(spark, sf_dir, "part").select("p_brand", "p_partkey", "p_retailprice")
     order = [F.col("p_retailprice").desc(), F.col("p_partkey").asc()]
     return compare.top_k_per_group(parts, ["p_brand"], order, 3)
+
+
+def _gappy_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Part prices and sizes with NULL, NaN and zero among them."""
+    key = F.col("p_partkey")
+
+    def gappy(value):
+        nan = F.lit(float("nan"))
+        return F.when(key % 5 == 0, F.lit(None)).when(key % 7 == 0, nan).when(key % 11 == 0, 0.0).otherwise(value)
+
+    return table(spark, sf_dir, "part").select(
+        F.col("p_brand").alias("brand"), (F.col("p_size") > 25).alias("is_electric"),
+        F.inline(F.array(
+            F.struct(F.lit("price").alias("metric"), gappy(F.col("p_retailprice")).alias("value")),
+            F.struct(F.lit("size").alias("metric"), gappy(F.col("p_size").cast("double")).alias("value")),
+        )),
+    )
+
+
+_GAPPY = """
+    gappy AS (
+        SELECT metric, is_electric, CASE WHEN p_partkey % 5 = 0 THEN NULL WHEN p_partkey % 7 = 0 THEN 'NaN'::DOUBLE
+                    WHEN p_partkey % 11 = 0 THEN 0.0 ELSE v END AS value
+        FROM (SELECT p_partkey, p_size > 25 AS is_electric, unnest(['price', 'size']) AS metric,
+                     unnest([p_retailprice, CAST(p_size AS DOUBLE)]) AS v FROM part)),
+    known AS (SELECT * FROM gappy WHERE value IS NOT NULL AND NOT isnan(value))"""
+
+
+@query("range_stats_nan", f"""
+    WITH {_GAPPY}, s AS (
+        SELECT metric, min(value) AS low, CASE WHEN min(value) = max(value) THEN min(value) + 1 ELSE max(value) END AS high
+        FROM known GROUP BY metric)
+    SELECT *, {', '.join(f'low + (high - low) * {i} / 4 AS tick_{i}' for i in range(5))} FROM s
+""")
+def range_stats_nan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compare.range_stats(_gappy_metrics(spark, sf_dir))
+
+
+@query("excluded_total", f"""
+    WITH {_GAPPY}
+    SELECT metric, count(*) AS n_rows, count(*) FILTER (WHERE used) AS n_included, count(*) FILTER (WHERE NOT used) AS n_excluded,
+           count(*) FILTER (WHERE value = 0) AS n_zero, count(*) FILTER (WHERE NOT used AND is_electric) AS n_electric,
+           count(*) FILTER (WHERE used) AS n_binned
+    FROM (SELECT *, coalesce(value IS NOT NULL AND NOT isnan(value) AND value <> 0, false) AS used FROM gappy) GROUP BY metric
+""")
+def excluded_total(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a histogram takes and leaves out, next to the rows in its bins; a metric's step is given twice."""
+    metrics = _gappy_metrics(spark, sf_dir)
+    bins = compare.histogram(metrics, [("price", 100.0), ("size", 5.0), ("price", 100.0)])
+    binned = bins.groupBy("metric").agg(F.sum("n").alias("n_binned"))
+    counts = compare.excluded_counts(metrics)
+    return counts.join(binned, "metric").withColumn("n_rows", F.col("n_included") + F.col("n_excluded"))
+
+
+@query("filter_bounds_nan", f"""
+    WITH {_GAPPY} SELECT CAST(trunc(min(value)) AS BIGINT) AS low, CAST(trunc(max(value)) AS BIGINT) AS high FROM known
+    WHERE metric = 'price'
+""")
+def filter_bounds_nan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compare.filter_bounds(_gappy_metrics(spark, sf_dir).filter(F.col("metric") == "price"), "value")

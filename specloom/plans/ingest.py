@@ -122,13 +122,11 @@ def blank_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("doc_id").cast("string").alias("sheet_name"),
         F.posexplode(F.split("text", "\n")).alias("_pos", "line"),
     )
-    cells = lines.select(
-        "raw_path",
-        "sheet_name",
-        (F.col("_pos") + 1).cast("bigint").alias("row_no"),
-        F.posexplode(F.array(F.col("line"), F.lit(None))).alias("_col", "value"),
-    ).select("raw_path", "sheet_name", "row_no", (F.col("_col") + 1).alias("col_no"), "value")
-    return header.drop_blank_rows(cells).drop("raw_path")
+    rows = lines.select(
+        "raw_path", "sheet_name", (F.col("_pos") + 1).cast("bigint").alias("row_no"),
+        F.array(F.col("line"), F.lit(None)).alias("cells"),
+    )
+    return sheets.cells_of(sheets.filled_rows(rows)).drop("raw_path")
 
 
 def _named_part_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -205,6 +203,40 @@ def import_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return header.typed_cells(data.join(names, ["raw_path", "sheet_name", "col_no"]))
 
 
+SHEET_ROWS = 500
+
+
+@query("import_files", f"""
+    WITH numbered AS (
+        SELECT *, CAST(p_partkey // {SHEET_ROWS} AS VARCHAR) AS sheet_name,
+               row_number() OVER (PARTITION BY p_partkey // {SHEET_ROWS} ORDER BY p_partkey) + 1 AS row_no FROM part)
+    SELECT sheet_name, row_no, CAST(unnest([1, 2, 3, 4]) AS INTEGER) AS col_no,
+           unnest(['Part_Name', 'Brand', 'Size', 'Retail_Price']) AS column_name,
+           unnest(['VARCHAR', 'VARCHAR', 'BIGINT', 'DOUBLE']) AS data_type,
+           unnest([p_name, p_brand, CAST(p_size AS VARCHAR), {double_sql('p_retailprice')}]) AS text_value,
+           unnest([NULL, NULL, CAST(p_size AS BIGINT), NULL]) AS integer_value,
+           unnest([NULL, NULL, CAST(p_size AS DOUBLE), p_retailprice]) AS number_value,
+           NULL::BOOLEAN AS truth_value
+    FROM numbered WHERE NOT ({_BLANK})
+""")
+def import_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole import from files: parts written as sheet files of a bounded length, read back as packed rows."""
+    folder = _fresh_folder(spark)
+    blank = F.expr(_BLANK)
+    cells = [F.col("p_name"), F.col("p_brand"), F.col("p_size").cast("string"), text.double_text(F.col("p_retailprice"))]
+    sheet = F.floor(F.col("p_partkey") / SHEET_ROWS)
+    files = table(spark, sf_dir, "part").select(
+        sheet.alias("sheet"), "p_partkey", *[F.when(~blank, c).alias(h) for c, h in zip(cells, IMPORT_HEADER)]
+    )
+    files.repartition("sheet").sortWithinPartitions("sheet", "p_partkey").drop("p_partkey").write.partitionBy("sheet").csv(
+        folder, header=True, nullValue="", emptyValue=""
+    )
+    rows = sheets.read_rows(
+        spark, f"{folder}/*/*.csv", folder, sheet=lambda path: F.regexp_extract(path, "/sheet=([0-9]+)/", 1)
+    )
+    return header.import_rows(rows).drop("raw_path")
+
+
 def _fresh_folder(spark: SparkSession) -> str:
     ensure_checkpoint_dir(spark)
     return f"{spark.sparkContext.getCheckpointDir()}/files-{uuid.uuid4().hex}"
@@ -259,7 +291,14 @@ def csv_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM ({PART_GRID_SQL}) GROUP BY raw_path, sheet_name
 """)
 def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return header.import_manifest(_named_part_cells(spark, sf_dir)).drop("loaded_at")
+    parts = table(spark, sf_dir, "part")
+    rows = parts.select(
+        F.lit("tables/part").alias("raw_path"), F.col("p_type").alias("sheet_name"), F.array(*PART_COLUMNS).alias("cells")
+    )
+    names = rows.select(*header.SHEET).distinct().select(
+        *header.SHEET, F.posexplode(F.array(*[F.lit(c) for c in PART_COLUMNS])).alias("_pos", "column_name")
+    ).withColumn("col_no", F.col("_pos") + 1)
+    return header.rows_manifest(rows, names).drop("loaded_at")
 
 
 @query("to_text_price", f"""
@@ -304,6 +343,51 @@ def reimport(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sheets.replace_source(new, orders, "o_orderstatus")
 
 
+@query("reimport_files", """
+    WITH old AS (
+        SELECT o_orderkey, o_totalprice, o_orderstatus AS sheet,
+               CASE o_orderpriority WHEN '2-HIGH' THEN '1-URGENT-2' ELSE o_orderpriority END AS source FROM orders)
+    SELECT o_orderkey, sheet, source, CASE source WHEN '1-URGENT' THEN -o_totalprice ELSE o_totalprice END AS o_totalprice
+    FROM old WHERE source <> '1-URGENT' OR sheet <> 'O'
+""")
+def reimport_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A source imported again on storage, with one sheet gone; another source's name begins with its name."""
+    folder = _fresh_folder(spark)
+    source = F.when(F.col("o_orderpriority") == "2-HIGH", "1-URGENT-2").otherwise(F.col("o_orderpriority"))
+    old = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_totalprice", F.col("o_orderstatus").alias("sheet"), source.alias("source")
+    )
+    sheets.overwrite_sources(old, folder, "source")
+    new = old.filter((F.col("source") == "1-URGENT") & (F.col("sheet") != "O"))
+    sheets.overwrite_sources(new.withColumn("o_totalprice", -F.col("o_totalprice")), folder, "source")
+    return spark.read.schema(old.schema).parquet(folder)
+
+
+@query("grid_rows_from_file", f"""
+    SELECT row_no, CAST(unnest([1, 2, 3, 4]) AS INTEGER) AS col_no,
+           unnest([p_name, p_brand, CAST(p_size AS VARCHAR), {double_sql('p_retailprice')}]) AS value
+    FROM (SELECT *, row_number() OVER (ORDER BY p_partkey) + 1 AS row_no FROM part)
+""")
+def grid_rows_from_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A file's rows as cells, numbered by their place in the file."""
+    parts = table(spark, sf_dir, "part")
+    kinds = dict(parts.dtypes)
+    rows = sheets.file_row_numbers(parts).select(
+        "raw_path", F.lit("part").alias("sheet_name"), "row_no",
+        F.array(*[text.to_text(F.col(c), kinds[c]) for c in PART_COLUMNS]).alias("cells"),
+    )
+    return sheets.cells_of(rows).drop("raw_path", "sheet_name")
+
+
+@query("json_table", "SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders")
+def json_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table written as JSON lines and read with its types."""
+    folder = _fresh_folder(spark)
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    orders.write.json(folder)
+    return read_table(spark, folder, "json", "o_orderkey bigint, o_orderstatus string, o_totalprice double")
+
+
 @query("json_rows", """
     SELECT '{"p_partkey":' || p_partkey || ',"p_name":"' || p_name || '","p_brand":"' || p_brand
            || '","metricValues":{"size":' || CAST(p_size AS DOUBLE) || ',"price":' || p_retailprice || '}}' AS row_json

@@ -62,6 +62,33 @@ def map_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mapping.map_patterns(part_items(spark, sf_dir), PART_RULES).select("p_partkey", *MAPPING, "mapping_notes")
 
 
+@query("map_patterns_frame", f"""
+    WITH rules AS (
+        SELECT p_partkey AS pattern_id, '^' || p_name || '$' AS item_regex,
+               CASE WHEN p_partkey % 3 = 0 THEN p_brand END AS company_regex,
+               CASE WHEN p_partkey % 5 = 0 THEN '^' || p_size || '$' END AS unit_regex,
+               'item_' || p_type AS item, 1.0::DOUBLE / p_partkey AS confidence
+        FROM part WHERE p_partkey % 4 = 1)
+    SELECT p_partkey, item AS canonical_item, CASE WHEN item IS NULL THEN 'unmapped' ELSE 'regex' END AS mapping_method,
+           coalesce(confidence, 0.0) AS confidence
+    FROM part LEFT JOIN rules ON lower(p_name) = lower(item_regex[2:-2]) AND (company_regex IS NULL OR company_regex = p_brand)
+         AND (unit_regex IS NULL OR regexp_matches(CAST(p_size AS VARCHAR), unit_regex))
+    QUALIFY row_number() OVER (PARTITION BY p_partkey ORDER BY pattern_id) = 1
+""")
+def map_patterns_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quarter of the parts as rules: a rule table that grows with the data."""
+    parts = table(spark, sf_dir, "part")
+    key, empty = F.col("p_partkey"), F.lit(None).cast("string")
+    rules = parts.filter(key % 4 == 1).select(
+        key.cast("int").alias("pattern_id"), F.concat(F.lit("^"), "p_name", F.lit("$")).alias("item_regex"),
+        F.when(key % 3 == 0, F.col("p_brand")).alias("company_regex"), empty.alias("category_regex"),
+        F.when(key % 5 == 0, F.concat(F.lit("^"), "p_size", F.lit("$"))).alias("unit_regex"),
+        F.concat(F.lit("item_"), "p_type").alias("canonical_item"), F.lit("regex").alias("mapping_method"),
+        (F.lit(1.0) / key).alias("confidence"), empty.alias("notes"),
+    )
+    return mapping.map_patterns(part_items(spark, sf_dir), rules).select("p_partkey", *MAPPING)
+
+
 @query("map_all", obs.with_mapped("""
     SELECT product_id, source_table, source_row_id, raw_item_name, canonical_item, mapping_method, confidence,
            mapping_notes FROM mapped

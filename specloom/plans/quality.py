@@ -22,7 +22,7 @@ IDS = ("source_row_id", "source_table", "source_column", "original_value")
     FROM norm GROUP BY product_id, canonical_item HAVING n_distinct_values > 1
 """))
 def conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.conflicts(obs.normalized(spark, sf_dir))
+    return quality.conflicts(obs.shared_normalized(spark, sf_dir))
 
 
 @query("conflict_flag", obs.with_norm(f"""
@@ -32,7 +32,7 @@ def conflicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM norm JOIN status USING (product_id, canonical_item)
 """))
 def conflict_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.flag_conflicts(obs.normalized(spark, sf_dir)).select(
+    return quality.flag_conflicts(obs.shared_normalized(spark, sf_dir), stored=True).select(
         "product_id", "canonical_item", "source_table", "source_row_id", "conflict_status"
     )
 
@@ -54,7 +54,7 @@ BEST_CTE = """, best AS (
     WHERE c.priority <= 2 GROUP BY c.canonical_item, c.category, c.priority
 """))
 def missing_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    best = resolve.best_record(obs.normalized(spark, sf_dir), ids=IDS)
+    best = resolve.best_record(obs.shared_normalized(spark, sf_dir), ids=IDS)
     scope = table(spark, sf_dir, "part").filter(F.col("p_type") != "PROMO").select(
         F.concat(F.lit("part:"), F.col("p_partkey")).alias("product_id")
     )
@@ -67,7 +67,7 @@ def missing_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM norm GROUP BY canonical_item HAVING n_companies <= 11
 """))
 def skewed_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.skewed_items(obs.normalized(spark, sf_dir), max_companies=11)
+    return quality.skewed_items(obs.shared_normalized(spark, sf_dir), max_companies=11)
 
 
 @query("low_confidence", obs.with_mapped("""
@@ -76,7 +76,7 @@ def skewed_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM mapped WHERE canonical_item IS NOT NULL AND confidence < 0.7 GROUP BY ALL
 """))
 def low_confidence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.low_confidence(obs.mapped_observations(spark, sf_dir))
+    return quality.low_confidence(obs.shared_annotated(spark, sf_dir))
 
 
 @query("parse_failures", obs.with_norm("""
@@ -84,7 +84,7 @@ def low_confidence(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM norm WHERE failed OR no_rule
 """))
 def parse_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.parse_failures(obs.normalized(spark, sf_dir))
+    return quality.parse_failures(obs.shared_normalized(spark, sf_dir))
 
 
 @query("issue_summary", obs.with_norm(ISSUES_CTE + """
@@ -93,7 +93,7 @@ def parse_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM issues GROUP BY issue_type
 """))
 def issue_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.issue_summary(normalize.issues(obs.annotated(spark, sf_dir)))
+    return quality.issue_summary(normalize.issues(obs.shared_annotated(spark, sf_dir)))
 
 
 @query("unit_mismatch", obs.with_norm("""
@@ -101,7 +101,25 @@ def issue_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM norm WHERE value_type = 'numeric' AND raw_unit IS NOT NULL AND canonical_unit IS NOT NULL AND factor IS NULL
 """))
 def unit_mismatch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.unit_mismatches(obs.mapped_observations(spark, sf_dir), obs.CONVERSIONS)
+    return quality.unit_mismatches(obs.shared_annotated(spark, sf_dir), obs.CONVERSIONS)
+
+
+@query("unit_mismatch_forms", """
+    SELECT 'c' AS company, l_partkey AS product_id, 'weight' AS canonical_item, 'stone' AS original_unit,
+           'kg' AS canonical_unit, CAST(l_linenumber AS VARCHAR) AS original_value, 's' || l_suppkey AS source_table
+    FROM lineitem WHERE l_returnflag = 'R'
+""")
+def unit_mismatch_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Units and rules written in several ways; the rules are a frame."""
+    flag = F.col("l_returnflag")
+    mapped = table(spark, sf_dir, "lineitem").select(
+        F.lit("c").alias("company"), F.col("l_partkey").alias("product_id"), F.lit("weight").alias("canonical_item"),
+        F.when(flag == "A", " Lb.").when(flag == "N", "K G").otherwise("stone").alias("raw_unit"),
+        F.lit("kg").alias("canonical_unit"), F.lit("numeric").alias("value_type"),
+        F.col("l_linenumber").cast("string").alias("raw_value_text"), F.concat(F.lit("s"), "l_suppkey").alias("source_table"),
+    )
+    rules = spark.createDataFrame([("LB", "kg", 0.45359237), ("KG.", "kg", 1.0), ("t", "kg", 1000.0)], "a string, b string, c double")
+    return quality.unit_mismatches(mapped, rules)
 
 
 @query("unmapped_items", obs.with_mapped("""
@@ -112,7 +130,7 @@ def unit_mismatch(spark: SparkSession, sf_dir: str) -> DataFrame:
 """))
 def unmapped_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.unmapped_items(
-        obs.mapped_observations(spark, sf_dir), ["source_row_id", "source_table", "product_id", "raw_value_text"]
+        obs.shared_annotated(spark, sf_dir), ["source_row_id", "source_table", "product_id", "raw_value_text"]
     )
 
 

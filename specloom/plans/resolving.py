@@ -15,7 +15,7 @@ RECORD = ["product_id", "canonical_item", "normalized_value_numeric", "normalize
 
 def best(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resolve.best_record(
-        obs.comparison_records(spark, sf_dir), ids=obs.COMPARISON_IDS, accepted=obs.ACCEPTED_FLAGS
+        obs.shared_records(spark, sf_dir), ids=obs.COMPARISON_IDS, accepted=obs.ACCEPTED_FLAGS
     )
 
 

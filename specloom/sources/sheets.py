@@ -5,7 +5,7 @@ from __future__ import annotations
 import csv
 import io
 import sys
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from itertools import chain
 
 import pandas as pd
@@ -17,44 +17,71 @@ from specloom.operators.ordering import with_position
 from specloom.session import cut_lineage
 
 GRID = "raw_path string, sheet_name string, row_no bigint, col_no int, value string"
+#: A grid with one row for each row of a sheet.
+ROWS = "raw_path string, sheet_name string, row_no bigint, cells array<string>"
 _BATCH_CELLS = 50_000
 
 
-def _cells(path: str, sheet: str, rows: Iterator[tuple[int, list[str]]]) -> Iterator[pd.DataFrame]:
-    """The rows' cells in batches; an empty field is NULL and a field may have any length."""
+def _packed(path: str, sheet: str, rows: Iterator[tuple[int, list[str]]]) -> Iterator[pd.DataFrame]:
+    """The rows in batches; an empty field is NULL and a field may have any length."""
     csv.field_size_limit(sys.maxsize)
     batch: list[tuple] = []
+    cells = 0
     for row_no, fields in rows:
-        batch.extend((path, sheet, row_no, i, f or None) for i, f in enumerate(fields, start=1))
-        if len(batch) >= _BATCH_CELLS:
-            yield pd.DataFrame(batch, columns=["raw_path", "sheet_name", "row_no", "col_no", "value"])
-            batch = []
+        batch.append((path, sheet, row_no, [f or None for f in fields]))
+        cells += len(fields)
+        if cells >= _BATCH_CELLS:
+            yield pd.DataFrame(batch, columns=["raw_path", "sheet_name", "row_no", "cells"])
+            batch, cells = [], 0
     if batch:
-        yield pd.DataFrame(batch, columns=["raw_path", "sheet_name", "row_no", "col_no", "value"])
+        yield pd.DataFrame(batch, columns=["raw_path", "sheet_name", "row_no", "cells"])
 
 
-def read_grid(
-    spark: SparkSession, paths: str | Sequence[str], root: str = "", delimiter: str = ","
+def cells_of(rows: DataFrame) -> DataFrame:
+    """Packed rows as a grid of cells."""
+    return rows.select("raw_path", "sheet_name", "row_no", F.posexplode("cells").alias("_pos", "value")).select(
+        "raw_path", "sheet_name", "row_no", (F.col("_pos") + 1).alias("col_no"), "value"
+    )
+
+
+def filled_rows(rows: DataFrame) -> DataFrame:
+    """Packed rows with a cell that is not blank; the others keep their numbers.  Nothing moves."""
+    return rows.filter(F.exists("cells", lambda c: ~is_blank(c)))
+
+
+def sheet_of_path(path: Column) -> Column:
+    """A file's name without its ending."""
+    return F.regexp_extract(path, r"([^/]+?)(?:\.[^./]*)?$", 1)
+
+
+def read_rows(
+    spark: SparkSession, paths: str | Sequence[str], root: str = "", delimiter: str = ",",
+    sheet: Callable[[Column], Column] = sheet_of_path,
 ) -> DataFrame:
-    """The cells of many delimited sheet files, one file a sheet named after it.
+    """The rows of many delimited sheet files, one file a sheet, which ``sheet`` names by the path.
 
     Files are read side by side; a field may hold line breaks, so a file is
-    split by one task.  Sheets are bounded by the formats that make them; use
-    ``read_line_grid`` for long files.
+    split by one task, which needs its bytes several times over.  A file is one cell of Spark's
+    reader, which ends at 2 GB; use ``read_line_grid`` for long files.
     """
     files = spark.read.format("binaryFile").load(paths).select(
-        relative_path(F.col("path"), root).alias("raw_path"),
-        F.regexp_extract("path", r"([^/]+?)(?:\.[^./]*)?$", 1).alias("sheet_name"),
-        "content",
+        relative_path(F.col("path"), root).alias("raw_path"), sheet(F.col("path")).alias("sheet_name"), "content",
     )
 
     def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for path, sheet, content in batch.itertuples(index=False):
                 text = io.StringIO(bytes(content).decode("utf-8-sig"), newline="")
-                yield from _cells(path, sheet, enumerate(csv.reader(text, delimiter=delimiter), start=1))
+                yield from _packed(path, sheet, enumerate(csv.reader(text, delimiter=delimiter), start=1))
 
-    return files.mapInPandas(split, GRID)
+    return files.mapInPandas(split, ROWS)
+
+
+def read_grid(
+    spark: SparkSession, paths: str | Sequence[str], root: str = "", delimiter: str = ","
+) -> DataFrame:
+    """The cells of many delimited sheet files; see ``read_rows``."""
+    return cells_of(read_rows(spark, paths, root, delimiter))
 
 
 def numbered_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
@@ -90,7 +117,7 @@ def read_line_grid(
     """
     lines = numbered_lines(spark, paths).select(
         relative_path(F.col("path"), root).alias("raw_path"),
-        F.regexp_extract("path", r"([^/]+?)(?:\.[^./]*)?$", 1).alias("sheet_name"),
+        sheet_of_path(F.col("path")).alias("sheet_name"),
         F.col("line_no").alias("row_no"),
         F.regexp_replace("line", "^﻿", "").alias("line"),
     )
@@ -105,9 +132,9 @@ def read_line_grid(
                 numbered = ((no, fields(line)) for no, line in zip(part["row_no"], part["line"]))
                 if skip_blank:
                     numbered = ((no, row) for no, row in numbered if any(f.strip() for f in row))
-                yield from _cells(path, sheet, numbered)
+                yield from _packed(path, sheet, numbered)
 
-    return lines.mapInPandas(split, GRID)
+    return cells_of(lines.mapInPandas(split, ROWS))
 
 
 def with_row_numbers(
@@ -119,34 +146,56 @@ def with_row_numbers(
     )
 
 
-def to_grid(
+def file_row_numbers(df: DataFrame, header_rows: int = 1) -> DataFrame:
+    """Rows read from Parquet files with ``raw_path`` and ``row_no``, their place in the files in the order of paths.
+
+    The reader knows each row's place in its file.  One row a file, its count,
+    which comes from the metadata, gives the rows before it; nothing is sorted.
+    """
+    placed = df.select("*", F.col("_metadata.file_path").alias("raw_path"), F.col("_metadata.row_index").alias("_index"))
+    files = df.groupBy(F.col("_metadata.file_path").alias("_path")).agg(F.count("*").alias("_rows"))
+    before = Window.orderBy("_path").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = files.select("_path", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"))
+    number = F.col("_before") + F.col("_index") + 1 + header_rows
+    return placed.join(offsets, F.col("raw_path") == F.col("_path")).withColumn("row_no", number).drop(
+        "_index", "_path", "_before"
+    )
+
+
+def to_rows(
     df: DataFrame,
     sheet: Column,
     order: Sequence[Column],
     cols: Sequence[str],
     raw_path: Column,
     header_rows: int = 1,
-    skip_blank: bool = False,
 ) -> DataFrame:
-    """A table as data cells; row numbers count from after the header.
+    """A table as packed rows; row numbers count from after the header.
 
     Rows are numbered over range slices, so a sheet may hold any share of them.
-    ``skip_blank`` leaves out rows whose cells are all blank while they are still
-    whole rows, which needs no shuffle; the others keep their numbers.
     """
     kinds = dict(df.dtypes)
-    numbered = with_row_numbers(
-        df.withColumn("sheet_name", sheet), ["sheet_name"], order, header_rows
-    )
+    numbered = with_row_numbers(df.withColumn("sheet_name", sheet), ["sheet_name"], order, header_rows)
     cells = F.array(*[to_text(F.col(c), kinds[c]) for c in cols])
-    if skip_blank:
-        numbered = numbered.filter(F.exists(cells, lambda c: ~is_blank(c)))
-    return numbered.select(
-        raw_path.alias("raw_path"),
-        "sheet_name",
-        "row_no",
-        F.posexplode(cells).alias("_pos", "value"),
-    ).select("raw_path", "sheet_name", "row_no", (F.col("_pos") + 1).alias("col_no"), "value")
+    return numbered.select(raw_path.alias("raw_path"), "sheet_name", "row_no", cells.alias("cells"))
+
+
+def to_grid(
+    df: DataFrame,
+    sheet: Column,
+    order: Sequence[Column],
+    cols: Sequence[str],
+    raw_path: Column,
+    header_rows: int = 1,
+    skip_blank: bool = False,
+) -> DataFrame:
+    """A table as data cells: ``to_rows``, spread.
+
+    ``skip_blank`` leaves out rows whose cells are all blank while they are still
+    whole rows.
+    """
+    rows = to_rows(df, sheet, order, cols, raw_path, header_rows)
+    return cells_of(filled_rows(rows) if skip_blank else rows)
 
 
 def read_report_csv(spark: SparkSession, path: str) -> DataFrame:
