@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from specloom.dictionaries import dictionary
+from specloom.session import cut_lineage
 
 EXACT_CONFIDENCE = 1.0
 SYNONYM_CONFIDENCE = 0.9
@@ -98,8 +99,12 @@ def _rule_hits(obs: DataFrame, rules: Sequence[Pattern] | DataFrame) -> DataFram
 
 
 def _with_rules(obs: DataFrame, rules: Sequence[Pattern] | DataFrame) -> DataFrame:
-    """``_by_unit`` and ``_by_name`` of every observation; NULL where no rule fits."""
-    hits = _rule_hits(obs, rules).select(*[F.col(k).alias(f"_{k}") for k in KEYS], "_by_unit", "_by_name")
+    """``_by_unit`` and ``_by_name`` of every observation; NULL where no rule fits.
+
+    What the rules say of the keys is kept as a table.  So its size is known when the join is planned: as
+    long as it is below Spark's threshold, it is sent around, and the observations stay where they are.
+    """
+    hits = cut_lineage(_rule_hits(obs, rules)).select(*[F.col(k).alias(f"_{k}") for k in KEYS], "_by_unit", "_by_name")
     same = F.lit(True)
     for k in KEYS:
         same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))

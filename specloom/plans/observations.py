@@ -7,8 +7,6 @@ and units vary with the line's flags, so that every rule has something to do.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -112,34 +110,30 @@ def normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize.normalized_specs(annotated(spark, sf_dir))
 
 
-_shared: dict[tuple[str, str, str], DataFrame] = {}
-
-
-def shared(spark: SparkSession, sf_dir: str, name: str, make: Callable[[SparkSession, str], DataFrame]) -> DataFrame:
-    """What ``make`` gives, as one table bucketed by product that all reports of the application read."""
-    key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _shared:
-        _shared[key] = write_shared(make(spark, sf_dir), "product_id")
-    return _shared[key]
+_shared: dict[tuple[str, str], DataFrame] = {}
 
 
 def shared_annotated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All observations, normalised once for the reports; texts that only rename a column are not stored."""
-    stored = shared(
-        spark, sf_dir, "annotated",
-        lambda spark, sf_dir: annotated(spark, sf_dir).drop("original_value", "original_unit", "raw_notes", "raw_value_numeric"),
-    )
-    return stored.withColumns({"original_value": F.col("raw_value_text"), "original_unit": F.col("raw_unit")})
+    """All observations, normalised once, as one table bucketed by product that all reports of the application read.
+
+    What no report reads, or what only renames a column, is not stored.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _shared:
+        _shared[key] = write_shared(annotated(spark, sf_dir).drop(
+            "original_value", "original_unit", "normalized_unit", "raw_notes", "raw_value_numeric", "raw_category",
+            "category", "priority",
+        ), "product_id")
+    return _shared[key].withColumns({
+        "original_value": F.col("raw_value_text"), "original_unit": F.col("raw_unit"),
+        "normalized_unit": F.when(F.col("value_type") == "numeric", F.col("canonical_unit")),
+    })
 
 
 def shared_normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize.normalized_specs(shared_annotated(spark, sf_dir))
 
 
-def shared_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shared(spark, sf_dir, "records", comparison_records)
-
-
 def number_sql(v: str) -> str:
     return f"CASE WHEN {v} = floor({v}) THEN CAST(CAST({v} AS BIGINT) AS VARCHAR) ELSE CAST({v} AS VARCHAR) END"
 

@@ -61,6 +61,42 @@ def missing_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.missing_rate(best, scope, obs.CANONICAL)
 
 
+SPEC_ITEMS = [(item, item, kind) for item, _, _, kind, _ in obs.CANONICAL]
+
+
+@query("best_specs", obs.with_norm(BEST_CTE + """
+    SELECT product_id, canonical_item, normalized_value_numeric, normalized_value_text, confidence, source_table, source_row_id
+    FROM best
+"""))
+def best_specs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best records of the shared table, bucket by bucket."""
+    return resolve.best_record(obs.shared_normalized(spark, sf_dir), ids=IDS).select(
+        "product_id", "canonical_item", "normalized_value_numeric", "normalized_value_text", "confidence", "source_table",
+        "source_row_id",
+    )
+
+
+_SPEC_CELLS = ", ".join(
+    f"max(normalized_value_{kind}) FILTER (WHERE canonical_item = '{item}') AS {item}" for item, _, kind in SPEC_ITEMS
+)
+
+
+@query("comparison_specs", obs.with_norm(BEST_CTE + f"""
+    SELECT p_name AS product_name, cells.* FROM (SELECT product_id, {_SPEC_CELLS} FROM best GROUP BY product_id) AS cells
+    JOIN part ON product_id = 'part:' || p_partkey
+    UNION ALL BY NAME
+    SELECT p_name AS product_name, 'part:' || p_partkey AS product_id FROM part
+    WHERE 'part:' || p_partkey NOT IN (SELECT product_id FROM best)
+"""))
+def comparison_specs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The comparison of the shared table's best records: one row a product."""
+    products = table(spark, sf_dir, "part").select(
+        F.concat(F.lit("part:"), F.col("p_partkey")).alias("product_id"), F.col("p_name").alias("product_name")
+    )
+    best = resolve.best_record(obs.shared_normalized(spark, sf_dir), ids=IDS)
+    return resolve.pivot_items(products, best, SPEC_ITEMS)
+
+
 @query("skewed_items", obs.with_norm("""
     SELECT canonical_item, count(DISTINCT company) AS n_companies, count(DISTINCT product_id) AS n_products,
            array_to_string(list_sort(list(DISTINCT company)), ' | ') AS companies
