@@ -18,9 +18,8 @@ The driver holds one small row per source; slots are worked out by tasks of
 come from range slices, so a source with a third of all rows is spread like any
 other.
 
-A ``whole`` selection, that of the query, is all that has a slot.  Otherwise, as
-in the pipeline, the selection ends where the first source runs out, and all of it has
-the target weights.
+A ``whole`` selection, that of the query and of the pipeline, is all that has a slot.  Otherwise the
+selection ends where the first source runs out, and all of it has the target weights.
 
 Defined results: a null source is a source of its own; a null text is one of no
 characters; documents with a null id come first in their source; rows with
@@ -40,6 +39,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from specloom.operators.ordering import with_running_total
+from specloom.session import cut_lineage
 
 #: Characters of a block; slots over which ``shares`` rounds (more if there are many sources).
 BLOCK = 20_000
@@ -231,6 +231,29 @@ def schedule(
     return found.select("doc_id", "source", "block", "release", "deadline", "slot", chosen_rows.alias("selected"))
 
 
+def interleaved(docs: DataFrame, weights: Mapping[str, float] | None = None, block: int = BLOCK) -> DataFrame:
+    """All documents of the sources that have a weight, all columns, in the order of the mixture.
+
+    The rows come in range slices of the slots, each slice sorted, so written files follow
+    the mixture from the first to the last; within a block documents keep their source's order.
+    What has no characters stands before all others.  Places are worked out for keys
+    (id and hash of the text) alone and joined with the texts; rows of one key stand together.
+    """
+    key = F.struct(F.col("doc_id").alias("id"), F.xxhash64("text").alias("text_hash"))
+    found = schedule(docs.select(key.alias("doc_id"), "source", "text"), weights, block, whole=True).filter("selected")
+    places = cut_lineage(found.groupBy("doc_id", "source").agg(F.min("slot").alias("_mix_slot"))).select(
+        F.col("doc_id.id").alias("_mix_id"), F.col("doc_id.text_hash").alias("_mix_hash"),
+        F.col("source").alias("_mix_source"), "_mix_slot", F.xxhash64("doc_id").alias("_mix_order"),
+    )
+    same = (
+        docs["doc_id"].eqNullSafe(F.col("_mix_id")) & (F.xxhash64(docs["text"]) == F.col("_mix_hash"))
+        & (source_key(docs["source"]) == F.col("_mix_source"))
+    )
+    order = [F.col("_mix_slot").asc_nulls_first(), *[F.col(c).asc() for c in ("_mix_order", "_mix_id", "_mix_hash")]]
+    placed = docs.join(places, same).repartitionByRange(*order).sortWithinPartitions(*order)
+    return placed.select(*[docs[c] for c in docs.columns])
+
+
 def mixed(
     docs: DataFrame, weights: Mapping[str, float] | None = None, block: int = BLOCK, whole: bool = False
 ) -> DataFrame:

@@ -1,6 +1,6 @@
 """SimHash near-copies: links at a small Hamming distance, found through bit counts of segments.
 
-A fingerprint is cut into 32 segments of two bits and mapped to the bit count of
+Shingle size and distance are parameters; what follows is said for 4 bits.  A fingerprint is cut into 32 segments of two bits and mapped to the bit count of
 each.  The Manhattan distance of two such vectors never exceeds the Hamming
 distance, so it serves as a lower bound.  Counts are kept in unary (0, 01, 11),
 which makes the Manhattan distance the number of differing bits of two longs.
@@ -42,8 +42,11 @@ SEED = 42
 DISTANCE = 4
 #: Fingerprints of a cell compared in one go.
 CELL_ROWS = 4096
-#: Rows a cell may have on average if fingerprints are evenly spread.
+#: Rows a cell may have on average if fingerprints are evenly spread; each further bit of distance doubles it, since
+#: the number of grids grows with the distance.
 CELL_MEAN = 64
+#: Links a cell's rows may have each before only a spanning forest is looked for.
+DENSE = 4
 
 WORDS = ragged.word_table(ragged.WORD_BREAKS)
 _EIGHT = np.uint64(0x0101010101010101)
@@ -68,8 +71,8 @@ def _majority(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return result
 
 
-def fingerprints_of(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Fingerprints of a slice of texts."""
+def fingerprints_of(data: np.ndarray, offsets: np.ndarray, shingle: int = SHINGLE) -> np.ndarray:
+    """Fingerprints of a slice of texts over shingles of so many words."""
     data = ragged.fold(data)
     starts, ends, bounds = ragged.find_words(data, offsets, WORDS)
     if not len(starts):
@@ -82,9 +85,9 @@ def fingerprints_of(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     joined[np.repeat(to, lengths) + spread] = data[np.repeat(starts, lengths) + spread]
     text, until = joined.tobytes(), to + lengths
     words = np.diff(bounds)
-    shingles = np.where(words > 0, np.maximum(1, words - SHINGLE + 1), 0)
+    shingles = np.where(words > 0, np.maximum(1, words - shingle + 1), 0)
     first = np.repeat(bounds[:-1], shingles) + ragged.runs(shingles)
-    last = np.minimum(first + SHINGLE, np.repeat(bounds[1:], shingles)) - 1
+    last = np.minimum(first + shingle, np.repeat(bounds[1:], shingles)) - 1
     digest = xxhash.xxh64_intdigest
     hashes = np.fromiter(
         (digest(text[a:b], SEED) for a, b in zip(to[first].tolist(), until[last].tolist())), np.uint64, len(first)
@@ -92,14 +95,14 @@ def fingerprints_of(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return _majority(hashes, np.concatenate([[0], np.cumsum(shingles)]))
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """doc_id and the fingerprint of every whole text as a long (its 64 bits)."""
     kind = dict(docs.dtypes)["doc_id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row, data, offsets in ragged.text_slices(batch.column("text")):
-                prints = fingerprints_of(data, offsets)
+                prints = fingerprints_of(data, offsets, shingle)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(row, len(prints)), pa.array(prints.view(np.int64))],
                     ["doc_id", "fingerprint"],
@@ -118,29 +121,45 @@ def _unary_counts(f: Column) -> Column:
     return f.bitwiseOR(high).bitwiseAND(odd).bitwiseOR(F.shiftleft(f.bitwiseAND(high).bitwiseAND(odd), 1))
 
 
-def grid_masks(groups: int) -> list[int]:
+def grid_masks(groups: int, distance: int = DISTANCE) -> list[int]:
     """For each grid, the bits of the segments that span it, as signed longs."""
     parts = np.array_split(np.arange(32), groups)
     bits = [sum(3 << 2 * int(s) for s in part) for part in parts]
-    masks = [sum(chosen) for chosen in itertools.combinations(bits, groups - DISTANCE)]
+    masks = [sum(chosen) for chosen in itertools.combinations(bits, groups - distance)]
     return [m - (1 << 64) if m >> 63 else m for m in masks]
 
 
-def groups_for(rows: int) -> int:
+def groups_for(rows: int, distance: int = DISTANCE) -> int:
     """The fewest groups that keep cells small: a segment's count tells about 1.415 bits."""
-    for groups in range(DISTANCE + 2, 17):
-        if rows / 2 ** (1.415 * 32 * (groups - DISTANCE) / groups) <= CELL_MEAN:
+    mean = CELL_MEAN * 2 ** (distance - DISTANCE)
+    for groups in range(distance + 2, distance + 13):
+        if rows / 2 ** (1.415 * 32 * (groups - distance) / groups) <= mean:
             return groups
-    return 17
+    return distance + 13
 
 
-def _near(a: np.ndarray, ca: np.ndarray, b: int, cb: int) -> np.ndarray:
+def _near(a: np.ndarray, ca: np.ndarray, b: int, cb: int, distance: int) -> np.ndarray:
     """Which of many fingerprints are within the distance of one: the bound first, then exactly."""
-    near = np.flatnonzero(np.bitwise_count(ca ^ cb) <= DISTANCE)
-    return near[np.bitwise_count(a[near] ^ b) <= DISTANCE]
-
-
-def forest(prints: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    near = np.flatnonzero(np.bitwise_count(ca ^ cb) <= distance)
+    return near[np.bitwise_count(a[near] ^ b) <= distance]
+
+
+def few_links(prints: np.ndarray, counts: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray] | None:
+    """All links of a cell, some rows with all later ones at a time; None once they are more than ``DENSE`` a row."""
+    left, right, found = [], [], 0
+    for i in range(0, len(prints), 256):
+        x, y = np.nonzero(np.bitwise_count(counts[i : i + 256, None] ^ counts[None, i:]) <= distance)
+        later = x < y
+        x, y = x[later] + i, y[later] + i
+        near = np.bitwise_count(prints[x] ^ prints[y]) <= distance
+        left.append(x[near]), right.append(y[near])
+        found += len(left[-1])
+        if found > DENSE * len(prints):
+            return None
+    return np.concatenate(left), np.concatenate(right)
+
+
+def forest(prints: np.ndarray, counts: np.ndarray, distance: int = DISTANCE) -> tuple[np.ndarray, np.ndarray]:
     """Links that connect what the pairs within the distance connect, at most one less than rows.
 
     Visits each component from one member on; a member is compared only with
@@ -152,7 +171,7 @@ def forest(prints: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarr
         queue, rest = [int(rest[0])], rest[1:]
         while queue and len(rest):
             at = queue.pop()
-            near = _near(prints[rest], counts[rest], prints[at], counts[at])
+            near = _near(prints[rest], counts[rest], prints[at], counts[at], distance)
             if len(near):
                 found = rest[near]
                 left.append(np.full(len(found), at))
@@ -163,7 +182,7 @@ def forest(prints: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return (np.concatenate(left), np.concatenate(right)) if left else (none, none)
 
 
-def _cell_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _cell_links(batches: Iterator[pa.RecordBatch], distance: int) -> Iterator[pa.RecordBatch]:
     """Links of every cell; rows come in order of cell (grid, cell, chunk pair)."""
     held: list[tuple[np.ndarray, ...]] = []
 
@@ -173,8 +192,8 @@ def _cell_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sizes = np.diff(cuts)
         # cells of two are most of all: one comparison for all of them
         two = cuts[:-1][sizes == 2]
-        near = two[np.bitwise_count(counts[two] ^ counts[two + 1]) <= DISTANCE]
-        near = near[np.bitwise_count(prints[near] ^ prints[near + 1]) <= DISTANCE]
+        near = two[np.bitwise_count(counts[two] ^ counts[two + 1]) <= distance]
+        near = near[np.bitwise_count(prints[near] ^ prints[near + 1]) <= distance]
         a.append(near), b.append(near + 1)
         # those of up to 32: row i with row i + k, for every k
         small = (sizes > 2) & (sizes <= 32)
@@ -182,11 +201,12 @@ def _cell_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for k in range(1, int(size.max(initial=1))):
             many = size > k
             first = np.repeat(begin[many], size[many] - k) + ragged.runs(size[many] - k)
-            near = first[np.bitwise_count(counts[first] ^ counts[first + k]) <= DISTANCE]
-            near = near[np.bitwise_count(prints[near] ^ prints[near + k]) <= DISTANCE]
+            near = first[np.bitwise_count(counts[first] ^ counts[first + k]) <= distance]
+            near = near[np.bitwise_count(prints[near] ^ prints[near + k]) <= distance]
             a.append(near), b.append(near + k)
         for i in np.flatnonzero(sizes > 32):
-            x, y = forest(prints[cuts[i] : cuts[i + 1]], counts[cuts[i] : cuts[i + 1]])
+            cell = prints[cuts[i] : cuts[i + 1]], counts[cuts[i] : cuts[i + 1]], distance
+            x, y = few_links(*cell) or forest(*cell)
             a.append(x + cuts[i]), b.append(y + cuts[i])
         first, second = np.concatenate(a), np.concatenate(b)
         return pa.RecordBatch.from_arrays(
@@ -215,18 +235,20 @@ def _cell_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield links(columns, np.array([0, len(columns[0])]))
 
 
-def fingerprint_links(prints: DataFrame, groups: int | None = None, cell_rows: int = CELL_ROWS) -> DataFrame:
+def fingerprint_links(
+    prints: DataFrame, groups: int | None = None, cell_rows: int = CELL_ROWS, distance: int = DISTANCE
+) -> DataFrame:
     """Links ``a``, ``b`` that connect all distinct fingerprints within the distance, through others or not.
 
     ``prints`` has distinct values in the column ``fingerprint``.
     """
-    groups = groups or groups_for(prints.count())
+    groups = groups or groups_for(prints.count(), distance)
     counts = _unary_counts(F.col("fingerprint"))
     cells = prints.select("fingerprint", counts.alias("counts")).select(
         "fingerprint", "counts",
         F.explode(F.array(*[
             F.struct(F.lit(i).alias("grid"), F.col("counts").bitwiseAND(F.lit(m)).alias("cell"))
-            for i, m in enumerate(grid_masks(groups))
+            for i, m in enumerate(grid_masks(groups, distance))
         ])).alias("at"),
     ).select("at.grid", "at.cell", "counts", "fingerprint")
     # cells of many rows, at most one for every cell_rows rows
@@ -243,18 +265,18 @@ def fingerprint_links(prints: DataFrame, groups: int | None = None, cell_rows: i
     )
     keys = ["grid", "cell", "pair"]
     ordered = placed.select(*keys, "counts", "fingerprint").repartition(*keys).sortWithinPartitions(*keys)
-    return ragged.map_in_arrow(ordered, _cell_links, "a long, b long")
+    return ragged.map_in_arrow(ordered, lambda batches: _cell_links(batches, distance), "a long, b long")
 
 
-def near_copies(docs: DataFrame) -> DataFrame:
+def near_copies(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id of every document.
 
     component_id is the least doc_id of all documents reached over links between
-    fingerprints at most ``DISTANCE`` bits apart.
+    fingerprints of ``shingle`` words at most ``distance`` bits apart.
     """
-    prints = cut_lineage(fingerprints(docs))
+    prints = cut_lineage(fingerprints(docs, shingle))
     distinct = cut_lineage(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("least")))
-    roots = connected_components(fingerprint_links(distinct.select("fingerprint")))
+    roots = connected_components(fingerprint_links(distinct.select("fingerprint"), distance=distance))
     rooted = distinct.join(roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left").select(
         "fingerprint", "least", F.coalesce("root", "fingerprint").alias("root")
     )

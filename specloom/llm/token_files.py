@@ -23,7 +23,7 @@ from __future__ import annotations
 import itertools
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -183,12 +183,13 @@ def filesystem(uri: str) -> tuple[pa.fs.FileSystem, str]:
 
 
 def write_token_files(
-    docs: DataFrame, folder: str, vocabulary: str, seq_len: int = SEQ_LEN, end_id: int = END_ID
+    docs: DataFrame, folder: str, vocabulary: str, seq_len: int = SEQ_LEN, end_id: int = END_ID,
+    order: Sequence[str] = ("doc_id",),
 ) -> DataFrame:
-    """Write the ids of all texts, each followed by ``end_id``; returns the index.
+    """Write the ids of all texts in the ``order`` of columns, each followed by ``end_id``; returns the index.
 
     ``vocabulary`` is the content of a tokenizer file.  The index has doc_id, part
-    (its order is that of doc_id), at (the document's first id within the part),
+    (its order is that of the columns), at (the document's first id within the part),
     n_tokens, file.  It is a written table in the order of the files.
     """
     spark = docs.sparkSession
@@ -221,7 +222,9 @@ def write_token_files(
         if writer is not None:
             writer.close()
 
-    ordered = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    ordered = docs.select("doc_id", "text", *[c for c in order if c != "doc_id"]).repartitionByRange(*order).sortWithinPartitions(
+        *order, "text"
+    ).select("doc_id", "text")
     return cut_lineage(
         ragged.map_in_arrow(ordered, write, f"doc_id {kind}, part long, at long, n_tokens long, file string")
     )

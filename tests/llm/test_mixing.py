@@ -1,5 +1,8 @@
+from fractions import Fraction
+
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from helpers import SCHEMA, empty, odd, prose
 
 from specloom.llm import mixing
@@ -112,3 +115,81 @@ def test_deviation_from_the_true_weights_stays_under_a_block_over_many_periods()
         own = plan[plan[:, 0] == i]
         assert list(own[:, 1]) == list(range(len(own))) and all(own[:, 2] <= own[:, 4]) and all(own[:, 4] < own[:, 3])
     assert (plan[:, 0] == names.index("tiny")).sum() == 2
+
+
+def fluid_slots(sizes, weights, block):
+    """Slot of each (source, block): earliest deadline first, one slot after the other, in exact fractions."""
+    ends = {s: -(-n // block) for s, n in sizes.items() if n and s in weights}
+    active, level, at, spans = set(ends), dict.fromkeys(ends, Fraction(0)), Fraction(0), {s: [] for s in ends}
+    while active:
+        total = sum(weights[s] for s in active)
+        pace = {s: Fraction(weights[s], total) for s in active}
+        length = min((ends[s] - level[s]) / pace[s] for s in active)
+        for s in active:
+            spans[s].append((level[s], level[s] + pace[s] * length, at, pace[s]))
+            level[s] += pace[s] * length
+        at += length
+        active = {s for s in active if level[s] < ends[s]}
+
+    def reached(s, blocks):
+        for low, high, begin, pace in spans[s]:
+            if low <= blocks <= high:
+                return begin + (blocks - low) / pace
+
+    left = {s: [(reached(s, j).__floor__(), -(-reached(s, j + 1)).__floor__(), j) for j in range(n)] for s, n in ends.items()}
+    slots, t = {}, 0
+    while any(left.values()):
+        open_ = [(q[0][1], s) for s, q in left.items() if q and q[0][0] <= t]
+        s = min(open_)[1] if open_ else min((q[0][0], s) for s, q in left.items() if q)[1]
+        slots[s, left[s].pop(0)[2]] = t
+        t += 1
+    return slots
+
+
+def brute_force_order(docs, block):
+    """ids in the order of the mixture, and the slot of each."""
+    key = F.struct(F.col("doc_id").alias("id"), F.xxhash64("text").alias("text_hash"))
+    rows = docs.select(
+        "doc_id", mixing.source_key(F.col("source")).alias("source"), F.coalesce(F.length("text"), F.lit(0)).alias("size"),
+        F.xxhash64(key).alias("hash"),
+    ).collect()
+    sizes = {}
+    for r in rows:
+        sizes[r.source] = sizes.get(r.source, 0) + r.size
+    weights = mixing.whole_weights({s: float(n) ** 0.8 for s, n in sizes.items() if n})
+    slots = fluid_slots(sizes, weights, block)
+    until, placed = {}, []
+    for r in sorted(rows, key=lambda r: r.hash):
+        start = until.get(r.source, 0)
+        until[r.source] = start + r.size
+        last = max(0, -(-sizes[r.source] // block) - 1)
+        placed.append((slots.get((r.source, min(start // block, last)), -1), r.hash, r.doc_id))
+    return [(doc_id, slot) for slot, _, doc_id in sorted(placed)]
+
+
+def in_files(spark, path):
+    """Rows of written files, in the order of the files."""
+    number = F.regexp_extract(F.col("_metadata.file_name"), "part-([0-9]+)", 1).cast("int")
+    return spark.read.parquet(path).select("*", number.alias("n"), F.col("_metadata.row_index").alias("i")).orderBy("n", "i").collect()
+
+
+@pytest.mark.parametrize("block", [100, 300, 5000])
+def test_schedule_and_order_against_brute_force(spark, tmp_path, block):
+    docs = docs_of(spark, {"a": 90, "b": 30, None: 12, "tiny": 1}).repartition(7)
+    expected = brute_force_order(docs, block)
+    mixing.interleaved(docs, block=block).write.parquet(str(tmp_path / "out"))
+    rows = in_files(spark, str(tmp_path / "out"))
+    assert [r.doc_id for r in rows] == [i for i, _ in expected]
+    assert sorted(tuple(r)[:8] for r in rows) == sorted(map(tuple, docs.collect()))
+
+
+def test_interleaved_odd_rows_and_empty_table(spark):
+    found = mixing.interleaved(odd(spark), block=50)
+    assert found.columns == odd(spark).columns and sorted(map(repr, found.collect())) == sorted(map(repr, odd(spark).collect()))
+    assert mixing.interleaved(empty(spark)).collect() == []
+    assert mixing.interleaved(docs_of(spark, {"a": 3, "b": 3}), {"=a": 1.0}).count() == 3
+
+
+def test_a_source_of_one_document_costs_no_other_one(spark):
+    docs = docs_of(spark, {"hot": 300, "b": 40, "c": 40, "tiny": 1})
+    assert mixing.interleaved(docs, block=200).count() == docs.count()

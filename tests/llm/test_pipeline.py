@@ -6,7 +6,8 @@ import pytest
 from helpers import SCHEMA, empty, odd, prose
 from test_decontaminate import brute_force as contaminated
 from test_simhash import brute_force as near_copies
-from test_token_files import expected
+from test_mixing import brute_force_order, in_files
+from test_token_files import in_order
 
 from specloom.llm import mixing
 
@@ -42,7 +43,9 @@ def test_stages_against_brute_force(spark, tables, tmp_path):
         before = {r.doc_id: r for r in given.collect()}
         kept = {r.doc_id: r for r in out.collect()}
         if name == "token_files":
-            assert sorted(map(tuple, out.collect())) == sorted(expected([(i, r.text) for i, r in before.items()]))
+            # the ids stand in the order of the mixture's files
+            ordered = [(r.doc_id, r.text) for r in in_files(spark, f"{tmp_path}/mix_sources")]
+            assert sorted(map(tuple, out.collect())) == sorted(in_order(ordered)) and len(ordered) == len(before)
             continue
         assert out.columns == given.columns and out.count() == len(kept)
         assert all(kept[i] == before[i] for i in kept)
@@ -51,11 +54,13 @@ def test_stages_against_brute_force(spark, tables, tmp_path):
             assert set(before) - set(kept) >= {i for i, t in rows if not any(c.isalpha() for c in t)}
             assert len(kept) > 100
         elif name == "simhash_dedup":
-            assert set(kept) == {c for _, _, c in near_copies(rows)} and len(kept) < len(before)
+            assert set(kept) == {c for _, _, c in near_copies(rows, 5, 8)} and len(kept) < len(before)
         elif name == "decontaminate":
             assert set(before) - set(kept) == {r[0] for r in contaminated(rows, items) if r[5]} != set()
         else:
-            assert set(kept) == {r.doc_id for r in mixing.schedule(given).filter("selected").collect()}
+            assert kept == before
+            found = [r.doc_id for r in in_files(spark, f"{tmp_path}/{name}")]
+            assert found == [i for i, _ in brute_force_order(given, mixing.BLOCK)]
 
 
 def test_run_is_all_stages(spark, tables, tmp_path):
@@ -71,7 +76,7 @@ def test_odd_rows_and_empty_table(spark, tables, tmp_path):
     for name, given, out in applied(spark, odd(spark), f"{tmp_path}/odd", folder):
         if name == "simhash_dedup":  # one row of each group, a known id before a null one
             rows = [(r.doc_id, r.text) for r in given.collect()]
-            groups = {f for _, f, _ in near_copies(rows)}
+            groups = {f for _, f, _ in near_copies(rows, 5, 8)}
             assert out.count() <= len(groups) and out.filter("doc_id = 7").count() >= 1
     for _, _, out in applied(spark, empty(spark), f"{tmp_path}/empty", folder):
         assert out.count() == 0

@@ -1,5 +1,6 @@
 import re
 
+import numpy as np
 import pytest
 import xxhash
 from helpers import empty, odd, prose, same_rows
@@ -10,15 +11,15 @@ from specloom.llm.components import connected_components
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
 
-def fingerprint(text):
+def fingerprint(text, shingle=4):
     words = WORD.findall(bytes(c + 32 if 65 <= c <= 90 else c for c in (text or "").encode()))
     if not words:
         return 0
-    hashes = [xxhash.xxh64_intdigest(b" ".join(words[i : i + 4]), 42) for i in range(max(1, len(words) - 3))]
+    hashes = [xxhash.xxh64_intdigest(b" ".join(words[i : i + shingle]), 42) for i in range(max(1, len(words) - shingle + 1))]
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
 
-def components(prints):
+def components(prints, distance=4):
     """Least reachable doc_id of each row, by comparing all pairs."""
     root = list(range(len(prints)))
 
@@ -29,7 +30,7 @@ def components(prints):
 
     for i in range(len(prints)):
         for j in range(i):
-            if bin(prints[i][1] ^ prints[j][1]).count("1") <= 4:
+            if bin(prints[i][1] ^ prints[j][1]).count("1") <= distance:
                 a, b = sorted((find(i), find(j)))
                 root[b] = a
     least = {}
@@ -40,9 +41,9 @@ def components(prints):
     return [least.get(find(i)) for i in range(len(prints))]
 
 
-def brute_force(rows):
-    prints = [(doc_id, fingerprint(text)) for doc_id, text in rows]
-    return [(d, f"{f:016x}", c) for (d, f), c in zip(prints, components(prints))]
+def brute_force(rows, shingle=4, distance=4):
+    prints = [(doc_id, fingerprint(text, shingle)) for doc_id, text in rows]
+    return [(d, f"{f:016x}", c) for (d, f), c in zip(prints, components(prints, distance))]
 
 
 def test_odd_rows(spark):
@@ -73,6 +74,27 @@ def test_near_copies_against_all_pairs(near):
     assert same_rows(simhash.near_copies(docs).collect()) == same_rows(brute_force(rows))
 
 
+@pytest.mark.parametrize("shingle, distance", [(5, 8), (1, 2), (3, 12)])
+def test_other_shingles_and_distances(near, shingle, distance):
+    rows, docs = near
+    found = simhash.near_copies(docs, shingle, distance).collect()
+    assert same_rows(found) == same_rows(brute_force(rows, shingle, distance))
+
+
+def test_links_of_a_cell_either_way():
+    rng = np.random.default_rng(1)
+    base = rng.integers(0, 1 << 63, 40, dtype=np.uint64)
+    prints = np.unique(base[rng.integers(0, 40, 700)] ^ (np.uint64(1) << rng.integers(0, 64, 700).astype(np.uint64)))
+    none = np.zeros_like(prints)
+    left, right = simhash.forest(prints, none, 4)
+    assert simhash.few_links(prints, none, 4) is None or len(prints) > 1
+    sparse = np.unique(np.concatenate([base, base ^ np.uint64(3)]))
+    a, b = simhash.few_links(sparse, np.zeros_like(sparse), 4)
+    assert {frozenset((int(sparse[i]), int(sparse[j]))) for i, j in zip(a, b)} == {
+        frozenset((int(x), int(x) ^ 3)) for x in base}
+    assert len(left) == len(right) < len(prints)
+
+
 @pytest.mark.parametrize("groups, cell_rows", [(6, 4096), (7, 20), (9, 40)])
 def test_links_do_not_depend_on_grids_or_chunks(spark, near, groups, cell_rows):
     rows, _ = near

@@ -18,9 +18,13 @@ def tokenizer():
 
 
 def expected(rows):
-    """doc_id, start, n_tokens, ids_crc32 by direct encoding."""
+    """doc_id, start, n_tokens, ids_crc32 by direct encoding, in the order of the ids."""
+    return in_order(sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, (r[1] or "").encode())))
+
+
+def in_order(rows):
     made, start, out = tokenizer(), 0, []
-    for doc_id, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, (r[1] or "").encode())):
+    for doc_id, text in rows:
         ids = np.array([*made.encode(text or "", add_special_tokens=False).ids, 0], "<u4")
         out.append((doc_id, start, len(ids), zlib.crc32(ids.tobytes())))
         start += len(ids)
