@@ -81,7 +81,7 @@ def map_patterns_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     key, empty = F.col("p_partkey"), F.lit(None).cast("string")
     rules = parts.filter(key % 4 == 1).select(
         key.cast("int").alias("pattern_id"), F.concat(F.lit("^"), "p_name", F.lit("$")).alias("item_regex"),
-        F.when(key % 3 == 0, F.col("p_brand")).alias("company_regex"), empty.alias("category_regex"),
+        F.when(key % 3 == 0, F.concat(F.lit("^"), "p_brand", F.lit("$"))).alias("company_regex"), empty.alias("category_regex"),
         F.when(key % 5 == 0, F.concat(F.lit("^"), "p_size", F.lit("$"))).alias("unit_regex"),
         F.concat(F.lit("item_"), "p_type").alias("canonical_item"), F.lit("regex").alias("mapping_method"),
         (F.lit(1.0) / key).alias("confidence"), empty.alias("notes"),
