@@ -1,28 +1,37 @@
 """Main text of web pages by consensus paths of their hosts.
 
 Every page's containers are scored by the text of their paragraphs less the text
-of their links, at any depth.  A container's path is the list of tags and classes that lead to
-it, with digits generalised.  Spark adds up the scores per host and path, each
-deepest path that holds nearly all of a host's text wins, or the article or main
-around it, and every page is extracted again from the containers
-under its host's winning path, or, where a page has none, from its own best one.
+of their links, at any depth.  A container's path is the tags and classes that lead to
+it, with digits generalised, as a 64-bit hash of its parent's path and its own step.  Spark
+adds up the scores per host and path.  The deepest path that holds nearly all of a
+host's text wins, or the article or main around it, and every page is extracted
+again from the containers under its host's winning path, or, where a page has
+none, from its own best one.  A winner that stands in no article or main may have
+parts of the article beside it: then a block elsewhere stays, too, unless its
+container is mostly links, on the page or by the vote of the host's pages.
 
 Votes are summed before they are shuffled, so a host with a third of all pages
-is a few rows per task; pages meet their host's path in a join salted
-``SALTS`` ways, so that its pages are spread, too.
+is a few rows per task; pages meet their host's paths in a join salted
+``SALTS`` ways, so that its pages are spread, too.  A host's list of link containers
+holds paths of at least 1 / ``COMMON`` of its pages, so it has at most ``COMMON`` times
+the containers of an average page.
 
 Defined results: null or empty html gives an empty text with 0 characters; a
 null url, or one without a host, counts as the host "" of its own; ties go to
-the path that sorts first; repeated rows keep their row; markup that is cut off
-or unbalanced is read as browsers do, open elements end with the page; further
-columns are not looked at.
+the path with the least hash; repeated rows keep their row; markup that is cut off
+or unbalanced is read as browsers do, open elements end with the page; very long
+pages and very deep ones take memory in proportion to their length; further columns
+are not looked at.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -59,6 +68,8 @@ ASIDE_WORDS = frozenset(
 SALTS = 32
 #: Share of a host's text that the winning path must hold, if no path has all.
 NEARLY_ALL = 7 / 8
+#: A host's vote on a link container counts if one page in so many has it.
+COMMON = 100
 _WORD = re.compile(r"[a-z]+")
 _SPACE = re.compile(r"\s+")
 _DIGITS = re.compile(r"\d+")
@@ -89,14 +100,23 @@ def _marker(tag: str, attributes: dict[str, str]) -> str | None:
     return found
 
 
+def _step(parent: int, step: str) -> int:
+    """Signed 64-bit hash of a path from that of its parent."""
+    data = parent.to_bytes(8, "little", signed=True) + step.encode("utf-8", "surrogatepass")
+    return int.from_bytes(hashlib.blake2b(data, digest_size=8).digest(), "little", signed=True)
+
+
 class _Page(HTMLParser):
     """Blocks of text in page order, each with the container it stands in."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        #: path and parent of each container; texts of blocks with their container
-        self.paths: list[str] = ["html"]
+        #: path, parent and depth of each container, and the innermost article, or else main, that it stands in
+        self.paths: list[int] = [_step(0, "html")]
         self.parents: list[int] = [-1]
+        self.depths: list[int] = [0]
+        self.frames: dict[str, list[int]] = {"article": [-1], "main": [-1]}
+        #: texts of blocks with their container, and the link-corrected length of each container's own
         self.blocks: list[tuple[int, str]] = []
         self.scores: dict[int, float] = {}
         #: all blocks so far, with their link-corrected length and the innermost marked element around them
@@ -105,9 +125,15 @@ class _Page(HTMLParser):
         self.marks: list[tuple[str, int]] = []
         self.around: dict[str, int] = {}
         self.open: list[tuple[str, bool, bool, int, int]] = []  # tag, hidden, in a link, container, marked element
+        self.names: Counter[str] = Counter()  # of the open elements
         self.held: list[str] = []
         self.linked = 0
 
+    def _cut(self, at: int) -> None:
+        """Close the open elements from ``at`` on."""
+        self.names.subtract(x[0] for x in self.open[at:])
+        del self.open[at:]
+
     def _state(self) -> tuple[bool, bool, int, int]:
         return self.open[-1][1:] if self.open else (False, False, 0, -1)
 
@@ -133,8 +159,11 @@ class _Page(HTMLParser):
         hidden, link, at, mark = self._state()
         if tag in CONTAINERS and tag != "html":
             classes = ".".join(sorted(set(attributes.get("class", "").lower().replace("/", "|").split())))
-            self.paths.append(f"{self.paths[at]}/{tag}" + (f".{_DIGITS.sub('#', classes)}" if classes else ""))
+            self.paths.append(_step(self.paths[at], tag + (f".{_DIGITS.sub('#', classes)}" if classes else "")))
             self.parents.append(at)
+            self.depths.append(self.depths[at] + 1)
+            for name, held in self.frames.items():
+                held.append(len(held) if tag == name else held[at])
             at = len(self.paths) - 1
         hidden = hidden or tag in UNSEEN or _is_aside(tag, attributes)
         if not hidden:
@@ -144,32 +173,37 @@ class _Page(HTMLParser):
                 self.marks.append((kind, mark))
                 mark = len(self.marks) - 1
         self.open.append((tag, hidden, link or tag == "a", at, mark))
+        self.names[tag] += 1
 
     def _end_paragraph(self) -> None:
         """An open paragraph ends where a block begins, and with it what is open inside it."""
+        if not self.names["p"]:
+            return
         for i in range(len(self.open) - 1, -1, -1):
             if self.open[i][0] == "p":
-                del self.open[i:]
+                self._cut(i)
                 return
             if self.open[i][0] in BLOCKS or self.open[i][0] in ASIDE:
                 return
 
     def _pop(self, own: set[str], until: set[str]) -> None:
+        if not any(self.names[x] for x in own):
+            return
         for i in range(len(self.open) - 1, -1, -1):
             if self.open[i][0] in until:
                 return
             if self.open[i][0] in own:
                 self.flush()
-                del self.open[i:]
+                self._cut(i)
 
     def handle_endtag(self, tag: str) -> None:
-        if tag in VOID:
+        if tag in VOID or not self.names[tag]:
             return
         for i in range(len(self.open) - 1, -1, -1):
             if self.open[i][0] == tag:
                 if tag in BLOCKS or tag in ASIDE or tag in UNSEEN:
                     self.flush()
-                del self.open[i:]
+                self._cut(i)
                 return
             if tag not in BLOCKS and tag not in ASIDE and self.open[i][0] in BLOCKS:
                 return  # a stray inline end tag ends no block
@@ -186,6 +220,9 @@ class _Page(HTMLParser):
             if link:
                 self.linked += len(data)
 
+    def frame(self, at: int) -> int:
+        """The innermost article, or else main, around a container; -1 for none."""
+        return self.frames["article"][at] if self.frames["article"][at] >= 0 else self.frames["main"][at]
 
     def _lines(self, mark: int) -> Iterator[int]:
         while mark >= 0:
@@ -233,51 +270,63 @@ def parse(html: str) -> _Page:
     return page
 
 
-def votes(page: _Page) -> dict[str, float]:
-    """Score of each path: what stands in its containers, at any depth; containers full of links add nothing."""
+class Vote(NamedTuple):
+    """What a page, or all pages of a host, say about one path."""
+
+    wide: int  #: the path of the article or main around it, or the path itself
+    framed: bool  #: whether there is one
+    depth: int
+    score: float  #: of all that stands in its containers, at any depth
+    own: float  #: of its own blocks
+    pages: int
+
+
+def votes(page: _Page) -> dict[int, Vote]:
+    """The page's vote on each path; in ``score``, containers full of links add nothing."""
     total = [0.0] * len(page.paths)
     for at, score in page.scores.items():
         total[at] = max(0.0, score)
-    found: dict[str, float] = {}
+    found: dict[int, Vote] = {}
     for at in range(len(page.paths) - 1, -1, -1):  # children come after their parents
         if (up := page.parents[at]) >= 0:
             total[up] += total[at]
-        if total[at] or at == 0:
-            found[page.paths[at]] = found.get(page.paths[at], 0.0) + total[at]
+        if total[at] or at == 0 or at in page.scores:
+            frame = page.frame(at)
+            path, own = page.paths[at], page.scores.get(at, 0.0)
+            old = found.get(path)
+            found[path] = Vote(
+                page.paths[frame if frame >= 0 else at], frame >= 0, page.depths[at],
+                total[at] + (old.score if old else 0.0), own + (old.own if old else 0.0), 1,
+            )
     return found
 
 
-def best(found: dict[str, float]) -> str | None:
+def best(found: dict[int, Vote]) -> Vote:
     """The deepest path that holds nearly all of the text; the whole page if all of it is links."""
-    if not found:
-        return None
-    most = max(found.values())
+    most = max(v.score for v in found.values())
     if most <= 0:
-        return min(found, key=lambda p: (p.count("/"), p))
-    return min((p for p in found if found[p] >= NEARLY_ALL * most), key=lambda p: (-p.count("/"), -found[p], p))
-
+        return min(found.items(), key=lambda x: (x[1].depth, x[0]))[1]
+    enough = [(path, v) for path, v in found.items() if v.score >= NEARLY_ALL * most]
+    return min(enough, key=lambda x: (-x[1].depth, -x[1].score, x[0]))[1]
 
-def widened(path: str | None) -> str | None:
-    """The path up to its innermost article, or else main: what stands beside the body belongs to it."""
-    steps = (path or "").split("/")
-    for tag in ("article", "main"):
-        for i in range(len(steps) - 1, -1, -1):
-            if steps[i].split(".")[0] == tag:
-                return "/".join(steps[: i + 1])
-    return path
 
+def extract(page: _Page, wide: int | None, framed: bool | None, links: frozenset[int]) -> str:
+    """The text by the host's winning path ``wide``, or by the page's own best one if it has nothing there.
 
-def extract(page: _Page, path: str | None) -> str:
-    """The blocks under the given path, or under the page's own best one if it has none there."""
-    for wanted in (widened(path), widened(best(votes(page)))):
-        if wanted is None:
-            continue
+    ``links`` are the paths that the host's pages hold for lists of links.
+    """
+    choices = [] if wide is None else [(wide, framed)]
+    for wanted, in_frame in (*choices, best(votes(page))[:2]):
         inside = [False] * len(page.paths)
         for i, p in enumerate(page.paths):  # parents come before their children
             inside[i] = p == wanted or page.parents[i] >= 0 and inside[page.parents[i]]
-        texts = [text for at, text in page.blocks if inside[at]]
-        if texts:
-            return "\n".join(texts)
+        if not any(inside[at] for at, _ in page.blocks):
+            continue
+        if not in_frame:
+            inside = [
+                x or page.scores.get(at, 0.0) > 0 and page.paths[at] not in links for at, x in enumerate(inside)
+            ]
+        return "\n".join(text for at, text in page.blocks if inside[at])
     return ""
 
 
@@ -286,35 +335,47 @@ def host_of(url: Column) -> Column:
     return F.lower(host)
 
 
+_VOTES = pa.schema([
+    ("host", pa.string()), ("path", pa.int64()), ("wide", pa.int64()), ("framed", pa.bool_()), ("depth", pa.int32()),
+    ("score", pa.float64()), ("own", pa.float64()), ("pages", pa.int64()),
+])
+
+
 def _vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        sums: dict[tuple[str, str], float] = {}
+        sums: dict[tuple[str, int], Vote] = {}
         for host, html in zip(batch.column("host").to_pylist(), batch.column("html")):
-            for path, score in votes(parse(html.as_py() or "")).items():
-                sums[host, path] = sums.get((host, path), 0.0) + score
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([h for h, _ in sums], pa.string()), pa.array([p for _, p in sums], pa.string()),
-             pa.array(list(sums.values()), pa.float64())],
-            ["host", "path", "score"],
-        )
+            for path, vote in votes(parse(html.as_py() or "")).items():
+                old = sums.get((host, path))
+                sums[host, path] = vote if old is None else old._replace(
+                    score=old.score + vote.score, own=old.own + vote.own, pages=old.pages + 1
+                )
+        columns = zip(*((*key, *vote) for key, vote in sums.items()))
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _VOTES)], schema=_VOTES)
 
 
 def host_paths(pages: DataFrame) -> DataFrame:
-    """host and its winning path."""
+    """host, its winning path (wide, framed) and the paths that are lists of links on it."""
     rows = pages.select(host_of(F.col("url")).alias("host"), "html").filter(F.col("html").isNotNull())
-    # rounded, so that the order of summing decides nothing
-    summed = ragged.map_in_arrow(rows, _vote, "host string, path string, score double").groupBy("host", "path").agg(
-        F.round(F.sum("score"), 3).alias("score")
+    voted = ragged.map_in_arrow(
+        rows, _vote,
+        "host string, path long, wide long, framed boolean, depth int, score double, own double, pages long",
     )
-    summed = cut_lineage(summed)
+    # rounded, so that the order of summing decides nothing
+    summed = cut_lineage(voted.groupBy("host", "path", "wide", "framed", "depth").agg(
+        F.round(F.sum("score"), 3).alias("score"), F.round(F.sum("own"), 3).alias("own"), F.sum("pages").alias("pages")
+    ))
+    # every page votes on its root, which has all of its text
+    totals = summed.groupBy("host").agg(F.max("score").alias("_most"), F.max("pages").alias("_all"))
+    known = summed.join(totals, "host")
     # the deepest path that holds nearly all of the text, as in ``best``
-    most = summed.groupBy("host").agg(F.max("score").alias("_most"))
-    depth = F.length("path") - F.length(F.replace(F.col("path"), F.lit("/"), F.lit("")))
-    enough = summed.join(most, "host").filter(F.col("score") >= NEARLY_ALL * F.col("_most"))
-    deep = F.when(F.col("_most") > 0, -depth).otherwise(depth)
+    deep = F.when(F.col("_most") > 0, -F.col("depth")).otherwise(F.col("depth"))
     order = Window.partitionBy("host").orderBy("_deep", F.desc("score"), "path")
-    ranked = enough.withColumn("_deep", deep).withColumn("_rank", F.row_number().over(order))
-    return ranked.filter("_rank = 1").select("host", "path")
+    enough = known.filter(F.col("score") >= NEARLY_ALL * F.col("_most")).withColumn("_deep", deep)
+    winners = enough.withColumn("_rank", F.row_number().over(order)).filter("_rank = 1").select("host", "wide", "framed")
+    listed = known.filter((F.col("own") < 0) & (F.col("pages") * COMMON >= F.col("_all")))
+    links = listed.groupBy("host").agg(F.collect_set("path").alias("links"))
+    return winners.join(links, "host", "left")
 
 
 def main_text(pages: DataFrame) -> DataFrame:
@@ -326,8 +387,8 @@ def main_text(pages: DataFrame) -> DataFrame:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
                 texts = [
-                    extract(parse(html.as_py() or ""), path.as_py())
-                    for html, path in zip(part.column("html"), part.column("path"))
+                    extract(parse(html.as_py() or ""), wide.as_py(), framed.as_py(), frozenset(links.as_py() or ()))
+                    for html, wide, framed, links in zip(*(part.column(x) for x in ("html", "wide", "framed", "links")))
                 ]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("page_id"), part.column("url"), pa.array(texts, pa.string()),
@@ -338,6 +399,6 @@ def main_text(pages: DataFrame) -> DataFrame:
     salt = F.pmod(F.xxhash64("page_id", "url", "html"), F.lit(SALTS)).cast("int")
     named = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"), salt.alias("_salt"))
     salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt")
-    paths = host_paths(pages).select("host", "path", salts)
-    placed = named.join(paths, ["host", "_salt"], "left").select("page_id", "url", "html", "path")
+    paths = host_paths(pages).select("host", "wide", "framed", "links", salts)
+    placed = named.join(paths, ["host", "_salt"], "left").select("page_id", "url", "html", "wide", "framed", "links")
     return ragged.map_in_arrow(placed, run, f"page_id {id_type}, url string, text string, n_chars long")

@@ -40,15 +40,52 @@ def test_cut_off_and_unbalanced_markup(spark):
     ]
 
 
-def test_the_host_decides_which_container_it_is(spark):
-    """On the odd page, the comments' container is longer; the host's path still wins."""
-    def page(body, other):
-        return f"<body><div class='post-1'><p>{body}</p></div><div class='talk'><p>{other}</p></div></body>"
-
-    rows = [(f"http://H.com/{i}", page(f"the body of number {i} " * 9, "short")) for i in range(5)]
-    rows += [("http://h.com/x", page("small body", "long talk " * 8)), ("http://other.com/x", page("small body", "long talk " * 8))]
+def test_the_host_decides_which_containers_are_lists_of_links(spark):
+    """On the odd page, the list has no link and the post has many; the host's votes still win."""
+    def page(post, others):
+        return f"<body><div class='post-1'><div><p>{post}</p></div></div><div class='more'><p>{others}</p></div></body>"
+
+    links = "".join(f"<a href='{i}'>Read about {i}</a> " for i in range(4))
+    body = "the body of this post, with some words in it. " * 9
+    rows = [(f"http://H.com/{i}", page(body, links)) for i in range(5)]
+    rows += [("http://h.com/x", page(links + "small body", "plain words")), ("http://other.com/x", page(body, "plain words"))]
     found = texts(spark, rows)
-    assert found[5] == "small body" and found[6] == ("long talk " * 8).strip()
+    assert found[:5] == [body.strip()] * 5
+    assert found[5] == "Read about 0 Read about 1 Read about 2 Read about 3 small body"
+    assert found[6] == f"{body.strip()}\nplain words"
+
+
+def test_a_host_without_article_or_main_keeps_what_stands_beside_its_body(spark):
+    long = ("a sentence of the article, with some words in it. " * 9).strip()
+    menu = "<div class=top><a href=a>Home page</a> <a href=b>Contact</a></div>"
+    rows = [
+        ("http://a.com", f"<body>{menu}<div class=page><h1>Title</h1><p>Lead</p><div class=body><p>{long}</div></div>"),
+        ("http://b.com", f"<body>{menu}<div id=content><p>{long}</div><p>After it"),
+        ("http://c.com", f"<body>{menu}<section class=one><p>{long}</section><section class=two><p>Second</section>"),
+        ("http://d.com", f"<body>{menu}<div class=body><p>{long}</div><div class=sidebar><p>Side</div><div class=ad>Buy</div>"),
+        ("http://e.com", f"<body>{menu}<div class=body><p>{long}<div class=refs><a href=c>Source one</a></div></div><p>End"),
+    ]
+    want = [f"Title\nLead\n{long}", f"{long}\nAfter it", f"{long}\nSecond", long, f"{long}\nSource one\nEnd"]
+    assert texts(spark, rows) == want
+
+
+def test_deep_markup_takes_memory_in_proportion_to_its_length(spark):
+    import tracemalloc
+
+    many = {
+        "div": "<div class='a b'>" * 100_000 + "deep", "span": "<span>" * 50_000 + "</b><div>x</div></i>" * 50_000 + "deep",
+        "ad": "<div class=some-ad>" * 100_000 + "deep", "article": "<article>" * 100_000 + "deep",
+    }
+    for name, page in many.items():
+        tracemalloc.start()
+        parsed = main_text.parse(page)
+        found = main_text.votes(parsed)
+        text = main_text.extract(parsed, None, None, frozenset())
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert text.endswith("deep") and len(found) <= 100_001, name
+        assert peak < 100 << 20, (name, peak)
+    assert texts(spark, [("http://a.com", many["div"]), ("http://a.com", many["div"])]) == ["deep", "deep"]
 
 
 def test_odd_rows(spark):
