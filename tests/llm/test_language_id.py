@@ -19,27 +19,27 @@ def training(spark):
 
 
 def buckets(text):
-    raw = bytes(c + 32 if 65 <= c <= 90 else c for c in text.encode())
-    raw = bytes(c if 97 <= c <= 122 or c >= 128 else 32 for c in raw)
+    raw = "".join(c.lower() if c.isalpha() else " " for c in text)
     for n in language_id.ORDERS:
         for i in range(len(raw)):
             code = 0
-            for c in raw[i : i + n].ljust(n, b"\0"):
-                code = (code << 8 | c) & 0xFFFFFFFF
+            for c in raw[i : i + n].ljust(n, "\0"):
+                code = (code * 0x01000193 + ord(c)) & 0xFFFFFFFF
             h = (code * 0x9E3779B1 + (n * 0x85EBCA6B & 0xFFFFFFFF)) & 0xFFFFFFFF
             h = (h ^ h >> 15) * 0x2C1B3C6D & 0xFFFFFFFF
             yield (h ^ h >> 16) & language_id.BUCKETS - 1
 
 
 def test_scores_against_a_plain_version(spark):
-    langs, matrix = language_id.train(training(spark))
+    langs, matrix, prior = language_id.train(training(spark))
+    assert np.allclose(np.exp(prior), 1 / 3)
     assert langs == ["de", "en", "fr"]  # a language without a single n-gram is not learned
     counts = {lang: Counter() for lang in langs}
     for row in training(spark).collect():
         if row.lang in counts and row.text:
             counts[row.lang].update(buckets(row.text))
     size = {lang: sum(c.values()) + language_id.SMOOTHING * language_id.BUCKETS for lang, c in counts.items()}
-    for row in language_id.identify(odd(spark), langs, matrix).join(odd(spark).select("doc_id", "text"), "doc_id").collect():
+    for row in language_id.identify(odd(spark), langs, matrix, prior).join(odd(spark).select("doc_id", "text"), "doc_id").collect():
         text = row.text or ""
         if row.doc_id == 7 or len(text) > 1000:
             continue
@@ -49,7 +49,7 @@ def test_scores_against_a_plain_version(spark):
         sums = [
             sum(math.log((counts[lang][b] + language_id.SMOOTHING) / size[lang]) for b in buckets(text)) for lang in langs
         ]
-        share = np.exp((np.array(sums) - max(sums)) / len(language_id.ORDERS))
+        share = np.exp((np.array(sums) - max(sums)) / len(language_id.ORDERS) + prior)
         assert row.lang_pred == langs[int(share.argmax())]
         assert abs(row.score - share.max() / share.sum()) < 1e-3
 
@@ -67,6 +67,48 @@ def test_nothing_to_learn_and_nothing_to_score(spark):
     assert language_id.identify(empty(spark), *language_id.train(training(spark))).collect() == []
 
 
+def test_characters_against_a_plain_version():
+    texts = ["", "Straße — ÉTÉ, 漢字!", "\U00010400\U0001F600 हिन्दी", "a" * 50, "É"]
+    raw = [t.encode() for t in texts]
+    offsets = np.cumsum([0, *map(len, raw)])
+    found, ends = language_id.characters(np.frombuffer(b"".join(raw), np.uint8), offsets)
+    assert ends.tolist() == np.cumsum([0, *map(len, texts)]).tolist()
+    import unicodedata
+
+    want = "".join(c.lower() if c.isalpha() or unicodedata.category(c)[0] == "M" else " " for t in texts for c in t)
+    assert "".join(map(chr, found)) == want
+    language_id.characters(np.frombuffer(bytes(range(256)), np.uint8), np.array([0, 200, 256]))
+
+
+def test_small_languages_are_learned_beside_large_ones(spark, monkeypatch):
+    """Each language has its own bound; a text in a third of the rows counts once and does not take the others' place."""
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(language_id, "LEARN_TEXTS", 200)
+    large = spark.range(60_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("the same words again")).otherwise(F.concat(F.lit("the old man "), "id")).alias("text"),
+        F.lit("en").alias("lang"),
+    )
+    small = spark.createDataFrame([(f"der alte mann {'x' * i}", "de") for i in range(20)], "text string, lang string")
+    rows, texts = language_id.chosen(large.union(small))
+    found = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    assert texts == {"en": 60_000, "de": 20} and found["de"] == 20 and 120 <= found["en"] <= 300
+    langs, matrix, prior = language_id.train(large.union(small))
+    assert langs == ["de", "en"] and prior[0] < prior[1]
+    asked = spark.createDataFrame([(1, "der alte mann geht"), (2, "the old man went")], "doc_id long, text string")
+    assert {r.doc_id: r.lang_pred for r in language_id.identify(asked, langs, matrix, prior).collect()} == {1: "de", 2: "en"}
+
+
+def test_any_number_of_languages(spark):
+    rows = [(f"{chr(0x4E00 + i) * 3} {chr(0x5E00 + i)}", f"l{i:03}") for i in range(300)]
+    labelled = spark.createDataFrame(rows, "text string, lang string")
+    langs, matrix, prior = language_id.train(labelled)
+    assert len(langs) == 300 and matrix.size <= language_id.CELLS
+    asked = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(rows)], "doc_id long, text string")
+    found = language_id.identify(asked, langs, matrix, prior).collect()
+    assert all(r.lang_pred == f"l{r.doc_id:03}" for r in found)
+
+
 def test_held_out_accuracy(spark):
     from specloom.llm.queries import QUERIES
 
