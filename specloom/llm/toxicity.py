@@ -11,15 +11,17 @@ A text's features are its distinct words, and whether one, two or more distinct
 words have the same beginning (so inflected forms share evidence).  Weights are not negative: words are evidence for
 toxicity, or none, and a long harmless text does not hide a toxic passage.
 
-The sample is bounded (``LEARN_TOXIC`` and ``LEARN_UNLABELLED`` texts, chosen by
-a hash of doc_id); counting its features is Spark's work, the driver gets the
+The sample is bounded (about ``LEARN_TOXIC`` and ``LEARN_UNLABELLED`` ids, chosen by a
+hash, and one text of each, so that neither copies nor an id with very many texts
+make it larger); counting its features is Spark's work, the driver gets the
 vocabulary (``VOCABULARY`` at most) and the sample's few features in it.  Every
 text is scored whole.
 
 Defined results: a null or empty text has the score of a text without evidence;
 without a single toxic example every score is ``prior`` (0 if unknown); repeated
-rows keep their row; a null doc_id is scored and never learned from; further
-columns are not looked at.
+rows keep their row; of an id with several texts the one with the least hash is
+learned from; a null doc_id is scored and never
+learned from; further columns are not looked at.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from specloom.llm import ragged
@@ -131,9 +133,8 @@ def fit(texts: np.ndarray, features: np.ndarray, toxic: np.ndarray, size: int, p
     return w, b
 
 
-def _sampled(rows: DataFrame, bound: int) -> DataFrame:
-    share = min(1.0, bound / max(1, rows.count()))
-    return rows if share == 1 else rows.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30)))
+def _drawn(share: float, *columns) -> Column:
+    return F.pmod(F.xxhash64(*columns), F.lit(1 << 30)) < int(min(1.0, share) * (1 << 30))
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Model:
@@ -141,19 +142,22 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     known = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).filter("doc_id is not null")
     shares = known.filter("toxic is not null").agg(F.avg((F.col("toxic") == 1).cast("double"))).first()[0]
     prior = min(0.5, float(shares or 0.0))
-    none = Model(np.zeros(0, np.uint64), np.zeros((0, 1)), np.array([-50.0]), prior)
+    bias = np.log(prior / (1 - prior)) if prior else -np.inf
+    none = Model(np.zeros(0, np.uint64), np.zeros((0, 1)), np.array([bias]), prior)
     if prior == 0:
         return none
     texts = docs.select("doc_id", "text").filter("doc_id is not null and text is not null")
-    toxic_ids = _sampled(known.filter("toxic = 1").select("doc_id").distinct(), LEARN_TOXIC)
-    share = min(1.0, LEARN_UNLABELLED / max(1, texts.select("doc_id").count()))
+    toxic_ids = known.filter("toxic = 1").select("doc_id").distinct()
+    toxic_ids = toxic_ids.filter(_drawn(LEARN_TOXIC / max(1, toxic_ids.count()), "doc_id"))
+    # an estimate, which only sets the rate of the sample
+    ids = texts.agg(F.approx_count_distinct("doc_id", 0.02)).first()[0]
     # salted apart from the choice of toxic texts
-    drawn = F.pmod(F.xxhash64("doc_id", F.lit("unlabelled")), F.lit(1 << 30)) < int(share * (1 << 30))
+    drawn = _drawn(LEARN_UNLABELLED / max(1, ids), "doc_id", F.lit("unlabelled"))
     # about LEARN_TOXIC ids at most, so they go to the texts and not the other way round
     flagged = F.broadcast(toxic_ids.withColumn("_toxic", F.lit(True)))
     marked = texts.join(flagged, "doc_id", "left").select(
-        "text", F.col("_toxic").isNotNull().alias("toxic"), drawn.alias("drawn")
-    ).filter("toxic or drawn")
+        "doc_id", "text", F.col("_toxic").isNotNull().alias("toxic"), drawn.alias("drawn")
+    ).filter("toxic or drawn").groupBy("doc_id", "toxic", "drawn").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
     # a text that is both is an example twice, as the estimator asks for
     sample = cut_lineage(marked.select("text", F.explode(
         F.filter(F.array(F.when(F.col("toxic"), True), F.when(F.col("drawn"), False)), lambda x: x.isNotNull())
@@ -209,13 +213,11 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
                 )
 
     # at most the sample's rows; sorted, so that training sees the same order each time
-    rows = ragged.map_in_arrow(sample, pick, "toxic boolean, fs array<int>").orderBy("toxic", "fs").toArrow()
-    toxic = rows.column("toxic").to_numpy().astype(bool)
-    lists = rows.column("fs").combine_chunks()
-    lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
-    lengths = np.diff(lists.offsets.to_numpy())
-    own = np.repeat(np.arange(len(toxic)), lengths)
-    features = lists.flatten().to_numpy().astype(np.int64)
+    rows = ragged.map_in_arrow(sample, pick, "toxic boolean, fs array<int>").toArrow()
+    examples = sorted(zip(rows.column("toxic").to_pylist(), rows.column("fs").to_pylist()))
+    toxic = np.array([mark for mark, _ in examples], bool)
+    own = np.repeat(np.arange(len(toxic)), [len(fs) for _, fs in examples])
+    features = np.array([f for _, fs in examples for f in fs], np.int64)
     members = [fit(own, features, toxic, len(allowed), prior, seed) for seed in range(MEMBERS)]
     weights, bias = np.stack([w for w, _ in members], 1), np.array([b for _, b in members])
     used = weights.reshape(len(hashes), -1).any(axis=1)

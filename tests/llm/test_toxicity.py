@@ -75,6 +75,33 @@ def test_odd_rows_and_empty_tables(spark):
     assert toxicity.score(docs, toxicity.train(docs, odd_labels)).count() == 600
 
 
+def test_without_examples_the_score_is_the_prior(spark):
+    docs, labels = corpus(spark)
+    none = toxicity.score(docs, toxicity.train(docs, labels.filter("toxic = 0"))).collect()
+    assert {r.score for r in none} == {0.0}
+    away = labels.selectExpr("CASE WHEN toxic = 1 THEN doc_id + 100000 ELSE doc_id END doc_id", "quality", "toxic")
+    share = labels.filter("toxic = 1").count() / labels.count()
+    found = toxicity.score(docs, toxicity.train(docs, away)).collect()
+    assert all(abs(r.score - share) < 1e-9 for r in found)
+
+
+def test_the_sample_is_bounded_when_an_id_or_a_text_has_a_third_of_the_rows(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    docs, labels = corpus(spark)
+    monkeypatch.setattr(toxicity, "LEARN_TOXIC", 50)
+    monkeypatch.setattr(toxicity, "LEARN_UNLABELLED", 400)
+    more = spark.range(40_000).select(F.lit(0).alias("doc_id"), F.concat(F.lit("nasty words of "), "id").alias("text"))
+    same = spark.range(40_000).select(F.lit(24).alias("doc_id"), F.lit("awful words").alias("text"))
+    sizes, fit = [], toxicity.fit
+    monkeypatch.setattr(toxicity, "fit", lambda texts, features, toxic, *a: sizes.append(len(toxic)) or fit(texts, features, toxic, *a))
+    rows = docs.select("doc_id", "text").union(more).union(same)
+    found = toxicity.score(rows, toxicity.train(rows, labels))
+    assert found.count() == 80_600 and len(sizes) == toxicity.MEMBERS and 300 <= max(sizes) <= 550
+    rest = {r.doc_id: r.predicted for r in found.filter("doc_id not in (0, 24)").collect()}
+    assert sum(p == (i % 8 == 0) for i, p in rest.items()) >= 0.9 * len(rest)
+
+
 def test_query_learns_nothing_from_held_out_labels(spark, tmp_path):
     docs, labels = corpus(spark)
     found = []
