@@ -4,13 +4,15 @@ The rules' own verdicts are the labels: urls that a rule judges train the trees,
 and every other url gets the trees' verdict.  Features are built-in functions of
 the url: lengths, depth, share of digits, entropy of its characters, numbers of
 parameters and hyphens, and how often labelled urls of the same host suffix are
-blocked.  Training reads ``LEARN_URLS`` labelled urls at most, about, chosen by
-a hash of the url; statistics of suffixes come from all of them.
+blocked.  Training reads ``LEARN_URLS`` distinct labelled urls at most, about, chosen by
+a hash of the url; statistics of suffixes come from all rows, but those of a
+url's own rows are left out where the trees learn from it.
 
 Defined results: a null url, or one without "://", has an empty host and path,
 which no rule fits; if rules judge nothing every other url is allowed, and if
 they give one verdict only, every other url gets that one; repeated rows keep
-their row; further columns are not looked at.
+their row and are learned from once; very long urls are read whole; further
+columns are not looked at.
 """
 
 from __future__ import annotations
@@ -110,13 +112,24 @@ def lexical(rows: DataFrame) -> DataFrame:
     )
 
 
+def learned(known: DataFrame, urls: int) -> DataFrame:
+    """Distinct judged urls to learn from, all columns, with the number of rows each has; ``urls`` is about how many there are."""
+    share = int(min(1.0, LEARN_URLS / max(1, urls)) * (1 << 30))
+    drawn = known.filter(F.col("ruling").isNotNull() & (F.pmod(F.xxhash64("url"), F.lit(1 << 30)) < share))
+    rest = [c for c in known.columns if c != "url"]
+    return drawn.groupBy("url").agg(*(F.any_value(c).alias(c) for c in rest), F.count("*").alias("_rows"))
+
+
 def filter_urls(pages: DataFrame, rules=RULES) -> DataFrame:
     """page_id, host, path, rule, verdict, block_score (null where a rule decides) of every page."""
     rows = lexical(ruled(pages, rules))
     label = (F.col("ruling") == "block").cast("double")
     judged = rows.filter(F.col("ruling").isNotNull())
-    totals = {r.ruling: r.n for r in judged.groupBy("ruling").agg(F.count("*").alias("n")).collect()}
-    n, blocked = sum(totals.values()), totals.get("block", 0)
+    # the estimate of distinct urls only sets the rate of the sample
+    totals = {r.ruling: r for r in judged.groupBy("ruling").agg(
+        F.count("*").alias("n"), F.approx_count_distinct("url", 0.02).alias("urls")
+    ).collect()}
+    n, blocked = sum(r.n for r in totals.values()), totals["block"].n if "block" in totals else 0
     if n == 0 or blocked in (0, n):
         verdict = "block" if n and blocked == n else "allow"
         return rows.select(
@@ -125,19 +138,23 @@ def filter_urls(pages: DataFrame, rules=RULES) -> DataFrame:
         )
     prior = blocked / n
     suffixes = judged.groupBy("suffix").agg(
-        ((F.sum(label) + prior * SMOOTHING) / (F.count("*") + SMOOTHING)).alias("suffix_rate"),
-        F.lit(1.0).alias("suffix_seen"),
+        F.sum(label).alias("_blocked"), F.count("*").cast("double").alias("_seen")
     )
-    known = rows.join(suffixes, "suffix", "left").fillna({"suffix_rate": prior, "suffix_seen": 0.0})
-    vectors = VectorAssembler(inputCols=list(FEATURES), outputCol="features", handleInvalid="keep").transform(known)
-    learn = vectors.filter(F.col("ruling").isNotNull()).select("url", "features", label.alias("label"))
-    if n > LEARN_URLS:
-        share = int(LEARN_URLS / n * (1 << 30))
-        learn = learn.filter(F.pmod(F.xxhash64("url"), F.lit(1 << 30)) < share)
+    known = rows.join(suffixes, "suffix", "left").fillna({"_blocked": 0.0, "_seen": 0.0})
+    assemble = VectorAssembler(inputCols=list(FEATURES), outputCol="features", handleInvalid="keep")
+
+    def vectors(of: DataFrame, blocked: Column, seen: Column) -> DataFrame:
+        return assemble.transform(of.withColumns({
+            "suffix_rate": (blocked + prior * SMOOTHING) / (seen + SMOOTHING), "suffix_seen": (seen > 0).cast("double"),
+        }))
+
+    learn = learned(known, sum(r.urls for r in totals.values()))
+    own = F.col("_rows").cast("double")
+    learn = vectors(learn, F.col("_blocked") - own * label, F.col("_seen") - own)
     # trees read their rows many times: a written table, of a bounded number of rows
-    learn = cut_lineage(learn.select("features", "label").coalesce(4))
+    learn = cut_lineage(learn.select("features", label.alias("label")))
     trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, maxBins=32, seed=7, cacheNodeIds=False)
-    scored = trees.fit(learn).transform(vectors)
+    scored = trees.fit(learn).transform(vectors(known, F.col("_blocked"), F.col("_seen")))
     score = vector_to_array("probability")[1]
     return scored.select(
         "page_id", "host", "path", "rule",

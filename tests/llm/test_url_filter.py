@@ -66,6 +66,26 @@ def test_features_of_one_url(spark):
     assert abs(row.entropy - expected) < 1e-9
 
 
+def test_a_frequent_url_is_learned_from_once(spark, monkeypatch):
+    """One url has a third of the rows, another one is very long; quality on urls of another host is kept."""
+    monkeypatch.setattr(url_filter, "LEARN_URLS", 300)
+    urls = [f"http://h{i % 9}.com/{'de' if i % 2 else 'fr'}/{'a1-' * 20 if i % 2 else 'b'}{i}" for i in range(2000)]
+    urls += ["http://hot.com/fr/b"] * 1000 + ["http://long.com/fr/" + "b" * 300_000]
+    asked = [f"http://h{i % 9}.net/en/{'a1-' * 20}{i}" for i in range(5)] + [f"http://h{i}.net/xx/b{i}" for i in range(5)]
+    rows = pages(spark, urls + asked)
+    judged = url_filter.lexical(url_filter.ruled(rows)).filter("ruling is not null")
+    learn = url_filter.learned(judged, 2002).collect()
+    assert 200 <= len(learn) <= 400 and len({r.url for r in learn}) == len(learn)
+    assert all(r._rows == (1000 if r.host == "hot.com" else 1) for r in learn)
+    found = {r.page_id: r.verdict for r in url_filter.filter_urls(rows).collect()}
+    assert [found[len(urls) + i] for i in range(10)] == ["block"] * 5 + ["allow"] * 5
+
+
+def test_null_columns_of_clashing_names(spark):
+    rows = spark.createDataFrame([(None, None, None, None, None, None), (1, "http://x.com/de/", None, None, None, None)], PAGES)
+    assert same_rows((r.page_id, r.rule) for r in url_filter.filter_urls(rows).collect()) == same_rows([(None, None), (1, "com/de/")])
+
+
 def test_one_verdict_none_and_no_rows(spark):
     only = url_filter.filter_urls(pages(spark, ["http://x.com/de/1", "http://q.net/"])).collect()
     assert {r.verdict for r in only} == {"block"}
