@@ -5,9 +5,9 @@ import numpy as np
 import pytest
 from helpers import SCHEMA, empty, odd, prose
 from test_decontaminate import brute_force as contaminated
-from test_simhash import brute_force as near_copies
 from test_mixing import brute_force_order, in_files
 from test_token_files import in_order
+from test_wide_simhash import brute_force as near_texts
 
 from specloom.llm import mixing
 
@@ -54,7 +54,7 @@ def test_stages_against_brute_force(spark, tables, tmp_path):
             assert set(before) - set(kept) >= {i for i, t in rows if not any(c.isalpha() for c in t)}
             assert len(kept) > 100
         elif name == "simhash_dedup":
-            assert set(kept) == {c for _, _, c in near_copies(rows, 5, 8)} and len(kept) < len(before)
+            assert set(kept) == {c for _, _, c in near_texts(rows)} and len(kept) < len(before)
         elif name == "decontaminate":
             assert set(before) - set(kept) == {r[0] for r in contaminated(rows, items) if r[5]} != set()
         else:
@@ -76,7 +76,7 @@ def test_odd_rows_and_empty_table(spark, tables, tmp_path):
     for name, given, out in applied(spark, odd(spark), f"{tmp_path}/odd", folder):
         if name == "simhash_dedup":  # one row of each group, a known id before a null one
             rows = [(r.doc_id, r.text) for r in given.collect()]
-            groups = {f for _, f, _ in near_copies(rows, 5, 8)}
+            groups = {f for _, f, _ in near_texts(rows)}
             assert out.count() <= len(groups) and out.filter("doc_id = 7").count() >= 1
     for _, _, out in applied(spark, empty(spark), f"{tmp_path}/empty", folder):
         assert out.count() == 0
