@@ -9,8 +9,13 @@ document, its place in the window gives the only possible start; the window must
 lie within the document (length and positional bounds) and is then compared
 word by word.
 
-The index of windows is sent to the tasks in blocks of at most ``BLOCK_WINDOWS``;
-documents are read once per block, so no size of benchmark is out of reach.
+Nothing of the benchmark is gathered.  The tasks that read documents get a bitmap
+of hashed shingles, of at most ``2 ** MOST_BITS`` bits whatever the benchmark's
+size, and hand on only those shingles that it may hold, with the words around them.
+Counts, the choice of prefixes, and the join of shingles with windows are
+Spark's, as is the comparison of words; a shingle that is frequent in spite of being
+its window's rarest is split like any skewed key.  What is found depends on the
+text alone and is joined with the documents by its digest.
 
 Defined results: words are runs of letters, digits and characters beyond ASCII,
 A-Z in lower case; a null or wordless document has 0 words and is clean; an item
@@ -32,11 +37,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from specloom.llm import ragged
+from specloom.session import cut_lineage
 
 WINDOW = 10
 SHINGLE = 5
-#: Windows in one block of the index: about 200 bytes each.
-BLOCK_WINDOWS = 1 << 18
+#: The bitmap has 16 bits for each shingle in it, within these powers of two: 8 kB to 16 MB.
+LEAST_BITS, MOST_BITS = 16, 27
 
 WORDS = ragged.word_table(bytes([*range(0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)]))
 
@@ -64,6 +70,23 @@ class _Words:
         )
 
 
+class _Lookup:
+    """Finds which of many hashes are among a sorted few."""
+
+    def __init__(self, known: np.ndarray):
+        self.known = known
+        self.seen = np.zeros(1 << 20, bool)
+        self.seen[(known >> np.uint64(44)).astype(np.int64)] = True
+
+    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places in ``hashes`` and in ``known`` of all that are in both."""
+        at = np.flatnonzero(self.seen[(hashes >> np.uint64(44)).astype(np.int64)])
+        where = np.searchsorted(self.known, hashes[at])
+        same = where < len(self.known)
+        same[same] = self.known[where[same]] == hashes[at][same]
+        return at[same], where[same]
+
+
 def _signed(h: np.ndarray) -> pa.Array:
     return pa.array(h.view(np.int64), pa.int64())
 
@@ -96,190 +119,146 @@ def item_windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
     return ragged.map_in_arrow(rows, cut, "item_id string, n int, words string, tokens array<long>")
 
 
-def _sizes(window: int) -> range:
-    return range(1, min(SHINGLE, window) + 1)
+def _bitmap(tokens: DataFrame, bits: int) -> np.ndarray:
+    """Which leading ``bits`` bits of a hash occur in the column ``token``: at most ``2 ** (bits - 6)`` longs."""
+    slot = F.shiftrightunsigned("token", 64 - bits)
+    table = tokens.select(
+        F.shiftright(slot, 6).alias("at"), F.expr(f"shiftleft(1L, cast(shiftrightunsigned(token, {64 - bits}) & 63 as int))").alias("bit")
+    ).groupBy("at").agg(F.expr("bit_or(bit)").alias("set")).toArrow()
+    longs = np.zeros(1 << (bits - 6), np.uint64)
+    longs[table.column("at").to_numpy()] = table.column("set").to_numpy().view(np.uint64)
+    return longs
+
+
+def bits_for(tokens: int) -> int:
+    return min(MOST_BITS, max(LEAST_BITS, (16 * tokens).bit_length()))
+
 
+def _held(longs: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Places of the hashes that the bitmap may hold."""
+    slot = hashes >> np.uint64(64 - (len(longs).bit_length() + 5))
+    return np.flatnonzero(longs[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63)) & np.uint64(1))
 
-def token_counts(docs: DataFrame, tokens: np.ndarray, sizes: list[int]) -> DataFrame:
-    """How often each of the given shingles occurs in all documents: token, n.  Absent ones have no row."""
-    wanted = docs.sparkSession.sparkContext.broadcast(np.sort(tokens))
+
+def token_counts(docs: DataFrame, bitmap, sizes: list[int]) -> DataFrame:
+    """size, token, n: how often shingles that the bitmap may hold occur in all documents."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _Lookup(wanted.value)
-        sums = np.zeros(len(wanted.value), np.int64)
         for batch in batches:
             for _, data, offsets in ragged.text_slices(batch.column("text")):
                 words = _Words(data, offsets)
                 for size in sizes:
-                    at, hashes = words.shingles(size)
-                    _, where = known.find(hashes)
-                    sums += np.bincount(where, minlength=len(sums))
-        found = np.flatnonzero(sums)
-        yield pa.RecordBatch.from_arrays([_signed(wanted.value[found]), pa.array(sums[found])], ["token", "n"])
-
-    counted = ragged.map_in_arrow(docs.select("text"), count, "token long, n long")
-    return counted.groupBy("token").agg(F.sum("n").alias("n"))
-
-
-class _Lookup:
-    """Finds which of many hashes are among a sorted few."""
-
-    def __init__(self, known: np.ndarray):
-        self.known = known
-        self.seen = np.zeros(1 << 20, bool)
-        self.seen[(known >> np.uint64(44)).astype(np.int64)] = True
+                    _, hashes = words.shingles(size)
+                    token, n = np.unique(hashes[_held(bitmap.value, hashes)], return_counts=True)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(token), size, np.int32)), _signed(token), pa.array(n.astype(np.int64))],
+                        ["size", "token", "n"],
+                    )
 
-    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places in ``hashes`` and in ``known`` of all that are in both."""
-        at = np.flatnonzero(self.seen[(hashes >> np.uint64(44)).astype(np.int64)])
-        where = np.searchsorted(self.known, hashes[at])
-        same = where < len(self.known)
-        same[same] = self.known[where[same]] == hashes[at][same]
-        return at[same], where[same]
+    counted = ragged.map_in_arrow(docs.select("text"), count, "size int, token long, n long")
+    return counted.groupBy("size", "token").agg(F.sum("n").alias("n"))
 
 
-class _Index:
-    """One block of windows, ordered by prefix token."""
+def prefixes(windows: DataFrame, counts: DataFrame) -> DataFrame:
+    """words, n, size, token, offset: each distinct window with its rarest shingle, ties by hash."""
+    tokens = windows.select("words", "n", "size", F.posexplode("tokens").alias("offset", "token"))
+    rank = F.struct(
+        F.coalesce(counts["n"], F.lit(0)).alias("count"), tokens["token"].alias("token"), tokens["offset"].alias("offset")
+    )
+    same = (tokens["token"] == counts["token"]) & (tokens["size"] == counts["size"])
+    ranked = tokens.join(counts, same, "left").select("words", tokens["n"], tokens["size"], rank.alias("rank"))
+    return ranked.groupBy("words", "n", "size").agg(F.min("rank").alias("rank")).select(
+        "words", "n", "size", "rank.token", "rank.offset"
+    )
 
-    def __init__(self, tokens: np.ndarray, offset: np.ndarray, n: np.ndarray, size: np.ndarray, words: list[bytes],
-                 items: list[list[str]]):
-        order = np.argsort(tokens, kind="stable")
-        self.known, self.first, self.count = np.unique(tokens[order], return_index=True, return_counts=True)
-        self.offset, self.n, self.size = offset[order], n[order], size[order]
-        self.words = [words[i] for i in order]
-        self.items = [items[i] for i in order]
-        self.sizes = np.unique(size).tolist()
 
+def candidates(keyed: DataFrame, bitmap, sizes: list[int], window: int) -> DataFrame:
+    """_key, at, size, token, lead, around: shingles the bitmap may hold, at which word, and the words around.
 
-def _blocks(windows: DataFrame, counts_of, block: int) -> Iterator[_Index]:
-    """The index in blocks: windows with equal words are one entry with several items."""
-    distinct = windows.groupBy("words").agg(
-        F.first("n").alias("n"), F.first("tokens").alias("tokens"), F.sort_array(F.collect_set("item_id")).alias("items")
-    )
-    parts = max(1, -(-distinct.count() // (block * 3 // 4)))
-    for part in range(parts):
-        rows = distinct if parts == 1 else distinct.filter(F.pmod(F.xxhash64("words"), F.lit(parts)) == part)
-        table = rows.toArrow()  # at most about ``block`` windows
-        if not table.num_rows:
-            continue
-        tokens = [np.array(x, np.int64).view(np.uint64) for x in table.column("tokens").to_pylist()]
-        n = table.column("n").to_numpy()
-        size = np.minimum(n, SHINGLE)
-        ever = np.unique(np.concatenate(tokens))
-        counts = np.zeros(len(ever), np.int64)
-        found = counts_of(ever, np.unique(size).tolist()).toArrow()
-        counts[np.searchsorted(ever, found.column("token").to_numpy().view(np.uint64))] = found.column("n").to_numpy()
-        prefix, offset = [], []
-        for row in tokens:
-            # the rarest shingle of the window; ties by hash, so equal shingles rank alike everywhere
-            best = min(range(len(row)), key=lambda i, row=row: (counts[np.searchsorted(ever, row[i])], int(row[i])))
-            prefix.append(row[best])
-            offset.append(best)
-        yield _Index(
-            np.array(prefix, np.uint64), np.array(offset), n, size,
-            [x.encode() for x in table.column("words").to_pylist()], table.column("items").to_pylist(),
-        )
+    ``around`` has as many words on both sides as a window that holds the shingle
+    may have, ``lead`` of them before it.
+    """
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, data, offsets in ragged.text_slices(batch.column("text")):
+                words = _Words(data, offsets)
+                keys = batch.column("_key").slice(row, len(offsets) - 1)
+                for size in sizes:
+                    places, hashes = words.shingles(size)
+                    hit = _held(bitmap.value, hashes)
+                    for some in np.array_split(hit, -(-len(hit) // 4096)) if len(hit) else ():
+                        at = places[some]
+                        own = np.searchsorted(words.bounds, at, "right") - 1
+                        begin = np.maximum(at - (window - size), words.bounds[own])
+                        end = np.minimum(at + window, words.bounds[own + 1])
+                        around = [words.text(b, e - b).decode() for b, e in zip(begin.tolist(), end.tolist())]
+                        yield pa.RecordBatch.from_arrays(
+                            [
+                                keys.take(pa.array(own)), pa.array((at - words.bounds[own]).astype(np.int32)),
+                                pa.array(np.full(len(at), size, np.int32)), _signed(hashes[some]),
+                                pa.array((at - begin).astype(np.int32)), pa.array(around, pa.string()),
+                            ],
+                            ["_key", "at", "size", "token", "lead", "around"],
+                        )
+
+    return ragged.map_in_arrow(keyed, run, "_key string, at int, size int, token long, lead int, around string")
+
+
+def word_counts(keyed: DataFrame) -> DataFrame:
+    """The column ``both`` and n_words."""
+    kind = keyed.schema["both"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, data, offsets in ragged.text_slices(batch.column("text")):
+                _, _, bounds = ragged.find_words(ragged.fold(data), offsets, WORDS)
+                keys = batch.column("both").slice(row, len(offsets) - 1)
+                yield pa.RecordBatch.from_arrays([keys, pa.array(np.diff(bounds), pa.int64())], ["both", "n_words"])
 
-def _search(words: _Words, index: _Index, lookup: _Lookup) -> tuple[np.ndarray, np.ndarray]:
-    """Word places and index entries of all windows found in a slice."""
-    places, entries = [], []
-    for size in index.sizes:
-        at, hashes = words.shingles(size)
-        hit, token = lookup.find(hashes)
-        if not len(hit):
-            continue
-        count = index.count[token]
-        entry = np.repeat(index.first[token], count) + ragged.runs(count)
-        p = np.repeat(at[hit], count)
-        start = p - index.offset[entry]
-        inside = (index.size[entry] == size) & (start >= 0)
-        p, start, entry = p[inside], start[inside], entry[inside]
-        own = np.searchsorted(words.bounds, p, "right") - 1
-        inside = (start >= words.bounds[own]) & (start + index.n[entry] <= words.bounds[own + 1])
-        start, entry = start[inside], entry[inside]
-        same = np.fromiter(
-            (words.text(s, k) == index.words[e] for s, k, e in zip(start, index.n[entry], entry)), bool, len(start)
-        )
-        places.append(start[same])
-        entries.append(entry[same])
-    none = np.zeros(0, np.int64)
-    return (np.concatenate(places), np.concatenate(entries)) if places else (none, none)
+    return ragged.map_in_arrow(keyed, run, f"both {kind}, n_words long")
 
 
-def find_contamination(
-    docs: DataFrame, items: DataFrame, window: int = WINDOW, block: int = BLOCK_WINDOWS
-) -> DataFrame:
+def find_contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, bits: int | None = None) -> DataFrame:
     """All columns of ``docs`` that are named below, one row per document.
 
     doc_id, n_words, n_hit (words inside any window found), items (ids, sorted as
     text), n_items, items_sha256 (of the ids joined by commas), contaminated.
+    ``bits`` sets the size of the bitmaps (from 6 on), which changes no result.
     """
-    spark = docs.sparkSession
-    kind = dict(docs.dtypes)["doc_id"]
-    texts = docs.select("doc_id", "text")
-    indexes = list(
-        spark.sparkContext.broadcast(x)
-        for x in _blocks(item_windows(items, window), lambda t, s: token_counts(texts, t, s), block)
+    context = docs.sparkSession.sparkContext
+    every = cut_lineage(item_windows(items, window))
+    size = F.least("n", F.lit(SHINGLE)).alias("size")
+    windows = every.dropDuplicates(["words"]).select("words", "n", size, "tokens")
+    named = every.filter(F.col("item_id").isNotNull()).select("words", "item_id").distinct()
+    tokens = cut_lineage(windows.select("size", F.explode("tokens").alias("token")).distinct())
+    sizes = sorted(r.size_ for r in tokens.select(F.col("size").alias("size_")).distinct().collect())
+    texts = docs.select("text").filter(F.col("text").isNotNull())
+
+    # how often the benchmark's shingles occur in all documents
+    wide = context.broadcast(_bitmap(tokens, bits or bits_for(tokens.count())))
+    counts = token_counts(texts, wide, sizes).join(tokens, ["size", "token"], "left_semi")
+    chosen = cut_lineage(prefixes(windows, counts))
+
+    # places where a window's prefix stands, within bounds, then its words
+    narrow = context.broadcast(_bitmap(chosen, bits or bits_for(chosen.count())))
+    digest = F.sha2(F.col("text"), 256)
+    near = candidates(texts.select(digest.alias("_key"), "text"), narrow, sizes, window)
+    start = F.col("lead") - F.col("offset")
+    text = F.array_join(F.slice(F.split("around", " "), F.greatest(start, F.lit(0)) + 1, F.col("n")), " ")
+    found = near.join(chosen, ["size", "token"]).filter((start >= 0) & (text == F.col("words"))).select(
+        "_key", (F.col("at") - F.col("offset")).alias("at"), "n", "words"
     )
-    found_type = "n_words long, spans array<struct<at:int,n:int>>, items array<string>"
-    schema = pa.schema([
-        ("n_words", pa.int64()), ("spans", pa.list_(pa.struct([("at", pa.int32()), ("n", pa.int32())]))),
-        ("items", pa.list_(pa.string())),
-    ])
-
-    def search(keep: str, shared, every: bool):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            index = shared.value if shared is not None else None
-            lookup = _Lookup(index.known) if index else None
-            for batch in batches:
-                for row, data, offsets in ragged.text_slices(batch.column("text")):
-                    words = _Words(data, offsets)
-                    rows = len(offsets) - 1
-                    spans, names = [[] for _ in range(rows)], [set() for _ in range(rows)]
-                    if index:
-                        start, entry = _search(words, index, lookup)
-                        own = np.searchsorted(words.bounds, start, "right") - 1
-                        for s, e, d in zip(start.tolist(), entry.tolist(), own.tolist()):
-                            spans[d].append((s - int(words.bounds[d]), int(index.n[e])))
-                            names[d].update(index.items[e])
-                    spans = [sorted(set(x)) for x in spans]
-                    keys = batch.column(keep).slice(row, rows)
-                    out = pa.RecordBatch.from_arrays(
-                        [
-                            keys, pa.array(np.diff(words.bounds), pa.int64()),
-                            pa.array([[{"at": a, "n": n} for a, n in x] for x in spans], schema.field("spans").type),
-                            pa.array([sorted(x) for x in names], schema.field("items").type),
-                        ],
-                        [keep, *schema.names],
-                    )
-                    yield out if every else out.filter(pa.array([bool(x) for x in spans], pa.bool_()))
-
-        return run
-
-    if len(indexes) <= 1:
-        found = ragged.map_in_arrow(
-            texts, search("doc_id", indexes[0] if indexes else None, True), f"doc_id {kind}, {found_type}"
-        )
-    else:
-        # what is found depends on the text alone, so blocks meet again by its digest
-        keyed = texts.withColumn("_key", F.sha2(F.col("text"), 256))
-        part = None
-        for shared in indexes:
-            hits = ragged.map_in_arrow(
-                keyed.select("_key", "text"), search("_key", shared, False), f"_key string, {found_type}"
-            )
-            part = hits if part is None else part.unionByName(hits)
-        once = part.groupBy("_key").agg(
-            F.array_distinct(F.flatten(F.collect_set("spans"))).alias("spans"),
-            F.array_distinct(F.flatten(F.collect_set("items"))).alias("items"),
-        )
-        counted = ragged.map_in_arrow(
-            keyed.select(F.struct("doc_id", "_key").alias("both"), "text"), search("both", None, True),
-            f"both struct<doc_id:{kind},_key:string>, {found_type}",
-        )
-        found = counted.select("both.*", "n_words").join(once, "_key", "left")
-    return _summary(found)
+    hits = cut_lineage(found.distinct())
+    spans = hits.groupBy("_key").agg(F.collect_set(F.struct("at", "n")).alias("spans"))
+    names = hits.select("_key", "words").distinct().join(named, "words").groupBy("_key").agg(
+        F.collect_set("item_id").alias("items")
+    )
+    # a table of its own, so that its size is known when it meets the documents
+    once = cut_lineage(spans.join(names, "_key", "left"))
+    keyed = docs.select(F.struct("doc_id", digest.alias("_key")).alias("both"), "text")
+    counted = word_counts(keyed).select("both.*", "n_words")
+    return _summary(counted.join(once, "_key", "left"))
 
 
 def _summary(found: DataFrame) -> DataFrame:

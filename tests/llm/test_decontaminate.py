@@ -46,20 +46,20 @@ ITEMS = [
 ]
 
 
-@pytest.mark.parametrize("block", [decontaminate.BLOCK_WINDOWS, 16])
-def test_odd_rows(spark, block):
-    compare(spark, odd(spark), ITEMS, block=block)
+@pytest.mark.parametrize("bits", [None, 6])
+def test_odd_rows(spark, bits):
+    compare(spark, odd(spark), ITEMS, bits=bits)
 
 
-@pytest.mark.parametrize("block", [decontaminate.BLOCK_WINDOWS, 40])
-def test_passages_overlapping_and_repeated(spark, block):
+@pytest.mark.parametrize("bits", [None, 8])
+def test_passages_overlapping_and_repeated(spark, bits):
     item = prose(70, 40, 30).split()
     texts = [
         " ".join(item), " ".join(item[3:13]), " ".join(item[3:12]), " - ".join(item[5:20] + ["x"] + item[5:20]).upper(),
         prose(71, 200, 30), " ".join(item[:9] + ["y"] + item[10:]), " ".join(item[-10:]),
     ]
     docs = spark.createDataFrame([(i, t, "en", "s", 1, "x", 1, 1) for i, t in enumerate(texts)], SCHEMA)
-    compare(spark, docs, [(1, " ".join(item)), (2, " ".join(item[10:25])), (3, prose(72, 40, 30))], block=block)
+    compare(spark, docs, [(1, " ".join(item)), (2, " ".join(item[10:25])), (3, prose(72, 40, 30))], bits=bits)
 
 
 def test_empty_tables(spark):
