@@ -219,11 +219,12 @@ def word_counts(keyed: DataFrame) -> DataFrame:
     return ragged.map_in_arrow(keyed, run, f"both {kind}, n_words long")
 
 
-def find_contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, bits: int | None = None) -> DataFrame:
-    """All columns of ``docs`` that are named below, one row per document.
+def find_hits(
+    docs: DataFrame, items: DataFrame, window: int = WINDOW, bits: int | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """_key, at, n, words of every place where a window stands in a text; and words, item_id of the windows.
 
-    doc_id, n_words, n_hit (words inside any window found), items (ids, sorted as
-    text), n_items, items_sha256 (of the ids joined by commas), contaminated.
+    ``_key`` is the text's SHA-256, so repeated texts are one.
     ``bits`` sets the size of the bitmaps (from 6 on), which changes no result.
     """
     context = docs.sparkSession.sparkContext
@@ -242,25 +243,46 @@ def find_contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW,
 
     # places where a window's prefix stands, within bounds, then its words
     narrow = context.broadcast(_bitmap(chosen, bits or bits_for(chosen.count())))
-    digest = F.sha2(F.col("text"), 256)
-    near = candidates(texts.select(digest.alias("_key"), "text"), narrow, sizes, window)
+    near = candidates(texts.select(F.sha2("text", 256).alias("_key"), "text"), narrow, sizes, window)
     start = F.col("lead") - F.col("offset")
     text = F.array_join(F.slice(F.split("around", " "), F.greatest(start, F.lit(0)) + 1, F.col("n")), " ")
     found = near.join(chosen, ["size", "token"]).filter((start >= 0) & (text == F.col("words"))).select(
         "_key", (F.col("at") - F.col("offset")).alias("at"), "n", "words"
     )
-    hits = cut_lineage(found.distinct())
+    return cut_lineage(found.distinct()), named
+
+
+def find_contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, bits: int | None = None) -> DataFrame:
+    """All columns of ``docs`` that are named below, one row per document.
+
+    doc_id, n_words, n_hit (words inside any window found), items (ids, sorted as
+    text), n_items, items_sha256 (of the ids joined by commas), contaminated.
+    """
+    hits, named = find_hits(docs, items, window, bits)
     spans = hits.groupBy("_key").agg(F.collect_set(F.struct("at", "n")).alias("spans"))
     names = hits.select("_key", "words").distinct().join(named, "words").groupBy("_key").agg(
         F.collect_set("item_id").alias("items")
     )
     # a table of its own, so that its size is known when it meets the documents
     once = cut_lineage(spans.join(names, "_key", "left"))
-    keyed = docs.select(F.struct("doc_id", digest.alias("_key")).alias("both"), "text")
+    keyed = docs.select(F.struct("doc_id", F.sha2("text", 256).alias("_key")).alias("both"), "text")
     counted = word_counts(keyed).select("both.*", "n_words")
     return _summary(counted.join(once, "_key", "left"))
 
 
+def without_contaminated(
+    docs: DataFrame, items: DataFrame, window: int = WINDOW, bits: int | None = None
+) -> DataFrame:
+    """The documents in whose text no window stands, all columns; a null text is clean.
+
+    Only the digests of contaminated texts meet the documents, which are not shuffled
+    as long as Spark's own bound for broadcasts holds that table.
+    """
+    hits, _ = find_hits(docs, items, window, bits)
+    keys = cut_lineage(hits.select("_key").distinct())
+    return docs.join(keys, F.sha2(docs["text"], 256) == keys["_key"], "left_anti")
+
+
 def _summary(found: DataFrame) -> DataFrame:
     items = F.sort_array(F.coalesce(F.col("items"), F.array().cast("array<string>")))
     spans = F.sort_array(F.coalesce(F.col("spans"), F.expr("cast(array() as array<struct<at:int,n:int>>)")))
