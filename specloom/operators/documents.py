@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 from functools import reduce
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -215,26 +215,42 @@ SECTION = (
 )
 
 
+_TEXTS = pa.list_(pa.string())
+_SECTION_FIELDS = [
+    pa.field("section_no", pa.int32()), *[pa.field(name, pa.string()) for name in ("title", "eyebrow", "lead", "meta")],
+    pa.field("bullets", _TEXTS), pa.field("cards", pa.list_(pa.struct([(n, pa.string()) for n in ("badge", "title", "body")]))),
+    pa.field("tables", pa.list_(pa.list_(_TEXTS))), pa.field("paragraphs", _TEXTS),
+]
+#: Pages that are sections in a Python worker's memory at a time.
+PAGES_AT_ONCE = 64
+
+
 def extract_sections(pages: DataFrame, section: tuple[str, str] | None = ("section", "slide")) -> DataFrame:
     """The parts of each section of ``(page, html)`` as nested columns.
 
     ``section`` is the tag and class of a section; without one the whole page
-    is a section.  Only the page id and the HTML go to Python.
+    is a section.  Only the page id and the HTML go to Python, where a few pages at a time
+    become rows, so that memory does not grow with the rows of a batch.
     """
     kind = dict(pages.dtypes)["page"]
 
-    def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [
-                (page, *found)
-                for page, html in zip(batch["page"], batch["html"])
-                for found in sections_of(html, section)
-            ]
-            yield pd.DataFrame(rows, columns=[
-                "page", "section_no", "title", "eyebrow", "lead", "meta", "bullets", "cards", "tables", "paragraphs"
-            ])
-
-    return pages.select("page", "html").mapInPandas(extract, f"page {kind}, {SECTION}")
+            for at in range(0, batch.num_rows, PAGES_AT_ONCE):
+                some = batch.slice(at, PAGES_AT_ONCE)
+                origin, rows = [], []
+                for i, html in enumerate(some.column("html")):
+                    for found in sections_of(html.as_py(), section):
+                        origin.append(i)
+                        rows.append(found)
+                columns = list(zip(*rows)) if rows else [[] for _ in _SECTION_FIELDS]
+                yield pa.RecordBatch.from_arrays(
+                    [some.column("page").take(pa.array(origin, pa.int64()))]
+                    + [pa.array(c, f.type) for c, f in zip(columns, _SECTION_FIELDS)],
+                    names=["page", *[f.name for f in _SECTION_FIELDS]],
+                )
+
+    return pages.select("page", "html").mapInArrow(extract, f"page {kind}, {SECTION}")
 
 
 def orphan_pages(links: DataFrame, pages: DataFrame) -> DataFrame:

@@ -296,7 +296,9 @@ def _part_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit(f"</td></tr></table><p>Text {number} of "), "p_name", F.lit(".</p></section>"),
         )
 
-    pages = table(spark, sf_dir, "part").select(
+    # parts are small and lie in few files: they are spread over the tasks before they become pages
+    parts = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
+    pages = parts.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "p_partkey").select(
         F.col("p_partkey").alias("page"),
         F.concat(F.lit("<html><body><nav>x</nav>"), section(1), section(2), F.lit("</body></html>")).alias("html"),
     )

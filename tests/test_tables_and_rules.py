@@ -3,12 +3,14 @@
 import math
 import os
 import re
+import tracemalloc
 
 import pytest
 from pyspark.sql import functions as F
 
-from specloom.operators import catalogue, compare, documents, header, mapping, quality, resolve
+from specloom.operators import catalogue, compare, documents, header, html_sections, mapping, quality, resolve
 from specloom.operators.mapping import Pattern
+from specloom.plans import documents as document_plans
 from specloom.session import _written
 from specloom.sources import shared, sheets
 
@@ -226,3 +228,25 @@ def test_reimport_replaces_whole_sources_on_storage(spark, tmp_path):
     sheets.overwrite_sources(old, path, "src")
     sheets.overwrite_sources(spark.createDataFrame([("a", "s1", 9)], old.schema), path, "src")
     assert sorted(map(tuple, spark.read.schema(old.schema).parquet(path).select(*old.columns).collect())) == [("a", "s1", 9), ("a_b", "s1", 3)]
+
+
+def test_small_rows_are_spread_before_they_become_pages(spark):
+    found = document_plans.section_cards(spark, "/root/testdata/sf0.001")
+    below = plan_of(found).split("MapInArrow")[1]
+    assert "Exchange hashpartitioning(p_partkey" in below and "</section>" not in below.split("Exchange")[1]
+
+
+def test_deep_markup_does_not_grow_in_square():
+    tracemalloc.start()
+    (section,) = html_sections.sections_of("<b>x" * 5000, None)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert section[0] == 1 and most < 20e6
+
+
+def test_few_pages_are_sections_at_a_time(spark):
+    """What leaves the Python step comes in small batches, whatever a batch of its input holds."""
+    assert "MapInPandas" not in plan_of(document_plans.page_bullets(spark, "/root/testdata/sf0.001"))
+    pages = spark.range(200).coalesce(1).select(F.col("id").alias("page"), F.lit("<ul><li>a<li>b</ul>").alias("html"))
+    found = documents.extract_sections(pages, section=None)
+    assert sorted((r.page, tuple(r.bullets)) for r in found.collect()) == [(i, ("a b", "b")) for i in range(200)]
