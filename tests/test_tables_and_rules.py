@@ -3,12 +3,13 @@
 import math
 import os
 import re
+import time
 import tracemalloc
 
 import pytest
 from pyspark.sql import functions as F
 
-from specloom.operators import catalogue, compare, documents, header, html_sections, mapping, quality, resolve
+from specloom.operators import catalogue, compare, documents, header, html_sections, mapping, normalize, quality, resolve
 from specloom.operators.mapping import Pattern
 from specloom.plans import documents as document_plans
 from specloom.session import _written
@@ -250,3 +251,29 @@ def test_few_pages_are_sections_at_a_time(spark):
     pages = spark.range(200).coalesce(1).select(F.col("id").alias("page"), F.lit("<ul><li>a<li>b</ul>").alias("html"))
     found = documents.extract_sections(pages, section=None)
     assert sorted((r.page, tuple(r.bullets)) for r in found.collect()) == [(i, ("a b", "b")) for i in range(200)]
+
+
+def test_rules_that_are_plain_texts_meet_their_keys_by_equality(spark):
+    """As many rules as keys: all pairs would be 900 million expressions."""
+    n = 30_000
+    keys = spark.range(n).select("id", F.concat(F.lit("Item "), "id", F.when(F.col("id") % 3 == 0, "\n").otherwise("")).alias("raw_item_name"),
+                                 *[F.lit("x").alias(c) for c in mapping.KEYS[1:]])
+    rules = spark.range(n).select(
+        F.col("id").cast("int").alias("pattern_id"), F.concat(F.lit("^iTEM "), "id", F.lit("$")).alias("item_regex"),
+        F.when(F.col("id") % 2 == 0, "^X$").when(F.col("id") % 5 == 0, "^y$").alias("company_regex"),
+        *[F.lit(None).cast("string").alias(c) for c in ("category_regex", "unit_regex")],
+        F.concat(F.lit("c"), "id").alias("canonical_item"), F.lit("m").alias("mapping_method"), F.lit(1.0).alias("confidence"),
+        F.lit(None).cast("string").alias("notes"),
+    )
+    start = time.monotonic()
+    found = mapping.map_patterns(keys, rules).select("id", "canonical_item").collect()
+    assert time.monotonic() - start < 60
+    assert {r.id: r.canonical_item for r in found} == {i: f"c{i}" if i % 2 == 0 or i % 5 else None for i in range(n)}
+
+
+def test_a_short_frame_of_rules_does_not_move_the_rows(spark, tmp_path):
+    path = str(tmp_path / "units")
+    spark.range(1000).select(F.lit("stone").alias("raw_unit"), F.lit("kg").alias("canonical_unit")).write.parquet(path)
+    frame = spark.createDataFrame([("KG", "kg", 1.0)], "a string, b string, c double")
+    plan = plan_of(normalize.with_factor(spark.read.parquet(path), frame))
+    assert "Exchange hashpartitioning" not in plan and "BroadcastHashJoin" in plan
