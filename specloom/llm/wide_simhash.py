@@ -18,6 +18,10 @@ The more texts, the more segments a grid has, so that cells stay small, and the
 more grids there are, so that a pair whose bits differ with ``FLIP`` still meets
 with probability ``RECALL``; closer pairs meet almost surely.  Segments of a grid
 are drawn by a fixed generator: the same table always gives the same links.
+
+Grids miss some pairs, so all pairs of texts that they leave unconnected are compared
+as well, chunk by chunk (``missed_links``): no link within ``DISTANCE`` is lost.  This takes
+some nanoseconds a pair, which grow with the square of the distinct fingerprints.
 Cells beyond ``CELL_ROWS`` are cut into chunks, each pair of chunks a group of its own.
 
 Exact copies share a fingerprint and are one row from the start.
@@ -57,6 +61,10 @@ CELL_MEAN, CELL_ROWS = 128, 4096
 SMALL, DENSE = 256, 2
 #: The fewest grids.
 LEAST_GRIDS = 16
+#: Chunks of the exact comparison of all pairs: so many, if they have the least rows, and more beyond the most rows.
+CHUNKS, CHUNK_LEAST, CHUNK_MOST = 16, 2048, 1 << 20
+#: Rows compared with each other in one go.
+TILE_ROWS, TILE_COLUMNS = 32, 8192
 #: Bits that the count of a two-bit segment tells.
 SEGMENT_BITS = 1.415
 
@@ -249,14 +257,100 @@ def fingerprint_links(prints: DataFrame, most: int = DISTANCE, cell_rows: int =
     return ragged.map_in_arrow(ordered, lambda batches: _links(batches, most), "a binary, b binary")
 
 
+def _roots_met(x: tuple, y: tuple, same: bool, most: int) -> set[tuple[int, int]]:
+    """Pairs of labels with rows within the distance; ``x`` and ``y`` are (fingerprints, labels), maybe the same ones."""
+    met: set[tuple[int, int]] = set()
+    (a, own), (b, other) = x, y
+    half = PARTS // 2
+    buffers = [np.empty(TILE_ROWS * TILE_COLUMNS, kind) for kind in (np.uint64, np.uint8, np.uint8)]
+    columns = [np.ascontiguousarray(b[:, part]) for part in range(PARTS)]
+    for top in range(0, len(a), TILE_ROWS):
+        rows, mine = a[top : top + TILE_ROWS], own[top : top + TILE_ROWS]
+        for left in range(top if same else 0, len(b), TILE_COLUMNS):
+            stop = left + TILE_COLUMNS
+            shape = (len(rows), len(columns[0][left:stop]))
+            bits, ones, apart = (buffer[: shape[0] * shape[1]].reshape(shape) for buffer in buffers)
+            apart[:] = 0
+            for part in range(half):  # at most 128 bits
+                np.bitwise_xor(rows[:, part, None], columns[part][left:stop], out=bits)
+                np.bitwise_count(bits, out=ones)
+                apart += ones
+            at = np.flatnonzero(apart.ravel() <= most)
+            if not len(at):
+                continue
+            i, j = np.divmod(at, apart.shape[1])
+            j += left
+            differ = np.flatnonzero(mine[i] != other[j])
+            i, j = i[differ], j[differ]
+            near = np.flatnonzero(distance(rows[i], b[j]) <= most)
+            if len(near):
+                met.update(map(tuple, np.unique(np.stack([mine[i[near]], other[j[near]]], axis=1), axis=0).tolist()))
+    return met
+
+
+def _missed(batches: Iterator[pa.RecordBatch], chunks: int, most: int) -> Iterator[pa.RecordBatch]:
+    """Roots that are linked, of every pair of chunks; rows come in order of the pair."""
+
+    def found(pair: int, chunk: np.ndarray, prints: np.ndarray, roots: np.ndarray) -> pa.RecordBatch:
+        whole, labels = np.unique(roots.view(f"V{8 * PARTS}").ravel(), return_inverse=True)
+        first, second = divmod(pair, chunks)
+        sides = [(np.ascontiguousarray(prints[chunk == c]), labels[chunk == c]) for c in (first, second)]
+        met = sorted(_roots_met(*sides, first == second, most))
+        named = whole.view(np.uint64).reshape(-1, PARTS)
+        x, y = (np.array([m[k] for m in met], np.int64) for k in (0, 1))
+        return pa.RecordBatch.from_arrays([_binary(named[x]), _binary(named[y])], ["a", "b"])
+
+    held: list[tuple[np.ndarray, ...]] = []
+    for batch in batches:
+        columns = (batch.column(0).to_numpy(), batch.column(1).to_numpy(), _longs(batch.column(2)), _longs(batch.column(3)))
+        cuts = [0, *(np.flatnonzero(np.diff(columns[0])) + 1).tolist(), batch.num_rows]
+        for start, stop in zip(cuts, cuts[1:]):
+            if start == stop:
+                continue
+            if held and held[-1][0][-1] != columns[0][start]:
+                pair, *rest = (np.concatenate(c) for c in zip(*held))
+                yield found(int(pair[0]), *rest)
+                held = []
+            held.append(tuple(c[start:stop] for c in columns))
+    if held:
+        pair, *rest = (np.concatenate(c) for c in zip(*held))
+        yield found(int(pair[0]), *rest)
+
+
+def missed_links(rooted: DataFrame, most: int = DISTANCE) -> DataFrame:
+    """Links ``a``, ``b`` between the roots of all ``fingerprint`` within the distance that have different ``root``.
+
+    All pairs are compared, which is what makes the result exact: two chunks of
+    rows at a time, in a task's bounded memory; each row goes to as many tasks as there are chunks.
+    """
+    rows = rooted.count()
+    chunks = max(1, min(CHUNKS, -(-rows // CHUNK_LEAST)), -(-rows // CHUNK_MOST))
+    chunk = F.pmod(F.xxhash64("fingerprint"), F.lit(chunks)).cast("int")
+    pairs = F.transform(
+        F.sequence(F.lit(0), F.lit(chunks - 1)), lambda other: F.least(chunk, other) * chunks + F.greatest(chunk, other)
+    )
+    placed = rooted.select(F.explode(pairs).alias("pair"), chunk.alias("chunk"), "fingerprint", "root")
+    ordered = placed.repartition(chunks * (chunks + 1) // 2, "pair").sortWithinPartitions("pair")
+    return ragged.map_in_arrow(ordered, lambda batches: _missed(batches, chunks, most), "a binary, b binary")
+
+
+def roots_of(distinct: DataFrame, most: int = DISTANCE) -> DataFrame:
+    """The distinct fingerprints of a table with ``root``, the same for all that are connected within the distance."""
+    met = connected_components(fingerprint_links(distinct, most)).withColumnRenamed("node", "fingerprint")
+    rooted = cut_lineage(
+        distinct.join(met, "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
+    )
+    whole = connected_components(missed_links(rooted, most)).select(F.col("node").alias("_node"), F.col("root").alias("_root"))
+    return rooted.join(whole, F.col("root") == F.col("_node"), "left").withColumn(
+        "root", F.coalesce("_root", "root")
+    ).drop("_node", "_root")
+
+
 def near_texts(docs: DataFrame, shingle: int = SHINGLE, most: int = DISTANCE) -> DataFrame:
     """doc_id, fingerprint (64 hex digits) and component_id (the least doc_id reached over links) of every document."""
     prints = cut_lineage(fingerprints(docs, shingle))
     distinct = cut_lineage(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("least")))
-    roots = connected_components(fingerprint_links(distinct, most))
-    rooted = distinct.join(roots.withColumnRenamed("node", "fingerprint"), "fingerprint", "left").select(
-        "fingerprint", "least", F.coalesce("root", "fingerprint").alias("root")
-    )
+    rooted = cut_lineage(roots_of(distinct, most))
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     classes = rooted.join(named, "root").select("fingerprint", "component_id")
     return prints.join(classes, "fingerprint").select(

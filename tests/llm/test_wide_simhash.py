@@ -130,3 +130,26 @@ def test_masks_use_every_segment_alike():
         assert (np.bitwise_count(masks).sum(axis=1) == 2 * segments).all()
         used = [int((masks[:, s // 32] >> np.uint64(2 * (s % 32)) & np.uint64(3) == 3).sum()) for s in range(128)]
         assert max(used) - min(used) <= 2
+
+
+def flipped(value, bits, draw):
+    for bit in draw.sample(range(256), bits):
+        value ^= 1 << bit
+    return value
+
+
+@pytest.mark.parametrize("chunk_least", [wide_simhash.CHUNK_LEAST, 40])
+def test_no_pair_within_the_distance_is_missed(spark, monkeypatch, chunk_least):
+    """Pairs exactly at the distance, and one bit beyond, when grids meet almost none of them."""
+    monkeypatch.setattr(wide_simhash, "grids_for", lambda rows: (22, 1))
+    monkeypatch.setattr(wide_simhash, "CHUNK_LEAST", chunk_least)
+    draw = random.Random(8)
+    first = [draw.getrandbits(256) for _ in range(300)]
+    second = [flipped(v, wide_simhash.DISTANCE + i % 2, draw) for i, v in enumerate(first)]
+    rows = [(bytearray(v.to_bytes(32, "little")),) for v in first + second]
+    distinct = spark.createDataFrame(rows, "fingerprint binary")
+    roots = {bytes(r.fingerprint): bytes(r.root) for r in wide_simhash.roots_of(distinct).collect()}
+    assert len(roots) == 600
+    for i, (x, y) in enumerate(zip(first, second)):
+        assert (roots[x.to_bytes(32, "little")] == roots[y.to_bytes(32, "little")]) == (i % 2 == 0)
+    assert len(set(roots.values())) == 450
