@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from specloom.operators import catalogue, compare, documents, header, html_sections, mapping, normalize, quality, resolve
 from specloom.operators.mapping import Pattern
 from specloom.plans import documents as document_plans
+from specloom.plans import observations
+from specloom.plans import quality as quality_plans
 from specloom.session import _written
 from specloom.sources import shared, sheets
 
@@ -277,3 +279,25 @@ def test_a_short_frame_of_rules_does_not_move_the_rows(spark, tmp_path):
     frame = spark.createDataFrame([("KG", "kg", 1.0)], "a string, b string, c double")
     plan = plan_of(normalize.with_factor(spark.read.parquet(path), frame))
     assert "Exchange hashpartitioning" not in plan and "BroadcastHashJoin" in plan
+
+
+def test_keys_of_observations_hold_all_that_occur(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    made = observations.observation_keys(spark, sf_dir).select(*mapping.KEYS)
+    assert observations.raw_observations(spark, sf_dir).select(*mapping.KEYS).distinct().subtract(made).count() == 0
+
+
+def test_reports_that_read_rows_once_write_no_shared_table(spark, monkeypatch):
+    monkeypatch.setattr(observations, "write_shared", None)
+    monkeypatch.setattr(observations, "_shared", {})
+    for report in (quality_plans.low_confidence, quality_plans.issue_summary, quality_plans.unit_mismatch):
+        assert report(spark, "/root/testdata/sf0.001").count() >= 0
+
+
+def test_rows_made_of_placed_rows_are_not_moved_again(spark, monkeypatch):
+    narrow = shared.placed_by(records(spark), "product_id")
+    wide = narrow.select("*", F.explode(F.sequence(F.lit(1), F.lit(3))).alias("n"))
+    monkeypatch.setattr(shared, "placed_by", None)
+    stored = shared.write_shared(wide, "product_id", placed=True)
+    assert same_rows(stored, wide)
+    assert "Exchange" not in plan_of(quality.conflicts(stored))
