@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -46,6 +46,28 @@ def best_record(
     return first_per_group(usable, ["product_id", "canonical_item"], preference(ids))
 
 
+def best_record_of_rows(
+    rows: DataFrame,
+    kind: Sequence[str],
+    spread: Callable[[DataFrame], DataFrame],
+    row_ids: Sequence[str],
+    ids: Sequence[str] = ("normalized_id",),
+    accepted: Sequence[str] = ACCEPTED_STATUSES,
+) -> DataFrame:
+    """``best_record`` of the records that ``spread`` makes of wide rows, found without moving the records.
+
+    A row's records share all that ``preference`` looks at but the last of ``ids``, and rows of the same
+    ``kind`` give records of the same items.  So of a product's rows of one kind only the preferred one can
+    hold a best record.  Rows are narrower than their records, and those that remain, one a product and
+    kind, are brought together by product before they are spread; grouping by product then moves nothing.
+    The number of partitions is given: merged by the size of rows, they would be too large for the records.
+    """
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    usable = rows.filter(F.col("value_status").isin(*accepted))
+    kept = first_per_group(usable, ["product_id", *kind], preference(row_ids))
+    return best_record(spread(kept.repartition(parts, "product_id")), ids, accepted)
+
+
 def pivot_items(
     products: DataFrame, best: DataFrame, items: Sequence[tuple[str, str, str]]
 ) -> DataFrame:

@@ -65,6 +65,34 @@ def test_best_record_is_unique_and_pruned_before_the_shuffle(spark):
     assert "WindowGroupLimit" in plan
 
 
+def test_records_of_rows_are_reduced_before_they_are_spread(spark):
+    """A hot product and ties included: equal to the best of all records, and no shuffle moves a record."""
+    lines = spark.range(4000).select(
+        F.when(F.col("id") < 1500, 0).otherwise(F.col("id") % 97).alias("product_id"), F.col("id").alias("source_row_id"),
+        (F.col("id") % 5).alias("source_id"), (F.col("id") % 3).alias("kind"),
+        F.when(F.col("id") % 4 > 0, "present").otherwise("optional").alias("value_status"),
+        F.when(F.col("id") % 7 > 0, F.col("id") % 6 / 8).alias("confidence"), F.when(F.col("id") % 5 > 0, 1).alias("source_rank"),
+        F.when(F.col("id") % 2 > 0, "us").alias("unit_system"), F.col("id").cast("double").alias("value"),
+    )
+
+    def spread(rows):
+        cells = [F.struct(F.lit(f"c{i}").alias("source_column"), F.concat(F.lit("item"), (F.col("kind") + i) % 4).alias("canonical_item"),
+                          (F.col("value") + i / 8).alias("normalized_value_numeric")) for i in range(3)]
+        return rows.select(*[c for c in rows.columns if c not in ("kind", "value")], F.inline(F.array(*cells)))
+
+    row_ids = ["source_row_id", "source_id"]
+    ids, accepted = [*row_ids, "source_column"], ["present"]
+    best = resolve.best_record_of_rows(lines, ["kind"], spread, row_ids, ids, accepted)
+    assert rows(best) == rows(resolve.best_record(spread(lines), ids, accepted)) and best.count() == 97 * 4
+    from __spark_entry__ import queries
+
+    for name in ("best_record", "comparison_core", "comparison_full"):
+        plan = queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+        below = plan[plan.index("Generate inline"):]
+        assert plan.count("Generate inline") == 1 and "Exchange" in below and plan.count("WindowGroupLimit") >= 3
+        assert not [line for line in plan.splitlines() if "Exchange" in line and "canonical_item" in line]
+
+
 def test_comparison_keeps_products_without_values(spark):
     products = spark.createDataFrame([("p",), ("q",)], "product_id string")
     best = spark.createDataFrame(
