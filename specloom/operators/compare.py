@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from specloom.dictionaries import METRICS, NO_BRAND_RANK, NO_SERIES_NUMBER, dictionary
 from specloom.functions.numbers import in_millimetres, measure_text, numbers_in, pick_measure
 from specloom.functions.text import clean_text, rank_of, series_number
-from specloom.operators.ordering import first_per_group, with_position
+from specloom.operators.ordering import first_per_group, numbered, sorted_slices, with_position
 from specloom.session import cut_lineage
 
 # A value this close to a bin edge, relative to its bin number, is binned by itself.
@@ -170,12 +170,13 @@ def range_positions(
     """Each value's place in the range of its metric, 0 to 1, and its rank in ``order``.
 
     ``names`` are the metrics there are; they bound the side that is broadcast.
+    The ranges are read from the sorted slices, so that ``metrics`` are made for these only.
     """
-    stats = _stats(metrics.filter(F.col("metric").isin(*names)))
-    placed = metrics.filter(_known()).join(F.broadcast(stats), "metric").withColumn(
-        "relative", (F.col("value") - F.col("low")) / (F.col("high") - F.col("low"))
-    ).drop("low", "high")
-    return with_position(placed, ["metric"], order, "order_index")
+    sliced = sorted_slices(metrics.filter(_known() & F.col("metric").isin(*names)), ["metric"], order)
+    placed = numbered(sliced, ["metric"], "order_index").join(F.broadcast(_stats(sliced)), "metric")
+    relative = (F.col("value") - F.col("low")) / (F.col("high") - F.col("low"))
+    others = [c for c in metrics.columns if c != "metric"]
+    return placed.select("metric", *others, relative.alias("relative"), "order_index")
 
 
 def _counted() -> Column:
@@ -285,17 +286,20 @@ def bin_members(
     used = metrics.filter(
         _counted() & F.col("metric").isin(*[m for m, _ in steps])
     )
+    # A greater value is never in a lower bin, so the bins of a brand follow each other in the order of values.
+    order = [F.col("value").desc(), *[F.col(m).asc() for m in model]]
+    sliced = sorted_slices(used, ["metric", "brand"], order)
     # One row per metric of ``steps``.
-    ranges = used.groupBy("metric").agg(F.min("value").alias("_least"), F.max("value").alias("_most"))
+    ranges = sliced.groupBy("metric").agg(F.min("value").alias("_least"), F.max("value").alias("_most"))
     start, n_bins = _bounds(F.col("_least"), F.col("_most"), F.col("step"))
-    bins = ranges.join(rules, "metric").select(
+    bins = cut_lineage(ranges.join(rules, "metric").select(
         "metric", "step", start.alias("_start"), n_bins.alias("_n_bins")
-    )
-    binned = used.join(F.broadcast(bins), "metric").withColumn(
+    ))
+    binned = sliced.join(F.broadcast(bins), "metric").withColumn(
         "bin_no", _bin(F.col("value"), F.col("_start"), F.col("step"), F.col("_n_bins"))
     ).drop("step", "_start", "_n_bins")
-    order = [F.col("value").desc(), *[F.col(m).asc() for m in model]]
-    return with_position(binned, ["metric", "bin_no", "brand"], order, "place")
+    others = [c for c in metrics.columns if c != "metric"]
+    return numbered(binned, ["metric", "bin_no", "brand"], "place").select("metric", *others, "bin_no", "place")
 
 
 def visible(df: DataFrame, brand: str, brands: Sequence[str], measure: str, low: float, high: float) -> DataFrame:

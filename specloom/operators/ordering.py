@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from specloom.session import cut_lineage
 
 
-def _sliced(df: DataFrame, group: Sequence[str], order: Sequence[Column]) -> DataFrame:
+def sorted_slices(df: DataFrame, group: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """Sorted range slices, written once so that all passes see the same ones.
 
     ``_at`` rises by one from row to row inside a slice.  Rows that are equal in
@@ -31,22 +31,26 @@ def _sliced(df: DataFrame, group: Sequence[str], order: Sequence[Column]) -> Dat
     )
 
 
+_sliced = sorted_slices
+
+
 def _with_offsets(sliced: DataFrame, group: Sequence[str], total: Column) -> DataFrame:
     """Add ``_offset``, the ``total`` of the group's earlier slices, and ``_first``, where its rows start.
 
-    There is one row per slice of a group, even of the largest; adaptive
-    execution measures them and broadcasts them when they are few.
+    There is one row per slice of a group, even of the largest.  These are kept
+    as a table: as its size is known when the join is planned, Spark broadcasts
+    it when it is small, and the rows are not shuffled once more for it.
     """
     parts = sliced.groupBy(*group, "_slice").agg(total.alias("_total"), F.min("_at").alias("_first"))
     before = Window.partitionBy(*group or [F.lit(0)]).orderBy("_slice").rowsBetween(
         Window.unboundedPreceding, -1
     )
-    offsets = parts.select(
+    offsets = cut_lineage(parts.select(
         *[F.col(g).alias(f"_o_{g}") for g in group],
         F.col("_slice").alias("_o_slice"),
         "_first",
         F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_offset"),
-    )
+    ))
     same = F.col("_slice") == F.col("_o_slice")
     for g in group:
         same = same & F.col(g).eqNullSafe(F.col(f"_o_{g}"))
@@ -65,7 +69,7 @@ def with_running_total(
     ``order`` must be total within the group.  ``group`` may be empty: the
     total then runs over the whole table.
     """
-    sliced = _sliced(df.withColumn("_weight", weight), group, order)
+    sliced = sorted_slices(df.withColumn("_weight", weight), group, order)
     placed = _with_offsets(sliced, group, F.sum("_weight"))
     inside = Window.partitionBy(*group, "_slice").orderBy("_at").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
@@ -83,7 +87,15 @@ def with_position(
     Inside a slice the rows are already in order, so one range shuffle is all
     the rows go through.
     """
-    placed = _with_offsets(_sliced(df, group, order), group, F.count("*"))
+    return numbered(sorted_slices(df, group, order), group, name)
+
+
+def numbered(sliced: DataFrame, group: Sequence[str], name: str) -> DataFrame:
+    """``with_position`` of rows that are ``sorted_slices`` already; ``group`` may be found in them afterwards.
+
+    The rows of a group must follow each other in the order of the slices.
+    """
+    placed = _with_offsets(sliced, group, F.count("*"))
     return placed.withColumn(name, F.col("_offset") + F.col("_at") - F.col("_first") + 1).drop(
         "_slice", "_at", "_first", "_offset"
     )

@@ -374,7 +374,7 @@ def range_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 """)
 def range_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     order = [F.col(c).asc() for c in ("value", "brand", *LINE_KEY)]
-    placed = compare.range_positions(line_metrics(spark, sf_dir), order, [m for m, _ in STEPS])
+    placed = compare.range_positions(line_metrics(spark, sf_dir).drop("is_electric"), order, [m for m, _ in STEPS])
     return placed.select("metric", *LINE_KEY, "relative", "order_index")
 
 
@@ -431,7 +431,7 @@ def excluded_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM ({HISTOGRAM_SQL})
 """)
 def bin_members(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return compare.bin_members(line_metrics(spark, sf_dir), STEPS, LINE_KEY).drop("is_electric")
+    return compare.bin_members(line_metrics(spark, sf_dir).drop("is_electric"), STEPS, LINE_KEY)
 
 
 @query("visible_rows", """

@@ -52,6 +52,48 @@ def test_running_total_with_null_group(spark):
     assert sorted((r.g or "", r.i, r.t) for r in got.collect()) == [("", 1, 5), ("", 2, 12), ("a", 1, 1)]
 
 
+def test_numbered_rows_are_not_shuffled_again_for_their_offsets(spark):
+    df = spark.range(60_000).select(
+        F.concat(F.lit("m"), F.col("id") % 3).alias("metric"), (F.col("id") * 7919 % 997 / 4).alias("value"),
+        F.concat(F.lit("b"), F.col("id") % 4).alias("brand"), F.col("id"),
+    )
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "40000")
+    try:
+        for frame in (
+            ordering.with_position(df, ["metric"], [F.col("value").asc(), F.col("id").asc()], "at"),
+            ordering.with_running_total(df, ["metric"], [F.col("id").asc()], F.lit(1), "total"),
+            compare.range_positions(df, [F.col("value").asc(), F.col("id").asc()], ["m0", "m1", "m2"]),
+            compare.bin_members(df, [("m0", 50.0), ("m1", 50.0), ("m2", 50.0)], ["id"]),
+        ):
+            plan = frame._jdf.queryExecution().executedPlan().toString()
+            assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_bins_found_after_the_sort_are_those_of_brute_force(spark):
+    """Negative values, flat and endless ranges, values at edges and a metric without a step."""
+    rng = random.Random(5)
+    data = [("a", rng.choice([-3.0, -0.3, 0.1, 0.3, 0.6, 7.5, 12.0, 0.0, None, math.nan]), rng.choice("xy"), i) for i in range(400)]
+    data += [("flat", 2.0, "x", i) for i in range(5)] + [("none", 1.0, "x", 1)] + [("a", 0.3, None, 900 + i) for i in range(3)]
+    df = spark.createDataFrame(data, "metric string, value double, brand string, id int").repartition(6)
+    got = compare.bin_members(df, [("a", 0.1), ("flat", 0.5)], ["id"])
+    assert got.columns == ["metric", "value", "brand", "id", "bin_no", "place"]
+    expected, places = [], Counter()
+    for metric, step in (("a", 0.1), ("flat", 0.5)):
+        used = [r for r in data if r[0] == metric and r[1] and not math.isnan(r[1])]
+        low, high = min(r[1] for r in used), max(r[1] for r in used)
+        start, end = math.floor(low / step) * step, math.ceil(high / step) * step
+        n = max(1, round(((start + step if end <= start else end) - start) / step))
+        for r in sorted(used, key=lambda r: (-r[1], r[3])):
+            at = max(0, min(math.floor((r[1] - start) / step), n - 1))
+            places[metric, at, r[2]] += 1
+            expected.append((*r, at, places[metric, at, r[2]]))
+    key = lambda r: (r[0], r[3])
+    assert sorted(map(tuple, got.collect()), key=key) == sorted(expected, key=key)
+
+
 def test_best_record_is_unique_and_pruned_before_the_shuffle(spark):
     data = [("p", "x", 0.9, 1, "us", 10.0, 1), ("p", "x", 0.9, 1, "metric", 11.0, 2), ("p", "x", None, 0, "metric", 12.0, 3),
             ("p", "y", 0.5, None, None, 1.0, 4), ("p", "y", 0.5, 2, None, 2.0, 5)]
