@@ -26,12 +26,12 @@ def _fold_width(names: pd.Series) -> pd.Series:
     return names.map(lambda name: unicodedata.normalize("NFKC", name), na_action="ignore")
 
 
-def build_header(grid: DataFrame, header_rows: int = 1) -> DataFrame:
+def build_header(grid: DataFrame, header_rows: int = 1, placed: bool = False) -> DataFrame:
     """``(raw_path, sheet_name, col_no, header)`` from the first rows of each sheet.
 
     In every header row but the last a blank takes the last value to its left;
     the parts of a column are joined with ``_``.  Columns without a part are
-    dropped.
+    dropped.  ``placed`` says that the rows of a sheet are together already.
     """
     cell = F.when(~is_blank(F.col("value")), F.col("value"))
     head = grid.filter(F.col("row_no") <= header_rows).withColumn("value", cell)
@@ -40,23 +40,24 @@ def build_header(grid: DataFrame, header_rows: int = 1) -> DataFrame:
             *SHEET, "col_no", strip(F.col("value")).alias("header")
         )
     # A header is as long as its sheet is wide, so a sheet's header may meet in
-    # one place; the window, the grouping and the numbering of names share it.
-    head = head.repartition(*SHEET)
-    to_left = Window.partitionBy(*SHEET, "row_no").orderBy("col_no")
-    carried = F.last("value", ignorenulls=True).over(to_left)
-    filled = head.withColumn(
-        "value", F.when(F.col("row_no") < header_rows, carried).otherwise(F.col("value"))
-    )
-    part = F.when(
-        F.col("value").isNotNull(), F.struct("row_no", strip(F.col("value")).alias("part"))
-    )
-    joined = F.array_join(
-        F.transform(F.array_sort(F.collect_list(part)), lambda p: p["part"]), "_"
-    )
-    return (
-        filled.groupBy(*SHEET, "col_no")
-        .agg(joined.alias("header"))
-        .filter(F.col("header") != "")
+    # one place; the grouping, the window and the numbering of names share it.
+    if not placed:
+        head = head.repartition(*SHEET)
+    # One row a column, with its cells side by side; a short row has no cell there, which is not a blank one.
+    above = range(1, header_rows + 1)
+    columns = head.groupBy(*SHEET, "col_no").agg(*[
+        F.max(F.when(F.col("row_no") == r, F.struct("value"))).alias(f"_cell_{r}") for r in above
+    ])
+    to_left = Window.partitionBy(*SHEET).orderBy("col_no")
+
+    def part(row: int) -> Column:
+        value = F.col(f"_cell_{row}")["value"]
+        if row < header_rows:
+            value = F.when(F.col(f"_cell_{row}").isNotNull(), F.last(value, ignorenulls=True).over(to_left))
+        return strip(value)
+
+    return columns.select(*SHEET, "col_no", F.concat_ws("_", *[part(r) for r in above]).alias("header")).filter(
+        F.col("header") != ""
     )
 
 
@@ -65,11 +66,13 @@ def clean_names(headers: DataFrame, name: str = "header") -> DataFrame:
 
     Compatibility folding has no built-in function; it runs on the distinct
     names with a non-ASCII character only.  The headers, a small part of the
-    grid, are kept as a table, so that this does not read the grid twice.
+    grid, are kept as a table, so that this does not read the grid twice, and so
+    are the folded names: as their size is known, the headers need not be
+    shuffled by name, of which there may be very few.
     """
     headers = cut_lineage(headers)
     foreign = headers.filter(F.col(name).rlike(r"[^\x00-\x7F]")).select(name).distinct()
-    folded = foreign.withColumn("_folded", _fold_width(F.col(name)))
+    folded = cut_lineage(foreign.withColumn("_folded", _fold_width(F.col(name))))
     return headers.join(folded, name, "left").withColumn(
         "column_name", clean_identifier(F.coalesce("_folded", F.col(name)))
     ).drop("_folded")

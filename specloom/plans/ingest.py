@@ -52,20 +52,22 @@ def order_header_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The upper row has gaps, like merged cells.
     """
-    lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(
+    lines = table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").cast("string").alias("sheet_name"), F.col("l_linenumber").alias("col_no"),
+        "l_returnflag", "l_linestatus",
+    )
+    # the lines of an order are brought together once, for this and for all that is done by sheet; shuffled they are
+    # much smaller than sorted, so the number of partitions is given and they are not merged by that size
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    columns = lines.repartition(parts, "sheet_name").groupBy("sheet_name", "col_no").agg(
         F.min("l_returnflag").alias("flag"), F.min("l_linestatus").alias("status")
     )
-    upper = F.when(F.col("l_linenumber").isin(1, 3, 6), F.col("flag"))
+    upper = F.when(F.col("col_no").isin(1, 3, 6), F.col("flag"))
     cells = F.array(
         F.struct(F.lit(1).cast("bigint").alias("row_no"), upper.alias("value")),
         F.struct(F.lit(2).cast("bigint").alias("row_no"), F.col("status").alias("value")),
     )
-    return lines.select(
-        F.lit("tables/lineitem").alias("raw_path"),
-        F.col("l_orderkey").cast("string").alias("sheet_name"),
-        F.col("l_linenumber").alias("col_no"),
-        F.inline(cells),
-    )
+    return columns.select(F.lit("tables/lineitem").alias("raw_path"), "sheet_name", "col_no", F.inline(cells))
 
 
 ORDER_HEADER_SQL = """
@@ -81,7 +83,7 @@ ORDER_HEADER_SQL = """
 
 @query("header_fill", ORDER_HEADER_SQL)
 def header_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return header.build_header(order_header_grid(spark, sf_dir), header_rows=2)
+    return header.build_header(order_header_grid(spark, sf_dir), header_rows=2, placed=True)
 
 
 @query("dup_names", f"""
@@ -91,7 +93,7 @@ def header_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
           FROM ({ORDER_HEADER_SQL}))
 """)
 def dup_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    headers = header.build_header(order_header_grid(spark, sf_dir), header_rows=2)
+    headers = header.build_header(order_header_grid(spark, sf_dir), header_rows=2, placed=True)
     return header.unique_names(header.clean_names(headers)).drop("header")
 
 

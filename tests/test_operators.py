@@ -72,6 +72,33 @@ def test_numbered_rows_are_not_shuffled_again_for_their_offsets(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def test_headers_of_an_order_are_shuffled_once_before_they_are_named(spark):
+    from __spark_entry__ import queries
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20000")
+    try:
+        plans = [queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+                 for name in ("header_fill", "dup_names")]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    for plan in plans:
+        assert plan.count("Exchange hashpartitioning") == 1 and "SortMergeJoin" not in plan
+
+
+def test_header_of_ragged_rows_in_three_levels(spark):
+    """A short row has nothing to carry beyond its end; a blank last row leaves the parts above."""
+    top = [["a", "", None, "b", " "], ["c", "  ", "d"], ["x", "y", "", None, " z ", "w"]]
+    data = [(path, "s", r, c, value) for path in ("f", "g") for r, row in enumerate(top, 1) for c, value in enumerate(row, 1)]
+    data += [("f", "s", 4, 1, "data"), ("h", "s", 1, 1, ""), ("h", "s", 3, 2, " ")]
+    grid = spark.createDataFrame(data, "raw_path string, sheet_name string, row_no bigint, col_no int, value string")
+    expected = [(1, "a_c_x"), (2, "a_c_y"), (3, "a_d"), (4, "b"), (5, "b_z"), (6, "w")]
+    one = grid.filter("raw_path = 'f'").withColumn("raw_path", F.lit("f"))
+    for frame, paths in ((grid, ("f", "g")), (one, ("f",))):
+        got = header.build_header(frame, 3)
+        assert rows(got) == [(path, "s", c, name) for path in paths for c, name in expected]
+
+
 def test_bins_found_after_the_sort_are_those_of_brute_force(spark):
     """Negative values, flat and endless ranges, values at edges and a metric without a step."""
     rng = random.Random(5)
