@@ -148,9 +148,9 @@ def named_cells(grid: DataFrame, header_rows: int = 1) -> DataFrame:
 
     Readers that have whole rows use ``import_rows``, which tests rows before it spreads them.
     """
-    headers = unique_names(clean_names(build_header(grid, header_rows)))
+    headers = cut_lineage(unique_names(clean_names(build_header(grid, header_rows))).drop("header"))
     data = grid.filter(F.col("row_no") > header_rows)
-    named = data.join(headers.drop("header"), [*SHEET, "col_no"])
+    named = data.join(headers, [*SHEET, "col_no"])
     return drop_blank_rows(named)
 
 
@@ -158,18 +158,21 @@ def import_rows(rows: DataFrame, header_rows: int = 1) -> DataFrame:
     """The whole import of packed rows: header, names, blank rows out, types, typed values.
 
     Only header rows are spread into cells before their names are known.  Names
-    and types of a sheet, as long as it is wide, are joined with whole rows;
-    once a row is spread, its cells do not move any more.
+    and types of a sheet, as long as it is wide, are kept as a table: as its
+    size is known, Spark sends it to the rows, and these are neither shuffled
+    nor sorted for it.  Once a row is spread, its cells do not move any more.
     """
     rows = cut_lineage(rows)
     top = cells_of(rows.filter(F.col("row_no") <= header_rows))
     names = cut_lineage(unique_names(clean_names(build_header(top, header_rows))).drop("header"))
     data = filled_rows(rows.filter(F.col("row_no") > header_rows))
     kinds = _column_types(cells_of(data), "col_no")
-    columns = names.join(kinds, [*SHEET, "col_no"], "left").groupBy(*[F.col(c).alias(f"_{c}") for c in SHEET]).agg(
-        F.sort_array(F.collect_list(F.struct(
-            "col_no", "column_name", F.coalesce("data_type", F.lit("VARCHAR")).alias("data_type")
-        ))).alias("_columns")
+    columns = cut_lineage(
+        names.join(kinds, [*SHEET, "col_no"], "left").groupBy(*[F.col(c).alias(f"_{c}") for c in SHEET]).agg(
+            F.sort_array(F.collect_list(F.struct(
+                "col_no", "column_name", F.coalesce("data_type", F.lit("VARCHAR")).alias("data_type")
+            ))).alias("_columns")
+        )
     )
     same = F.lit(True)
     for c in SHEET:
@@ -197,10 +200,11 @@ def typed_cells(cells: DataFrame, column: str = "column_name") -> DataFrame:
 
     ``text_value`` always has the original; of the other three the one of the
     type is filled.  No cast can fail: a column has a type only if all its
-    values have it.
+    values have it.  The types, one row a column, are kept as a table, so that
+    Spark can send them to the cells.
     """
     names = [*SHEET, column]
-    types = infer_types(cells, column).select(*[F.col(c).alias(f"_{c}") for c in names], "data_type")
+    types = cut_lineage(infer_types(cells, column).select(*[F.col(c).alias(f"_{c}") for c in names], "data_type"))
     same = F.lit(True)
     for c in names:
         same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from specloom.functions import text
 from specloom.operators import header
 from specloom.plans.registry import query, table
-from specloom.session import ensure_checkpoint_dir
+from specloom.session import cut_lineage, ensure_checkpoint_dir
 from specloom.sources import sheets
 from specloom.sources.tables import read_table
 
@@ -201,7 +201,7 @@ def import_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("tables/part").alias("raw_path"), F.col("p_type").alias("sheet_name"), F.lit(1).cast("bigint").alias("row_no"),
         F.posexplode(F.array(*[F.lit(h) for h in IMPORT_HEADER])).alias("_pos", "value"),
     ).select("raw_path", "sheet_name", "row_no", (F.col("_pos") + 1).alias("col_no"), "value")
-    names = header.unique_names(header.clean_names(header.build_header(top, 1))).drop("header")
+    names = cut_lineage(header.unique_names(header.clean_names(header.build_header(top, 1))).drop("header"))
     return header.typed_cells(data.join(names, ["raw_path", "sheet_name", "col_no"]))
 
 

@@ -99,6 +99,32 @@ def test_header_of_ragged_rows_in_three_levels(spark):
         assert rows(got) == [(path, "s", c, name) for path in paths for c, name in expected]
 
 
+def test_rows_are_not_shuffled_for_the_names_and_types_of_their_sheet(spark):
+    """Shuffled rows of like sheets are so small that one task would sort all of them."""
+    sheets = 30
+    body = spark.range(30_000).select(
+        F.lit("f").alias("raw_path"), F.concat(F.lit("s"), F.col("id") % sheets).alias("sheet_name"),
+        (F.floor(F.col("id") / sheets) + 2).alias("row_no"),
+        F.array(F.concat(F.lit("a"), F.col("id")), F.col("id").cast("string"), F.when(F.floor(F.col("id") / sheets) % 2 > 0, "0.5")).alias("cells"),
+    )
+    top = spark.range(sheets).select(
+        F.lit("f"), F.concat(F.lit("s"), F.col("id")), F.lit(1).cast("bigint"), F.array(F.lit("N"), F.lit("N"), F.lit("Share")))
+    table = body.unionByName(top.toDF(*body.columns))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20000")
+    try:
+        typed = header.import_rows(table)
+        cells = header.typed_cells(body.select("raw_path", "sheet_name", "row_no", F.posexplode("cells").alias("column_name", "value")))
+        for frame in (typed, cells):
+            plan = frame._jdf.queryExecution().executedPlan().toString()
+            assert "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    kinds = rows(typed.groupBy("column_name", "data_type").agg(F.count("*"), F.count("integer_value"), F.count("number_value")))
+    assert kinds == [("N", "VARCHAR", 30_000, 0, 0), ("N_2", "BIGINT", 30_000, 30_000, 30_000), ("Share", "DOUBLE", 30_000, 0, 15_000)]
+    assert cells.count() == 90_000
+
+
 def test_bins_found_after_the_sort_are_those_of_brute_force(spark):
     """Negative values, flat and endless ranges, values at edges and a metric without a step."""
     rng = random.Random(5)
