@@ -14,6 +14,7 @@ from specloom.operators.mapping import Pattern
 from specloom.plans import documents as document_plans
 from specloom.plans import observations
 from specloom.plans import quality as quality_plans
+from specloom.plans.registry import QUERIES
 from specloom.session import _written
 from specloom.sources import shared, sheets
 
@@ -301,3 +302,27 @@ def test_rows_made_of_placed_rows_are_not_moved_again(spark, monkeypatch):
     stored = shared.write_shared(wide, "product_id", placed=True)
     assert same_rows(stored, wide)
     assert "Exchange" not in plan_of(quality.conflicts(stored))
+
+
+def test_issue_rows_are_those_of_all_stages(spark, tmp_path):
+    """A table left out of scope is an issue of its own beside those of the observations, which keep their details."""
+    parts = [(1, "a", "Brand#3", "LARGE", 5, 900.0), (2, "b", "Brand#1", "LARGE", 5, 900.0), (3, "c", "Brand#3", "SMALL", 5, 9.0), (4, "d", None, "SMALL", 5, 9.0)]
+    spark.createDataFrame(
+        parts, "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"
+    ).write.parquet(f"{tmp_path}/part.parquet")
+    lines = [(7, 1, 70, 1, 17.0, 100.0, 0.01, 0.02, "R", "F"), (8, 2, 80, 1, 24.0, 100.0, 0.06, 0.03, "N", "O")]
+    spark.createDataFrame(
+        lines, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, "
+        "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string"
+    ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    rows = QUERIES["issue_rows"](spark, str(tmp_path)).collect()
+    found = {(r.issue_type, r.severity, r.source_table, r.raw_item_name, r.detail, r.status) for r in rows}
+    assert len(rows) == len(found) == 6
+    assert found == {
+        ("scope_excluded", "info", "Brand#3", None, None, "open"),
+        ("unmapped_item", "review", "supplier_70", "l_tax", None, "open"),
+        ("numeric_parse_failed", "review", "supplier_70", "l_quantity", "[numeric_parse_failed]", "open"),
+        ("low_confidence", "review", "supplier_80", "l_discount", "Ah rating, kept as text", "open"),
+        ("low_confidence", "review", "supplier_80", "l_tax", "by position in the sheet", "open"),
+        ("unit_no_rule", "review", "supplier_80", "l_discount", "Ah rating, kept as text; [unit_no_rule] ah/48v → kWh", "open"),
+    }
