@@ -19,9 +19,13 @@ more grids there are, so that a pair whose bits differ with ``FLIP`` still meets
 with probability ``RECALL``; closer pairs meet almost surely.  Segments of a grid
 are drawn by a fixed generator: the same table always gives the same links.
 
-Grids miss some pairs, so all pairs of texts that they leave unconnected are compared
-as well, chunk by chunk (``missed_links``): no link within ``DISTANCE`` is lost.  This takes
-some nanoseconds a pair, which grow with the square of the distinct fingerprints.
+Grids miss some pairs, so all pairs of texts that they leave unconnected are looked
+through as well, chunk by chunk (``missed_links``): no link within ``DISTANCE`` is lost.  The
+fingerprint is cut into 12 to 16 blocks, each with a radius of 2 to 4 bits, such that two
+fingerprints within the distance differ in no more than its radius in one block at least (pigeonhole
+principle).  So only rows meet that do, found by changing a block's bits in all these ways:
+some hundredths of all pairs, and fewer the larger the chunks.  Few rows, or rows that meet
+too often since they are unevenly spread, are compared pair by pair.
 Cells beyond ``CELL_ROWS`` are cut into chunks, each pair of chunks a group of its own.
 
 Exact copies share a fingerprint and are one row from the start.
@@ -35,6 +39,7 @@ table gives no rows; further columns are not looked at.
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Iterator
 
@@ -61,10 +66,14 @@ CELL_MEAN, CELL_ROWS = 128, 4096
 SMALL, DENSE = 256, 2
 #: The fewest grids.
 LEAST_GRIDS = 16
-#: Chunks of the exact comparison of all pairs: so many, if they have the least rows, and more beyond the most rows.
-CHUNKS, CHUNK_LEAST, CHUNK_MOST = 16, 2048, 1 << 20
+#: Chunks of the exact search of all pairs: so many, if they have the least rows, and more beyond the most rows.
+CHUNKS, CHUNK_LEAST, CHUNK_MOST = 8, 2048, 1 << 19
 #: Rows compared with each other in one go.
 TILE_ROWS, TILE_COLUMNS = 32, 8192
+#: The most bits of a block, and rows looked up and pairs compared in one go.
+BLOCK_BITS, PROBES, PAIRS = 24, 1 << 16, 1 << 18
+#: Nanoseconds, about, of a pair where all are compared, of a value looked up, of a pair that meets, and of a row in a block.
+PAIR_NS, PROBE_NS, CANDIDATE_NS, ROW_NS = 2.4, 3.0, 35.0, 250.0
 #: Bits that the count of a two-bit segment tells.
 SEGMENT_BITS = 1.415
 
@@ -288,6 +297,136 @@ def _roots_met(x: tuple, y: tuple, same: bool, most: int) -> set[tuple[int, int]
     return met
 
 
+def blocks_for(a: int, b: int, most: int) -> list[tuple[int, int, int]]:
+    """First bit, bits and radius of blocks of a fingerprint; none if comparing ``a`` with ``b`` rows pair by pair is cheaper.
+
+    The radii and one more for each block add up to ``most + 1``, so two fingerprints within ``most`` bits
+    differ in no more than its radius in at least one block.
+    """
+    least, chosen, whole = PAIR_NS * a * b, [], 64 * PARTS
+    for count in range(-(-whole // BLOCK_BITS), 33):
+        edges = [whole * i // count for i in range(count + 1)]
+        bits = [y - x for x, y in zip(edges, edges[1:])]
+        radius, cost = [-1] * count, 0.0
+        for _ in range(most + 1):
+            steps = [
+                math.comb(n, r + 1) * a * (PROBE_NS + CANDIDATE_NS * b / 2**n) + (r < 0) * (ROW_NS * (a + b) + 2.0**n)
+                for n, r in zip(bits, radius)
+            ]
+            i = int(np.argmin(steps))
+            cost += steps[i]
+            radius[i] += 1
+        if cost < least:
+            least, chosen = cost, [block for block in zip(edges, bits, radius) if block[2] >= 0]
+    return chosen
+
+
+def _changes(bits: int, radius: int) -> dict[int, list[int]]:
+    """All ways to change at most so many bits, by the highest bit changed; -1: no bit is."""
+    ways: dict[int, list[int]] = {-1: [0]}
+    for k in range(1, radius + 1):
+        for chosen in itertools.combinations(range(bits), k):
+            ways.setdefault(chosen[-1], []).append(sum(1 << bit for bit in chosen))
+    return ways
+
+
+class _Block:
+    """Rows in the order of (a block's value, label); rows with the same of both are one group."""
+
+    def __init__(self, prints: np.ndarray, labels: np.ndarray, start: int, bits: int):
+        word, shift = divmod(start, 64)
+        value = prints[:, word] >> np.uint64(shift)
+        if shift + bits > 64:
+            value |= prints[:, word + 1] << np.uint64(64 - shift)
+        key = (value & np.uint64((1 << bits) - 1)) << np.uint64(32) | labels.astype(np.uint64)
+        order = np.argsort(key)
+        self.key, self.prints = key[order], prints[order]
+        #: the half of the fingerprint that the block does not begin in
+        half = PARTS // 2 if word < PARTS // 2 else 0
+        self.words = [np.ascontiguousarray(self.prints[:, part]) for part in range(half, half + PARTS // 2)]
+        self.labels = self.key.astype(np.uint32)
+        self.first = np.flatnonzero(np.concatenate([[True], self.key[1:] != self.key[:-1]]))
+        self.counts = np.diff(np.append(self.first, len(self.key)))
+        self.single = len(self.first) == len(self.key)
+        self.values = (self.key[self.first] >> np.uint64(32)).astype(np.int64)
+        #: whether the next group has the same value
+        self.goes_on = np.append(self.values[1:] == self.values[:-1], False)
+
+    def meet(
+        self, i: np.ndarray, to: np.ndarray, first: np.ndarray, held: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Each group ``i`` with every group of the value ``to``, of which there is one at least."""
+        j = first[to]
+        found = [(i, j)]
+        more = np.flatnonzero(self.goes_on[j])
+        while len(more) and len(found) < 4:
+            i, to, j = i[more], to[more], j[more] + 1
+            found.append((i, j))
+            more = np.flatnonzero(self.goes_on[j])
+        if len(more):
+            many = first[to[more]] + held[to[more]] - j[more] - 1
+            found.append((np.repeat(i[more], many), np.repeat(j[more] + 1, many) + ragged.runs(many)))
+        return np.concatenate([x for x, _ in found]), np.concatenate([x for _, x in found])
+
+
+def _pairs_of(a: _Block, b: _Block, i: np.ndarray, j: np.ndarray, sizes: np.ndarray) -> Iterator[tuple]:
+    """The pairs of rows of pairs of groups, some at a time."""
+    if a.single and b.single:
+        yield i, j
+        return
+    ends = np.cumsum(sizes)
+    for begin in range(0, int(ends[-1]), PAIRS):
+        flat = np.arange(begin, min(begin + PAIRS, int(ends[-1])))
+        at = np.searchsorted(ends, flat, "right")
+        row, column = np.divmod(flat - (ends - sizes)[at], b.counts[j[at]])
+        yield a.first[i[at]] + row, b.first[j[at]] + column
+
+
+def _roots_met_in_blocks(
+    x: tuple, y: tuple, same: bool, most: int, blocks: list[tuple[int, int, int]]
+) -> set[tuple[int, int]] | None:
+    """As ``_roots_met``, comparing only rows that differ in no more than its radius in a block.
+
+    None once so many rows meet in blocks (fingerprints that are unevenly spread) that comparing all is cheaper.
+    """
+    met: set[tuple[int, int]] = set()
+    left = PAIR_NS * len(x[0]) * len(y[0]) / CANDIDATE_NS
+    for start, bits, radius in blocks:
+        a = _Block(*x, start, bits)
+        b = a if same else _Block(*y, start, bits)
+        held = np.bincount(b.values, minlength=1 << bits)
+        known, first = held > 0, np.cumsum(held) - held
+        for top, ways in _changes(bits, radius).items():
+            # of two groups of one table, only that with a zero at the highest bit changed looks for the other
+            own = np.flatnonzero(a.values >> top & 1 == 0) if same and top >= 0 else None
+            values = a.values if own is None else a.values[own]
+            for change, begin in itertools.product(ways, range(0, len(values), PROBES)):
+                to = values[begin : begin + PROBES] ^ change
+                hit = np.flatnonzero(known[to])
+                i, j = b.meet(begin + hit if own is None else own[begin + hit], to[hit], first, held)
+                if same and top < 0:
+                    later = np.flatnonzero(i < j)
+                    i, j = i[later], j[later]
+                sizes = None
+                if not (a.single and b.single):
+                    differ = np.flatnonzero(a.labels[a.first[i]] != b.labels[b.first[j]])
+                    i, j = i[differ], j[differ]
+                    sizes = a.counts[i] * b.counts[j]
+                left -= len(i) if sizes is None else int(sizes.sum())
+                if left < 0:
+                    return None
+                if not len(i):
+                    continue
+                for i, j in _pairs_of(a, b, i, j, sizes):
+                    apart = sum(np.bitwise_count(p.take(i) ^ q.take(j)) for p, q in zip(a.words, b.words))
+                    near = np.flatnonzero(apart <= most)
+                    i, j = i[near], j[near]
+                    near = np.flatnonzero(a.labels[i] != b.labels[j])
+                    near = near[distance(a.prints[i[near]], b.prints[j[near]]) <= most]
+                    met.update(zip(a.labels[i[near]].tolist(), b.labels[j[near]].tolist()))
+    return met
+
+
 def _missed(batches: Iterator[pa.RecordBatch], chunks: int, most: int) -> Iterator[pa.RecordBatch]:
     """Roots that are linked, of every pair of chunks; rows come in order of the pair."""
 
@@ -295,7 +434,10 @@ def _missed(batches: Iterator[pa.RecordBatch], chunks: int, most: int) -> Iterat
         whole, labels = np.unique(roots.view(f"V{8 * PARTS}").ravel(), return_inverse=True)
         first, second = divmod(pair, chunks)
         sides = [(np.ascontiguousarray(prints[chunk == c]), labels[chunk == c]) for c in (first, second)]
-        met = sorted(_roots_met(*sides, first == second, most))
+        same = first == second
+        blocks = blocks_for(*(len(side[0]) for side in sides), most)
+        met = _roots_met_in_blocks(*sides, same, most, blocks) if blocks else None
+        met = sorted(_roots_met(*sides, same, most) if met is None else met)
         named = whole.view(np.uint64).reshape(-1, PARTS)
         x, y = (np.array([m[k] for m in met], np.int64) for k in (0, 1))
         return pa.RecordBatch.from_arrays([_binary(named[x]), _binary(named[y])], ["a", "b"])
@@ -320,8 +462,9 @@ def _missed(batches: Iterator[pa.RecordBatch], chunks: int, most: int) -> Iterat
 def missed_links(rooted: DataFrame, most: int = DISTANCE) -> DataFrame:
     """Links ``a``, ``b`` between the roots of all ``fingerprint`` within the distance that have different ``root``.
 
-    All pairs are compared, which is what makes the result exact: two chunks of
+    All pairs that may be within it are compared, which is what makes the result exact: two chunks of
     rows at a time, in a task's bounded memory; each row goes to as many tasks as there are chunks.
+    Of partitions there are more than pairs of chunks, so that few of them get several.
     """
     rows = rooted.count()
     chunks = max(1, min(CHUNKS, -(-rows // CHUNK_LEAST)), -(-rows // CHUNK_MOST))
@@ -330,7 +473,7 @@ def missed_links(rooted: DataFrame, most: int = DISTANCE) -> DataFrame:
         F.sequence(F.lit(0), F.lit(chunks - 1)), lambda other: F.least(chunk, other) * chunks + F.greatest(chunk, other)
     )
     placed = rooted.select(F.explode(pairs).alias("pair"), chunk.alias("chunk"), "fingerprint", "root")
-    ordered = placed.repartition(chunks * (chunks + 1) // 2, "pair").sortWithinPartitions("pair")
+    ordered = placed.repartition(2 * chunks * (chunks + 1), "pair").sortWithinPartitions("pair")
     return ragged.map_in_arrow(ordered, lambda batches: _missed(batches, chunks, most), "a binary, b binary")
 
 

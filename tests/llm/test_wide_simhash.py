@@ -1,3 +1,4 @@
+import math
 import random
 
 import numpy as np
@@ -153,3 +154,63 @@ def test_no_pair_within_the_distance_is_missed(spark, monkeypatch, chunk_least):
     for i, (x, y) in enumerate(zip(first, second)):
         assert (roots[x.to_bytes(32, "little")] == roots[y.to_bytes(32, "little")]) == (i % 2 == 0)
     assert len(set(roots.values())) == 450
+
+
+def uneven_rows():
+    """Fingerprints with labels: scattered ones, pairs about the distance, and large groups near each other."""
+    draw = random.Random(9)
+    first = [draw.getrandbits(256) for _ in range(150)]
+    values = first + [flipped(v, draw.randrange(44, 53), draw) for v in first]
+    values += [flipped(first[0], draw.randrange(20), draw) for _ in range(120)] + [first[1]] * 20
+    values += [flipped(flipped(first[0], 60, draw), draw.randrange(6), draw) for _ in range(60)]
+    labels = [*range(300), *[300] * 120, *[301, 302] * 10, *[303 + i % 5 for i in range(60)]]
+    order = draw.sample(range(len(values)), len(values))
+    prints = np.frombuffer(b"".join(values[i].to_bytes(32, "little") for i in order), np.uint64).reshape(-1, 4)
+    return prints, np.array([labels[i] for i in order])
+
+
+@pytest.mark.parametrize(("most", "pairs"), [(48, wide_simhash.PAIRS), (48, 50), (30, 50), (0, 50)])
+def test_blocks_find_what_all_pairs_find(monkeypatch, most, pairs):
+    blocks = wide_simhash.blocks_for(400_000, 400_000, most)
+    assert sum(radius + 1 for _, _, radius in blocks) == most + 1
+    monkeypatch.setattr(wide_simhash, "PAIRS", pairs)
+    monkeypatch.setattr(wide_simhash, "PROBES", 100)
+    monkeypatch.setattr(wide_simhash, "PAIR_NS", 1e6)  # whatever the work is, blocks are not given up
+    prints, labels = uneven_rows()
+    x, y = (prints[:230], labels[:230]), (prints[230:], labels[230:])
+    for other, same in ((x, True), (y, False)):
+        expected = wide_simhash._roots_met(x, other, same, most)
+        found = wide_simhash._roots_met_in_blocks(x, other, same, most, blocks)
+        assert {tuple(sorted(m)) for m in found} == {tuple(sorted(m)) for m in expected} != set()
+
+
+def test_blocks_are_given_up_for_uneven_rows():
+    """Rows that meet in blocks again and again are left to the comparison of all pairs."""
+    prints = np.zeros((3000, 4), np.uint64)
+    prints[:, 0] = np.arange(3000)
+    blocks = wide_simhash.blocks_for(400_000, 400_000, 48)
+    x = prints, np.arange(3000)
+    assert wide_simhash._roots_met_in_blocks(x, x, True, 48, blocks) is None
+
+
+def test_work_of_the_exact_search_grows_less_than_with_all_pairs():
+    """Pairs that meet in blocks, and values looked up, as shares of all pairs: few, and fewer of more rows."""
+    shares = []
+    for rows in (30_000, 330_000, wide_simhash.CHUNK_MOST):
+        blocks = wide_simhash.blocks_for(rows, rows, wide_simhash.DISTANCE)
+        balls = [(bits, sum(math.comb(bits, k) for k in range(radius + 1))) for _, bits, radius in blocks]
+        shares.append(sum(ball / 2**bits + ball / rows for bits, ball in balls))
+    assert blocks and shares[0] < 0.35 and shares[1] < 0.1 and shares[2] < shares[1] < shares[0]
+
+
+def test_no_pair_is_missed_where_blocks_are_used(spark, monkeypatch):
+    monkeypatch.setattr(wide_simhash, "CHUNK_LEAST", 1 << 20)  # one chunk
+    assert wide_simhash.blocks_for(30_000, 30_000, wide_simhash.DISTANCE)
+    draw = random.Random(10)
+    first = [draw.getrandbits(256) for _ in range(15_000)]
+    second = [flipped(v, wide_simhash.DISTANCE + i % 2, draw) for i, v in enumerate(first)]
+    rows = [(bytearray(v.to_bytes(32, "little")),) for v in first + second]
+    rooted = spark.createDataFrame(rows, "fingerprint binary").selectExpr("fingerprint", "fingerprint as root")
+    found = {frozenset((bytes(r.a), bytes(r.b))) for r in wide_simhash.missed_links(rooted).collect()}
+    pairs = zip(first[::2], second[::2])
+    assert found == {frozenset((x.to_bytes(32, "little"), y.to_bytes(32, "little"))) for x, y in pairs}
